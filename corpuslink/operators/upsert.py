@@ -88,12 +88,20 @@ def assign_ids(df: DataFrame, order: Sequence[str], id_col: str = "id",
 
     A global ``row_number`` would run in one task. Instead: range-partition on
     the order, number rows inside each partition, and add the row count of all
-    earlier partitions. Runs one small job for the per-partition counts.
+    earlier partitions.
+
+    The range bounds come from a sample seeded by the RDD id, so two plans over
+    the same input may cut it differently. The numbered partitions are
+    therefore written once with a reliable ``checkpoint()`` (into the shared
+    ``spark.checkpoint.dir``) and both the counts and the ids read that copy.
     """
+    from corpuslink.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parted = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
     # Offsets: one row per partition, a proven bound (n rows), so broadcast.
     sizes = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
                                        F.min("_mid").alias("_first_mid"))

@@ -6,10 +6,8 @@ operator's definition, not from our Spark plan.
 
 UNITS = """
 doc_lines AS (
-  SELECT doc_id, source,
-         unnest(string_split(text, chr(10))) AS line,
-         unnest(generate_subscripts(string_split(text, chr(10)), 1)) AS pos
-  FROM documents),
+  SELECT doc_id, source, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos
+  FROM (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents)),
 units AS (
   SELECT CAST(doc_id * 100000 + pos AS BIGINT) AS verse_id,
          source AS book_name,
