@@ -1 +1,182 @@
-"""Catalogue module (filled in below)."""
+"""Duplicate policies, ids and constraints (O-10..O-19) over ``events`` and TPC-H tables.
+
+Upsert stand-in: key (user_id, event_type), arrival order event_id. The
+"existing table" is the first-wins load of the events up to the midpoint of
+the event time range; the later events are the incoming batch. Every event
+is processed by one side or the other.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpuslink.operators import upsert as U
+from corpuslink.plans import standins as S
+from corpuslink.plans.registry import register
+
+KEYS = ["user_id", "event_type"]
+ORDER = ["event_id"]
+COLS = ["user_id", "event_type", "event_id", "value"]
+
+SPLIT_SQL = """
+WITH c AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS cut FROM events),
+ev AS (SELECT e.user_id, e.event_type, e.event_id, e.value, epoch_us(e.ts) <= c.cut AS old
+       FROM events e, c),
+tgt AS (SELECT user_id, event_type, event_id, value FROM ev WHERE old
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1)
+"""
+
+
+def _split(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events").withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    # One-row aggregate: a proven size bound, so the product below is a broadcast.
+    cut = ev.agg(F.expr("(min(_us) + max(_us)) div 2").alias("_cut"))
+    tagged = ev.crossJoin(F.broadcast(cut)).withColumn("_old", F.col("_us") <= F.col("_cut"))
+    old = tagged.filter("_old").select(*COLS)
+    new = tagged.filter(~F.col("_old")).select(*COLS)
+    return U.first_per_key(old, KEYS, ORDER).select(*COLS), new
+
+
+@register("insert_ignore", oracle=SPLIT_SQL + """,
+bat AS (SELECT user_id, event_type, event_id, value FROM ev WHERE NOT old
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1)
+SELECT * FROM tgt
+UNION ALL
+SELECT * FROM bat b WHERE NOT EXISTS (
+  SELECT 1 FROM tgt t WHERE t.user_id = b.user_id AND t.event_type = b.event_type)
+""")
+def q_insert_ignore(spark, sf_dir):
+    """O-10: insert-or-ignore of the later batch into the first-wins table."""
+    target, batch = _split(spark, sf_dir)
+    return U.insert_ignore(target, batch, KEYS, ORDER)[0]
+
+
+@register("insert_ignore_new", oracle=SPLIT_SQL + """,
+bat AS (SELECT user_id, event_type, event_id, value FROM ev WHERE NOT old
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1)
+SELECT * FROM bat b WHERE NOT EXISTS (
+  SELECT 1 FROM tgt t WHERE t.user_id = b.user_id AND t.event_type = b.event_type)
+""")
+def q_insert_ignore_new(spark, sf_dir):
+    """O-10: the rows the batch actually inserted (the reference's rowcount)."""
+    target, batch = _split(spark, sf_dir)
+    return U.insert_ignore(target, batch, KEYS, ORDER)[1].select(*COLS)
+
+
+@register("upsert_last", oracle=SPLIT_SQL + """,
+bat AS (SELECT user_id, event_type, event_id, value FROM ev WHERE NOT old
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1)
+SELECT t.user_id, t.event_type, t.event_id AS id, t.event_id, t.value FROM tgt t
+WHERE NOT EXISTS (SELECT 1 FROM bat b WHERE t.user_id = b.user_id AND t.event_type = b.event_type)
+UNION ALL
+SELECT b.user_id, b.event_type, coalesce(t.event_id, b.event_id) AS id, b.event_id, b.value
+FROM bat b LEFT JOIN tgt t ON t.user_id = b.user_id AND t.event_type = b.event_type
+""")
+def q_upsert_last(spark, sf_dir):
+    """O-11 + D5: insert-or-replace, last wins; a replaced key keeps its id."""
+    target, batch = _split(spark, sf_dir)
+    target = target.withColumn("id", F.col("event_id")).select("user_id", "event_type", "id",
+                                                              "event_id", "value")
+    batch = batch.withColumn("id", F.col("event_id"))
+    return U.upsert(target, batch, KEYS, ORDER, id_col="id")
+
+
+@register("insert_strict_rejects", oracle="""
+SELECT user_id, event_type, event_id FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) > 1
+""")
+def q_insert_strict_rejects(spark, sf_dir):
+    """O-12: every later duplicate of a key is a reject."""
+    ev = S.table(spark, sf_dir, "events").select(*COLS)
+    return U.insert_strict(ev, KEYS, ORDER)[1].select("user_id", "event_type", "event_id")
+
+
+@register("insert_strict_rows", oracle="""
+SELECT user_id, event_type, event_id, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1
+""")
+def q_insert_strict_rows(spark, sf_dir):
+    """O-12: the kept rows (first per key)."""
+    ev = S.table(spark, sf_dir, "events").select(*COLS)
+    return U.insert_strict(ev, KEYS, ORDER)[0].select(*COLS)
+
+
+@register("dense_ids", oracle="""
+SELECT doc_id, CAST(row_number() OVER (ORDER BY source, doc_id) AS BIGINT) AS dense_id
+FROM documents
+""")
+def q_dense_ids(spark, sf_dir):
+    """O-13: dense ids in (source, doc_id) order without a single-task window."""
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "source")
+    return U.assign_ids(d, ["source", "doc_id"], "dense_id").select("doc_id", "dense_id")
+
+
+@register("check_unique", oracle="""
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+""")
+def q_check_unique(spark, sf_dir):
+    """O-14: (l_orderkey, l_linenumber) is not unique in the test data."""
+    return U.check_unique(S.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+           "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("check_nulls", oracle="SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in LI_COLS) + " FROM lineitem")
+def q_check_nulls(spark, sf_dir):
+    """O-15: NULL counts of every lineitem column in one pass."""
+    return U.check_not_null(S.table(spark, sf_dir, "lineitem"), LI_COLS)
+
+
+@register("check_domain", oracle="""
+SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus NOT IN ('F', 'O')
+""")
+def q_check_domain(spark, sf_dir):
+    """O-16: order status outside {F, O}."""
+    return U.check_domain(S.table(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O"]) \
+        .select("o_orderkey", "o_orderstatus")
+
+
+# The parent dimension is restricted so that some references are unknown.
+KNOWN_REGIONS = "n_regionkey < 4"
+
+
+@register("resolve_keys", oracle=f"""
+SELECT c.c_custkey, n.n_name FROM customer c
+JOIN (SELECT * FROM nation WHERE {KNOWN_REGIONS}) n ON n.n_nationkey = c.c_nationkey
+""")
+def q_resolve_keys(spark, sf_dir):
+    """O-18: resolve a name/key against a dimension (resolved rows)."""
+    nat = S.table(spark, sf_dir, "nation").filter(KNOWN_REGIONS) \
+        .withColumnRenamed("n_nationkey", "c_nationkey")
+    cust = S.table(spark, sf_dir, "customer")
+    return U.resolve_key(cust, nat, "c_nationkey", ["n_name"])[0].select("c_custkey", "n_name")
+
+
+@register("unknown_keys", oracle=f"""
+SELECT c_custkey, c_nationkey FROM customer
+WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE {KNOWN_REGIONS})
+""")
+def q_unknown_keys(spark, sf_dir):
+    """O-18: references that do not resolve."""
+    nat = S.table(spark, sf_dir, "nation").filter(KNOWN_REGIONS) \
+        .withColumnRenamed("n_nationkey", "c_nationkey")
+    cust = S.table(spark, sf_dir, "customer")
+    return U.resolve_key(cust, nat, "c_nationkey", ["n_name"])[1].select("c_custkey",
+                                                                        "c_nationkey")
+
+
+@register("check_fk", oracle="""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM orders o
+                  WHERE o.o_orderkey = l.l_orderkey AND year(o.o_orderdate) < 1997)
+""")
+def q_check_fk(spark, sf_dir):
+    """O-19: line items whose order is not in the (filtered) parent table."""
+    li = S.table(spark, sf_dir, "lineitem")
+    parent = S.table(spark, sf_dir, "orders").filter(F.year("o_orderdate") < 1997)
+    return U.check_fk(li, parent, ["l_orderkey"], ["o_orderkey"]) \
+        .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")

@@ -94,7 +94,7 @@ def main(argv):
         try:
             r = compare(spark, sf_dir, n, con)
         except Exception as e:  # report and continue
-            r = {"name": n, "status": "ERROR", "error": repr(e)[:500]}
+            r = {"name": n, "status": "ERROR", "error": (type(e).__name__ + ": " + str(e))[:400]}
         bad += r["status"] in ("MISMATCH", "ERROR")
         print(r, flush=True)
     print(f"{len(names) - bad}/{len(names)} ok or rows-only")
