@@ -1 +1,310 @@
-"""Catalogue module (filled in below)."""
+"""Vector queries over ``embeddings`` (O-42, O-43, O-64..O-81).
+
+Query vectors come from the data: the normalised mean vector of each label
+(label 3 for the single-query demos). They are one-row (or one-per-label)
+aggregates, so their broadcast has a proven or checked bound.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpuslink.functions.vectors import l2_norm, l2_normalize
+from corpuslink.operators import qa as QA
+from corpuslink.operators import themes as T
+from corpuslink.operators import vector as V
+from corpuslink.plans import standins as S
+from corpuslink.plans.registry import register
+from corpuslink.plans.sql import EDGES, VECTORS, with_
+
+QUERY_LABEL = 3
+SIMILAR_TO = 7
+QUESTION = "What lies near the centre of book3?"
+
+Q1 = f"""
+q AS (SELECT qv FROM centn WHERE qid = {QUERY_LABEL}),
+scored AS (SELECT v.*, round(list_dot_product(v.vec, q.qv), 6) AS score FROM vecs v, q)
+"""
+
+
+def _vecs(spark, sf_dir):
+    return S.vector_units(spark, sf_dir)
+
+
+def _query(vecs):
+    return V.query_vector(vecs.filter(F.col("chapter") == QUERY_LABEL).select("vec"))
+
+
+def _label_queries(vecs):
+    return V.centroids(vecs, "chapter").select(
+        F.col("chapter").alias("qid"), l2_normalize("centroid").alias("qvec"))
+
+
+@register("vec_topk", oracle=with_(VECTORS, Q1) + """
+SELECT verse_id, reference, score FROM scored WHERE score >= 0.0
+ORDER BY score DESC, verse_id LIMIT 10
+""")
+def q_vec_topk(spark, sf_dir):
+    """O-65 + O-70: exact top-10 for one query vector."""
+    v = _vecs(spark, sf_dir)
+    return V.search(v, _query(v), k=10).select("verse_id", "reference", "score")
+
+
+@register("vec_topk_batch", oracle=with_(VECTORS) + """
+SELECT qid, CAST(rank AS INTEGER) AS rank, verse_id, score FROM (
+  SELECT c.qid, v.verse_id, round(list_dot_product(v.vec, c.qv), 6) AS score,
+         row_number() OVER (PARTITION BY c.qid
+                            ORDER BY round(list_dot_product(v.vec, c.qv), 6) DESC, v.verse_id)
+           AS rank
+  FROM vecs v, centn c)
+WHERE rank <= 5
+""")
+def q_vec_topk_batch(spark, sf_dir):
+    """O-65: top-5 for a checked-size set of queries (one per label)."""
+    v = _vecs(spark, sf_dir)
+    return V.topk_exact(v, _label_queries(v), 5)
+
+
+@register("vec_filtered", oracle=with_(VECTORS, Q1) + """
+SELECT verse_id, reference, score FROM scored
+WHERE testament = 'Old' AND book_name IN ('book1', 'book3') AND score >= 0.0
+ORDER BY score DESC, verse_id LIMIT 10
+""")
+def q_vec_filtered(spark, sf_dir):
+    """O-70 pre-filter mode with testament and book filters (O-42)."""
+    v = _vecs(spark, sf_dir)
+    return V.search(v, _query(v), k=10, testament="Old", books=["book1", "book3"]) \
+        .select("verse_id", "reference", "score")
+
+
+@register("vec_overfetch", oracle=with_(VECTORS, Q1) + """
+SELECT verse_id, reference, score FROM (
+  SELECT * FROM scored ORDER BY score DESC, verse_id LIMIT 100)
+WHERE testament = 'New' AND score >= 0.0
+ORDER BY score DESC, verse_id LIMIT 10
+""")
+def q_vec_overfetch(spark, sf_dir):
+    """O-70 parity mode (D11): rank, keep 10k, filter, keep k."""
+    v = _vecs(spark, sf_dir)
+    return V.search(v, _query(v), k=10, testament="New", mode="overfetch") \
+        .select("verse_id", "reference", "score")
+
+
+@register("vec_min_score", oracle=with_(VECTORS, Q1) + """
+SELECT verse_id, score FROM scored WHERE score >= 0.2
+ORDER BY score DESC, verse_id LIMIT 100
+""")
+def q_vec_min_score(spark, sf_dir):
+    """O-43: the score threshold cuts the result."""
+    v = _vecs(spark, sf_dir)
+    return V.search(v, _query(v), k=100, min_score=0.2).select("verse_id", "score")
+
+
+@register("vec_similar", oracle=with_(VECTORS) + f"""
+, me AS (SELECT list_transform(vec, lambda x: x / sqrt(list_sum(list_transform(vec, lambda y: y * y))))
+           AS qv FROM vecs WHERE verse_id = {SIMILAR_TO})
+SELECT v.verse_id, round(list_dot_product(v.vec, me.qv), 6) AS score
+FROM vecs v, me WHERE v.verse_id <> {SIMILAR_TO}
+ORDER BY score DESC, v.verse_id LIMIT 10
+""")
+def q_vec_similar(spark, sf_dir):
+    """O-71: the 10 units most similar to a given unit, excluding itself by id."""
+    v = _vecs(spark, sf_dir)
+    return V.find_similar(v, F.col("verse_id") == SIMILAR_TO, 10).select("verse_id", "score")
+
+
+@register("vec_norms", oracle=with_(VECTORS) + """
+SELECT verse_id, round(sqrt(list_sum(list_transform(vec, lambda y: y * y))), 6) AS norm,
+       round(sqrt(list_sum(list_transform(
+         list_transform(vec, lambda x: x / sqrt(list_sum(list_transform(vec, lambda y: y * y)))),
+         lambda y: y * y))), 6) AS unit_norm
+FROM vecs
+""")
+def q_vec_norms(spark, sf_dir):
+    """O-64: norms before and after L2 normalisation."""
+    v = _vecs(spark, sf_dir)
+    return v.select("verse_id", F.round(l2_norm("vec"), 6).alias("norm"),
+                    F.round(l2_norm(l2_normalize("vec")), 6).alias("unit_norm"))
+
+
+def _hits(spark, sf_dir, k):
+    v = _vecs(spark, sf_dir)
+    return V.search(v, _query(v), k=k).select("verse_id", "reference", "text", "score")
+
+
+LINKED = f"""
+hits AS (SELECT verse_id, reference, text, score FROM scored WHERE score >= 0.0
+         ORDER BY score DESC, verse_id LIMIT 5),
+hl AS (
+  SELECT h.verse_id, h.reference, p.p_brand || ' ' || CAST(p.p_size AS VARCHAR) || ':' ||
+         CAST(p.p_partkey AS VARCHAR) AS to_ref, e.votes,
+         row_number() OVER (PARTITION BY h.verse_id ORDER BY e.votes DESC, e.to_id) AS rank
+  FROM hits h JOIN edges e ON e.from_id = h.verse_id JOIN part p ON p.p_partkey = e.to_id)
+"""
+
+
+@register("search_with_links", oracle=with_(VECTORS, EDGES, Q1, LINKED) + """
+SELECT h.verse_id, h.score,
+       coalesce((SELECT string_agg(to_ref || ' (' || CAST(votes AS VARCHAR) || ')', '; '
+                                   ORDER BY rank)
+                 FROM hl WHERE hl.verse_id = h.verse_id AND rank <= 5), '') AS links
+FROM hits h
+""")
+def q_search_with_links(spark, sf_dir):
+    """O-72: top-5 hits, each with up to 5 links (empty when it has none)."""
+    r = QA.search_with_links(_hits(spark, sf_dir, 5), S.link_edges(spark, sf_dir),
+                             S.part_units(spark, sf_dir), 5)
+    return r.select("verse_id", "score", F.array_join(F.transform(
+        "links", lambda s: F.concat(s["to_ref"], F.lit(" ("), s["votes"].cast("string"),
+                                    F.lit(")"))), "; ").alias("links"))
+
+
+@register("links_for", oracle=with_(VECTORS, EDGES, Q1, LINKED) + """
+SELECT reference, CAST(rank AS INTEGER) AS rank, to_ref FROM hl WHERE rank <= 5
+""")
+def q_links_for(spark, sf_dir):
+    """O-74: link references of a result set, one join for all hits."""
+    return QA.links_for(_hits(spark, sf_dir, 5), S.link_edges(spark, sf_dir),
+                        S.part_units(spark, sf_dir), 5)
+
+
+@register("answer", oracle=with_(VECTORS, EDGES, Q1, LINKED) + f"""
+, nums AS (SELECT *, row_number() OVER (ORDER BY score DESC, verse_id) AS i FROM hits)
+SELECT '{QUESTION}' AS question,
+       string_agg(CAST(i AS VARCHAR) || '. ' || reference || ': "' || text || '" (relevance: '
+                  || printf('%.2f', score) || ')', chr(10) || chr(10) ORDER BY i) AS answer,
+       round(avg(score), 6) AS confidence,
+       count(*) AS num_verses,
+       (SELECT string_agg(reference || ' -> ' || refs, '; ' ORDER BY reference) FROM (
+          SELECT reference, string_agg(to_ref, ', ' ORDER BY rank) AS refs
+          FROM hl WHERE rank <= 5 GROUP BY reference)) AS cross_references
+FROM nums
+""")
+def q_answer(spark, sf_dir):
+    """O-73 (+O-53): numbered answer text, mean-score confidence, links per hit."""
+    a = QA.answer(QUESTION, _hits(spark, sf_dir, 5), S.link_edges(spark, sf_dir),
+                  S.part_units(spark, sf_dir), 5)
+    entries = F.array_sort(F.map_entries("cross_references"))
+    return a.select(
+        "question", "answer", F.round("confidence", 6).alias("confidence"), "num_verses",
+        F.array_join(F.transform(entries, lambda e: F.concat(
+            e["key"], F.lit(" -> "), F.array_join(e["value"], ", "))), "; ")
+        .alias("cross_references"))
+
+
+ASSIGN = """
+assign AS (
+  SELECT verse_id, qid AS cluster FROM (
+    SELECT v.verse_id, c.qid,
+           row_number() OVER (PARTITION BY v.verse_id
+                              ORDER BY list_dot_product(v.vec, c.qv) DESC, c.qid) AS r
+    FROM vecs v, centn c) WHERE r = 1),
+members AS (SELECT v.*, a.cluster FROM vecs v JOIN assign a USING (verse_id)),
+reps AS (
+  SELECT * FROM (
+    SELECT m.cluster, m.verse_id, m.book_name,
+           round(list_dot_product(list_transform(m.vec, lambda x: x / sqrt(list_sum(
+             list_transform(m.vec, lambda y: y * y)))), c.qv), 6) AS score,
+           row_number() OVER (PARTITION BY m.cluster ORDER BY round(list_dot_product(
+             list_transform(m.vec, lambda x: x / sqrt(list_sum(
+             list_transform(m.vec, lambda y: y * y)))), c.qv), 6) DESC, m.verse_id) AS rank
+    FROM members m JOIN centn c ON c.qid = m.cluster)
+  WHERE rank <= 5),
+profile AS (
+  SELECT cluster, count(*) AS num_verses, count(*) FILTER (WHERE testament = 'Old') AS n_old,
+         count(*) - count(*) FILTER (WHERE testament = 'Old') AS n_new
+  FROM members GROUP BY cluster),
+labels AS (
+  SELECT cluster, 'Theme from ' || array_to_string(list_slice(b, 1, 3), ', ') ||
+         CASE WHEN len(b) > 3 THEN ', etc.' ELSE '' END AS description
+  FROM (SELECT cluster, list_sort(list_distinct(list(book_name))) AS b FROM reps
+        GROUP BY cluster))
+"""
+
+
+def _assigned(spark, sf_dir):
+    v = _vecs(spark, sf_dir)
+    cents = V.centroids(v, "chapter").withColumnRenamed("chapter", "cluster")
+    return V.nearest_centroid(v, cents, "cluster"), cents
+
+
+@register("centroid_assign", oracle=with_(VECTORS, ASSIGN) + """
+SELECT verse_id, CAST(cluster AS BIGINT) AS cluster FROM assign
+""")
+def q_centroid_assign(spark, sf_dir):
+    """One assignment pass against fixed centroids (the label means)."""
+    return _assigned(spark, sf_dir)[0].select("verse_id", "cluster")
+
+
+@register("representatives", oracle=with_(VECTORS, ASSIGN) + """
+SELECT CAST(cluster AS BIGINT) AS cluster, CAST(rank AS INTEGER) AS rank, verse_id, score
+FROM reps
+""")
+def q_representatives(spark, sf_dir):
+    """O-76: 5 members closest to their normalised centroid."""
+    a, c = _assigned(spark, sf_dir)
+    return T.representatives(a, c.withColumn("cluster", F.col("cluster").cast("long")), 5) \
+        .select("cluster", "rank", "verse_id", "score")
+
+
+@register("cluster_profile", oracle=with_(VECTORS, ASSIGN) + """
+SELECT CAST(cluster AS BIGINT) AS cluster, num_verses, n_old, n_new FROM profile
+""")
+def q_cluster_profile(spark, sf_dir):
+    """O-77: cluster size with its Old / New split."""
+    return T.cluster_profile(_assigned(spark, sf_dir)[0])
+
+
+@register("theme_label", oracle=with_(VECTORS, ASSIGN) + """
+SELECT CAST(cluster AS BIGINT) AS cluster, description FROM labels
+""")
+def q_theme_label(spark, sf_dir):
+    """O-78: theme text from the representatives' books."""
+    a, c = _assigned(spark, sf_dir)
+    reps = T.representatives(a, c.withColumn("cluster", F.col("cluster").cast("long")), 5)
+    return T.theme_label(reps)
+
+
+@register("themes", oracle=with_(VECTORS, ASSIGN) + """
+SELECT CAST(p.cluster AS BIGINT) AS theme_id, p.num_verses, p.n_old, p.n_new, l.description,
+       CAST(row_number() OVER (ORDER BY p.num_verses DESC, p.cluster) AS INTEGER) AS theme_rank
+FROM profile p LEFT JOIN labels l USING (cluster)
+""")
+def q_themes(spark, sf_dir):
+    """O-79: themes ranked by size."""
+    a, c = _assigned(spark, sf_dir)
+    reps = T.representatives(a, c.withColumn("cluster", F.col("cluster").cast("long")), 5)
+    return T.themes(T.cluster_profile(a), T.theme_label(reps))
+
+
+@register("kmeans_sizes")
+def q_kmeans_sizes(spark, sf_dir):
+    """O-75/O-80: Spark ML k-means (k=10, seed 42, 10 restarts); rows-only check."""
+    v = _vecs(spark, sf_dir)
+    return T.cluster_sizes(T.cluster(v.select("verse_id", "vec"), k=10, seed=42,
+                                     n_init=10)["assigned"])
+
+
+@register("vec_ann_allcells", oracle=with_(VECTORS) + """
+SELECT qid, CAST(rank AS INTEGER) AS rank, verse_id, score FROM (
+  SELECT c.qid, v.verse_id, round(list_dot_product(v.vec, c.qv), 6) AS score,
+         row_number() OVER (PARTITION BY c.qid
+                            ORDER BY round(list_dot_product(v.vec, c.qv), 6) DESC, v.verse_id)
+           AS rank
+  FROM vecs v, centn c)
+WHERE rank <= 5
+""")
+def q_vec_ann_allcells(spark, sf_dir):
+    """O-67: IVF search probing every cell equals exact search."""
+    v = _vecs(spark, sf_dir)
+    idx = V.build_ivf(v.select("verse_id", "vec"), nlist=8)
+    return V.topk_ann(idx, _label_queries(v), 5, nprobe=8)
+
+
+@register("ann_recall")
+def q_ann_recall(spark, sf_dir):
+    """O-81: recall@10 of IVF (8 cells, 3 probed) against exact; rows-only."""
+    v = _vecs(spark, sf_dir)
+    q = _label_queries(v)
+    idx = V.build_ivf(v.select("verse_id", "vec"), nlist=8)
+    return V.recall_at_k(V.topk_ann(idx, q, 10, nprobe=3), V.topk_exact(v, q, 10))

@@ -41,16 +41,25 @@ to_units AS (
 
 VECTORS = """
 vecs AS (
-  SELECT vec_id AS verse_id, 'book' || CAST(label AS VARCHAR) AS book_name,
-         CASE WHEN label < 5 THEN 'Old' ELSE 'New' END AS testament,
-         label + 1 AS book_number, label AS chapter, vec_id AS verse,
-         'book' || CAST(label AS VARCHAR) || ' ' || CAST(label AS VARCHAR) || ':'
-           || CAST(vec_id AS VARCHAR) AS reference,
-         CAST(embedding AS DOUBLE[]) AS vec
-  FROM embeddings)
+  SELECT e.vec_id AS verse_id, 'book' || CAST(e.label AS VARCHAR) AS book_name,
+         CASE WHEN e.label < 5 THEN 'Old' ELSE 'New' END AS testament,
+         e.label + 1 AS book_number, e.label AS chapter, e.vec_id AS verse,
+         'book' || CAST(e.label AS VARCHAR) || ' ' || CAST(e.label AS VARCHAR) || ':'
+           || CAST(e.vec_id AS VARCHAR) AS reference,
+         coalesce(split_part(d.text, chr(10), 1), '') AS text,
+         CAST(e.embedding AS DOUBLE[]) AS vec
+  FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id),
+cent AS (
+  SELECT chapter AS qid, list(m ORDER BY i) AS c FROM (
+    SELECT chapter, i, avg(x) AS m FROM (
+      SELECT chapter, unnest(vec) AS x, unnest(range(1, len(vec) + 1)) AS i FROM vecs)
+    GROUP BY chapter, i)
+  GROUP BY chapter),
+centn AS (
+  SELECT qid, list_transform(c, lambda x: x / n) AS qv FROM (
+    SELECT qid, c, sqrt(list_sum(list_transform(c, lambda y: y * y))) AS n FROM cent))
 """
 
-
 def ref(book: str, chapter: str, verse: str) -> str:
     return (f"{book} || ' ' || CAST({chapter} AS VARCHAR) || ':' || "
             f"CAST({verse} AS VARCHAR)")

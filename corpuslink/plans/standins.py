@@ -85,15 +85,19 @@ def part_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """vectors with unit metadata: (verse_id, book_name, testament, chapter, verse,
-    reference, vec)."""
+    """vectors with unit metadata: (verse_id, book_name, testament, book_number,
+    chapter, verse, reference, text, vec). ``text`` is the first line of the
+    document with the same id ('' when there is none)."""
     e = table(spark, sf_dir, "embeddings")
+    d = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("vec_id"), F.substring_index("text", "\n", 1).alias("text"))
     book = F.concat(F.lit("book"), F.col("label").cast("string"))
-    return e.select(
+    return e.join(d, "vec_id", "left").select(
         F.col("vec_id").alias("verse_id"), book.alias("book_name"),
         F.when(F.col("label") < OLD_LABEL_BELOW, "Old").otherwise("New").alias("testament"),
         (F.col("label") + 1).alias("book_number"),
         F.col("label").alias("chapter"), F.col("vec_id").alias("verse"),
         F.concat(book, F.lit(" "), F.col("label").cast("string"), F.lit(":"),
                  F.col("vec_id").cast("string")).alias("reference"),
+        F.coalesce("text", F.lit("")).alias("text"),
         F.col("embedding").alias("vec"))
