@@ -101,23 +101,25 @@ def expand_ranges(df: DataFrame, start: str, end: str, out: str = "to_verse") ->
     return df.withColumn(out, F.explode(seq))
 
 
-def resolve_refs(stmts: DataFrame, units: DataFrame) -> DataFrame:
+def resolve_refs(stmts: DataFrame, from_units: DataFrame,
+                 to_units: DataFrame | None = None) -> DataFrame:
     """O-31: resolve both ends of expanded statements to unit ids with two left joins.
 
     ``stmts`` has from_book/from_chapter/from_verse and to_book/to_chapter/to_verse;
     the result adds nullable ``from_id`` and ``to_id``. This replaces one id
     lookup per row; AQE broadcasts the unit keys when they are small.
     """
-    keys = units.select("unit_id", "book", "chapter", "verse")
-    f = keys.select(F.col("unit_id").alias("from_id"), F.col("book").alias("from_book"),
-                    F.col("chapter").alias("from_chapter"), F.col("verse").alias("from_verse"))
-    t = keys.select(F.col("unit_id").alias("to_id"), F.col("book").alias("to_book"),
-                    F.col("chapter").alias("to_chapter"), F.col("verse").alias("to_verse"))
+    to_units = from_units if to_units is None else to_units
+    f = from_units.select(F.col("unit_id").alias("from_id"), F.col("book").alias("from_book"),
+                          F.col("chapter").alias("from_chapter"),
+                          F.col("verse").alias("from_verse"))
+    t = to_units.select(F.col("unit_id").alias("to_id"), F.col("book").alias("to_book"),
+                        F.col("chapter").alias("to_chapter"), F.col("verse").alias("to_verse"))
     return (stmts.join(f, ["from_book", "from_chapter", "from_verse"], "left")
             .join(t, ["to_book", "to_chapter", "to_verse"], "left"))
 
 
-def import_links(parsed: DataFrame, units: DataFrame,
+def import_links(parsed: DataFrame, from_units: DataFrame, to_units: DataFrame | None = None,
                  order: Sequence[str] = ("file", "line_no", "to_verse")) -> dict[str, DataFrame]:
     """O-30..O-33 end to end: expand ranges, resolve, insert first-wins.
 
@@ -129,7 +131,7 @@ def import_links(parsed: DataFrame, units: DataFrame,
     """
     ok = parsed.filter("matched")
     expanded = expand_ranges(ok, "to_verse_start", "to_verse_end")
-    resolved = resolve_refs(expanded, units)
+    resolved = resolve_refs(expanded, from_units, to_units)
     good = resolved.filter(F.col("from_id").isNotNull() & F.col("to_id").isNotNull())
     winners = first_per_key(good.select("from_id", "to_id", "votes", *order),
                             ["from_id", "to_id"], order)
@@ -140,7 +142,7 @@ def import_links(parsed: DataFrame, units: DataFrame,
         F.count(F.lit(1)).alias("lines_processed"),
         F.count_if(~F.col("matched")).alias("unparsed"))
     # A source that does not resolve is counted once per line, before expansion.
-    from_keys = units.select(F.col("book").alias("from_book"),
+    from_keys = from_units.select(F.col("book").alias("from_book"),
                              F.col("chapter").alias("from_chapter"),
                              F.col("verse").alias("from_verse"))
     from_missing = (ok.join(from_keys, ["from_book", "from_chapter", "from_verse"], "left_anti")

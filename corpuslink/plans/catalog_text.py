@@ -1 +1,482 @@
-"""Catalogue module (filled in below)."""
+"""Parsing, link import and rendering queries (O-03, O-20..O-34, O-82..O-95).
+
+Stand-ins:
+* parse input: the conversation turns whose text starts with A-Z, written
+  as ``{turn+1}{text}`` lines; ten conversations per book ``'Book {conv_id div 10}'``
+  with the book name as a title line. Parsing must give the turns back.
+* link dumps: one statement per line item, formatted from lineitem, orders and
+  part: from (priority, customer, order) to (brand, size, part .. part + q%4 - 1)
+  with votes ``q - 10`` (negative votes fail to parse, D7). Sources resolve
+  against orders before 1998, targets against part.
+* chapters to render: conversations (no links) and customers' orders with
+  their top-10 part links.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpuslink.functions.text import fmt_decimal, fmt_int, preview, safe_name, squash_ws, wiki_link
+from corpuslink.operators import links as L
+from corpuslink.operators import parse as P
+from corpuslink.operators import render as R
+from corpuslink.plans import standins as S
+from corpuslink.plans.registry import register
+from corpuslink.plans.sql import EDGES, UNITS, with_
+from corpuslink.sources.linkdump import parse_link_lines, reject_sample
+
+BOOK_SIZE = 10
+
+# ---------------------------------------------------------------- parsing ---
+
+CONV_SQL = f"""
+WITH conv AS (
+  SELECT 'Book ' || CAST(conv_id // {BOOK_SIZE} AS VARCHAR) AS book, conv_id, turn,
+         CAST(turn + 1 AS INTEGER) AS num, text
+  FROM conversations WHERE regexp_matches(text, '^[A-Z]'))
+"""
+
+
+def conv_books(spark, sf_dir):
+    c = S.table(spark, sf_dir, "conversations").filter(F.col("text").rlike("^[A-Z]"))
+    c = c.withColumn("book", F.concat(F.lit("Book "),
+                                      F.floor(F.col("conv_id") / BOOK_SIZE).cast("string")))
+    body = F.expr("listagg(concat(cast(turn + 1 as string), text), char(10)) "
+                  "WITHIN GROUP (ORDER BY conv_id, turn)")
+    return c.groupBy("book").agg(body.alias("_body"),
+                                 F.countDistinct("conv_id").cast("int").alias("expected")) \
+        .select("book", F.concat("book", F.lit("\n"), "_body").alias("text"), "expected")
+
+
+@register("parse_loose", oracle=CONV_SQL + f"""
+, seq AS (
+  SELECT book, num, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text,
+         CASE WHEN num <= 2 AND lag(num, 1, 0) OVER (PARTITION BY book ORDER BY conv_id, turn) > 10
+              THEN 1 ELSE 0 END AS f, conv_id, turn
+  FROM conv)
+SELECT book, CAST(1 + sum(f) OVER (PARTITION BY book ORDER BY conv_id, turn
+                                   ROWS UNBOUNDED PRECEDING) AS INTEGER) AS chapter,
+       num AS verse, text
+FROM seq WHERE text <> ''
+""")
+def q_parse_loose(spark, sf_dir):
+    """O-20, O-22, O-25, O-26, O-27: title strip, loose split, reset-after-10 chapters."""
+    return P.parse_book_text(conv_books(spark, sf_dir), "v1") \
+        .select("book", "chapter", "verse", "text")
+
+
+@register("parse_line", oracle=CONV_SQL + f"""
+, firsts AS (
+  SELECT book, conv_id, turn, num,
+         trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')) AS text
+  FROM conv),
+kept AS (SELECT * FROM firsts WHERE length(text) >= 3),
+exp AS (SELECT book, CAST(count(DISTINCT conv_id) AS INTEGER) AS expected FROM conv GROUP BY book),
+seq AS (
+  SELECT k.*, e.expected,
+         CASE WHEN num = 1 AND lag(num, 1, 0) OVER (PARTITION BY k.book ORDER BY conv_id, turn) > 3
+              THEN 1 ELSE 0 END AS f
+  FROM kept k JOIN exp e USING (book))
+SELECT book, CAST(least(1 + sum(f) OVER (PARTITION BY book ORDER BY conv_id, turn
+                                         ROWS UNBOUNDED PRECEDING), expected) AS INTEGER) AS chapter,
+       num AS verse, text
+FROM seq WHERE num > 0
+""")
+def q_parse_line(spark, sf_dir):
+    """O-21, O-23, O-24, O-26, O-28: line split (first line only, D8), reset-to-1
+    chapters capped at the expected count."""
+    return P.parse_book_text(conv_books(spark, sf_dir), "v2", expected="expected") \
+        .select("book", "chapter", "verse", "text")
+
+
+@register("load_report", oracle=CONV_SQL + f"""
+, firsts AS (
+  SELECT book, conv_id, turn, num,
+         trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')) AS text
+  FROM conv),
+kept AS (SELECT * FROM firsts WHERE length(text) >= 3),
+exp AS (SELECT book, CAST(count(DISTINCT conv_id) AS INTEGER) AS expected FROM conv GROUP BY book),
+seq AS (
+  SELECT k.*, e.expected,
+         CASE WHEN num = 1 AND lag(num, 1, 0) OVER (PARTITION BY k.book ORDER BY conv_id, turn) > 3
+              THEN 1 ELSE 0 END AS f
+  FROM kept k JOIN exp e USING (book)),
+ch AS (
+  SELECT book, least(1 + sum(f) OVER (PARTITION BY book ORDER BY conv_id, turn
+                                      ROWS UNBOUNDED PRECEDING), expected) AS chapter
+  FROM seq WHERE num > 0)
+SELECT e.book, e.expected, coalesce(count(ch.book), 0) AS n_units,
+       coalesce(count(DISTINCT ch.chapter), 0) AS n_chapters
+FROM exp e LEFT JOIN ch USING (book) GROUP BY e.book, e.expected
+""")
+def q_load_report(spark, sf_dir):
+    """O-29: per book units, distinct chapters and the expected count."""
+    books = conv_books(spark, sf_dir)
+    units = P.parse_book_text(books, "v2", expected="expected")
+    return P.load_report(units, books).select("book", "expected", "n_units", "n_chapters")
+
+
+@register("assemble_pages", oracle="""
+SELECT conv_id AS book, string_agg(text || chr(10), '' ORDER BY turn) AS text,
+       CASE WHEN length(CAST(conv_id + 1 AS VARCHAR)) >= 2 THEN CAST(conv_id + 1 AS VARCHAR)
+            ELSE lpad(CAST(conv_id + 1 AS VARCHAR), 2, '0') END AS file_no
+FROM conversations GROUP BY conv_id
+""")
+def q_assemble_pages(spark, sf_dir):
+    """O-93: a conversation's turns as pages of one book text."""
+    c = S.table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("book"), F.col("turn").alias("page"), "text",
+        (F.col("conv_id") + 1).alias("book_number"))
+    return P.assemble_pages(c, book_number="book_number").select("book", "text", "file_no")
+
+
+@register("squash_ws", oracle="""
+SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM documents
+""")
+def q_squash_ws(spark, sf_dir):
+    """O-25: whitespace normalisation of whole documents."""
+    d = S.table(spark, sf_dir, "documents")
+    return d.select("doc_id", squash_ws("text").alias("text"))
+
+
+# ------------------------------------------------------------ link import ---
+
+STMT_SQL = """
+WITH stmts AS (
+  SELECT 'cross_references_' || l.l_returnflag || '.sql' AS file,
+         l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity,
+         o.o_orderpriority AS from_book, o.o_custkey AS from_chapter, o.o_orderkey AS from_verse,
+         p.p_brand AS to_book, CAST(p.p_size AS BIGINT) AS to_chapter,
+         p.p_partkey AS to_verse_start,
+         p.p_partkey + CAST(floor(l.l_quantity) AS BIGINT) % 4 - 1 AS to_verse_end,
+         CAST(floor(l.l_quantity) AS BIGINT) - 10 AS votes
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+                  JOIN part p ON p.p_partkey = l.l_partkey),
+parsed AS (SELECT *, votes >= 0 AND to_verse_end >= 0 AS matched FROM stmts),
+ok AS (SELECT * FROM parsed WHERE matched),
+expd AS (SELECT ok.*, unnest(range(to_verse_start, to_verse_end + 1)) AS to_verse FROM ok),
+fu AS (SELECT o_orderkey AS from_id, o_orderpriority AS b, o_custkey AS c, o_orderkey AS v
+       FROM orders WHERE year(o_orderdate) < 1998),
+tu AS (SELECT p_partkey AS to_id, p_brand AS b, CAST(p_size AS BIGINT) AS c, p_partkey AS v
+       FROM part),
+res AS (
+  SELECT e.*, fu.from_id, tu.to_id FROM expd e
+  LEFT JOIN fu ON fu.b = e.from_book AND fu.c = e.from_chapter AND fu.v = e.from_verse
+  LEFT JOIN tu ON tu.b = e.to_book AND tu.c = e.to_chapter AND tu.v = e.to_verse),
+winners AS (
+  SELECT * FROM res WHERE from_id IS NOT NULL AND to_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY from_id, to_id
+    ORDER BY file, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, to_verse) = 1)
+"""
+
+LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+
+
+def link_lines(spark, sf_dir):
+    """Statement lines (file, line order columns, value) formatted from the tables."""
+    li = S.table(spark, sf_dir, "lineitem")
+    o = S.table(spark, sf_dir, "orders")
+    p = S.table(spark, sf_dir, "part")
+    q = F.floor("l_quantity").cast("long")
+    value = F.format_string(
+        "INSERT INTO cross_references VALUES ('%s', %d, %d, '%s', %d, %d, %d, %d);",
+        "o_orderpriority", "o_custkey", "o_orderkey", "p_brand", F.col("p_size").cast("long"),
+        "p_partkey", F.col("p_partkey") + q % 4 - 1, q - 10)
+    return (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+            .select(F.concat(F.lit("cross_references_"), "l_returnflag", F.lit(".sql"))
+                    .alias("file"), *LINE_ORDER, value.alias("value")))
+
+
+def _ends(spark, sf_dir):
+    fu = S.order_units(spark, sf_dir).join(
+        S.table(spark, sf_dir, "orders").filter(F.year("o_orderdate") < 1998)
+        .select(F.col("o_orderkey").alias("unit_id")), "unit_id", "left_semi")
+    tu = S.part_units(spark, sf_dir).withColumn("chapter", F.col("chapter").cast("long"))
+    return fu, tu
+
+
+def _import(spark, sf_dir):
+    parsed = parse_link_lines(link_lines(spark, sf_dir))
+    fu, tu = _ends(spark, sf_dir)
+    return L.import_links(parsed, fu, tu, order=("file", *LINE_ORDER, "to_verse"))
+
+
+@register("dump_parse", oracle=STMT_SQL + """
+SELECT file, l_orderkey, l_linenumber, l_partkey, l_suppkey, matched,
+       CASE WHEN matched THEN from_book END AS from_book,
+       CASE WHEN matched THEN from_chapter END AS from_chapter,
+       CASE WHEN matched THEN from_verse END AS from_verse,
+       CASE WHEN matched THEN to_book END AS to_book,
+       CASE WHEN matched THEN to_chapter END AS to_chapter,
+       CASE WHEN matched THEN to_verse_start END AS to_verse_start,
+       CASE WHEN matched THEN to_verse_end END AS to_verse_end,
+       CASE WHEN matched THEN votes END AS votes
+FROM parsed
+""")
+def q_dump_parse(spark, sf_dir):
+    """O-03: statements parsed back into their eight fields."""
+    return parse_link_lines(link_lines(spark, sf_dir)).drop("value", "l_quantity")
+
+
+@register("range_expand", oracle=STMT_SQL + """
+SELECT file, l_orderkey, l_linenumber, l_partkey, l_suppkey, to_verse FROM expd
+""")
+def q_range_expand(spark, sf_dir):
+    """O-30: one row per target verse of each range (empty when end < start)."""
+    parsed = parse_link_lines(link_lines(spark, sf_dir)).filter("matched")
+    return L.expand_ranges(parsed, "to_verse_start", "to_verse_end").select(
+        "file", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "to_verse")
+
+
+@register("resolve_refs", oracle=STMT_SQL + """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, to_verse, from_id, to_id FROM res
+""")
+def q_resolve_refs(spark, sf_dir):
+    """O-31: both ends resolved by joins (NULL when unknown)."""
+    return _import(spark, sf_dir)["resolved"].select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "to_verse", "from_id", "to_id")
+
+
+@register("edge_import", oracle=STMT_SQL + """
+SELECT from_id, to_id, votes FROM winners
+""")
+def q_edge_import(spark, sf_dir):
+    """O-32 (+O-17): first-wins edges in (file, line, target) order."""
+    return _import(spark, sf_dir)["edges"]
+
+
+@register("import_report", oracle=STMT_SQL + """
+, lines AS (SELECT file, count(*) AS lines_processed,
+                   count(*) FILTER (WHERE NOT matched) AS unparsed FROM parsed GROUP BY file),
+fm AS (SELECT file, count(*) AS n FROM ok WHERE NOT EXISTS (
+         SELECT 1 FROM fu WHERE fu.b = ok.from_book AND fu.c = ok.from_chapter
+                            AND fu.v = ok.from_verse) GROUP BY file),
+tm AS (SELECT file, count(*) AS n FROM res WHERE from_id IS NOT NULL AND to_id IS NULL
+       GROUP BY file),
+imp AS (SELECT file, count(*) AS n FROM winners GROUP BY file)
+SELECT l.file, l.lines_processed, coalesce(imp.n, 0) AS imported,
+       coalesce(fm.n, 0) + coalesce(tm.n, 0) AS skipped, l.unparsed
+FROM lines l LEFT JOIN fm USING (file) LEFT JOIN tm USING (file) LEFT JOIN imp USING (file)
+""")
+def q_import_report(spark, sf_dir):
+    """O-33: per-file accounting."""
+    return _import(spark, sf_dir)["report"]
+
+
+@register("reject_sample", oracle=STMT_SQL + """
+SELECT file, printf('INSERT INTO cross_references VALUES (''%s'', %d, %d, ''%s'', %d, %d, %d, %d);',
+                    from_book, from_chapter, from_verse, to_book, to_chapter, to_verse_start,
+                    to_verse_end, votes) AS value
+FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY l_orderkey, l_linenumber,
+                                   l_partkey, l_suppkey, l_quantity) AS r FROM parsed)
+WHERE r <= 3 AND NOT matched
+""")
+def q_reject_sample(spark, sf_dir):
+    """O-34: failed statements among the first three of each file."""
+    parsed = parse_link_lines(link_lines(spark, sf_dir))
+    return reject_sample(parsed, [F.col(c) for c in LINE_ORDER], 3)
+
+
+# -------------------------------------------------------------- rendering ---
+
+def conv_units(spark, sf_dir):
+    c = S.table(spark, sf_dir, "conversations")
+    g = F.floor(F.col("conv_id") / BOOK_SIZE)
+    return c.select(F.concat(F.lit("Book "), g.cast("string")).alias("book_name"),
+                    F.when(g < 5, "Old").otherwise("New").alias("testament"),
+                    (g + 1).cast("int").alias("book_number"),
+                    F.col("conv_id").alias("chapter"), (F.col("turn") + 1).alias("verse"),
+                    "text")
+
+
+CONV_UNITS_SQL = f"""
+WITH cu AS (
+  SELECT 'Book ' || CAST(conv_id // {BOOK_SIZE} AS VARCHAR) AS book_name,
+         CASE WHEN conv_id // {BOOK_SIZE} < 5 THEN 'Old' ELSE 'New' END AS testament,
+         CAST(conv_id // {BOOK_SIZE} + 1 AS INTEGER) AS book_number,
+         conv_id AS chapter, turn + 1 AS verse, text FROM conversations)
+"""
+
+
+@register("render_chapter", oracle=CONV_UNITS_SQL + """
+SELECT book_name, chapter, CAST(0 AS BIGINT) AS seq,
+       '# ' || book_name || ' ' || CAST(chapter AS VARCHAR) || chr(10) || chr(10) || '*' ||
+       first(testament) || ' Testament, Book ' || CAST(first(book_number) AS VARCHAR) || '*' ||
+       chr(10) || chr(10) || '---' || chr(10) || chr(10) AS block
+FROM cu GROUP BY book_name, chapter
+UNION ALL
+SELECT book_name, chapter, CAST(verse AS BIGINT) AS seq,
+       '## Verse ' || CAST(verse AS VARCHAR) || chr(10) || chr(10) || '> ' || text ||
+       chr(10) || chr(10) || '---' || chr(10) || chr(10) AS block
+FROM cu
+""")
+def q_render_chapter(spark, sf_dir):
+    """O-82: chapter documents (vault style) as ordered blocks; no links here."""
+    return R.render_chapters(conv_units(spark, sf_dir), None, "vault")
+
+
+@register("render_patch", oracle=CONV_UNITS_SQL + """
+SELECT book_name, chapter, CAST(0 AS BIGINT) AS seq,
+       '# ' || book_name || ' Chapter ' || CAST(chapter AS VARCHAR) || chr(10) || chr(10) ||
+       '**' || CAST(count(*) AS VARCHAR) || ' verses**' || chr(10) || chr(10) || '---' || chr(10)
+       AS block
+FROM cu GROUP BY book_name, chapter
+UNION ALL
+SELECT book_name, chapter, CAST(verse AS BIGINT) AS seq,
+       '## Verse ' || CAST(verse AS VARCHAR) || chr(10) || chr(10) || '> ' || text ||
+       chr(10) || chr(10) || '---' || chr(10) AS block
+FROM cu
+""")
+def q_render_patch(spark, sf_dir):
+    """O-83: the patch style (other header, verse count, no trailing blank line)."""
+    return R.render_chapters(conv_units(spark, sf_dir), None, "patch")
+
+
+def order_units_for_render(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders")
+    c = S.table(spark, sf_dir, "customer")
+    n = S.table(spark, sf_dir, "nation")
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+            .select(F.col("o_orderkey").alias("verse_id"), F.col("n_name").alias("book_name"),
+                    F.when(F.col("n_regionkey") < 2, "Old").otherwise("New").alias("testament"),
+                    (F.col("n_nationkey") + 1).alias("book_number"),
+                    F.col("c_custkey").alias("chapter"), F.col("o_orderkey").alias("verse"),
+                    F.concat(F.lit("Order "), "o_orderstatus", F.lit(" "), "o_orderpriority")
+                    .alias("text")))
+
+
+@register("render_linked", oracle=with_(EDGES, """
+ou AS (
+  SELECT o.o_orderkey AS verse_id, n.n_name AS book_name,
+         CASE WHEN n.n_regionkey < 2 THEN 'Old' ELSE 'New' END AS testament,
+         n.n_nationkey + 1 AS book_number, c.c_custkey AS chapter, o.o_orderkey AS verse,
+         'Order ' || o.o_orderstatus || ' ' || o.o_orderpriority AS text
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+  JOIN nation n ON n.n_nationkey = c.c_nationkey)""", """
+rl AS (
+  SELECT e.from_id, e.votes, p.p_brand, p.p_size, p.p_partkey,
+         row_number() OVER (PARTITION BY e.from_id ORDER BY e.votes DESC, e.to_id) AS rank
+  FROM edges e JOIN part p ON p.p_partkey = e.to_id)""", """
+lk AS (
+  SELECT from_id, string_agg('- [[' || translate(p_brand, ' /:', '__') || '/Chapter_' ||
+           CAST(p_size AS VARCHAR) || '#Verse ' || CAST(p_partkey AS VARCHAR) || '|' || p_brand ||
+           ' ' || CAST(p_size AS VARCHAR) || ':' || CAST(p_partkey AS VARCHAR) || ']] *(votes: ' ||
+           CAST(votes AS VARCHAR) || ')*', chr(10) ORDER BY rank) AS lines
+  FROM rl WHERE rank <= 10 GROUP BY from_id)""") + """
+SELECT book_name, chapter, CAST(0 AS BIGINT) AS seq,
+       '# ' || book_name || ' ' || CAST(chapter AS VARCHAR) || chr(10) || chr(10) || '*' ||
+       first(testament) || ' Testament, Book ' || CAST(first(book_number) AS VARCHAR) || '*' ||
+       chr(10) || chr(10) || '---' || chr(10) || chr(10) AS block
+FROM ou GROUP BY book_name, chapter
+UNION ALL
+SELECT ou.book_name, ou.chapter, CAST(ou.verse AS BIGINT) AS seq,
+       '## Verse ' || CAST(ou.verse AS VARCHAR) || chr(10) || chr(10) || '> ' || ou.text ||
+       chr(10) || chr(10) ||
+       CASE WHEN lk.lines IS NULL THEN ''
+            ELSE '**Cross-References:**' || chr(10) || lk.lines || chr(10) || chr(10) END ||
+       '---' || chr(10) || chr(10) AS block
+FROM ou LEFT JOIN lk ON lk.from_id = ou.verse_id
+""")
+def q_render_linked(spark, sf_dir):
+    """O-82 with links: customers' orders as chapters, top-10 part links per order."""
+    edges = S.link_edges(spark, sf_dir)
+    parts = S.part_units(spark, sf_dir)
+    t = parts.select(F.col("unit_id").alias("to_id"), "book", "chapter", "verse")
+    top = L.top_links_all(edges.join(t, "to_id"), 10)
+    nested = L.links_by_key(top, "from_id", ("book", "chapter", "verse", "votes")) \
+        .withColumnRenamed("from_id", "verse_id")
+    return R.render_chapters(order_units_for_render(spark, sf_dir), nested, "vault")
+
+
+@register("count_headings", oracle=CONV_UNITS_SQL + """
+SELECT book_name, chapter, count(*) AS n_headings FROM cu GROUP BY book_name, chapter
+""")
+def q_count_headings(spark, sf_dir):
+    """O-94: headings counted in the rendered documents."""
+    return R.count_headings(R.render_chapters(conv_units(spark, sf_dir), None, "patch"))
+
+
+@register("render_book_index", oracle=with_(UNITS) + """
+, ch AS (SELECT DISTINCT book_name, testament, book_number, chapter FROM units)
+SELECT book_name, CAST(0 AS BIGINT) AS seq,
+       '# ' || book_name || chr(10) || chr(10) || '**Testament:** ' || first(testament) ||
+       chr(10) || '**Book Number:** ' || CAST(first(book_number) AS VARCHAR) || chr(10) ||
+       '**Chapters:** ' || CAST(count(*) AS VARCHAR) || chr(10) || chr(10) || '## Chapters' ||
+       chr(10) || chr(10) AS block
+FROM ch GROUP BY book_name
+UNION ALL
+SELECT book_name, CAST(chapter AS BIGINT) AS seq,
+       '- [[' || translate(book_name, ' /:', '__') || '/Chapter_' || CAST(chapter AS VARCHAR) ||
+       '|Chapter ' || CAST(chapter AS VARCHAR) || ']]' || chr(10) AS block
+FROM ch
+""")
+def q_render_book_index(spark, sf_dir):
+    """O-84: one index per book listing its chapters in order (as blocks)."""
+    return R.book_index(S.doc_units(spark, sf_dir))
+
+
+@register("render_corpus_index", oracle=with_(UNITS, EDGES) + f"""
+, b AS (SELECT DISTINCT source AS book_name, CAST(substr(source, 4) AS INTEGER) + 1 AS book_number,
+               CASE WHEN CAST(substr(source, 4) AS INTEGER) < 10 THEN 'Old' ELSE 'New' END
+                 AS testament FROM documents)
+SELECT CAST(0 AS BIGINT) AS seq,
+       '# {R.CORPUS_TITLE}' || chr(10) || chr(10) || '{R.CORPUS_SUBTITLE}' || chr(10) || chr(10) ||
+       '---' || chr(10) || chr(10) || '## Old Testament' || chr(10) || chr(10) AS block
+UNION ALL
+SELECT CAST(2000000 AS BIGINT), chr(10) || '## New Testament' || chr(10) || chr(10)
+UNION ALL
+SELECT CAST(CASE WHEN testament = 'Old' THEN 1000000 ELSE 3000000 END + book_number AS BIGINT),
+       CAST(book_number AS VARCHAR) || '. [[' || translate(book_name, ' /:', '__') || '/README|' ||
+       book_name || ']]' || chr(10)
+FROM b
+UNION ALL
+SELECT CAST(4000000 AS BIGINT),
+       chr(10) || '---' || chr(10) || chr(10) || '## Statistics' || chr(10) || chr(10) ||
+       '- **Total Books:** ' || CAST((SELECT count(*) FROM b) AS VARCHAR) || chr(10) ||
+       '- **Total Verses:** ' || format('{{:,}}', (SELECT count(*) FROM units)) || chr(10) ||
+       '- **Cross-References:** ' || format('{{:,}}', (SELECT count(*) FROM edges)) || chr(10) ||
+       chr(10) || '---' || chr(10) || chr(10) || '{R.CORPUS_FOOTER}' || chr(10)
+""")
+def q_render_corpus_index(spark, sf_dir):
+    """O-85: the corpus index with totals (thousands separators, O-89)."""
+    books = S.doc_books(spark, sf_dir)
+    n_units = S.doc_verses(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    n_links = S.link_edges(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    return R.corpus_index(books, n_units, n_links)
+
+
+@register("render_report", oracle=with_(UNITS) + """
+SELECT book_name, count(DISTINCT chapter) AS n_chapters, count(*) AS n_verses
+FROM units GROUP BY book_name
+UNION ALL
+SELECT NULL, (SELECT count(*) FROM (SELECT DISTINCT book_name, chapter FROM units)), count(*)
+FROM units
+""")
+def q_render_report(spark, sf_dir):
+    """O-95: chapters and verses written per book and in total."""
+    return R.render_report(S.doc_units(spark, sf_dir))
+
+
+@register("format_functions", oracle="""
+SELECT p_partkey,
+       translate(p_name, ' /:', '__') AS safe_name,
+       translate(p_name, ' /', '__') AS safe_name_patch,
+       '[[' || translate(p_brand, ' /:', '__') || '/Chapter_' || CAST(p_size AS VARCHAR) ||
+         '#Verse ' || CAST(p_partkey AS VARCHAR) || '|' || p_brand || ' ' ||
+         CAST(p_size AS VARCHAR) || ':' || CAST(p_partkey AS VARCHAR) || ']]' AS link,
+       substring(p_name, 1, 20) || '...' AS preview,
+       format('{:,}', p_partkey * 1000) AS n_fmt,
+       printf('%.2f', p_retailprice) AS price2,
+       printf('%.3f', p_retailprice) AS price3
+FROM part
+""")
+def q_format_functions(spark, sf_dir):
+    """O-86..O-90: safe names (both versions), link text, preview, number formats."""
+    p = S.table(spark, sf_dir, "part")
+    return p.select("p_partkey", safe_name("p_name").alias("safe_name"),
+                    safe_name("p_name", drop_colon=False).alias("safe_name_patch"),
+                    wiki_link("p_brand", "p_size", "p_partkey").alias("link"),
+                    preview("p_name", 20).alias("preview"),
+                    fmt_int(F.col("p_partkey") * 1000).alias("n_fmt"),
+                    fmt_decimal("p_retailprice", 2).alias("price2"),
+                    fmt_decimal("p_retailprice", 3).alias("price3"))

@@ -76,8 +76,9 @@ def compare(spark, sf_dir: str, name: str, con=None) -> dict:
     res["status"] = "ok" if (sc == dc and len(sr) == len(dr) and res["hash_match"]) else "MISMATCH"
     if res["status"] != "ok":
         res["spark_cols"], res["oracle_cols"] = sc, dc
-        only_s = [r for r in sr if r not in set(dr)][:3]
-        only_d = [r for r in dr if r not in set(sr)][:3]
+        ds, ss = set(dr), set(sr)
+        only_s = [r for r in sr if r not in ds][:3]
+        only_d = [r for r in dr if r not in ss][:3]
         res["only_spark"], res["only_oracle"] = only_s, only_d
     return res
 
