@@ -27,8 +27,22 @@ OLD_LABEL_BELOW = 5              # vector label below this -> 'Old'
 LINK_ARRIVAL = ("l_linenumber", "l_suppkey", "l_quantity")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A file with one row group is read by one task, and every narrow step after
+    the scan (regex parsing, text splitting, vector scoring) would stay in that
+    task. On a large input the scan already has many splits and this is a no-op
+    (only the plan is inspected; no job runs).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _source_no():
