@@ -23,7 +23,7 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     # Importing the catalogue modules fills QUERIES.
     from corpuslink.plans import (  # noqa: F401
-        catalog_links, catalog_quality, catalog_relational, catalog_text, catalog_upsert,
-        catalog_vectors,
+        catalog_io, catalog_links, catalog_quality, catalog_relational, catalog_text,
+        catalog_upsert, catalog_vectors,
     )
     return QUERIES
