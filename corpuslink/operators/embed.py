@@ -9,8 +9,10 @@ that loads the model once per Python worker and encodes Arrow batches.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,11 +68,8 @@ def pandas_encoder(factory: Callable[[], Callable], dim: int):
     ``factory()`` runs once per Python worker (model load); the returned
     callable maps a list of strings to an (n, dim) array.
     """
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _encode(batches):
+    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = factory()
         for s in batches:
             arr = np.asarray(model(s.fillna("").tolist()), dtype=np.float32).reshape(len(s), dim)
@@ -108,7 +107,6 @@ def embedding_run(vecs: DataFrame, model_name: str) -> DataFrame:
 def letter_profile_model():
     """A tiny deterministic encoder for tests and demos: relative frequency of
     the letters a-z (26 dims). Stands in for a sentence model."""
-    import numpy as np
 
     def run(texts):
         out = np.zeros((len(texts), 26), dtype=np.float32)

@@ -30,15 +30,15 @@ def write_documents(blocks: DataFrame, path: str, keys=("book_name", "chapter"),
     """O-09: one text file per document from ordered blocks.
 
     Rows are clustered by document and sorted by ``seq`` inside the task, then
-    written with no line separator, so the file is the blocks in order; no
-    document is ever built as a single value. The target tree is replaced.
+    written as text lines, so the file is the blocks in order; no document is
+    ever built as a single value. Every block ends with '\\n', which the
+    writer's line separator restores. The target tree is replaced.
     """
     keys = list(keys)
-    b = blocks
+    body = F.expr("left(block, length(block) - 1)")
     if style == "patch":
-        # The patch style joins blocks with '\n'; carry it on every later block.
-        b = b.withColumn("block", F.when(F.col("seq") == 0, F.col("block"))
-                         .otherwise(F.concat(F.lit("\n"), F.col("block"))))
-    (b.repartition(*keys).sortWithinPartitions(*keys, "seq")
+        # The patch style joins blocks with '\\n'; carry it on every later block.
+        body = F.when(F.col("seq") == 0, body).otherwise(F.concat(F.lit("\n"), body))
+    (blocks.withColumn("block", body).repartition(*keys).sortWithinPartitions(*keys, "seq")
      .select(*keys, "block").write.mode("overwrite").partitionBy(*keys)
-     .option("lineSep", "").text(path))
+     .option("lineSep", "\n").text(path))
