@@ -219,13 +219,19 @@ def save_index(index: dict, path: str, strategy: str = "text_only") -> None:
         .write.mode("overwrite").partitionBy("strategy").parquet(f"{path}/cells")
 
 
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def load_index(spark, path: str, strategy: str = "text_only") -> dict | None:
-    """O-69: load one strategy's index; a missing strategy returns None (skipped)."""
-    try:
-        v = spark.read.parquet(f"{path}/vectors").filter(F.col("strategy") == strategy)
-        c = spark.read.parquet(f"{path}/cells").filter(F.col("strategy") == strategy)
-    except Exception:  # missing folder: the reference skips such a strategy
+    """O-69: load one strategy's index; a missing strategy returns None (the
+    reference skips it and goes on)."""
+    if not _exists(spark, f"{path}/vectors/strategy={strategy}"):
         return None
+    v = spark.read.parquet(f"{path}/vectors").filter(F.col("strategy") == strategy)
+    c = spark.read.parquet(f"{path}/cells").filter(F.col("strategy") == strategy)
     return {"vectors": v.drop("strategy"), "cells": c.drop("strategy")}
 
 

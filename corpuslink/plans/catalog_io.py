@@ -147,3 +147,133 @@ def q_stream_ingest(spark, sf_dir):
                       max_files=8)
     q.awaitTermination()
     return latest_snapshot(spark, f"{base}/table", EVENT_SCHEMA)
+
+
+# ------------------------------------------------------------- sinks etc. ---
+
+@register("table_roundtrip", oracle=with_(UNITS) + """
+SELECT verse_id, book_name, testament, book_number, chapter, verse, text, reference FROM units
+""")
+def q_table_roundtrip(spark, sf_dir):
+    """O-04..O-06: books and verses saved as tables (create-or-replace) and
+    loaded back through the verse export scan."""
+    from corpuslink.sources.books import load_verses
+    from corpuslink.sources.sinks import save_tables
+    path = scratch_path(spark, f"tables-{uuid.uuid4().hex}")
+    save_tables({"books": S.doc_books(spark, sf_dir), "verses": S.doc_verses(spark, sf_dir)},
+                path)
+    v = spark.read.parquet(f"{path}/verses")
+    b = spark.read.parquet(f"{path}/books")
+    return load_verses(v, b).select("verse_id", "book_name", "testament", "book_number",
+                                    "chapter", "verse", "text", "reference")
+
+
+@register("embedding_sink", oracle="""
+SELECT 'given-embeddings' AS model_name, max(len(embedding)) AS embedding_dim,
+       count(DISTINCT vec_id) AS num_verses, 'book_context,text_only' AS strategies,
+       2 * count(*) AS n_vectors
+FROM embeddings
+""")
+def q_embedding_sink(spark, sf_dir):
+    """O-07/O-63: vectors of two strategies saved partitioned by strategy with
+    their run metadata, read back."""
+    from corpuslink.sources.sinks import save_embeddings
+    e = S.table(spark, sf_dir, "embeddings")
+    vecs = e.select(F.col("vec_id").alias("verse_id"),
+                    F.explode(F.array(F.lit("text_only"), F.lit("book_context"))).alias("strategy"),
+                    F.col("embedding").alias("vec"))
+    path = scratch_path(spark, f"emb-{uuid.uuid4().hex}")
+    save_embeddings(vecs, path, "given-embeddings")
+    meta = spark.read.parquet(f"{path}/metadata")
+    n = spark.read.parquet(f"{path}/vectors").agg(F.count(F.lit(1)).alias("n_vectors"))
+    return meta.crossJoin(n).select(
+        "model_name", F.col("embedding_dim").cast("long").alias("embedding_dim"), "num_verses",
+        F.array_join("strategies", ",").alias("strategies"), "n_vectors")
+
+
+@register("document_sink", oracle="""
+SELECT 'Book ' || CAST(conv_id // 10 AS VARCHAR) AS book_name, conv_id AS chapter,
+       '# Book ' || CAST(conv_id // 10 AS VARCHAR) || ' Chapter ' || CAST(conv_id AS VARCHAR) ||
+       chr(10) || chr(10) || '**' || CAST(count(*) AS VARCHAR) || ' verses**' || chr(10) ||
+       chr(10) || '---' || chr(10) || chr(10) ||
+       string_agg('## Verse ' || CAST(turn + 1 AS VARCHAR) || chr(10) || chr(10) || '> ' ||
+                  text || chr(10) || chr(10) || '---' || chr(10), chr(10) ORDER BY turn)
+       AS content
+FROM conversations GROUP BY conv_id
+""")
+def q_document_sink(spark, sf_dir):
+    """O-09 + O-83: patch documents written one file per chapter from ordered
+    blocks, read back whole (each file is one bounded document)."""
+    from corpuslink.operators import render as R
+    from corpuslink.plans.catalog_text import conv_units
+    from corpuslink.sources.sinks import write_documents
+    path = scratch_path(spark, f"docs-{uuid.uuid4().hex}")
+    write_documents(R.render_chapters(conv_units(spark, sf_dir), None, "patch"), path,
+                    style="patch")
+    docs = spark.read.text(path, wholetext=True)
+    return docs.select("book_name", F.col("chapter").cast("long").alias("chapter"),
+                       F.col("value").alias("content"))
+
+
+@register("backfill", oracle="""
+WITH c AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS cut FROM events),
+ev AS (SELECT e.user_id, e.event_type, e.event_id, e.value, epoch_us(e.ts) <= c.cut AS old
+       FROM events e, c),
+tgt AS (SELECT user_id, event_type, event_id, value FROM ev WHERE old
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1),
+wanted AS (SELECT DISTINCT event_type FROM ev WHERE NOT old AND value > 50),
+bat AS (SELECT user_id, event_type, event_id, value FROM ev
+        WHERE NOT old AND event_type IN (SELECT event_type FROM wanted)
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1)
+SELECT t.user_id, t.event_type, t.event_id, t.value FROM tgt t
+WHERE NOT EXISTS (SELECT 1 FROM bat b WHERE b.user_id = t.user_id AND b.event_type = t.event_type)
+UNION ALL SELECT * FROM bat
+""")
+def q_backfill(spark, sf_dir):
+    """O-60: only the wanted groups (here: event types that saw a value > 50 in
+    the later half) are reloaded from the later events, last wins."""
+    from corpuslink.operators.quality import backfill
+    from corpuslink.plans.catalog_upsert import COLS, KEYS, ORDER, _split
+    target, batch = _split(spark, sf_dir)
+    wanted = batch.filter(F.col("value") > 50).select("event_type").distinct()
+    return backfill(target, batch.select(*COLS), wanted, KEYS, ORDER)
+
+
+@register("index_roundtrip", oracle="""
+WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
+cent AS (
+  SELECT label AS qid, list(m ORDER BY i) AS c FROM (
+    SELECT label, i, avg(x) AS m FROM (
+      SELECT label, unnest(vec) AS x, unnest(range(1, len(vec) + 1)) AS i FROM v)
+    GROUP BY label, i) GROUP BY label),
+centn AS (SELECT qid, list_transform(c, lambda x: x / n) AS qv FROM (
+  SELECT qid, c, sqrt(list_sum(list_transform(c, lambda y: y * y))) AS n FROM cent)),
+vn AS (SELECT vec_id, list_transform(vec, lambda x: x / n) AS vec FROM (
+  SELECT vec_id, vec, sqrt(list_sum(list_transform(vec, lambda y: y * y))) AS n FROM v))
+SELECT qid, CAST(rank AS INTEGER) AS rank, verse_id, score FROM (
+  SELECT c.qid, vn.vec_id AS verse_id, round(list_dot_product(vn.vec, c.qv), 4) AS score,
+         row_number() OVER (PARTITION BY c.qid
+                            ORDER BY round(list_dot_product(vn.vec, c.qv), 4) DESC, vn.vec_id)
+           AS rank
+  FROM vn, centn c)
+WHERE rank <= 3
+""")
+def q_index_roundtrip(spark, sf_dir):
+    """O-69 + O-68: build the IVF index, persist it (normalised float vectors,
+    partitioned by strategy and cell), load it and search all cells; the
+    stored vectors are float, so scores compare at 4 places."""
+    from corpuslink.operators import vector as V
+    from corpuslink.functions.vectors import l2_normalize
+    e = S.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("verse_id"), F.col("embedding").alias("vec"), "label")
+    path = scratch_path(spark, f"index-{uuid.uuid4().hex}")
+    idx = V.build_ivf(e.select("verse_id", "vec"), nlist=4)
+    V.save_index(idx, path, "text_only")
+    if V.load_index(spark, path, "full_context") is not None:  # never saved
+        raise AssertionError("a missing strategy must be skipped")
+    loaded = V.load_index(spark, path, "text_only")
+    q = V.centroids(e, "label").select(F.col("label").alias("qid"),
+                                       l2_normalize("centroid").alias("qvec"))
+    r = V.topk_ann(loaded, q, 3, nprobe=4)
+    # Re-rank at the stored precision (float vectors).
+    return r.withColumn("score", F.round("score", 4)).select("qid", "rank", "verse_id", "score")

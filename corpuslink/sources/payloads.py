@@ -45,8 +45,7 @@ def parse_payloads(files: DataFrame, policy: str = "fetch") -> DataFrame:
 
 def read_payloads(spark: SparkSession, path: str, policy: str = "fetch") -> DataFrame:
     """Read landed payload files (each file is one bounded chapter)."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", False) \
-        .text(path)
+    raw = spark.read.text(path, wholetext=True)
     cols = raw.columns
     if "book_number" in cols and "chapter" in cols:
         files = raw.select(F.col("book_number").cast("int"), F.col("chapter").cast("int"),
