@@ -124,34 +124,43 @@ def import_links(parsed: DataFrame, from_units: DataFrame, to_units: DataFrame |
     """O-30..O-33 end to end: expand ranges, resolve, insert first-wins.
 
     ``parsed`` comes from ``sources.linkdump.parse_link_lines`` (one row per
-    statement line, ``matched`` false for parse failures). Returns ``edges``
-    (from_id, to_id, votes) and ``report`` (per file accounting as in the
-    reference: an unresolved source costs one skip per line, an unresolved
-    target one skip per expanded verse; duplicates are credited to the first).
+    statement line, ``matched`` false for parse failures). One chain serves
+    every output: the source is resolved once per line, the range is expanded
+    with ``posexplode_outer`` (an empty range or a failed line keeps one row
+    with a NULL target), then the target is resolved. Returns ``edges``
+    (from_id, to_id, votes), ``report`` (per file: statements, inserted,
+    skipped, unparsed - an unresolved source costs one skip per line, an
+    unresolved target one per expanded verse, duplicates are credited to the
+    first) and ``resolved`` (the expanded rows of parsed statements).
     """
-    ok = parsed.filter("matched")
-    expanded = expand_ranges(ok, "to_verse_start", "to_verse_end")
-    resolved = resolve_refs(expanded, from_units, to_units)
-    good = resolved.filter(F.col("from_id").isNotNull() & F.col("to_id").isNotNull())
+    to_units = from_units if to_units is None else to_units
+    f = from_units.select(F.col("unit_id").alias("from_id"), F.col("book").alias("from_book"),
+                          F.col("chapter").alias("from_chapter"),
+                          F.col("verse").alias("from_verse"))
+    t = to_units.select(F.col("unit_id").alias("to_id"), F.col("book").alias("to_book"),
+                        F.col("chapter").alias("to_chapter"), F.col("verse").alias("to_verse"))
+    per_line = parsed.join(f, ["from_book", "from_chapter", "from_verse"], "left")
+    rng = F.when(F.col("matched") & (F.col("to_verse_start") <= F.col("to_verse_end")),
+                 F.sequence("to_verse_start", "to_verse_end"))
+    expanded = per_line.select("*", F.posexplode_outer(rng).alias("_pos", "to_verse"))
+    rows = expanded.join(t, ["to_book", "to_chapter", "to_verse"], "left")
+
+    good = rows.filter(F.col("from_id").isNotNull() & F.col("to_id").isNotNull())
     winners = first_per_key(good.select("from_id", "to_id", "votes", *order),
                             ["from_id", "to_id"], order)
     edges = winners.select("from_id", "to_id", "votes")
 
-    # Per file: statements seen, parse failures, skips, first-wins inserts.
-    lines = parsed.groupBy("file").agg(
-        F.count(F.lit(1)).alias("lines_processed"),
-        F.count_if(~F.col("matched")).alias("unparsed"))
-    # A source that does not resolve is counted once per line, before expansion.
-    from_keys = from_units.select(F.col("book").alias("from_book"),
-                             F.col("chapter").alias("from_chapter"),
-                             F.col("verse").alias("from_verse"))
-    from_missing = (ok.join(from_keys, ["from_book", "from_chapter", "from_verse"], "left_anti")
-                    .groupBy("file").agg(F.count(F.lit(1)).alias("skipped_from")))
-    to_missing = (resolved.filter(F.col("from_id").isNotNull() & F.col("to_id").isNull())
-                  .groupBy("file").agg(F.count(F.lit(1)).alias("skipped_to")))
+    first_of_line = F.col("_pos").isNull() | (F.col("_pos") == 0)
+    stats = rows.groupBy("file").agg(
+        F.count_if(first_of_line).alias("lines_processed"),
+        F.count_if(~F.col("matched")).alias("unparsed"),
+        F.count_if(F.col("matched") & F.col("from_id").isNull() & first_of_line)
+        .alias("_skip_from"),
+        F.count_if(F.col("from_id").isNotNull() & F.col("to_verse").isNotNull()
+                   & F.col("to_id").isNull()).alias("_skip_to"))
     imported = winners.groupBy("file").agg(F.count(F.lit(1)).alias("imported"))
-    report = (lines.join(from_missing, "file", "left").join(to_missing, "file", "left")
-              .join(imported, "file", "left").na.fill(0)
-              .withColumn("skipped", F.col("skipped_from") + F.col("skipped_to"))
-              .select("file", "lines_processed", "imported", "skipped", "unparsed"))
+    report = (stats.join(imported, "file", "left").na.fill(0, ["imported"])
+              .select("file", "lines_processed", "imported",
+                      (F.col("_skip_from") + F.col("_skip_to")).alias("skipped"), "unparsed"))
+    resolved = rows.filter(F.col("to_verse").isNotNull()).drop("_pos")
     return {"edges": edges, "report": report, "resolved": resolved}

@@ -158,7 +158,7 @@ def nearest_centroid(vecs: DataFrame, cents: DataFrame, cluster: str = "cluster"
 
 # --- approximate search (IVF) -------------------------------------------------
 
-def build_ivf(vecs: DataFrame, nlist: int, seed: int = 42, max_iter: int = 20) -> dict:
+def build_ivf(vecs: DataFrame, nlist: int, seed: int = 42, max_iter: int = 10) -> dict:
     """O-67/O-69: train ``nlist`` cells with Spark ML k-means over normalised
     vectors and attach the cell id. Returns {'vectors', 'cells'}."""
     from pyspark.ml.clustering import KMeans
