@@ -68,5 +68,5 @@ def answer(question: str, hits: DataFrame, edges: DataFrame | None = None,
     refs = (lf.groupBy("reference")
             .agg(F.array_sort(F.collect_list(F.struct("rank", "to_ref"))).alias("_l"))
             .select(F.struct("reference", F.transform("_l", lambda s: s["to_ref"])).alias("_e")))
-    m = refs.agg(F.map_from_entries(F.collect_list("_e")).alias("cross_references"))
-    return out.crossJoin(m)  # both sides are one-row aggregates
+    m = refs.agg(F.map_from_entries(F.collect_list("_e"))).scalar()  # one row (<= k entries)
+    return out.withColumn("cross_references", m)

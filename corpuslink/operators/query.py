@@ -79,11 +79,11 @@ def filter_units(df: DataFrame, testament: str | None = None,
 
 def counts(**tables: DataFrame) -> DataFrame:
     """O-44: one row, one ``n_<name>`` column per table (global counts, partial aggs)."""
-    out = None
-    for name, df in tables.items():
-        c = df.agg(F.count(F.lit(1)).alias(f"n_{name}"))
-        out = c if out is None else out.crossJoin(c)  # 1-row x 1-row
-    return out
+    items = list(tables.items())
+    first_name, first = items[0]
+    # One row: the first count, the others as scalar subqueries.
+    return first.agg(F.count(F.lit(1)).alias(f"n_{first_name}")).select(
+        "*", *[df.agg(F.count(F.lit(1))).scalar().alias(f"n_{name}") for name, df in items[1:]])
 
 
 def distinct_counts(units: DataFrame) -> DataFrame:

@@ -145,8 +145,8 @@ def corpus_index(books: DataFrame, n_units: DataFrame, n_links: DataFrame,
         (0, f"# {title}{NL}{NL}{subtitle}{NL}{NL}{RULE}{NL}{NL}## Old Testament{NL}{NL}"),
         (2000000, f"{NL}## New Testament{NL}{NL}")], "seq long, block string")
     stats = (books.agg(F.count(F.lit(1)).alias("_b"))
-             .crossJoin(n_units.select(F.col("n").alias("_u")))
-             .crossJoin(n_links.select(F.col("n").alias("_l")))
+             .withColumn("_u", n_units.select("n").scalar())
+             .withColumn("_l", n_links.select("n").scalar())
              .select(F.lit(4000000).cast("long").alias("seq"), F.concat(
                  F.lit(f"{NL}{RULE}{NL}{NL}## Statistics{NL}{NL}- **Total Books:** "), _s("_b"),
                  F.lit(f"{NL}- **Total Verses:** "), F.format_number("_u", 0),

@@ -38,20 +38,28 @@ def vector_norms(vecs: DataFrame, col: str = "vec") -> DataFrame:
 
 
 def checked_small(df: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """Broadcast ``df`` after proving it has at most ``max_rows`` rows (one small job)."""
+    """Return ``df`` after proving it has at most ``max_rows`` rows (one small job)."""
     n = df.limit(max_rows + 1).count()
     if n > max_rows:
-        raise ValueError(f"{what}: {n}+ rows exceed the broadcast bound {max_rows}; "
+        raise ValueError(f"{what}: {n}+ rows exceed the bound {max_rows}; "
                          "use the approximate path (topk_ann)")
-    return F.broadcast(df)
+    return df
+
+
+def packed(df: DataFrame, cols, max_rows: int, what: str):
+    """All rows of a checked-size frame as one ``array<struct>`` scalar subquery:
+    computed once, then read by every task like a constant."""
+    small = checked_small(df, max_rows, what)
+    return small.agg(F.collect_list(F.struct(*cols))).scalar()
 
 
 def score(vecs: DataFrame, query: DataFrame, vec_col: str = "vec",
           qvec_col: str = "qvec") -> DataFrame:
-    """Cosine score of every vector against a one-row query frame (a proven size:
-    callers build it with a global aggregate)."""
-    return (vecs.crossJoin(F.broadcast(query))
-            .withColumn("score", dot(vec_col, qvec_col)).drop(qvec_col))
+    """Cosine score of every vector against a one-row query frame, attached as a
+    scalar subquery (callers build it with a global aggregate: one row)."""
+    # Bound to a column first: subqueries may not appear inside lambdas.
+    q = query.select(qvec_col).scalar()
+    return vecs.withColumn("_q", q).withColumn("score", dot(vec_col, "_q")).drop("_q")
 
 
 def query_vector(df: DataFrame, vec_col: str = "vec", normalize_it: bool = True) -> DataFrame:
@@ -111,9 +119,11 @@ def topk_exact(vecs: DataFrame, queries: DataFrame, k: int, qid: str = "qid",
 
     Result: (qid, rank, verse_id, score).
     """
-    q = checked_small(queries.select(qid, "qvec"), max_queries, "query set")
-    s = (vecs.select("verse_id", "vec").crossJoin(q)
-         .select(qid, "verse_id", F.round(dot("vec", "qvec"), 6).alias("score")))
+    qs = packed(queries, [F.col(qid).alias("q"), F.col("qvec").alias("v")], max_queries,
+                "query set")
+    per_vec = F.transform("_qs", lambda x: F.struct(x["q"].alias(qid),
+                                                    F.round(dot("vec", x["v"]), 6).alias("score")))
+    s = vecs.select("verse_id", "vec", qs.alias("_qs")).select("verse_id", F.inline(per_vec))
     return top_n_per_key(s, [qid], [F.desc("score"), F.asc("verse_id")], k) \
         .select(qid, "rank", "verse_id", "score")
 
@@ -141,8 +151,7 @@ def nearest_centroid(vecs: DataFrame, cents: DataFrame, cluster: str = "cluster"
     the arg-max is a per-row ``aggregate`` - no shuffle of the vectors.
     """
     cn = cents.select(F.col(cluster).alias("_c"), l2_normalize("centroid").alias("_v"))
-    packed = checked_small(cn, max_k, "centroids").agg(
-        F.collect_list(F.struct("_c", "_v")).alias("_cents"))
+    cents_arr = packed(cn, ["_c", "_v"], max_k, "centroids")
     # Score every centroid once, then fold to the arg-max (ties: lower id).
     scored = F.transform("_cents", lambda x: F.struct(x["_c"].cast("long").alias("c"),
                                                       dot(vec_col, x["_v"]).alias("s")))
@@ -152,7 +161,7 @@ def nearest_centroid(vecs: DataFrame, cents: DataFrame, cluster: str = "cluster"
         lambda acc, x: F.when(acc["s"].isNull() | (x["s"] > acc["s"])
                               | ((x["s"] == acc["s"]) & (x["c"] < acc["c"])), x)
         .otherwise(acc))
-    return (vecs.crossJoin(F.broadcast(packed)).withColumn("_sc", scored)
+    return (vecs.withColumn("_cents", cents_arr).withColumn("_sc", scored)
             .withColumn(out or cluster, best["c"]).drop("_cents", "_sc"))
 
 
@@ -179,11 +188,13 @@ def topk_ann(index: dict, queries: DataFrame, k: int, nprobe: int = 4,
     """O-67: probe the ``nprobe`` nearest cells of each query, then exact re-rank
     inside them. The probe is an equi-join on cell id (no product over all
     vectors). With ``nprobe`` = all cells the result equals ``topk_exact``."""
-    cells = index["cells"]
-    q = queries.select(qid, "qvec")
-    probe = top_n_per_key(
-        q.crossJoin(F.broadcast(cells)).withColumn("_s", dot("qvec", "centroid")),
-        [qid], [F.desc("_s"), F.asc("cell")], nprobe, "_r").select(qid, "qvec", "cell")
+    cells = packed(index["cells"], ["cell", "centroid"], DEFAULT_MAX_QUERIES, "cells")
+    # Per query: score every cell, keep the nprobe best (ties: lower cell id).
+    ranked = F.array_sort(F.transform("_cells", lambda c: F.struct(
+        (-dot("qvec", c["centroid"])).alias("neg"), c["cell"].alias("cell"))))
+    probe = queries.select(qid, "qvec", cells.alias("_cells")).select(
+        qid, "qvec", F.explode(F.transform(F.slice(ranked, 1, nprobe),
+                                           lambda c: c["cell"])).alias("cell"))
     s = (index["vectors"].select("verse_id", "vec", "cell").join(probe, "cell")
          .select(qid, "verse_id", F.round(dot("vec", "qvec"), 6).alias("score")))
     return top_n_per_key(s, [qid], [F.desc("score"), F.asc("verse_id")], k) \
@@ -204,10 +215,10 @@ def topk_auto(vecs: DataFrame, queries: DataFrame, k: int, n_vectors: int | None
 def recall_at_k(approx: DataFrame, exact: DataFrame, qid: str = "qid") -> DataFrame:
     """O-81: share of exact hits that the approximate search also returned."""
     hit = exact.join(approx.select(qid, "verse_id"), [qid, "verse_id"], "left_semi")
+    n_hit = hit.agg(F.count(F.lit(1))).scalar()
     return (exact.agg(F.count(F.lit(1)).alias("n_exact"))
-            .crossJoin(hit.agg(F.count(F.lit(1)).alias("n_hit")))
-            .select("n_exact", "n_hit",
-                    (F.col("n_hit") / F.col("n_exact")).alias("recall")))
+            .select("n_exact", n_hit.alias("n_hit"))
+            .withColumn("recall", F.col("n_hit") / F.col("n_exact")))
 
 
 def save_index(index: dict, path: str, strategy: str = "text_only") -> None:

@@ -134,10 +134,8 @@ def q_stream_ingest(spark, sf_dir):
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     ev = S.table(spark, sf_dir, "events").withColumn("_us", F.unix_micros(
         F.col("ts").cast("timestamp")))
-    b = F.broadcast(ev.agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi")))
-    sliced = ev.crossJoin(b).withColumn(
-        "_slice", F.floor((F.col("_us") - F.col("_lo")) * CHUNKS
-                          / (F.col("_hi") - F.col("_lo") + 1)))
+    lo, hi = ev.agg(F.min("_us")).scalar(), ev.agg(F.max("_us")).scalar()
+    sliced = ev.withColumn("_slice", F.floor((F.col("_us") - lo) * CHUNKS / (hi - lo + 1)))
     # Slices are landed one after another so that files arrive in time order.
     for i in range(CHUNKS):
         sliced.filter(F.col("_slice") == i).select(*EVENT_SCHEMA.fieldNames()) \
@@ -185,8 +183,8 @@ def q_embedding_sink(spark, sf_dir):
     path = scratch_path(spark, f"emb-{uuid.uuid4().hex}")
     save_embeddings(vecs, path, "given-embeddings")
     meta = spark.read.parquet(f"{path}/metadata")
-    n = spark.read.parquet(f"{path}/vectors").agg(F.count(F.lit(1)).alias("n_vectors"))
-    return meta.crossJoin(n).select(
+    n = spark.read.parquet(f"{path}/vectors").agg(F.count(F.lit(1))).scalar()
+    return meta.withColumn("n_vectors", n).select(
         "model_name", F.col("embedding_dim").cast("long").alias("embedding_dim"), "num_verses",
         F.array_join("strategies", ",").alias("strategies"), "n_vectors")
 

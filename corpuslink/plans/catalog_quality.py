@@ -26,11 +26,12 @@ def grid(spark, sf_dir):
     o = S.table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("key"),
         (F.year("o_orderdate") * 12 + F.month("o_orderdate")).alias("_m"))
-    # One-row bounds: a proven size, broadcast to both sides.
-    bounds = F.broadcast(o.agg(F.min("_m").alias("_lo"), F.max("_m").alias("_hi")))
-    units = o.crossJoin(bounds).select("key", (F.col("_m") - F.col("_lo") + 1).alias("chapter"))
-    books = S.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key")) \
-        .crossJoin(bounds).select("key", (F.col("_hi") - F.col("_lo") + 1).alias("expected"))
+    # Global bounds are one-row aggregates, attached as scalar subqueries.
+    lo = o.agg(F.min("_m")).scalar()
+    hi = o.agg(F.max("_m")).scalar()
+    units = o.select("key", (F.col("_m") - lo + 1).alias("chapter"))
+    books = S.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"),
+                                                     (hi - lo + 1).alias("expected"))
     return books, units
 
 

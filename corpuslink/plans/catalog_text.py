@@ -135,7 +135,7 @@ SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM documen
 """)
 def q_squash_ws(spark, sf_dir):
     """O-25: whitespace normalisation of whole documents."""
-    d = S.table(spark, sf_dir, "documents")
+    d = S.table(spark, sf_dir, "documents", spread_scan=True)
     return d.select("doc_id", squash_ws("text").alias("text"))
 
 
@@ -174,7 +174,7 @@ LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantit
 
 def link_lines(spark, sf_dir):
     """Statement lines (file, line order columns, value) formatted from the tables."""
-    li = S.table(spark, sf_dir, "lineitem")
+    li = S.table(spark, sf_dir, "lineitem", spread_scan=True)
     o = S.table(spark, sf_dir, "orders")
     p = S.table(spark, sf_dir, "part")
     q = F.floor("l_quantity").cast("long")

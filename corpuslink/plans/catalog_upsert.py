@@ -29,9 +29,9 @@ tgt AS (SELECT user_id, event_type, event_id, value FROM ev WHERE old
 
 def _split(spark, sf_dir):
     ev = S.table(spark, sf_dir, "events").withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
-    # One-row aggregate: a proven size bound, so the product below is a broadcast.
-    cut = ev.agg(F.expr("(min(_us) + max(_us)) div 2").alias("_cut"))
-    tagged = ev.crossJoin(F.broadcast(cut)).withColumn("_old", F.col("_us") <= F.col("_cut"))
+    # A global aggregate is one row: attached as a scalar subquery.
+    cut = ev.agg(F.expr("(min(_us) + max(_us)) div 2").alias("_cut")).scalar()
+    tagged = ev.withColumn("_old", F.col("_us") <= cut)
     old = tagged.filter("_old").select(*COLS)
     new = tagged.filter(~F.col("_old")).select(*COLS)
     return U.first_per_key(old, KEYS, ORDER).select(*COLS), new

@@ -128,7 +128,7 @@ def q_vec_norms(spark, sf_dir):
 
 
 def _hits(spark, sf_dir, k):
-    v = _vecs(spark, sf_dir)
+    v = S.vector_units(spark, sf_dir, with_text=True)
     return V.search(v, _query(v), k=k).select("verse_id", "reference", "text", "score")
 
 

@@ -50,8 +50,10 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if size >= SPREAD_MIN_BYTES else df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:
+    """A test table. ``spread_scan`` for scans followed by CPU-heavy narrow work."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if spread_scan else df
 
 
 def _source_no():
@@ -60,7 +62,7 @@ def _source_no():
 
 def doc_verses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """verses(verse_id, book_id, chapter, verse, text) from document lines."""
-    d = table(spark, sf_dir, "documents").select(
+    d = table(spark, sf_dir, "documents", spread_scan=True).select(
         "doc_id", "source", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     return d.filter(F.col("line") != "").select(
         (F.col("doc_id") * LINE_ID_STRIDE + F.col("pos") + 1).cast("long").alias("verse_id"),
@@ -85,7 +87,7 @@ def doc_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread_scan=True)
     return li.select(F.col("l_orderkey").alias("from_id"), F.col("l_partkey").alias("to_id"),
                      F.floor("l_quantity").cast("int").alias("votes"), *LINK_ARRIVAL)
 
@@ -107,15 +109,20 @@ def part_units(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_size").alias("chapter"), F.col("p_partkey").alias("verse"))
 
 
-def vector_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vector_units(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
     """vectors with unit metadata: (verse_id, book_name, testament, book_number,
-    chapter, verse, reference, text, vec). ``text`` is the first line of the
-    document with the same id ('' when there is none)."""
+    chapter, verse, reference, text, vec). With ``with_text`` the text is the
+    first line of the document with the same id ('' when there is none);
+    otherwise '' (no join)."""
     e = table(spark, sf_dir, "embeddings")
-    d = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("vec_id"), F.substring_index("text", "\n", 1).alias("text"))
+    if with_text:
+        d = table(spark, sf_dir, "documents").select(
+            F.col("doc_id").alias("vec_id"), F.substring_index("text", "\n", 1).alias("text"))
+        e = e.join(d, "vec_id", "left")
+    else:
+        e = e.withColumn("text", F.lit(None).cast("string"))
     book = F.concat(F.lit("book"), F.col("label").cast("string"))
-    return e.join(d, "vec_id", "left").select(
+    return e.select(
         F.col("vec_id").alias("verse_id"), book.alias("book_name"),
         F.when(F.col("label") < OLD_LABEL_BELOW, "Old").otherwise("New").alias("testament"),
         (F.col("label") + 1).alias("book_number"),
