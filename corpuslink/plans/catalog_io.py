@@ -18,7 +18,7 @@ from corpuslink.plans.registry import register
 from corpuslink.plans.sql import UNITS, with_
 from corpuslink.session import scratch_path
 from corpuslink.sources.payloads import read_payloads, write_payloads
-from corpuslink.streaming.ingest import latest_snapshot, stream_ingest
+from corpuslink.streaming.ingest import read_table, stream_ingest
 
 TEXT_COLS = ("verse_id", "book_number", "chapter", "verse", "strategy", "text")
 
@@ -144,7 +144,7 @@ def q_stream_ingest(spark, sf_dir):
                       EVENT_SCHEMA, ["user_id", "event_type"], ["event_id"], "ignore",
                       max_files=8)
     q.awaitTermination()
-    return latest_snapshot(spark, f"{base}/table", EVENT_SCHEMA)
+    return read_table(spark, f"{base}/table", EVENT_SCHEMA)
 
 
 # ------------------------------------------------------------- sinks etc. ---

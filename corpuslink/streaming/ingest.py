@@ -2,73 +2,83 @@
 
 ``readStream`` over the landing folder -> ``foreachBatch`` applies the
 duplicate policy of the batch path (first wins = insert-or-ignore, last wins
-= insert-or-replace) against the latest snapshot and writes the result as a
-new snapshot folder named by the batch id. A retried batch rewrites the same
-folder (idempotent); readers take the highest folder that has ``_SUCCESS``.
-State lives in the checkpoint and the snapshot folders (shared storage), so
-the query survives lost executors and restarts.
+= insert-or-replace) to the keyed target table.
+
+The target is partitioned by a hash bucket of the key, and a micro-batch
+rewrites only the buckets it touches (dynamic partition overwrite). The cost
+of a batch is therefore the batch plus its buckets, not the whole table.
+
+Failures: the merge is idempotent (applying a batch to its own result changes
+nothing), so a retried batch - even after a partial write of some buckets -
+converges to the same table. The new bucket contents are checkpointed into the
+shared checkpoint folder before the overwrite, so the write never reads the
+files it replaces. Source offsets live in the stream checkpoint.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslink.operators.upsert import insert_ignore, upsert
+from corpuslink.session import checkpoint_dir
 
-SNAPSHOT_PREFIX = "v="
+BUCKET = "_bucket"
+DEFAULT_BUCKETS = 64
 
 
-def _versions(spark: SparkSession, target: str) -> list[int]:
+def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(target)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith(SNAPSHOT_PREFIX) and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[len(SNAPSHOT_PREFIX):]))
-    return sorted(out)
-
-
-def latest_snapshot(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """The newest complete snapshot, or an empty table of ``schema``."""
-    v = _versions(spark, target)
-    if not v:
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def bucket_of(keys: Sequence[str], buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def read_table(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """The current table (without the bucket column), or an empty one."""
+    if not _exists(spark, target):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(os.path.join(target, f"{SNAPSHOT_PREFIX}{v[-1]}"))
+    full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+    return spark.read.schema(full).parquet(target).select(*schema.fieldNames())
 
 
-def apply_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str],
-                order: Sequence[str], policy: str, schema: T.StructType) -> None:
+def apply_batch(batch: DataFrame, target: str, keys: Sequence[str], order: Sequence[str],
+                policy: str, schema: T.StructType, buckets: int = DEFAULT_BUCKETS) -> None:
+    """Merge one micro-batch into the touched buckets of ``target``."""
     spark = batch.sparkSession
-    prior = [v for v in _versions(spark, target) if v < batch_id]
-    if prior:
-        current = spark.read.schema(schema).parquet(
-            os.path.join(target, f"{SNAPSHOT_PREFIX}{prior[-1]}"))
+    checkpoint_dir(spark)
+    rows = batch.select(*schema.fieldNames()).withColumn(BUCKET, bucket_of(keys, buckets))
+    touched = rows.select(BUCKET).distinct()
+    full_schema = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+    if _exists(spark, target):
+        # Partition pruning via the semi join keeps untouched buckets unread.
+        current = spark.read.schema(full_schema).parquet(target).join(
+            F.broadcast(touched), BUCKET, "left_semi")  # <= ``buckets`` rows
     else:
-        current = spark.createDataFrame([], schema)
-    rows = batch.select(*schema.fieldNames())
+        current = spark.createDataFrame([], full_schema)
+    cols = [*schema.fieldNames(), BUCKET]
     if policy == "ignore":
-        new = insert_ignore(current, rows, keys, order)[0]
+        new = insert_ignore(current.select(*cols), rows.select(*cols), keys, order)[0]
     elif policy == "replace":
-        new = upsert(current, rows, keys, order)
+        new = upsert(current.select(*cols), rows.select(*cols), keys, order)
     else:
         raise ValueError(policy)
-    new.write.mode("overwrite").parquet(os.path.join(target, f"{SNAPSHOT_PREFIX}{batch_id}"))
+    # Cut the lineage to the files about to be replaced (reliable checkpoint).
+    new = new.checkpoint(eager=True)
+    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(target))
 
 
 def stream_ingest(spark: SparkSession, landing: str, target: str, checkpoint: str,
                   schema: T.StructType, keys: Sequence[str], order: Sequence[str],
                   policy: str = "ignore", fmt: str = "json", max_files: int | None = None,
-                  available_now: bool = True):
+                  available_now: bool = True, buckets: int = DEFAULT_BUCKETS):
     """Start the ingest query; with ``available_now`` it processes what has
     landed and stops (``query.awaitTermination()``)."""
     reader = spark.readStream.schema(schema).format(fmt)
@@ -76,7 +86,8 @@ def stream_ingest(spark: SparkSession, landing: str, target: str, checkpoint: st
         reader = reader.option("maxFilesPerTrigger", max_files)
     src = reader.load(landing)
     w = (src.writeStream
-         .foreachBatch(lambda df, bid: apply_batch(df, bid, target, keys, order, policy, schema))
+         .foreachBatch(lambda df, _bid: apply_batch(df, target, keys, order, policy, schema,
+                                                    buckets))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
