@@ -44,11 +44,17 @@ def links_view(edges: DataFrame, from_units: DataFrame, to_units: DataFrame) ->
                     "to_book", "to_chapter", "to_verse", "votes"))
 
 
-def top_links(view: DataFrame, book, chapter, verse, k: int) -> DataFrame:
-    """O-40: top-k links of one source unit by votes desc (tie on target)."""
-    return (view.filter((F.col("from_book") == book) & (F.col("from_chapter") == chapter)
-                        & (F.col("from_verse") == verse))
-            .orderBy(*link_order()).limit(k))
+def top_links(view: DataFrame, book=None, chapter=None, verse=None, k: int = 5) -> DataFrame:
+    """O-40: top-k links of one source unit by votes desc (tie on target).
+
+    The key parts given (None = not constrained) are literal filters on the
+    view, so Catalyst carries them through the joins and the dedupe's
+    grouping key down to the link scan."""
+    cond = F.lit(True)
+    for col, val in (("from_book", book), ("from_chapter", chapter), ("from_verse", verse)):
+        if val is not None:
+            cond = cond & (F.col(col) == val)
+    return view.filter(cond).orderBy(*link_order()).limit(k)
 
 
 def top_links_all(edges: DataFrame, n: int = 10) -> DataFrame:

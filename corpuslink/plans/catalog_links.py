@@ -71,15 +71,7 @@ ORDER BY e.votes DESC, e.to_id LIMIT 5
 """)
 def q_top_links_one(spark, sf_dir):
     """O-40: top-5 links of one source by votes (the source is given by its key)."""
-    v = _view(spark, sf_dir)
-    src = S.order_units(spark, sf_dir).filter(F.col("verse") == ONE_SOURCE)
-    # Natural key of the source, resolved by a join rather than a driver lookup.
-    keyed = v.join(src.select(F.col("book").alias("from_book"),
-                              F.col("chapter").alias("from_chapter"),
-                              F.col("verse").alias("from_verse")),
-                   ["from_book", "from_chapter", "from_verse"], "left_semi")
-    return top_links(keyed, F.col("from_book"), F.col("from_chapter"), F.col("from_verse"), 5) \
-        .select("from_book", "from_chapter", "from_verse", "to_book", "to_chapter",
+    return top_links(_view(spark, sf_dir), verse=ONE_SOURCE, k=5).select("from_book", "from_chapter", "from_verse", "to_book", "to_chapter",
                 "to_verse", "votes")
 
 

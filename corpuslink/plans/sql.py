@@ -13,7 +13,7 @@ units AS (
          source AS book_name,
          CASE WHEN CAST(substr(source, 4) AS INTEGER) < 10 THEN 'Old' ELSE 'New' END AS testament,
          CAST(substr(source, 4) AS INTEGER) + 1 AS book_number,
-         CAST(doc_id AS INTEGER) AS chapter,
+         doc_id AS chapter,
          CAST(pos AS INTEGER) AS verse,
          line AS text,
          source || ' ' || CAST(doc_id AS VARCHAR) || ':' || CAST(pos AS VARCHAR) AS reference

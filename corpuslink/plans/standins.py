@@ -67,7 +67,7 @@ def doc_verses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.filter(F.col("line") != "").select(
         (F.col("doc_id") * LINE_ID_STRIDE + F.col("pos") + 1).cast("long").alias("verse_id"),
         (_source_no() + 1).alias("book_id"),
-        F.col("doc_id").cast("int").alias("chapter"),
+        F.col("doc_id").alias("chapter"),  # bigint: key filters reach the scan
         (F.col("pos") + 1).cast("int").alias("verse"),
         F.col("line").alias("text"))
 

@@ -36,3 +36,13 @@ def test_flagship_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint," \
            "l_linenumber:int,l_quantity:double>" in plan
     assert "PushedFilters: [IsNotNull(l_partkey), IsNotNull(l_orderkey)]" in plan
+
+
+@pytest.mark.parametrize("name,pushed", [
+    ("top_links_one", "EqualTo(l_orderkey,7)"),   # through the join and the dedupe key
+    ("unit_lookup", "EqualTo(doc_id,3)"),
+    ("chapter_head", "EqualTo(doc_id,5)"),
+])
+def test_point_lookups_reach_the_scan(spark, name, pushed):
+    plan = physical(load_all()[name][0](spark, SF_SMALL))
+    assert pushed in plan, name
