@@ -204,13 +204,12 @@ def q_document_sink(spark, sf_dir):
     blocks, read back whole (each file is one bounded document)."""
     from corpuslink.operators import render as R
     from corpuslink.plans.catalog_text import conv_units
-    from corpuslink.sources.sinks import write_documents
+    from corpuslink.sources.sinks import read_documents, write_documents
     path = scratch_path(spark, f"docs-{uuid.uuid4().hex}")
     write_documents(R.render_chapters(conv_units(spark, sf_dir), None, "patch"), path,
                     style="patch")
-    docs = spark.read.text(path, wholetext=True)
-    return docs.select("book_name", F.col("chapter").cast("long").alias("chapter"),
-                       F.col("value").alias("content"))
+    docs = read_documents(spark, path)
+    return docs.select("book_name", F.col("chapter").cast("long").alias("chapter"), "content")
 
 
 @register("backfill", oracle="""

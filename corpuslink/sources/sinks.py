@@ -25,12 +25,23 @@ def save_embeddings(vecs: DataFrame, path: str, model_name: str) -> None:
     embedding_run(vecs, model_name).write.mode("overwrite").parquet(f"{path}/metadata")
 
 
+def read_documents(spark, path: str, keys=("book_name", "chapter")) -> DataFrame:
+    """Read documents written by ``write_documents`` back as (keys, content):
+    the part files of a document concatenated in name order. For bounded
+    documents (checks and small corpora)."""
+    raw = spark.read.text(path, wholetext=True).withColumn("_f", F.col("_metadata.file_name"))
+    return raw.groupBy(*keys).agg(
+        F.expr("listagg(value, '') WITHIN GROUP (ORDER BY _f)").alias("content"))
+
+
 def write_documents(blocks: DataFrame, path: str, keys=("book_name", "chapter"),
                     style: str = "vault") -> None:
     """O-09: one text file per document from ordered blocks.
 
-    Rows are clustered by document and sorted by ``seq`` inside the task, then
-    written as text lines, so the file is the blocks in order; no document is
+    Blocks are range-partitioned on (document, seq) and sorted inside each
+    task, then written as text lines: a document's folder holds one or more
+    part files whose name order is the block order, so a huge document is
+    split across writers instead of landing in one task, and no document is
     ever built as a single value. Every block ends with '\\n', which the
     writer's line separator restores. The target tree is replaced.
     """
@@ -39,6 +50,7 @@ def write_documents(blocks: DataFrame, path: str, keys=("book_name", "chapter"),
     if style == "patch":
         # The patch style joins blocks with '\\n'; carry it on every later block.
         body = F.when(F.col("seq") == 0, body).otherwise(F.concat(F.lit("\n"), body))
-    (blocks.withColumn("block", body).repartition(*keys).sortWithinPartitions(*keys, "seq")
+    (blocks.withColumn("block", body).repartitionByRange(*keys, "seq")
+     .sortWithinPartitions(*keys, "seq")
      .select(*keys, "block").write.mode("overwrite").partitionBy(*keys)
      .option("lineSep", "\n").text(path))
