@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslink.functions.text import reference, safe_name, wiki_link
+from corpuslink.functions.text import safe_name, wiki_link
 
 NL = "\n"
 
@@ -166,7 +166,3 @@ def render_report(units: DataFrame) -> DataFrame:
     return units.rollup("book_name").agg(
         F.countDistinct("book_name", "chapter").cast("long").alias("n_chapters"),
         F.count(F.lit(1)).alias("n_verses"))
-
-
-def unit_references(units: DataFrame) -> DataFrame:
-    return units.withColumn("reference", reference("book_name", "chapter", "verse"))

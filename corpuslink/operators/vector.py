@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.functions.vectors import dot, l2_norm, l2_normalize
@@ -230,22 +230,15 @@ def save_index(index: dict, path: str, strategy: str = "text_only") -> None:
         .write.mode("overwrite").partitionBy("strategy").parquet(f"{path}/cells")
 
 
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def load_index(spark, path: str, strategy: str = "text_only") -> dict | None:
     """O-69: load one strategy's index; a missing strategy returns None (the
     reference skips it and goes on)."""
-    if not _exists(spark, f"{path}/vectors/strategy={strategy}"):
+    from pyspark.errors import AnalysisException
+    try:
+        # Reading the strategy's own partition folder fails when it was never saved.
+        spark.read.parquet(f"{path}/vectors/strategy={strategy}").schema  # noqa: B018
+    except AnalysisException:
         return None
     v = spark.read.parquet(f"{path}/vectors").filter(F.col("strategy") == strategy)
     c = spark.read.parquet(f"{path}/cells").filter(F.col("strategy") == strategy)
     return {"vectors": v.drop("strategy"), "cells": c.drop("strategy")}
-
-
-def rank_within(df: DataFrame, order, col: str = "rank") -> DataFrame:
-    """Rank a small, already-limited result (k rows) for display."""
-    return df.withColumn(col, F.row_number().over(Window.orderBy(*order)))

@@ -29,25 +29,19 @@ OLD_LABEL_BELOW = 5              # vector label below this -> 'Old'
 LINK_ARRIVAL = ("l_linenumber", "l_suppkey", "l_quantity")
 
 
-SPREAD_MIN_BYTES = 4 << 20
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a large scan that yields fewer splits than the cluster has cores.
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
 
-    A file with one row group is read by one task, and every narrow step after
-    the scan (regex parsing, text splitting, formatting) would stay in that
-    task. Small inputs are left alone (the extra exchange costs more than it
-    saves), and on a large input the scan already has many splits, so this is
-    a no-op. Only the plan and its size estimate are inspected; no job runs.
+    Used only before CPU-heavy narrow work (text splitting, statement
+    formatting and parsing): a file with one row group is read by one task and
+    that work would stay there. On a large input the scan already has many
+    splits and this is a no-op (the check plans the scan; no job runs).
+    ``CORPUSLINK_SPREAD=0`` turns it off.
     """
     if os.environ.get("CORPUSLINK_SPREAD", "1") == "0":
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size >= SPREAD_MIN_BYTES else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:

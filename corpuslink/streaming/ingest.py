@@ -30,10 +30,16 @@ BUCKET = "_bucket"
 DEFAULT_BUCKETS = 64
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _current(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame | None:
+    """The target table with its bucket column, or None before the first batch."""
+    from pyspark.errors import AnalysisException
+    full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+    try:
+        df = spark.read.schema(full).parquet(target)
+        df.inputFiles()  # fails on a missing folder
+        return df
+    except AnalysisException:
+        return None
 
 
 def bucket_of(keys: Sequence[str], buckets: int):
@@ -42,10 +48,10 @@ def bucket_of(keys: Sequence[str], buckets: int):
 
 def read_table(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """The current table (without the bucket column), or an empty one."""
-    if not _exists(spark, target):
+    df = _current(spark, target, schema)
+    if df is None:
         return spark.createDataFrame([], schema)
-    full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-    return spark.read.schema(full).parquet(target).select(*schema.fieldNames())
+    return df.select(*schema.fieldNames())
 
 
 def apply_batch(batch: DataFrame, target: str, keys: Sequence[str], order: Sequence[str],
@@ -56,10 +62,10 @@ def apply_batch(batch: DataFrame, target: str, keys: Sequence[str], order: Seque
     rows = batch.select(*schema.fieldNames()).withColumn(BUCKET, bucket_of(keys, buckets))
     touched = rows.select(BUCKET).distinct()
     full_schema = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-    if _exists(spark, target):
+    existing = _current(spark, target, schema)
+    if existing is not None:
         # Partition pruning via the semi join keeps untouched buckets unread.
-        current = spark.read.schema(full_schema).parquet(target).join(
-            F.broadcast(touched), BUCKET, "left_semi")  # <= ``buckets`` rows
+        current = existing.join(F.broadcast(touched), BUCKET, "left_semi")  # <= buckets rows
     else:
         current = spark.createDataFrame([], full_schema)
     cols = [*schema.fieldNames(), BUCKET]
