@@ -46,7 +46,7 @@ vecs AS (
          e.label + 1 AS book_number, e.label AS chapter, e.vec_id AS verse,
          'book' || CAST(e.label AS VARCHAR) || ' ' || CAST(e.label AS VARCHAR) || ':'
            || CAST(e.vec_id AS VARCHAR) AS reference,
-         coalesce(split_part(d.text, chr(10), 1), '') AS text,
+         coalesce(d.text, '') AS text,
          CAST(e.embedding AS DOUBLE[]) AS vec
   FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id),
 cent AS (

@@ -106,12 +106,12 @@ def part_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vector_units(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
     """vectors with unit metadata: (verse_id, book_name, testament, book_number,
     chapter, verse, reference, text, vec). With ``with_text`` the text is the
-    first line of the document with the same id ('' when there is none);
-    otherwise '' (no join)."""
+    whole document with the same id ('' when there is none); otherwise NULL
+    (no join)."""
     e = table(spark, sf_dir, "embeddings")
     if with_text:
         d = table(spark, sf_dir, "documents").select(
-            F.col("doc_id").alias("vec_id"), F.substring_index("text", "\n", 1).alias("text"))
+            F.col("doc_id").alias("vec_id"), "text")
         e = e.join(d, "vec_id", "left")
     else:
         e = e.withColumn("text", F.lit(None).cast("string"))
