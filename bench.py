@@ -24,7 +24,8 @@ HEADLINE = [
     "top_links_all", "links_view", "links_nested", "edge_import", "import_report",
     "unit_view", "text_search_all", "distinct_counts", "chapter_gaps", "verse_gaps",
     "insert_ignore", "upsert_last", "dense_ids", "parse_line", "render_linked",
-    "render_book_index", "vec_topk_batch", "vec_filtered", "answer", "themes",
+    "render_book_index", "vec_topk_batch", "vec_topk_batch_blas", "vec_filtered", "answer",
+    "themes",
     "vec_ann_allcells",
 ]
 

@@ -113,12 +113,61 @@ def find_similar(vecs: DataFrame, key_filter, k: int = 10) -> DataFrame:
             .orderBy(F.desc("score"), F.asc("verse_id")).limit(k))
 
 
+def _blas_topk(vecs: DataFrame, queries: DataFrame, k: int, qid: str,
+               max_queries: int) -> DataFrame:
+    """Per-task exact top-k with one matrix multiply per Arrow batch.
+
+    The query matrix (checked size, at most ``max_queries`` x dim) is shipped
+    to the tasks as a broadcast variable; each task keeps only a running top-k
+    per query, so it emits at most k x Q rows instead of N x Q.
+    """
+    import numpy as np
+    import pandas as pd
+
+    rows = checked_small(queries.select(qid, "qvec"), max_queries, "query set").collect()
+    if not rows:
+        return vecs.sparkSession.createDataFrame([], f"{qid} long, verse_id long, score double")
+    qids = np.array([r[0] for r in rows], dtype=np.int64)
+    qmat = np.array([r[1] for r in rows], dtype=np.float64)
+    bc = vecs.sparkSession.sparkContext.broadcast((qids, qmat))
+
+    def per_task(batches):
+        ids_q, mat = bc.value
+        best = None  # (qid, verse_id, score) kept so far
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            v = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+            sc = np.round(v @ mat.T, 6)                     # (n, Q)
+            vid = pdf["verse_id"].to_numpy(dtype=np.int64)
+            cand = pd.DataFrame({qid: np.repeat(ids_q[None, :], len(vid), 0).ravel(),
+                                 "verse_id": np.repeat(vid, len(ids_q)),
+                                 "score": sc.ravel()})
+            best = cand if best is None else pd.concat([best, cand], ignore_index=True)
+            best = (best.sort_values([qid, "score", "verse_id"], ascending=[True, False, True])
+                    .groupby(qid, sort=False).head(k))
+        if best is not None:
+            yield best
+
+    return vecs.select("verse_id", F.col("vec").cast("array<double>")).mapInPandas(
+        per_task, f"{qid} long, verse_id long, score double")
+
+
 def topk_exact(vecs: DataFrame, queries: DataFrame, k: int, qid: str = "qid",
-               max_queries: int = DEFAULT_MAX_QUERIES) -> DataFrame:
+               max_queries: int = DEFAULT_MAX_QUERIES, engine: str = "sql") -> DataFrame:
     """O-65 for many queries: ``queries(qid, qvec)`` of checked size, top-k each.
 
-    Result: (qid, rank, verse_id, score).
+    ``engine='sql'``: every vector is scored in JVM expressions and the
+    partial ``WindowGroupLimit`` cuts per task. ``engine='blas'``: each task
+    multiplies Arrow batches by the query matrix and keeps a running top-k
+    (no N x Q rows; preferable for large query sets). Result: (qid, rank,
+    verse_id, score).
     """
+    if engine == "blas":
+        s = _blas_topk(vecs, queries, k, qid, max_queries)
+        return top_n_per_key(s, [qid], [F.desc("score"), F.asc("verse_id")], k) \
+            .select(F.col(qid).cast(queries.schema[qid].dataType).alias(qid), "rank",
+                    "verse_id", "score")
     qs = packed(queries, [F.col(qid).alias("q"), F.col("qvec").alias("v")], max_queries,
                 "query set")
     per_vec = F.transform("_qs", lambda x: F.struct(x["q"].alias(qid),
