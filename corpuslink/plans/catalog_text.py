@@ -89,6 +89,24 @@ def q_parse_line(spark, sf_dir):
         .select("book", "chapter", "verse", "text")
 
 
+@register("title_strip", oracle=CONV_SQL + """
+, books AS (
+  SELECT book, book || chr(10) || string_agg(CAST(num AS VARCHAR) || text, chr(10)
+                                            ORDER BY conv_id, turn) AS text
+  FROM conv GROUP BY book)
+SELECT book,
+       regexp_replace(text, '^' || book || '\s*', '', 'i') AS start_policy,
+       trim(regexp_replace(text, '(?m)^' || book || '\s*\n*', '', 'gi')) AS lines_policy
+FROM books
+""")
+def q_title_strip(spark, sf_dir):
+    """O-20 / O-21: the book name removed once at the start, or from every line."""
+    books = conv_books(spark, sf_dir).select("book", "text")
+    a = P.strip_title(books, "text", "book", "start").withColumnRenamed("text", "start_policy")
+    b = P.strip_title(books, "text", "book", "lines").withColumnRenamed("text", "lines_policy")
+    return a.join(b, "book")
+
+
 @register("load_report", oracle=CONV_SQL + f"""
 , firsts AS (
   SELECT book, conv_id, turn, num,
