@@ -95,8 +95,8 @@ def q_parse_line(spark, sf_dir):
                                             ORDER BY conv_id, turn) AS text
   FROM conv GROUP BY book)
 SELECT book,
-       regexp_replace(text, '^' || book || '\s*', '', 'i') AS start_policy,
-       trim(regexp_replace(text, '(?m)^' || book || '\s*\n*', '', 'gi')) AS lines_policy
+       regexp_replace(text, '^' || book || '\\s*', '', 'i') AS start_policy,
+       trim(regexp_replace(text, '(?m)^' || book || '\\s*\\n*', '', 'gi')) AS lines_policy
 FROM books
 """)
 def q_title_strip(spark, sf_dir):

@@ -28,7 +28,9 @@ tgt AS (SELECT user_id, event_type, event_id, value FROM ev WHERE old
 
 
 def _split(spark, sf_dir):
-    ev = S.table(spark, sf_dir, "events").withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    # Microseconds of the TIMESTAMP_NTZ, independent of the session time zone.
+    ev = S.table(spark, sf_dir, "events").withColumn(
+        "_us", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"))
     # A global aggregate is one row: attached as a scalar subquery.
     cut = ev.agg(F.expr("(min(_us) + max(_us)) div 2").alias("_cut")).scalar()
     tagged = ev.withColumn("_old", F.col("_us") <= cut)
