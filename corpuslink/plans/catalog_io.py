@@ -122,8 +122,12 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
     T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
 CHUNKS = 4
-# Microseconds since the epoch of a TIMESTAMP_NTZ, independent of the session time zone.
-EPOCH_US = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+
+
+def epoch_us():
+    """Microseconds since the epoch of a TIMESTAMP_NTZ ``ts``, independent of the
+    session time zone."""
+    return F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
 
 
 @register("stream_ingest", oracle="""
@@ -134,7 +138,7 @@ def q_stream_ingest(spark, sf_dir):
     """O-91: events landed in four time slices, ingested by a file stream with
     first-wins upsert micro-batches; equals the batch first-wins result."""
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
-    ev = S.table(spark, sf_dir, "events").withColumn("_us", EPOCH_US)
+    ev = S.table(spark, sf_dir, "events").withColumn("_us", epoch_us())
     lo, hi = ev.agg(F.min("_us")).scalar(), ev.agg(F.max("_us")).scalar()
     sliced = ev.withColumn("_slice", F.floor((F.col("_us") - lo) * CHUNKS / (hi - lo + 1)))
     # Slices are landed one after another so that files arrive in time order.

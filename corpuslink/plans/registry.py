@@ -13,7 +13,9 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
 def register(name: str, oracle: str | None = None):
     """Decorator: ``@register("top_links_all", oracle=SQL)``; ``None`` = rows-only check."""
     def deco(fn: QueryFn) -> QueryFn:
-        if name in QUERIES:
+        old = QUERIES.get(name)
+        if old is not None and (old[0].__module__, old[0].__qualname__) != \
+                (fn.__module__, fn.__qualname__):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = (fn, oracle)
         return fn
