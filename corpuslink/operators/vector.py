@@ -223,7 +223,10 @@ def build_ivf(vecs: DataFrame, nlist: int, seed: int = 42, max_iter: int = 10) -
     from pyspark.ml.functions import array_to_vector
 
     feats = vecs.withColumn("features", array_to_vector(l2_normalize("vec")))
-    model = KMeans(k=nlist, seed=seed, maxIter=max_iter, featuresCol="features").fit(feats)
+    # Coarse cells only steer the probe, so random initialisation (no k-means||
+    # passes) is enough; probing every cell stays exact whatever the cells.
+    model = KMeans(k=nlist, seed=seed, maxIter=max_iter, initMode="random",
+                   featuresCol="features").fit(feats)
     cents = model.clusterCenters()
     spark = vecs.sparkSession
     cells = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(cents)],
