@@ -50,16 +50,20 @@ def sample_texts(texts: DataFrame, n: int = 5) -> DataFrame:
 def hash_encode(texts: DataFrame, dim: int = DEFAULT_DIM, text_col: str = "text",
                 out: str = "vec") -> DataFrame:
     """O-62 default encoder: signed feature hashing of lower-cased word tokens,
-    L2-normalised, as ``array<float>``. Row-local: no shuffle, no Python."""
+    L2-normalised, as ``array<float>``. Row-local: no shuffle, no Python.
+
+    Each token becomes one code ``2 * slot + (sign > 0)``; slot ``i`` then
+    holds (#codes 2i+1) - (#codes 2i), counted with ``array_remove`` so the
+    per-token loop runs natively and the lambda runs once per slot.
+    """
     toks = F.filter(F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}]+"), lambda t: t != "")
-    hashed = F.transform(toks, lambda t: F.struct(
-        F.pmod(F.xxhash64(t), F.lit(dim)).cast("int").alias("slot"),
-        F.when(F.pmod(F.xxhash64(F.concat(t, F.lit("#"))), F.lit(2)) == 0, F.lit(1.0))
-        .otherwise(F.lit(-1.0)).alias("sign")))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.aggregate(
-        F.filter("_h", lambda h: h["slot"] == i), F.lit(0.0), lambda acc, h: acc + h["sign"]))
-    return (texts.withColumn("_h", hashed)
-            .withColumn(out, l2_normalize(dense).cast("array<float>")).drop("_h"))
+    codes = F.transform(toks, lambda t: F.pmod(F.xxhash64(t), F.lit(dim)) * 2 + F.when(
+        F.pmod(F.xxhash64(F.concat(t, F.lit("#"))), F.lit(2)) == 0, F.lit(1)).otherwise(F.lit(0)))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: (
+        F.size(F.array_remove("_codes", (i * 2).cast("long")))
+        - F.size(F.array_remove("_codes", (i * 2 + 1).cast("long")))).cast("double"))
+    return (texts.withColumn("_codes", codes)
+            .withColumn(out, l2_normalize(dense).cast("array<float>")).drop("_codes"))
 
 
 def pandas_encoder(factory: Callable[[], Callable], dim: int):

@@ -320,3 +320,17 @@ def test_corpus_index_numbers(spark):
     assert "1. [[Gen/README|Gen]]\n" in doc and "40. [[Matt/README|Matt]]\n" in doc
     assert "- **Total Verses:** 30,642\n" in doc and "- **Cross-References:** 418,734\n" in doc
     assert doc.index("## Old Testament") < doc.index("1. [[Gen") < doc.index("## New Testament")
+
+
+# ---------------------------------------------------------------- encoder --
+
+def test_hash_encoder_properties(spark):
+    from corpuslink.operators.embed import hash_encode
+    df = spark.createDataFrame([(1, "Word"), (2, "word"), (3, "alpha beta beta, gamma!"),
+                                (4, "")], "verse_id long, text string")
+    got = {r.verse_id: r.vec for r in hash_encode(df, dim=16).collect()}
+    one = [x for x in got[1] if x != 0.0]
+    assert len(one) == 1 and abs(abs(one[0]) - 1.0) < 1e-6   # one token -> one slot, +-1
+    assert got[1] == got[2]                                   # lower-cased tokens
+    assert abs(sum(x * x for x in got[3]) - 1.0) < 1e-5       # unit norm
+    assert got[4] == [0.0] * 16                               # no token -> zero vector
