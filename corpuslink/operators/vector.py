@@ -5,12 +5,13 @@ position. Scores are cosine (D2): stored vectors and queries are normalised.
 
 Scale notes:
 * exact search scores every vector against a query set whose size is checked
-  (``max_queries``) and broadcast; the scan of the vectors is the only big
-  input and is never shuffled before the top-k cut;
+  (``max_queries``) and attached as one scalar subquery (or, with the 'blas'
+  engine, shipped as a broadcast matrix); the scan of the vectors is the only
+  big input and is never shuffled before the top-k cut;
 * top-k per query uses ``row_number() <= k``, which Catalyst plans as a
   partial ``WindowGroupLimit`` before the shuffle (k rows per query per task);
-* the approximate path (IVF) replaces the product with an equi-join on cell
-  ids, so a query touches only ``nprobe`` cells.
+* the approximate path (IVF) probes each query's ``nprobe`` nearest cells and
+  joins vectors on the cell id, so a query scores only those cells.
 """
 
 from __future__ import annotations
