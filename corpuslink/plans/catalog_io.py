@@ -218,7 +218,8 @@ def q_document_sink(spark, sf_dir):
 
 
 @register("backfill", oracle="""
-WITH c AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS cut FROM events),
+WITH c AS (SELECT min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) * 500 // 1000 AS cut
+           FROM events),
 ev AS (SELECT e.user_id, e.event_type, e.event_id, e.value, epoch_us(e.ts) <= c.cut AS old
        FROM events e, c),
 tgt AS (SELECT user_id, event_type, event_id, value FROM ev WHERE old

@@ -107,6 +107,37 @@ def q_title_strip(spark, sf_dir):
     return a.join(b, "book")
 
 
+@register("verse_gaps_parsed", oracle=CONV_SQL + f"""
+, firsts AS (
+  SELECT book, conv_id, turn, num,
+         trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')) AS text
+  FROM conv),
+kept AS (SELECT * FROM firsts WHERE length(text) >= 3),
+exp AS (SELECT book, CAST(count(DISTINCT conv_id) AS INTEGER) AS expected FROM conv GROUP BY book),
+seq AS (
+  SELECT k.*, e.expected,
+         CASE WHEN num = 1 AND lag(num, 1, 0) OVER (PARTITION BY k.book ORDER BY conv_id, turn) > 3
+              THEN 1 ELSE 0 END AS f
+  FROM kept k JOIN exp e USING (book)),
+u AS (
+  SELECT book, CAST(least(1 + sum(f) OVER (PARTITION BY book ORDER BY conv_id, turn
+                                           ROWS UNBOUNDED PRECEDING), expected) AS INTEGER)
+           AS chapter, num AS verse
+  FROM seq WHERE num > 0),
+mx AS (SELECT book, chapter, max(verse) AS m FROM u GROUP BY book, chapter),
+g AS (SELECT book, chapter, CAST(unnest(range(1, m + 1)) AS INTEGER) AS verse FROM mx)
+SELECT g.book, g.chapter, g.verse FROM g
+WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.book = g.book AND u.chapter = g.chapter
+                  AND u.verse = g.verse)
+""")
+def q_verse_gaps_parsed(spark, sf_dir):
+    """O-58 on parsed units: verse numbers missing inside a chapter (turns that
+    were not in the source text)."""
+    from corpuslink.operators.quality import verse_gaps
+    u = P.parse_book_text(conv_books(spark, sf_dir), "v2", expected="expected")
+    return verse_gaps(u.select("book", "chapter", "verse"), ["book", "chapter"])
+
+
 @register("load_report", oracle=CONV_SQL + f"""
 , firsts AS (
   SELECT book, conv_id, turn, num,

@@ -19,7 +19,8 @@ ORDER = ["event_id"]
 COLS = ["user_id", "event_type", "event_id", "value"]
 
 SPLIT_SQL = """
-WITH c AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS cut FROM events),
+WITH c AS (SELECT min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) * 500 // 1000 AS cut
+           FROM events),
 ev AS (SELECT e.user_id, e.event_type, e.event_id, e.value, epoch_us(e.ts) <= c.cut AS old
        FROM events e, c),
 tgt AS (SELECT user_id, event_type, event_id, value FROM ev WHERE old
@@ -27,12 +28,15 @@ tgt AS (SELECT user_id, event_type, event_id, value FROM ev WHERE old
 """
 
 
-def _split(spark, sf_dir):
+def _split(spark, sf_dir, per_mille: int = 500):
+    """(first-wins table of the events up to ``per_mille``/1000 of the time range,
+    the later events as the batch)."""
     # Microseconds of the TIMESTAMP_NTZ, independent of the session time zone.
     ev = S.table(spark, sf_dir, "events").withColumn(
         "_us", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"))
     # A global aggregate is one row: attached as a scalar subquery.
-    cut = ev.agg(F.expr("(min(_us) + max(_us)) div 2").alias("_cut")).scalar()
+    cut = ev.agg(F.expr(f"min(_us) + (max(_us) - min(_us)) * {per_mille} div 1000")
+                 .alias("_cut")).scalar()
     tagged = ev.withColumn("_old", F.col("_us") <= cut)
     old = tagged.filter("_old").select(*COLS)
     new = tagged.filter(~F.col("_old")).select(*COLS)
@@ -65,6 +69,28 @@ def q_insert_ignore_new(spark, sf_dir):
     return U.insert_ignore(target, batch, KEYS, ORDER)[1].select(*COLS)
 
 
+@register("insert_ignore_early", oracle="""
+WITH c AS (SELECT min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) * 50 // 1000 AS cut
+           FROM events),
+ev AS (SELECT e.user_id, e.event_type, e.event_id, e.value, epoch_us(e.ts) <= c.cut AS old
+       FROM events e, c),
+tgt AS (SELECT user_id, event_type, event_id, value FROM ev WHERE old
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1),
+bat AS (SELECT user_id, event_type, event_id, value FROM ev WHERE NOT old
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1)
+SELECT *, 'kept' AS origin FROM tgt
+UNION ALL
+SELECT *, 'inserted' FROM bat b WHERE NOT EXISTS (
+  SELECT 1 FROM tgt t WHERE t.user_id = b.user_id AND t.event_type = b.event_type)
+""")
+def q_insert_ignore_early(spark, sf_dir):
+    """O-10 with an early load (first 5% of the time range): many batch keys are new."""
+    target, batch = _split(spark, sf_dir, per_mille=50)
+    new_target, inserted = U.insert_ignore(target, batch, KEYS, ORDER)
+    return (target.withColumn("origin", F.lit("kept"))
+            .unionByName(inserted.select(*COLS).withColumn("origin", F.lit("inserted"))))
+
+
 @register("upsert_last", oracle=SPLIT_SQL + """,
 bat AS (SELECT user_id, event_type, event_id, value FROM ev WHERE NOT old
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1)
