@@ -334,3 +334,25 @@ def test_hash_encoder_properties(spark):
     assert got[1] == got[2]                                   # lower-cased tokens
     assert abs(sum(x * x for x in got[3]) - 1.0) < 1e-5       # unit norm
     assert got[4] == [0.0] * 16                               # no token -> zero vector
+
+
+# -------------------------------------------------------------- streaming --
+
+@pytest.mark.parametrize("policy", ["ignore", "replace"])
+def test_stream_batch_retry_is_idempotent(spark, tmp_dir, policy):
+    from pyspark.sql import types as T
+    from corpuslink.streaming.ingest import apply_batch, read_table
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("o", T.LongType()),
+                           T.StructField("v", T.StringType())])
+    b1 = spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (1, 3, "c")], schema)
+    b2 = spark.createDataFrame([(1, 4, "d"), (3, 5, "e")], schema)
+    target = os.path.join(tmp_dir, "table")
+    apply_batch(b1, target, ["k"], ["o"], policy, schema, buckets=4)
+    apply_batch(b2, target, ["k"], ["o"], policy, schema, buckets=4)
+    once = sorted(tuple(r) for r in read_table(spark, target, schema).collect())
+    apply_batch(b2, target, ["k"], ["o"], policy, schema, buckets=4)  # retried batch
+    again = sorted(tuple(r) for r in read_table(spark, target, schema).collect())
+    assert once == again
+    want = {"ignore": [(1, 1, "a"), (2, 2, "b"), (3, 5, "e")],
+            "replace": [(1, 4, "d"), (2, 2, "b"), (3, 5, "e")]}[policy]
+    assert once == want
