@@ -237,9 +237,10 @@ def link_lines(spark, sf_dir):
 
 
 def _ends(spark, sf_dir):
-    fu = S.order_units(spark, sf_dir).join(
-        S.table(spark, sf_dir, "orders").filter(F.year("o_orderdate") < 1998)
-        .select(F.col("o_orderkey").alias("unit_id")), "unit_id", "left_semi")
+    # Resolvable sources: orders placed before 1998 (one filtered scan).
+    fu = S.table(spark, sf_dir, "orders").filter(F.year("o_orderdate") < 1998).select(
+        F.col("o_orderkey").alias("unit_id"), F.col("o_orderpriority").alias("book"),
+        F.col("o_custkey").alias("chapter"), F.col("o_orderkey").alias("verse"))
     tu = S.part_units(spark, sf_dir).withColumn("chapter", F.col("chapter").cast("long"))
     return fu, tu
 
