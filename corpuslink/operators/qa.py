@@ -54,8 +54,9 @@ def answer(question: str, hits: DataFrame, edges: DataFrame | None = None,
     ranked = hits.withColumn("_i", F.row_number().over(w))
     line = F.concat(F.col("_i").cast("string"), F.lit(". "), F.col("reference"), F.lit(': "'),
                     F.col("text"), F.lit('" (relevance: '), fmt_decimal("score", 2), F.lit(")"))
+    lines = F.array_sort(F.collect_list(F.struct("_i", "_line")))  # <= k entries
     agg = ranked.withColumn("_line", line).agg(
-        F.expr("listagg(_line, '\\n\\n') WITHIN GROUP (ORDER BY _i)").alias("_answer"),
+        F.array_join(F.transform(lines, lambda s: s["_line"]), ANSWER_SEP).alias("_answer"),
         F.avg("score").alias("_conf"), F.count(F.lit(1)).alias("_n"))
     out = agg.select(
         F.lit(question).alias("question"),

@@ -356,3 +356,15 @@ def test_stream_batch_retry_is_idempotent(spark, tmp_dir, policy):
     want = {"ignore": [(1, 1, "a"), (2, 2, "b"), (3, 5, "e")],
             "replace": [(1, 4, "d"), (2, 2, "b"), (3, 5, "e")]}[policy]
     assert once == want
+
+
+def test_answer_without_hits(spark):
+    from corpuslink.operators.qa import NO_ANSWER, answer
+    hits = spark.createDataFrame([], "verse_id long, reference string, text string, score double")
+    r = answer("anything?", hits).first()
+    assert (r.answer, r.confidence, r.num_verses) == (NO_ANSWER, 0.0, None)
+    two = spark.createDataFrame([(1, "A 1:1", "x", 0.5), (2, "A 1:2", "y", 0.25)],
+                                "verse_id long, reference string, text string, score double")
+    r = answer("q", two).first()
+    assert r.answer == '1. A 1:1: "x" (relevance: 0.50)\n\n2. A 1:2: "y" (relevance: 0.25)'
+    assert r.num_verses == 2 and abs(r.confidence - 0.375) < 1e-12
