@@ -45,6 +45,11 @@ def cluster(vecs: DataFrame, k: int = 10, seed: int = 42, n_init: int = 10,
     return {"assigned": assigned, "centroids": cents, "cost": best.summary.trainingCost}
 
 
+def cluster_units(vecs: DataFrame, k: int = 50, seed: int = 42) -> DataFrame:
+    """O-80: the raw cluster listing - every unit with its cluster, no themes."""
+    return cluster(vecs, k=k, seed=seed, n_init=1)["assigned"].select("verse_id", "cluster")
+
+
 def cluster_sizes(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("num_verses"))
 

@@ -316,6 +316,27 @@ def q_vec_ann_allcells(spark, sf_dir):
     return V.topk_ann(idx, _label_queries(v), 5, nprobe=8)
 
 
+@register("cluster_units")
+def q_cluster_units(spark, sf_dir):
+    """O-80: every vector with its k-means cluster (k=50); rows-only."""
+    return T.cluster_units(_vecs(spark, sf_dir).select("verse_id", "vec"), k=50)
+
+
+@register("vec_topk_auto", oracle=with_(VECTORS) + """
+SELECT qid, CAST(rank AS INTEGER) AS rank, verse_id, score FROM (
+  SELECT c.qid, v.verse_id, round(list_dot_product(v.vec, c.qv), 6) AS score,
+         row_number() OVER (PARTITION BY c.qid
+                            ORDER BY round(list_dot_product(v.vec, c.qv), 6) DESC, v.verse_id)
+           AS rank
+  FROM vecs v, centn c)
+WHERE rank <= 5
+""")
+def q_vec_topk_auto(spark, sf_dir):
+    """O-68: method chosen by size - below 10,000 vectors the search is exact."""
+    v = _vecs(spark, sf_dir)
+    return V.topk_auto(v, _label_queries(v), 5)
+
+
 @register("ann_recall")
 def q_ann_recall(spark, sf_dir):
     """O-81: recall@10 of IVF (8 cells, 3 probed) against exact; rows-only."""

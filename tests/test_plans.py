@@ -8,7 +8,8 @@ from tests.conftest import SF_SMALL
 # Queries whose builders run jobs (writes, ML fits, checkpoints) are left out.
 RUNS_JOBS = {"payload_ingest", "payload_backfill", "stream_ingest", "table_roundtrip",
              "embedding_sink", "document_sink", "index_roundtrip", "kmeans_sizes",
-             "vec_ann_allcells", "ann_recall", "canonical_order", "dense_ids"}
+             "vec_ann_allcells", "ann_recall", "canonical_order", "dense_ids",
+             "cluster_units"}
 NAMES = sorted(n for n in load_all() if n not in RUNS_JOBS)
 
 
