@@ -143,8 +143,13 @@ def q_vec_norms(spark, sf_dir):
 
 
 def _hits(spark, sf_dir, k):
+    """The top-k search result, materialised once (k rows, reliable checkpoint)
+    because the Q&A plans read it in several branches."""
+    from corpuslink.session import checkpoint_dir
+    checkpoint_dir(spark)
     v = S.vector_units(spark, sf_dir, with_text=True)
-    return V.search(v, _query(v), k=k).select("verse_id", "reference", "text", "score")
+    return V.search(v, _query(v), k=k).select("verse_id", "reference", "text", "score") \
+        .checkpoint(eager=True)
 
 
 LINKED = f"""
