@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslink.llm import huffman, packing
+from corpuslink.llm import huffman, linededup, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
+def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that three or more share."""
+    return linededup.digests(linededup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
 def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as Huffman-coded ids and read back."""
     return huffman.digests(huffman.round_trip(table(spark, sf_dir, "documents")))
@@ -23,5 +28,6 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_packing": (op3_packing, None),
+    "op9_linededup": (op9_linededup, linededup.ORACLE_SQL),
     "op10_huffman": (op10_huffman, None),
 }
