@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpuslink.llm import huffman, linededup, packing
+from corpuslink.llm import huffman, linededup, packing, resharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, stored by source, moved to 8 shards of equal bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return resharding.digests(resharding.rebalance(docs, F.crc32("source"), 8))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 2048 ids."""
     return packing.piece_digests(packing.pack_documents(table(spark, sf_dir, "documents")))
@@ -27,6 +34,7 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_resharding": (op2_resharding, None),
     "op3_packing": (op3_packing, None),
     "op9_linededup": (op9_linededup, linededup.ORACLE_SQL),
     "op10_huffman": (op10_huffman, None),
