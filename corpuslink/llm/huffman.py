@@ -143,14 +143,17 @@ def token_table(docs: DataFrame, id_col: str, text_col: str, tokenizer: str,
     path = TK.tokenizer_path(tokenizer)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        enc = TK.encoder(path, "<u2")
-        end = np.array([end_id], "<u2").tobytes()
+        encode = TK.encoder(path, "<u2").encode
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                ids = [raw + end for raw in enc.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())],
-                                                 names=["doc_id", "ids"])
+            for at, rows in TK.slices(batch.column(1)):
+                ids, sizes = encode(batch.column(1).slice(at, rows))
+                ids = np.insert(ids, np.cumsum(sizes), end_id)
+                ends = np.concatenate([[0], np.cumsum(sizes + 1)]) * 2
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(at, rows),
+                    pa.Array.from_buffers(pa.binary(), rows, [
+                        None, pa.py_buffer(ends.astype("<i4").tobytes()),
+                        pa.py_buffer(ids.tobytes())])], names=["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary")

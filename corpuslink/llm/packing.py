@@ -102,25 +102,27 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         raise ValueError("step, long_sentence and window must ascend")
     path = TK.tokenizer_path(tokenizer)
 
-    def segments(batches) -> Iterator[tuple[list, list[bytes]]]:
+    def segments(batches) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+        """(document ids, sizes, all ids with their end ids) of each segment."""
         encode = TK.encoder(path).encode
-        end = np.array([end_id], "<u4").tobytes()
         names: list = []
-        parts: list[bytes] = []
+        lens: list[np.ndarray] = []
+        parts: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            for k in range(0, batch.num_rows, 128):
-                part = batch.slice(k, 128)
-                for name, raw in zip(part.column(0).to_pylist(),
-                                     encode(part.column(1).to_pylist())):
-                    names.append(name)
-                    parts.append(raw + end)
-                    size += len(raw) // 4 + 1
-                    if size >= segment_tokens:
-                        yield names, parts
-                        names, parts, size = [], [], 0
+            own = batch.column(0).to_pylist()
+            for at, rows in TK.slices(batch.column(1)):
+                ids, sizes = encode(batch.column(1).slice(at, rows))
+                ids = np.insert(ids, np.cumsum(sizes), end_id)
+                names += own[at:at + rows]
+                lens.append(sizes + 1)
+                parts.append(ids)
+                size += len(ids)
+                if size >= segment_tokens:
+                    yield names, np.concatenate(lens), np.concatenate(parts)
+                    names, lens, parts, size = [], [], [], 0
         if names:
-            yield names, parts
+            yield names, np.concatenate(lens), np.concatenate(parts)
 
     def pack(batches):
         ends_sentence = None
@@ -128,13 +130,10 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                             ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
                             ("offset", pa.int64()), ("ids", pa.binary())])
         sequence = TaskContext.get().partitionId() << SEQUENCE_BITS
-        for names, parts in segments(batches):
-            raw = b"".join(parts)
-            ids = np.frombuffer(raw, "<u4")
+        for names, lens, ids in segments(batches):
             if ends_sentence is None:
                 top = max(TK.encoder(path).tokenizer.get_vocab().values())
                 ends_sentence = sentence_ends(path, max(top, end_id) + 1)
-            lens = np.array([len(p) // 4 for p in parts], np.int64)
             doc_ends = np.cumsum(lens)
             doc_starts = doc_ends - lens
             n = len(ids)
@@ -152,7 +151,7 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([
                 name, pa.array(at - doc_starts[doc]), pa.array(to - at), pa.array(lens[doc]),
                 pa.array(sequence + seq), pa.array(at - cuts[seq]),
-                pa.Array.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(raw)]),
+                pa.Array.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(ids.tobytes())]),
             ], schema=schema)
             sequence += len(cuts) - 1
 

@@ -11,15 +11,20 @@ to a bound; the bound changes the speed only.
 from __future__ import annotations
 
 import os
-import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Where the tokenizer files lie (a folder); unset: the installed public package.
 TOKENIZER_DIR_ENV = "LLM_TOKENIZER_DIR"
-MAX_PIECES = 1_000_000
+MAX_PIECES = 1_500_000
 MAX_PIECE_CHARS = 64
 SEPARATOR = "\x02"
+#: White space other than the space and the line feed (fixed by Unicode).
+OTHER_SPACE = tuple("\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003"
+                    "\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def tokenizer_path(name: str) -> str:
@@ -32,7 +37,7 @@ def tokenizer_path(name: str) -> str:
 
 
 class PieceEncoder:
-    """``encode(texts)`` gives each text's ids as little-endian bytes of ``dtype``."""
+    """``encode(texts)`` gives the ids of texts as one array of ``dtype``."""
 
     def __init__(self, path: str, dtype: str = "<u4"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,17 +48,22 @@ class PieceEncoder:
         if len(vocab) and max(vocab.values()) > np.iinfo(self.dtype).max:
             raise ValueError(f"ids of {path} do not fit {dtype}")
         self.byte_level = "Ġthe" in vocab
-        self.whole = re.compile(r"\s{2,}|[^\S \n]" if self.byte_level else "\x02")
+        # what a text cut at single spaces must not hold
+        self.whole = ("\x00", "  ", " \n", "\n ", "\n\n", *OTHER_SPACE) \
+            if self.byte_level else ("\x00",)
         if self.byte_level:
             size = max(vocab.values()) + 1
             self.starts = np.zeros(size, bool)
             for token, i in vocab.items():
-                self.starts[i] = token.startswith("Ġ")
+                self.starts[i] = token.startswith("Ġ") or token == "Ċ"
         else:
             ids = self._ids(SEPARATOR)
             if len(ids) != 1:
                 raise ValueError(f"{path}: the separator is not one token")
             self.separator = ids[0]
+        self.tails = [self._ids(x) for x in ".,"]
+        if any(len(x) != 1 for x in self.tails):
+            raise ValueError(f"{path}: a full stop or comma is not one token")
         self.pieces: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
@@ -67,7 +77,7 @@ class PieceEncoder:
         group, alone = [], []
         for p in new:
             if self.byte_level:
-                fits = p[:1] == " " and len(p) > 1 and "<|" not in p
+                fits = len(p) > 1 and p[0] in " \n" and "<|" not in p
             else:
                 fits = p != "" and SEPARATOR not in p and "<|" not in p
             (group if fits else alone).append(p)
@@ -93,54 +103,99 @@ class PieceEncoder:
             for p, a, b in zip(part, (cuts * width).tolist(), (ends * width).tolist()):
                 self.pieces[p] = raw[a:b]
 
-    def _learn_words(self, new: list[str]) -> None:
-        """Unseen pieces; a word before a full stop or comma is looked up without it."""
-        known, width = self.pieces, self.dtype.itemsize
-        plain, tailed = [], []
-        for p in new:
-            stem = p[:-1]
-            if p[-1:] in (".", ",") and (stem[1:] if self.byte_level else stem).isalpha():
-                tailed.append(p)
-                if stem not in known:
-                    plain.append(stem)
-            else:
-                plain.append(p)
-        self._learn(list(dict.fromkeys(plain)))
-        for p in tailed:
-            tail = known.get(p[-1])
-            if tail is None:
-                tail = known[p[-1]] = self._bytes(p[-1])
-            known[p] = known[p[:-1]] + tail
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of every text, as bytes; null is an empty text."""
+    def _pieces_of(self, keys: list[str]) -> list[bytes]:
+        """The ids of each piece, from memory or newly encoded."""
+        known = self.pieces
+        found = list(map(known.get, keys))
+        if None not in found:
+            return found
+        missing, k = [], -1
+        for _ in range(found.count(None)):
+            k = found.index(None, k + 1)
+            missing.append(k)
+        own = {keys[k]: self._bytes(keys[k]) for k in missing if len(keys[k]) > MAX_PIECE_CHARS}
+        self._learn([keys[k] for k in missing if keys[k] not in own])
+        for k in missing:
+            key = keys[k]
+            found[k] = own[key] if key in own else known[key]
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts joined, number of ids of each text); null is an empty text."""
         if len(self.pieces) > MAX_PIECES:
             self.pieces.clear()
-        known = self.pieces
-        out: list[bytes | None] = []
-        open_: list[tuple[int, list[str], list[bytes | None]]] = []
-        new: dict[str, None] = {}
-        for t in texts:
-            t = t or ""
-            if self.whole.search(t) or "\x00" in t:
-                out.append(self._bytes(t))
-                continue
-            # the text cut before each single space
-            words = t.replace(" ", "\x00 ").split("\x00") if self.byte_level else t.split(" ")
-            parts = list(map(known.get, words))
-            if None in parts:
-                new.update((w, None) for w, p in zip(words, parts) if p is None)
-                open_.append((len(out), words, parts))
-                out.append(None)
-            else:
-                out.append(b"".join(parts))
-        own = {w: self._bytes(w) for w in new if len(w) > MAX_PIECE_CHARS}
-        self._learn_words([w for w in new if w not in own])
-        for k, words, parts in open_:
-            out[k] = b"".join([
-                p if p is not None else own[w] if w in own else known[w]
-                for w, p in zip(words, parts)])
-        return out
+        texts = texts.cast(pa.large_string()).fill_null("")
+        whole = [i for i, t in enumerate(texts.to_pylist())
+                 if any(map(t.__contains__, self.whole))]
+        if not whole:
+            return self._encode_cut(texts)
+        mask = np.ones(len(texts), bool)
+        mask[whole] = False
+        ids, some = self._encode_cut(texts.filter(pa.array(mask)))
+        alone = {i: np.frombuffer(self._bytes(texts[i].as_py()), self.dtype) for i in whole}
+        sizes = np.zeros(len(texts), np.int64)
+        sizes[mask] = some
+        sizes[whole] = [len(alone[i]) for i in whole]
+        parts, done = [], 0
+        ends = np.concatenate([[0], np.cumsum(sizes * mask)])
+        for i in whole:
+            parts += [ids[done:ends[i]], alone[i]]
+            done = ends[i]
+        return np.concatenate([*parts, ids[done:]]), sizes
+
+    def _encode_cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts that may be cut before each single space."""
+        if not len(texts):
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        # byte level: a line feed starts a piece, too; else it is white space like a space
+        cut = pc.split_pattern(pc.replace_substring(
+            texts, "\n", " \n" if self.byte_level else " "), " ")
+        bounds = cut.offsets.to_numpy()
+        words = cut.values.slice(int(bounds[0]), int(bounds[-1] - bounds[0])).dictionary_encode()
+        bounds = bounds - bounds[0]
+        codes = words.indices.to_numpy()
+        distinct = words.dictionary
+        # a full stop or comma after a letter or digit, at a piece's end, is its own token
+        tailed = pc.match_substring_regex(distinct, r"[\pL\pN][.,]$")
+        stems = pc.if_else(tailed, pc.utf8_slice_codeunits(distinct, 0, -1),
+                           distinct).dictionary_encode()
+        tail = np.where(tailed.to_numpy(zero_copy_only=False), np.where(
+            pc.ends_with(distinct, ".").to_numpy(zero_copy_only=False), *self.tails), -1)[codes]
+        codes = stems.indices.to_numpy()[codes]
+        keys = stems.dictionary.to_pylist()
+        if self.byte_level:
+            pieces = self._pieces_of([w if w[:1] == "\n" else " " + w for w in keys])
+            first = bounds[:-1]                       # a text's first word has no space
+            pieces += self._pieces_of(cut.values.take(pa.array(cut.offsets.to_numpy()[:-1]))
+                                      .to_pylist())
+            codes[first] = len(keys) + np.arange(len(first))
+            tail[first] = -1
+        else:
+            pieces = self._pieces_of(keys)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
+        start = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join([*pieces, bytes(self.dtype.itemsize)]), self.dtype)
+        number = size[codes]
+        has = tail >= 0
+        number += has
+        ends = np.cumsum(number)
+        at = np.repeat(start[codes] - (ends - number), number)
+        at += np.arange(len(at))
+        ids = flat[at]
+        ids[ends[has] - 1] = tail[has]
+        return ids, np.diff(np.concatenate([[0], ends])[bounds])
+
+
+def slices(texts: pa.Array, max_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of runs of about ``max_bytes``, one row at least."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False),
+                      dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        before = int(sizes[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(sizes, before + max_bytes, "right")))
+        yield at, to - at
+        at = to
 
 
 _ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
