@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.llm import huffman, linededup, packing, resharding
+from corpuslink.llm import huffman, langid, linededup, packing, resharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(n: int):
+    """The remainder of the crc32 of the id's text, by n."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
 def op2_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, stored by source, moved to 8 shards of equal bytes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -23,6 +28,22 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three of four folds."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(fold(4) != 2))
+    return langid.identify(docs, model, keep={"held_out": fold(4) == 2}).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from four of five folds of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").where(fold(5) != 0))
+    return toxicity.score(docs, model, keep={"held_out": fold(5) == 0}).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that three or more share."""
     return linededup.digests(linededup.dedup_lines(table(spark, sf_dir, "documents")))
@@ -36,6 +57,8 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_resharding": (op2_resharding, None),
     "op3_packing": (op3_packing, None),
+    "op5_langid": (op5_langid, None),
+    "op8_toxicity": (op8_toxicity, None),
     "op9_linededup": (op9_linededup, linededup.ORACLE_SQL),
     "op10_huffman": (op10_huffman, None),
 }
