@@ -1,9 +1,11 @@
 """Toxic passages by maximum-scoring segments of token log-odds.
 
 * Weights: for each word the log-odds between toxic and other training documents under
-  an informative Dirichlet prior (``prior`` pseudo words spread as in both classes
-  together). Words whose weight exceeds ``min_z`` standard errors are kept, at most
-  ``max_words`` of them; all other words share one pooled weight, made negative.
+  an informative Dirichlet prior, spread as the words of both classes together and as
+  heavy as the smaller class (or ``prior`` words). A word counts once a document, so that
+  a text repeating one word teaches it once. Words whose weight exceeds ``min_z`` standard
+  errors are kept, at most ``max_words`` of them; all other words share one pooled weight,
+  made negative.
 * Passages: a linear scan (all maximal scoring segments) over the words of the whole
   text. Between two kept words the pooled weight just adds up.
 * Calibration: with p the other documents' word frequencies, lambda solves
@@ -83,12 +85,12 @@ def statistic(rate: float, best: float, words: int) -> float:
 
 
 def word_counts(labelled: DataFrame) -> DataFrame:
-    """(word, y1, y0): occurrences in toxic and other documents of (_text, _y)."""
+    """(word, y1, y0): toxic and other documents of (_text, _y) that hold the word."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = Counter(), Counter()
             for text, y in zip(*(c.to_pylist() for c in batch.columns)):
-                counts[y].update(words_of(text))
+                counts[y].update(set(words_of(text)))
             words = list(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_arrays([
                 pa.array(words, pa.binary()), pa.array([counts[1][w] for w in words], pa.int64()),
@@ -165,7 +167,7 @@ def _curve(x: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> tuple[float, f
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", max_train: int = 40_000, prior: float = 1_000.0,
+          label_col: str = "toxic", max_train: int = 40_000, prior: float | None = None,
           min_z: float = 4.0, max_words: int = 50_000, alpha: float = 0.01) -> Model:
     """Learn from the rows of ``labels`` (id, 0/1) that ``docs`` has."""
     spark = docs.sparkSession
@@ -181,6 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     n1, n0 = counts.agg(F.sum("y1"), F.sum("y0")).first()
     if not n1 or not n0:
         return Model()
+    prior = prior or float(min(n1, n0))
     a = F.lit(prior) * (F.col("y1") + F.col("y0")) / F.lit(float(n1 + n0))
     odds = lambda y, n: F.log((F.col(y) + a) / (F.lit(n + prior) - F.col(y) - a))
     weight = odds("y1", n1) - odds("y0", n0)
