@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.llm import huffman, langid, linededup, packing, resharding, toxicity
+from corpuslink.llm import huffman, langid, licenses, linededup, packing, resharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, learned from four of five folds of the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -58,6 +63,7 @@ QUERIES = {
     "op2_resharding": (op2_resharding, None),
     "op3_packing": (op3_packing, None),
     "op5_langid": (op5_langid, None),
+    "op6_licenses": (op6_licenses, licenses.ORACLE_SQL),
     "op8_toxicity": (op8_toxicity, None),
     "op9_linededup": (op9_linededup, linededup.ORACLE_SQL),
     "op10_huffman": (op10_huffman, None),
