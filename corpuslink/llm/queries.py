@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.llm import huffman, langid, licenses, linededup, packing, resharding, toxicity
+from corpuslink.llm import (
+    huffman, jaccard, langid, licenses, linededup, packing, resharding, toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +43,11 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document."""
+    return jaccard.link_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, learned from four of five folds of the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -64,6 +71,7 @@ QUERIES = {
     "op3_packing": (op3_packing, None),
     "op5_langid": (op5_langid, None),
     "op6_licenses": (op6_licenses, licenses.ORACLE_SQL),
+    "op7_jaccard": (op7_jaccard, None),
     "op8_toxicity": (op8_toxicity, None),
     "op9_linededup": (op9_linededup, linededup.ORACLE_SQL),
     "op10_huffman": (op10_huffman, None),
