@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslink.llm import (
-    huffman, jaccard, langid, licenses, linededup, packing, resharding, toxicity,
+    huffman, jaccard, langid, licenses, linededup, packing, quality, resharding,
+    toxicity,
 )
 
 
@@ -19,6 +20,12 @@ def fold(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base numbers and the verdict of every document, cutoffs by language."""
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", *quality.BASE, "base_failed", "kept")
+
+
 def op2_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, stored by source, moved to 8 shards of equal bytes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -67,6 +74,7 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": (op1_quality, None),
     "op2_resharding": (op2_resharding, None),
     "op3_packing": (op3_packing, None),
     "op5_langid": (op5_langid, None),

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 #: Where the tokenizer files lie (a folder); unset: the installed public package.
 TOKENIZER_DIR_ENV = "LLM_TOKENIZER_DIR"
-MAX_PIECES = 1_500_000
+MAX_PIECES = 600_000
 MAX_PIECE_CHARS = 64
 SEPARATOR = "\x02"
 #: White space other than the space and the line feed (fixed by Unicode).
