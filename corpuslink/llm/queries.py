@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslink.llm import (
-    huffman, jaccard, langid, licenses, linededup, packing, quality, resharding,
+    decontam, huffman, jaccard, langid, licenses, linededup, packing, quality, resharding,
     toxicity,
 )
 
@@ -37,6 +37,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that leaked into each document."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "benchmark"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three of four folds."""
     docs = table(spark, sf_dir, "documents")
@@ -77,6 +83,7 @@ QUERIES = {
     "op1_quality": (op1_quality, None),
     "op2_resharding": (op2_resharding, None),
     "op3_packing": (op3_packing, None),
+    "op4_decontam": (op4_decontam, None),
     "op5_langid": (op5_langid, None),
     "op6_licenses": (op6_licenses, licenses.ORACLE_SQL),
     "op7_jaccard": (op7_jaccard, None),
