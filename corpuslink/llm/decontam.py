@@ -61,8 +61,8 @@ def marked(text: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     """Marked words in lower case, without punctuation."""
-    plain = F.btrim(F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{N}}{PLACEHOLDERS}]+", " "))
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
+    plain = F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{N}}{PLACEHOLDERS}]+", " ")
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def canonical(text: Column) -> Column:
@@ -162,5 +162,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
                ) -> DataFrame:
     """``docs`` without the documents that hold a leaked passage."""
     leaks = find_leaks(docs, benchmark, id_col=id_col, **options).select(
-        F.col("doc_id").alias("_id")).distinct()
-    return docs.join(leaks, F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+        F.col("doc_id").alias("__llm_id")).distinct()
+    return docs.join(leaks, F.col(id_col).eqNullSafe(F.col("__llm_id")), "left_anti")

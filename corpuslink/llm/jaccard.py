@@ -103,21 +103,21 @@ def _sets(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list,
 
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, h, hist) of (doc_id, text): set size, set hash (null: empty set) and a
-    histogram of the elements."""
+    """(doc_id, _hash, n, h, hist) of (doc_id, _hash, text): set size, set hash (null: empty
+    set) and a histogram of the elements."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, rows, sets, hashes in _sets(batch, 1):
+            for at, rows, sets, hashes in _sets(batch, 2):
                 size = np.array([len(s) for s in sets])
                 hist = [np.minimum(np.bincount((s % np.uint64(BUCKETS)).astype(np.int64),
                                                minlength=BUCKETS), 255).astype(np.uint8).tobytes()
                         for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, rows), pa.array(size, pa.int64()),
-                    pa.array(hashes.view(np.int64), mask=size == 0), pa.array(hist, pa.binary())],
-                    names=["doc_id", "n", "h", "hist"])
+                    batch.column(0).slice(at, rows), batch.column(1).slice(at, rows),
+                    pa.array(size, pa.int64()), pa.array(hashes.view(np.int64), mask=size == 0),
+                    pa.array(hist, pa.binary())], names=["doc_id", "_hash", "n", "h", "hist"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, h long, hist binary")
+    return docs.mapInArrow(run, "doc_id long, _hash long, n long, h long, hist binary")
 
 
 def signature_rows(docs: DataFrame) -> DataFrame:
@@ -254,9 +254,10 @@ def block_pairs(members: DataFrame, hists: DataFrame) -> DataFrame:
 
 def link_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
                  ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: the size of its set and the least
-    id that links reach."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    """(doc_id, _hash, n_shingles, component_id, _class) of every row: its text's hash, the
+    size of its set, the least id that links reach, and its class (null: empty set)."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("text"))
     table = written(set_table(docs), "sets")
     classes = written(table.where(F.col("h").isNotNull()).groupBy("h").agg(
         F.min("doc_id").alias("first_id"), F.first("n").alias("n"),
@@ -282,7 +283,21 @@ def link_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     of = classes.join(joined, classes["h"] == joined["node"], "left").select(
         classes["h"], "first_id", F.coalesce("component", classes["h"]).alias("c"))
     least = of.groupBy("c").agg(F.min("first_id").alias("component_id"))
-    of = of.join(least, "c").select("h", "component_id")
+    of = of.join(least, "c").select("h", "component_id", F.col("c").alias("_class"))
     return table.join(of, "h", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "_hash", F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"), "_class")
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class, that of the least id (null ids last), and all
+    rows with an empty set; equal rows of one id are one row."""
+    rows = link_classes(docs, id_col=id_col, text_col=text_col)
+    first = rows.where(F.col("_class").isNotNull()).groupBy("_class").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "_hash")).alias("f")).select(
+        F.col("f")["doc_id"].alias("__llm_id"), F.col("f")["_hash"].alias("__llm_hash"))
+    stay = first.union(rows.where(F.col("_class").isNull()).select("doc_id", "_hash").distinct())
+    marked = docs.withColumn("__llm_own", F.xxhash64(text_col))
+    return marked.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("__llm_id"))
+                       & (F.col("__llm_own") == F.col("__llm_hash")), "left_semi"
+                       ).dropDuplicates([id_col, "__llm_own"]).drop("__llm_own")

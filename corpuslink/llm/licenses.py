@@ -54,22 +54,21 @@ MAX_INDEX_ROWS = 100_000
 
 
 def spaced(text: Column) -> Column:
-    """The words in lower case, one space before and after each ('' without words)."""
-    one = F.btrim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NO_WORD, " "))
-    return F.when(one == "", F.lit("")).otherwise(
-        F.concat(F.lit(" "), F.replace(one, F.lit(" "), F.lit("  ")), F.lit(" ")))
+    """The words in lower case, two spaces before, between and after them."""
+    return F.regexp_replace(F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" ")),
+                            NO_WORD, "  ")
 
 
-def words_in(spaced_text: Column) -> Column:
-    """How many words a spaced text has (two spaces each)."""
-    return ((F.length(spaced_text) - F.length(F.replace(spaced_text, F.lit(" "), F.lit(""))))
-            / 2).cast("long")
+def words_in(part: Column) -> Column:
+    """How many words stand before or behind a phrase cut out of a spaced text with one
+    space at each of its ends."""
+    return F.floor((F.length(part) - F.length(F.replace(part, F.lit(" "), F.lit("")))) / 2)
 
 
 def base_columns(words: Column) -> dict[str, Column]:
     """Places, first and last start, and labels of the fixed phrases in a spaced text."""
     places, firsts, lasts, labels = [], [], [], []
-    n = words_in(words)
+    n = words_in(words) - 1
     for phrase, label in PHRASES.items():
         wanted = " " + phrase.replace(" ", "  ") + " "
         held = F.contains(words, F.lit(wanted))
@@ -84,7 +83,7 @@ def base_columns(words: Column) -> dict[str, Column]:
 
 
 def word_array(words: Column) -> Column:
-    return F.filter(F.split(words, " "), lambda w: w != "")
+    return F.array_remove(F.split(words, " +"), "")
 
 
 def template_index(docs: DataFrame, templates: dict[str, str], threshold: float,
@@ -111,19 +110,21 @@ def template_index(docs: DataFrame, templates: dict[str, str], threshold: float,
 
 def blocks_of(docs: DataFrame, text_col: str, keep: list[str], some: list[str],
               block_words: int, stride: int) -> DataFrame:
-    """(keep, block, tokens) of the stretches that hold a word of ``some``; a text
-    without any of these words is turned away before it is cut."""
-    words = spaced(F.col(text_col))
+    """(keep, block, tokens) of the stretches that hold a word of ``some``. A text without
+    any of these words is not cut, and blocks without one are not exploded. (Conditions
+    stand in the columns: as filters they would be pushed below and computed twice.)"""
     held = F.lit(False)
     for w in some:
         held = held | F.contains(F.col("_words"), F.lit(f" {w} "))
-    cut = docs.select(*keep, words.alias("_words")).where(held).select(
-        *keep, word_array(F.col("_words")).alias("_list"))
+    cut = docs.select(*keep, spaced(F.col(text_col)).alias("_words")).select(
+        *keep, F.when(held, word_array(F.col("_words"))).alias("_list"))
+    wanted = F.array(*[F.lit(w) for w in some])
     starts = F.sequence(F.lit(0), F.greatest(F.size("_list") - 1, F.lit(0)), F.lit(stride))
-    return cut.select(*keep, "_list", F.explode(starts).alias("_at")).select(
-        *keep, F.col("_at").cast("long").alias("block"),
-        F.array_distinct(F.slice("_list", F.col("_at") + 1, F.lit(block_words))).alias("tokens")
-    ).where(F.arrays_overlap("tokens", F.array(*[F.lit(w) for w in some])))
+    blocks = F.filter(F.transform(starts, lambda i: F.struct(
+        i.cast("long").alias("block"), F.array_distinct(F.slice("_list", i + 1, F.lit(
+            block_words))).alias("tokens"))), lambda b: F.arrays_overlap(b["tokens"], wanted))
+    return cut.select(*keep, F.explode_outer(F.when(F.col("_list").isNotNull(), blocks)).alias(
+        "_b")).where(F.col("_b").isNotNull()).select(*keep, "_b.block", "_b.tokens")
 
 
 def find_notices(docs: DataFrame, *, keep: list[str], text_col: str = "text",
@@ -163,7 +164,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **o
     found = find_notices(rows, keep=["doc_id", "_hash"], **options).groupBy("doc_id", "_hash").agg(
         F.collect_set("template").alias("_found"), F.max("containment").alias("_best"))
     base = rows.withColumn("_words", spaced(F.col("text"))).select(
-        "doc_id", "_hash", words_in(F.col("_words")).alias("n_words"),
+        "doc_id", "_hash", (words_in(F.col("_words")) - 1).alias("n_words"),
         *(c.alias(k) for k, c in base_columns(F.col("_words")).items()))
     every = F.array_sort(F.array_distinct(F.concat(
         "base", F.coalesce("_found", F.array().cast("array<string>")))))

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from corpuslink.llm.scratch import new_folder, written
 
@@ -238,13 +239,17 @@ def repeated_lines(lines: DataFrame, shards: DataFrame, n_shards: int, n_salts:
     return met.mapInArrow(probe, "_doc long, _text_hash long, _pos int")
 
 
-def drop_lines(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` without the lines at the given places; adds n_lines and n_dropped."""
+def drop_lines(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str,
+               counts: bool = True) -> DataFrame:
+    """``docs`` without the lines at the given places; with ``counts`` also n_lines and
+    n_dropped (in place of columns of these names)."""
     gone = drops.groupBy("_doc", "_text_hash").agg(F.collect_set("_pos").alias("_drop"))
-    columns = [c for c in docs.columns if c != text_col]
-    marked = docs.withColumns({"_id": F.col(id_col).cast("long"), "_hash": F.xxhash64(text_col)})
-    joined = marked.join(gone, (F.col("_id") == F.col("_doc")) & (F.col("_hash")
-                                == F.col("_text_hash")), "left")
+    # all columns travel as one struct, so that no name can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash"),
+                       F.col(text_col).alias("_text"))
+    joined = rows.join(gone, (F.col("_id") == F.col("_doc")) & (F.col("_hash")
+                                                                == F.col("_text_hash")), "left")
 
     def rewrite(batches):
         for batch in batches:
@@ -259,20 +264,23 @@ def drop_lines(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str) ->
                 lines.append(len(own))
                 out.append("\n".join([x for i, x in enumerate(own) if i not in drop]))
             yield pa.RecordBatch.from_arrays([
-                *batch.columns[2:], pa.array(out, pa.string()), pa.array(lines, pa.int64()),
+                batch.column(2), pa.array(out, pa.string()), pa.array(lines, pa.int64()),
                 pa.array([len(d or ()) for d in gone], pa.int64())],
-                names=[*batch.schema.names[2:], text_col, "n_lines", "n_dropped"])
+                names=["_row", "_kept", "n_lines", "n_dropped"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                       for f in docs.select(*columns).schema.fields)
-    return joined.select("_drop", F.col(text_col).alias("_text"), *columns).mapInArrow(
-        rewrite, f"{fields}, `{text_col}` string, n_lines long, n_dropped long")
+    made = joined.select("_drop", "_text", "_row").mapInArrow(rewrite, StructType([
+        rows.schema["_row"], StructField("_kept", StringType()), StructField("n_lines", LongType()),
+        StructField("n_dropped", LongType())]))
+    added = ["n_lines", "n_dropped"] if counts else []
+    return made.select(*[F.col("_kept").alias(c) if c == text_col else F.col("_row")[c].alias(c)
+                         for c in docs.columns if c not in added], *added)
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
-                held: DataFrame | None = None) -> DataFrame:
-    """All rows of ``docs`` with repeated lines taken out, plus n_lines and n_dropped.
+                held: DataFrame | None = None, counts: bool = True) -> DataFrame:
+    """All rows of ``docs`` with repeated lines taken out; with ``counts`` also n_lines and
+    n_dropped.
 
     ``held``: postings of a ``LineState`` to count as well (incremental use).
     """
@@ -285,7 +293,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     drops = repeated_lines(lines, shard_rows(repeated, n_shards), n_shards,
                            max(1, parts // n_shards))
-    return drop_lines(docs, drops, id_col, text_col)
+    return drop_lines(docs, drops, id_col, text_col, counts)
 
 
 class LineState:

@@ -61,9 +61,7 @@ def repeat_words(df: DataFrame, words: str, out: str) -> DataFrame:
 def features(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
     """(doc_id, _hash, stratum, base numbers, rule values) of every row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    trimmed = F.btrim(text, F.lit(BLANKS))
-    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, r"[\x20\x09-\x0D]+"))
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("_hash"),
         F.col(stratum_col).cast("string").alias("stratum"), text.alias("_t"), words.alias("_w"),
@@ -181,6 +179,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
               text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     good = judge(docs, labels, id_col=id_col, text_col=text_col, **options).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("_hash").alias("_text_hash"))
-    return docs.join(good, F.col(id_col).eqNullSafe(F.col("_id"))
-                     & (F.xxhash64(text_col) == F.col("_text_hash")), "left_semi")
+        F.col("doc_id").alias("__llm_id"), F.col("_hash").alias("__llm_hash"))
+    return docs.join(good, F.col(id_col).eqNullSafe(F.col("__llm_id"))
+                     & (F.xxhash64(text_col) == F.col("__llm_hash")), "left_semi")

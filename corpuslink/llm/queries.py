@@ -58,7 +58,8 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies of every document."""
-    return jaccard.link_classes(table(spark, sf_dir, "documents"))
+    return jaccard.link_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

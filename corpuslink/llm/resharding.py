@@ -141,14 +141,14 @@ def reshard(spark: SparkSession, path: str, out_path: str, schema: StructType, n
                                    "shard int, _rs_new int, low long, high long")
     # a row per block: a window of one old shard's blocks, not of its documents
     order = Window.partitionBy("_rs_shard").orderBy("_rs_block")
-    placed = blocks.withColumn("before", F.sum("bytes").over(order) - F.col("bytes"))
+    placed = blocks.withColumn("_rs_before", F.sum("bytes").over(order) - F.col("bytes"))
     dealt = placed.join(F.broadcast(ranges), (F.col("_rs_shard") == F.col("shard"))
-                        & (F.col("before") < F.col("high"))
-                        & (F.col("before") + F.col("bytes") > F.col("low")))
-    share = written(dealt.groupBy(*BLOCK, "before").agg(
-        F.sort_array(F.collect_list(F.struct("low", "high", "_rs_new"))).alias("to")), "transfers")
-    first = F.col("to")[0]["_rs_new"]
-    one = F.size("to") == 1
+                        & (F.col("_rs_before") < F.col("high"))
+                        & (F.col("_rs_before") + F.col("bytes") > F.col("low")))
+    share = written(dealt.groupBy(*BLOCK, "_rs_before").agg(
+        F.sort_array(F.collect_list(F.struct("low", "high", "_rs_new"))).alias("_rs_to")), "transfers")
+    first = F.col("_rs_to")[0]["_rs_new"]
+    one = F.size("_rs_to") == 1
     stays, moves = one & (first == F.col("_rs_shard")), one & (first != F.col("_rs_shard"))
 
     def rows_of(which: Column) -> DataFrame:
@@ -161,10 +161,10 @@ def reshard(spark: SparkSession, path: str, out_path: str, schema: StructType, n
     # documents of split blocks: a window of one block at a time
     inside = Window.partitionBy(*BLOCK).orderBy(F.col("_rs_size").desc(), F.col(id_col))
     cut = rows_of(~one).withColumn("_rs_size", text_bytes(text_col)).withColumn(
-        "_rs_mid", F.col("before") + F.sum("_rs_size").over(inside) - F.col("_rs_size") / 2)
-    target = F.coalesce(F.get(F.filter("to", lambda t: (t["low"] <= F.col("_rs_mid"))
+        "_rs_mid", F.col("_rs_before") + F.sum("_rs_size").over(inside) - F.col("_rs_size") / 2)
+    target = F.coalesce(F.get(F.filter("_rs_to", lambda t: (t["low"] <= F.col("_rs_mid"))
                                        & (F.col("_rs_mid") < t["high"])), F.lit(0)),
-                        F.element_at("to", -1))["_rs_new"]
+                        F.element_at("_rs_to", -1))["_rs_new"]
     out = [*names, *BLOCK, "_rs_new"]
     cut.withColumn("_rs_new", target).select(*out).unionByName(
         rows_of(moves).withColumn("_rs_new", first).select(*out)
