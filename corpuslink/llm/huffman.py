@@ -162,6 +162,7 @@ def token_table(docs: DataFrame, id_col: str, text_col: str, tokenizer: str,
 def id_counts(table: DataFrame) -> DataFrame:
     """(id, n) over the whole token table; each task sends a row per id at most."""
     def run(batches):
+        TK.forget()
         total = np.zeros(IDS, np.int64)
         for batch in batches:
             for k in range(0, batch.num_rows, 1024):
@@ -283,6 +284,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                            .alias("before"))
 
     def decode(batches):
+        TK.forget()
         for batch in batches:
             for row in batch.to_pylist():
                 sizes = np.array(row["doc_sizes"], np.int64)

@@ -19,7 +19,8 @@ import pyarrow.compute as pc
 
 #: Where the tokenizer files lie (a folder); unset: the installed public package.
 TOKENIZER_DIR_ENV = "LLM_TOKENIZER_DIR"
-MAX_PIECES = 600_000
+MAX_PIECES = 1_500_000
+ROOM_FOR_ALL = 800_000         # beyond this, only pieces seen twice at once are remembered
 MAX_PIECE_CHARS = 64
 SEPARATOR = "\x02"
 #: White space other than the space and the line feed (fixed by Unicode).
@@ -72,8 +73,9 @@ class PieceEncoder:
     def _bytes(self, text: str) -> bytes:
         return np.array(self._ids(text), self.dtype).tobytes()
 
-    def _learn(self, new: list[str]) -> None:
+    def _new(self, new: list[str]) -> dict[str, bytes]:
         """Encode unseen pieces, many in one call, and cut the ids at the piece starts."""
+        made: dict[str, bytes] = {}
         group, alone = [], []
         for p in new:
             if self.byte_level:
@@ -82,7 +84,7 @@ class PieceEncoder:
                 fits = p != "" and SEPARATOR not in p and "<|" not in p
             (group if fits else alone).append(p)
         for p in alone:
-            self.pieces[p] = self._bytes(p)
+            made[p] = self._bytes(p)
         width = self.dtype.itemsize
         for k in range(0, len(group), 200):
             part = group[k:k + 200]
@@ -97,14 +99,16 @@ class PieceEncoder:
                 ends = np.append(stops, len(ids))
             if len(cuts) != len(part) or (self.byte_level and len(cuts) and cuts[0] != 0):
                 for p in part:
-                    self.pieces[p] = self._bytes(p)
+                    made[p] = self._bytes(p)
                 continue
             raw = ids.astype(self.dtype).tobytes()
             for p, a, b in zip(part, (cuts * width).tolist(), (ends * width).tolist()):
-                self.pieces[p] = raw[a:b]
+                made[p] = raw[a:b]
+        return made
 
-    def _pieces_of(self, keys: list[str]) -> list[bytes]:
-        """The ids of each piece, from memory or newly encoded."""
+    def _pieces_of(self, keys: list[str], often: np.ndarray) -> list[bytes]:
+        """The ids of each piece, from memory or newly encoded. Once many are remembered,
+        only those that occur ``often`` here are: most of the others never come again."""
         known = self.pieces
         found = list(map(known.get, keys))
         if None not in found:
@@ -113,11 +117,15 @@ class PieceEncoder:
         for _ in range(found.count(None)):
             k = found.index(None, k + 1)
             missing.append(k)
-        own = {keys[k]: self._bytes(keys[k]) for k in missing if len(keys[k]) > MAX_PIECE_CHARS}
-        self._learn([keys[k] for k in missing if keys[k] not in own])
+        made = self._new([keys[k] for k in missing])
+        for k in missing:
+            found[k] = made[keys[k]]
+        if len(known) > ROOM_FOR_ALL:
+            missing = np.array(missing)[often[missing]].tolist()
         for k in missing:
             key = keys[k]
-            found[k] = own[key] if key in own else known[key]
+            if len(key) <= MAX_PIECE_CHARS:
+                known[key] = found[k]
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -163,15 +171,16 @@ class PieceEncoder:
             pc.ends_with(distinct, ".").to_numpy(zero_copy_only=False), *self.tails), -1)[codes]
         codes = stems.indices.to_numpy()[codes]
         keys = stems.dictionary.to_pylist()
+        often = np.bincount(codes, minlength=len(keys)) > 1
         if self.byte_level:
-            pieces = self._pieces_of([w if w[:1] == "\n" else " " + w for w in keys])
+            pieces = self._pieces_of([w if w[:1] == "\n" else " " + w for w in keys], often)
             first = bounds[:-1]                       # a text's first word has no space
             pieces += self._pieces_of(cut.values.take(pa.array(cut.offsets.to_numpy()[:-1]))
-                                      .to_pylist())
+                                      .to_pylist(), np.zeros(len(first), bool))
             codes[first] = len(keys) + np.arange(len(first))
             tail[first] = -1
         else:
-            pieces = self._pieces_of(keys)
+            pieces = self._pieces_of(keys, often)
         size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
         start = np.cumsum(size) - size
         flat = np.frombuffer(b"".join([*pieces, bytes(self.dtype.itemsize)]), self.dtype)
@@ -207,3 +216,9 @@ def encoder(path: str, dtype: str = "<u4") -> PieceEncoder:
     if key not in _ENCODERS:
         _ENCODERS[key] = PieceEncoder(path, dtype)
     return _ENCODERS[key]
+
+
+def forget() -> None:
+    """Give the memory of remembered pieces back (a worker's later tasks may not encode)."""
+    for e in _ENCODERS.values():
+        e.pieces.clear()
