@@ -14,9 +14,14 @@ def _c(c) -> Column:
 
 
 def dot(a, b) -> Column:
-    """Inner product in double precision. Arrays of unequal size yield NULL terms."""
-    prods = F.zip_with(_c(a), _c(b), lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(prods, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+    """Inner product in double precision; null if either is null. Vectors of unequal
+    size are an error, not a shorter product."""
+    x, y = _c(a), _c(b)
+    prods = F.zip_with(x, y, lambda u, v: u.cast("double") * v.cast("double"))
+    total = F.aggregate(prods, F.lit(0.0).cast("double"), lambda acc, u: acc + u)
+    return F.when(x.isNull() | y.isNull(), F.lit(None).cast("double")).when(
+        F.size(x) == F.size(y), total).otherwise(
+        F.raise_error(F.lit("vectors of unequal size")).cast("double"))
 
 
 def l2_norm(a) -> Column:

@@ -6,6 +6,7 @@ plus whatever canonical-order columns the caller keeps.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,16 @@ from pyspark.sql import functions as F
 
 from corpuslink.functions.text import reference
 from corpuslink.operators.query import top_n_per_key
-from corpuslink.operators.upsert import first_per_key
+from corpuslink.operators.upsert import first_per_key, with_default
+from corpuslink.session import scratch_path
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """One written copy in the shared folder, for plans that read it several times."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 def link_order():
     """D3: votes desc, then target id - a total order within a source."""
@@ -107,65 +117,53 @@ def expand_ranges(df: DataFrame, start: str, end: str, out: str = "to_verse") ->
     return df.withColumn(out, F.explode(seq))
 
 
-def resolve_refs(stmts: DataFrame, from_units: DataFrame,
-                 to_units: DataFrame | None = None) -> DataFrame:
-    """O-31: resolve both ends of expanded statements to unit ids with two left joins.
-
-    ``stmts`` has from_book/from_chapter/from_verse and to_book/to_chapter/to_verse;
-    the result adds nullable ``from_id`` and ``to_id``. This replaces one id
-    lookup per row; AQE broadcasts the unit keys when they are small.
-    """
-    to_units = from_units if to_units is None else to_units
-    f = from_units.select(F.col("unit_id").alias("from_id"), F.col("book").alias("from_book"),
-                          F.col("chapter").alias("from_chapter"),
-                          F.col("verse").alias("from_verse"))
-    t = to_units.select(F.col("unit_id").alias("to_id"), F.col("book").alias("to_book"),
-                        F.col("chapter").alias("to_chapter"), F.col("verse").alias("to_verse"))
-    return (stmts.join(f, ["from_book", "from_chapter", "from_verse"], "left")
-            .join(t, ["to_book", "to_chapter", "to_verse"], "left"))
-
-
 def import_links(parsed: DataFrame, from_units: DataFrame, to_units: DataFrame | None = None,
                  order: Sequence[str] = ("file", "line_no", "to_verse")) -> dict[str, DataFrame]:
     """O-30..O-33 end to end: expand ranges, resolve, insert first-wins.
 
-    ``parsed`` comes from ``sources.linkdump.parse_link_lines`` (one row per
-    statement line, ``matched`` false for parse failures). One chain serves
-    every output: the source is resolved once per line, the range is expanded
-    with ``posexplode_outer`` (an empty range or a failed line keeps one row
-    with a NULL target), then the target is resolved. Returns ``edges``
+    ``parsed`` comes from ``sources.linkdump`` (one row per statement line, ``matched``
+    false for parse failures). The source is resolved once per line, the range is
+    expanded with ``posexplode_outer`` (an empty range keeps one row with a NULL target),
+    then the target is resolved; votes that are missing or no 64-bit number are 0 (O-17).
+    Returns ``edges``
     (from_id, to_id, votes), ``report`` (per file: statements, inserted,
     skipped, unparsed - an unresolved source costs one skip per line, an
     unresolved target one per expanded verse, duplicates are credited to the
     first) and ``resolved`` (the expanded rows of parsed statements).
     """
     to_units = from_units if to_units is None else to_units
-    f = from_units.select(F.col("unit_id").alias("from_id"), F.col("book").alias("from_book"),
-                          F.col("chapter").alias("from_chapter"),
-                          F.col("verse").alias("from_verse"))
-    t = to_units.select(F.col("unit_id").alias("to_id"), F.col("book").alias("to_book"),
-                        F.col("chapter").alias("to_chapter"), F.col("verse").alias("to_verse"))
-    per_line = parsed.join(f, ["from_book", "from_chapter", "from_verse"], "left")
-    rng = F.when(F.col("matched") & (F.col("to_verse_start") <= F.col("to_verse_end")),
+    f, t = _ends(from_units, "from"), _ends(to_units, "to")
+    # Lines that failed to parse carry no keys: they only count, and never meet a join.
+    good = with_default(parsed.filter("matched"), "votes", 0)
+    per_line = good.join(f, ["from_book", "from_chapter", "from_verse"], "left")
+    rng = F.when(F.col("to_verse_start") <= F.col("to_verse_end"),
                  F.sequence("to_verse_start", "to_verse_end"))
     expanded = per_line.select("*", F.posexplode_outer(rng).alias("_pos", "to_verse"))
-    rows = expanded.join(t, ["to_book", "to_chapter", "to_verse"], "left")
-
-    good = rows.filter(F.col("from_id").isNotNull() & F.col("to_id").isNotNull())
-    winners = first_per_key(good.select("from_id", "to_id", "votes", *order),
-                            ["from_id", "to_id"], order)
+    target = expanded.filter(F.col("to_verse").isNotNull()).join(
+        t, ["to_book", "to_chapter", "to_verse"], "left")
+    # Everything below reads one written copy of the resolved rows.
+    kept = ["file", *[c for c in order if c not in ("file", "to_verse")], "to_verse", "votes",
+            "_pos", "from_id", "to_id"]
+    rows = _written(target.select(*kept).unionByName(
+        expanded.filter(F.col("to_verse").isNull())
+        .withColumn("to_id", F.lit(None).cast(t.schema["to_id"].dataType)).select(*kept)),
+        "resolved")
+
+    winners = first_per_key(
+        rows.filter(F.col("from_id").isNotNull() & F.col("to_id").isNotNull())
+        .select("from_id", "to_id", "votes", *order), ["from_id", "to_id"], order)
     edges = winners.select("from_id", "to_id", "votes")
 
     first_of_line = F.col("_pos").isNull() | (F.col("_pos") == 0)
     stats = rows.groupBy("file").agg(
-        F.count_if(first_of_line).alias("lines_processed"),
-        F.count_if(~F.col("matched")).alias("unparsed"),
-        F.count_if(F.col("matched") & F.col("from_id").isNull() & first_of_line)
-        .alias("_skip_from"),
+        F.count_if(F.col("from_id").isNull() & first_of_line).alias("_skip_from"),
         F.count_if(F.col("from_id").isNotNull() & F.col("to_verse").isNotNull()
                    & F.col("to_id").isNull()).alias("_skip_to"))
+    lines = parsed.groupBy("file").agg(F.count(F.lit(1)).alias("lines_processed"),
+                                       F.count_if(~F.col("matched")).alias("unparsed"))
     imported = winners.groupBy("file").agg(F.count(F.lit(1)).alias("imported"))
-    report = (stats.join(imported, "file", "left").na.fill(0, ["imported"])
+    report = (lines.join(stats, "file", "left").join(imported, "file", "left")
+              .na.fill(0, ["imported", "_skip_from", "_skip_to"])
               .select("file", "lines_processed", "imported",
                       (F.col("_skip_from") + F.col("_skip_to")).alias("skipped"), "unparsed"))
     resolved = rows.filter(F.col("to_verse").isNotNull()).drop("_pos")

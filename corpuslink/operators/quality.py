@@ -12,10 +12,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslink.operators.upsert import upsert
 
 
+GRID_BLOCK = 10_000     # numbers of one group generated at a time
+
+
+def number_grid(df: DataFrame, top: str, out: str) -> DataFrame:
+    """One row per number 1..top of each row (none when top < 1), in bounded blocks."""
+    n = F.col(top)
+    at = F.when(n >= 1, F.sequence(F.lit(0), F.floor((n - 1) / GRID_BLOCK)))
+    rows = df.withColumn("_at", F.explode(at))
+    low = F.col("_at") * GRID_BLOCK + 1
+    numbers = F.sequence(low, F.least(low + GRID_BLOCK - 1, n.cast("long")))
+    return rows.withColumn(out, F.explode(numbers.cast(T.ArrayType(df.schema[top].dataType)))) \
+        .drop("_at")
+
+
 def missing_books(books: DataFrame, units: DataFrame, key: str = "key") -> DataFrame:
     """O-55: expected groups without any unit."""
     return books.join(units.select(key), key, "left_anti")
@@ -51,7 +66,7 @@ def chapter_gaps(books: DataFrame, units: DataFrame, key: str = "key",
     Groups without any unit are reported by ``missing_books`` instead.
     """
     present = books.join(units.select(key), key, "left_semi")
-    grid = present.select(key, F.explode(F.sequence(F.lit(1), F.col(expected))).alias(chapter))
+    grid = number_grid(present.select(key, expected), expected, chapter).select(key, chapter)
     return grid.join(units.select(key, chapter), [key, chapter], "left_anti")
 
 
@@ -63,7 +78,7 @@ def verse_gaps(units: DataFrame, group: Sequence[str], verse: str = "verse") ->
     """
     group = list(group)
     top = units.groupBy(*group).agg(F.max(verse).alias("_max"))
-    grid = top.select(*group, F.explode(F.sequence(F.lit(1), F.col("_max"))).alias(verse))
+    grid = number_grid(top, "_max", verse).select(*group, verse)
     return grid.join(units.select(*group, verse), group + [verse], "left_anti")
 
 

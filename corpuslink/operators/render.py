@@ -131,23 +131,23 @@ def corpus_index(books: DataFrame, n_units: DataFrame, n_links: DataFrame,
                  footer: str = CORPUS_FOOTER) -> DataFrame:
     """O-85: the corpus index as ordered blocks (one line per book).
 
-    ``n_units`` / ``n_links`` are one-row counts (column ``n``). seq orders the
-    Old section, then the New section, then the statistics.
+    ``n_units`` / ``n_links`` are one-row counts (column ``n``). (section, seq)
+    orders the Old section, then the New section, then the statistics.
     """
     entry = F.concat(_s("book_number"), F.lit(". [["), safe_name("book_name"), F.lit("/README|"),
                      F.col("book_name"), F.lit("]]" + NL))
     old = books.filter(F.col("testament") == "Old").select(
-        (1000000 + F.col("book_number")).cast("long").alias("seq"), entry.alias("block"))
+        F.lit(1).alias("section"), F.col("book_number").cast("long").alias("seq"), entry.alias("block"))
     new = books.filter(F.col("testament") == "New").select(
-        (3000000 + F.col("book_number")).cast("long").alias("seq"), entry.alias("block"))
+        F.lit(3).alias("section"), F.col("book_number").cast("long").alias("seq"), entry.alias("block"))
     spark = books.sparkSession
     fixed = spark.createDataFrame([
-        (0, f"# {title}{NL}{NL}{subtitle}{NL}{NL}{RULE}{NL}{NL}## Old Testament{NL}{NL}"),
-        (2000000, f"{NL}## New Testament{NL}{NL}")], "seq long, block string")
+        (0, 0, f"# {title}{NL}{NL}{subtitle}{NL}{NL}{RULE}{NL}{NL}## Old Testament{NL}{NL}"),
+        (2, 0, f"{NL}## New Testament{NL}{NL}")], "section int, seq long, block string")
     stats = (books.agg(F.count(F.lit(1)).alias("_b"))
              .withColumn("_u", n_units.select("n").scalar())
              .withColumn("_l", n_links.select("n").scalar())
-             .select(F.lit(4000000).cast("long").alias("seq"), F.concat(
+             .select(F.lit(4).alias("section"), F.lit(0).cast("long").alias("seq"), F.concat(
                  F.lit(f"{NL}{RULE}{NL}{NL}## Statistics{NL}{NL}- **Total Books:** "), _s("_b"),
                  F.lit(f"{NL}- **Total Verses:** "), F.format_number("_u", 0),
                  F.lit(f"{NL}- **Cross-References:** "), F.format_number("_l", 0),

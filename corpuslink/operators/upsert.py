@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+COPY_BLOCK = 65_536     # copies of one row written out at a time
+
 
 def _order_struct(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
@@ -70,16 +72,29 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequ
 
 def insert_strict(batch: DataFrame, keys: Sequence[str],
                   order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """O-12: the first row per key is kept, every later duplicate is a reject.
+    """O-12: the first row per key is kept, every other row is a reject, so kept and
+    rejects together are the batch. Rows that tie in ``order`` are ordered by all their
+    columns; of equal rows one is kept.
 
-    Rejects come from a join against the one-row-per-key firsts (AQE splits a
-    hot key on the batch side) rather than a window over the whole key.
+    Equal rows are counted before the shuffle and rejects come from a join against the
+    one-row-per-key firsts (AQE splits a hot key on the batch side) rather than a window
+    over the whole key.
     """
-    firsts = first_per_key(batch, keys, order)
-    marker = firsts.select(*keys, _order_struct(order).alias("_first"))
-    rejects = (batch.join(marker, list(keys))
-               .filter(_order_struct(order) != F.col("_first")).drop("_first"))
-    return firsts, rejects
+    cols = list(batch.columns)
+    whole = F.struct(*cols)
+    counted = batch.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    firsts = batch.groupBy(*keys).agg(F.min(F.struct(_order_struct(order).alias("o"),
+                                                     whole.alias("row")))["row"].alias("_first"))
+    mark = firsts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_first")
+    same_key = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    left = counted.join(mark, same_key).withColumn(
+        "_n", F.col("_n") - whole.eqNullSafe(F.col("_first")).cast("long")).filter("_n > 0")
+    # the copies in blocks: no row ever holds an array as long as a hot key
+    blocks = left.withColumn("_b", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1)
+                                                                         / COPY_BLOCK))))
+    rejects = blocks.withColumn("_c", F.explode(F.sequence(F.lit(1), F.least(
+        F.col("_n") - F.col("_b") * COPY_BLOCK, F.lit(COPY_BLOCK))))).select(*cols)
+    return firsts.select(*[F.col("_first")[c].alias(c) for c in cols]), rejects
 
 
 def assign_ids(df: DataFrame, order: Sequence[str], id_col: str = "id",

@@ -1,32 +1,40 @@
-"""Vector search (O-64, O-65, O-67..O-72, O-81).
+"""Vector search (O-64, O-65, O-67, O-69..O-72, O-81).
 
 Vectors are ``array<float>`` columns keyed by ``verse_id`` - never aligned by
-position. Scores are cosine (D2): stored vectors and queries are normalised.
+position. Scores are cosine (D2): stored vectors and queries are normalised on
+entry, whatever their length; vectors of unequal size raise an error (D1).
 
 Scale notes:
-* exact search scores every vector against a query set whose size is checked
-  (``max_queries``) and attached as one scalar subquery (or, with the 'blas'
-  engine, shipped as a broadcast matrix); the scan of the vectors is the only
-  big input and is never shuffled before the top-k cut;
-* top-k per query uses ``row_number() <= k``, which Catalyst plans as a
-  partial ``WindowGroupLimit`` before the shuffle (k rows per query per task);
-* the approximate path (IVF) probes each query's ``nprobe`` nearest cells and
+* the scan of the vectors is the only big input and is never shuffled before
+  the top-k cut: a task multiplies its Arrow batches by a block of queries and
+  keeps a running top-k, so it emits at most k rows a query;
+* a query set of any size is walked in blocks of ``BLOCK_BYTES``; more than
+  one block means more than one pass, never another answer;
+* the approximate path (IVF) finds each query's ``nprobe`` nearest cells and
   joins vectors on the cell id, so a query scores only those cells.
+
+The caller names exact or approximate search; nothing switches by size.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslink.functions.vectors import dot, l2_norm, l2_normalize
+from corpuslink.functions.vectors import dot, l2_normalize
 from corpuslink.operators.query import filter_units, top_n_per_key
+from corpuslink.session import scratch_path
 
-EXACT_BELOW = 10000          # O-68: exact search below this many vectors (fixed value)
 OVERFETCH = 10               # O-70: the reference fetches 10 * k before filtering
-DEFAULT_MAX_QUERIES = 4096   # broadcast bound for a query set
+BLOCK_BYTES = 32 << 20       # of a block of queries or cells shipped to the tasks
+BATCH_ROWS = 1024            # vectors multiplied at once
 
 
 def normalize(vecs: DataFrame, col: str = "vec", out: str | None = None) -> DataFrame:
@@ -34,33 +42,13 @@ def normalize(vecs: DataFrame, col: str = "vec", out: str | None = None) -> Data
     return vecs.withColumn(out or col, l2_normalize(col))
 
 
-def vector_norms(vecs: DataFrame, col: str = "vec") -> DataFrame:
-    return vecs.withColumn("norm", l2_norm(col))
-
-
-def checked_small(df: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """Return ``df`` after proving it has at most ``max_rows`` rows (one small job)."""
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"{what}: {n}+ rows exceed the bound {max_rows}; "
-                         "use the approximate path (topk_ann)")
-    return df
-
-
-def packed(df: DataFrame, cols, max_rows: int, what: str):
-    """All rows of a checked-size frame as one ``array<struct>`` scalar subquery:
-    computed once, then read by every task like a constant."""
-    small = checked_small(df, max_rows, what)
-    return small.agg(F.collect_list(F.struct(*cols))).scalar()
-
-
 def score(vecs: DataFrame, query: DataFrame, vec_col: str = "vec",
           qvec_col: str = "qvec") -> DataFrame:
     """Cosine score of every vector against a one-row query frame, attached as a
     scalar subquery (callers build it with a global aggregate: one row)."""
     # Bound to a column first: subqueries may not appear inside lambdas.
-    q = query.select(qvec_col).scalar()
-    return vecs.withColumn("_q", q).withColumn("score", dot(vec_col, "_q")).drop("_q")
+    q = query.select(l2_normalize(qvec_col)).scalar()
+    return vecs.withColumn("_q", q).withColumn("score", dot(l2_normalize(vec_col), "_q")).drop("_q")
 
 
 def query_vector(df: DataFrame, vec_col: str = "vec", normalize_it: bool = True) -> DataFrame:
@@ -84,18 +72,19 @@ def search(vecs: DataFrame, query: DataFrame, k: int = 10, testament: str | None
     ``mode='pre'`` (default, exact): filter, score, keep score >= min_score,
     take k. ``mode='overfetch'`` (parity, D11): rank everything, keep the first
     ``OVERFETCH * k``, then filter, then take k - may return fewer than k.
-    Ties are broken by ``verse_id``; scores are rounded to 6 places before
-    ordering so that results are stable across engines.
+    Ties are broken by ``verse_id``; the threshold meets the score itself, which
+    is then rounded to 6 places for ordering, so results are stable across engines.
     """
     order = [F.desc("score"), F.asc("verse_id")]
     if mode == "pre":
-        cand = filter_units(vecs, testament, books)
-        s = score(cand, query).withColumn("score", F.round("score", 6))
-        return s.filter(F.col("score") >= min_score).orderBy(*order).limit(k)
+        cand = score(filter_units(vecs, testament, books), query)
+        return (cand.filter(F.col("score") >= min_score)
+                .withColumn("score", F.round("score", 6)).orderBy(*order).limit(k))
     if mode == "overfetch":
-        s = score(vecs, query).withColumn("score", F.round("score", 6))
+        s = score(vecs, query).withColumn("_raw", F.col("score")) \
+            .withColumn("score", F.round("score", 6))
         top = s.orderBy(*order).limit(OVERFETCH * k)
-        top = filter_units(top, testament, books).filter(F.col("score") >= min_score)
+        top = filter_units(top, testament, books).filter(F.col("_raw") >= min_score).drop("_raw")
         return top.orderBy(*order).limit(k)
     raise ValueError(f"unknown mode {mode}")
 
@@ -114,66 +103,84 @@ def find_similar(vecs: DataFrame, key_filter, k: int = 10) -> DataFrame:
             .orderBy(F.desc("score"), F.asc("verse_id")).limit(k))
 
 
-def _blas_topk(vecs: DataFrame, queries: DataFrame, k: int, qid: str,
-               max_queries: int) -> DataFrame:
-    """Per-task exact top-k with one matrix multiply per Arrow batch.
+def _blocks(rows: DataFrame, id_col: str, vec_col: str, block_bytes: int):
+    """(ids, normalised matrix) of all rows, a block at a time: the driver never holds
+    more than one."""
+    ids, vecs, size = [], [], 0
+    for i, v in rows.select(id_col, l2_normalize(vec_col)).toLocalIterator():
+        if v is None:
+            continue
+        ids.append(i)
+        vecs.append(np.array(v, np.float64))
+        size += vecs[-1].nbytes
+        if size >= block_bytes:
+            yield ids, np.stack(vecs)
+            ids, vecs, size = [], [], 0
+    if ids:
+        yield ids, np.stack(vecs)
 
-    The query matrix (checked size, at most ``max_queries`` x dim) is shipped
-    to the tasks as a broadcast variable; each task keeps only a running top-k
-    per query, so it emits at most k x Q rows instead of N x Q.
-    """
-    import numpy as np
-    import pandas as pd
 
-    rows = checked_small(queries.select(qid, "qvec"), max_queries, "query set").collect()
-    if not rows:
-        return vecs.sparkSession.createDataFrame([], f"{qid} long, verse_id long, score double")
-    qids = np.array([r[0] for r in rows], dtype=np.int64)
-    qmat = np.array([r[1] for r in rows], dtype=np.float64)
-    bc = vecs.sparkSession.sparkContext.broadcast((qids, qmat))
+def _written(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _block_topk(vecs: DataFrame, ids: list, matrix: np.ndarray, k: int, qid: str,
+                schema: str) -> DataFrame:
+    """Each task's k best vectors of every query of one block."""
+    bc = vecs.sparkSession.sparkContext.broadcast((np.array(ids, dtype=object), matrix))
 
     def per_task(batches):
-        ids_q, mat = bc.value
-        best = None  # (qid, verse_id, score) kept so far
+        names, mat = bc.value
+        held = pd.DataFrame({"q": np.zeros(0, np.int64), "verse_id": [], "score": []})
+        floor = np.full(len(names), -np.inf)            # each query's k-th best so far
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            v = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            sc = np.round(v @ mat.T, 6)                     # (n, Q)
-            vid = pdf["verse_id"].to_numpy(dtype=np.int64)
-            cand = pd.DataFrame({qid: np.repeat(ids_q[None, :], len(vid), 0).ravel(),
-                                 "verse_id": np.repeat(vid, len(ids_q)),
-                                 "score": sc.ravel()})
-            best = cand if best is None else pd.concat([best, cand], ignore_index=True)
-            best = (best.sort_values([qid, "score", "verse_id"], ascending=[True, False, True])
-                    .groupby(qid, sort=False).head(k))
-        if best is not None:
-            yield best
-
-    return vecs.select("verse_id", F.col("vec").cast("array<double>")).mapInPandas(
-        per_task, f"{qid} long, verse_id long, score double")
+            for at in range(0, len(pdf), BATCH_ROWS):
+                part = pdf.iloc[at:at + BATCH_ROWS]
+                sc = np.round(np.stack(part["vec"].to_numpy()) @ mat.T, 6)
+                if len(sc) > k:
+                    cut = np.maximum(floor, np.partition(sc, len(sc) - k, axis=0)[len(sc) - k])
+                else:
+                    cut = floor
+                row, q = np.nonzero(sc >= cut)
+                new = pd.DataFrame({"q": q, "verse_id": part["verse_id"].to_numpy()[row],
+                                    "score": sc[row, q]})
+                held = (pd.concat([held, new], ignore_index=True) if len(held) else new)
+                held = held.sort_values(["q", "score", "verse_id"],
+                                        ascending=[True, False, True]).groupby("q").head(k)
+                full = held.groupby("q")["score"].agg(["size", "min"])
+                full = full[full["size"] >= k]
+                floor[full.index.to_numpy(int)] = full["min"].to_numpy()
+        if len(held):
+            held[qid] = names[held["q"].to_numpy(int)]
+            yield held[[qid, "verse_id", "score"]]
+
+    return vecs.mapInPandas(per_task, schema)
 
 
 def topk_exact(vecs: DataFrame, queries: DataFrame, k: int, qid: str = "qid",
-               max_queries: int = DEFAULT_MAX_QUERIES, engine: str = "sql") -> DataFrame:
-    """O-65 for many queries: ``queries(qid, qvec)`` of checked size, top-k each.
-
-    ``engine='sql'``: every vector is scored in JVM expressions and the
-    partial ``WindowGroupLimit`` cuts per task. ``engine='blas'``: each task
-    multiplies Arrow batches by the query matrix and keeps a running top-k
-    (no N x Q rows; preferable for large query sets). Result: (qid, rank,
-    verse_id, score).
+               block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """O-65 for many queries ``queries(qid, qvec)``: the k best vectors of each.
+
+    Result: (qid, rank, verse_id, score). The queries are walked in blocks; with
+    one block the vectors are scanned once and nothing is written.
     """
-    if engine == "blas":
-        s = _blas_topk(vecs, queries, k, qid, max_queries)
-        return top_n_per_key(s, [qid], [F.desc("score"), F.asc("verse_id")], k) \
-            .select(F.col(qid).cast(queries.schema[qid].dataType).alias(qid), "rank",
-                    "verse_id", "score")
-    qs = packed(queries, [F.col(qid).alias("q"), F.col("qvec").alias("v")], max_queries,
-                "query set")
-    per_vec = F.transform("_qs", lambda x: F.struct(x["q"].alias(qid),
-                                                    F.round(dot("vec", x["v"]), 6).alias("score")))
-    s = vecs.select("verse_id", "vec", qs.alias("_qs")).select("verse_id", F.inline(per_vec))
+    schema = (f"`{qid}` {queries.schema[qid].dataType.simpleString()}, "
+              f"verse_id {vecs.schema['verse_id'].dataType.simpleString()}, score double")
+    unit = vecs.where(F.col("vec").isNotNull()).select("verse_id", l2_normalize("vec").alias("vec"))
+    parts: list[DataFrame] = []
+    for ids, matrix in _blocks(queries, qid, "qvec", block_bytes):
+        if parts:
+            parts[-1] = _written(parts[-1], "topk")     # one pass each; plans stay small
+        parts.append(_block_topk(unit, ids, matrix, k, qid, schema))
+    if not parts:
+        s = vecs.sparkSession.createDataFrame([], schema)
+    else:
+        s = parts[0]
+        for p in parts[1:]:
+            s = s.union(p)
     return top_n_per_key(s, [qid], [F.desc("score"), F.asc("verse_id")], k) \
         .select(qid, "rank", "verse_id", "score")
 
@@ -192,27 +199,55 @@ def centroids(vecs: DataFrame, group: str, vec_col: str = "vec") -> DataFrame:
             .select(group, F.transform("_s", lambda s: s["_m"]).alias("centroid")))
 
 
+def _assign_block(df: DataFrame, names: np.ndarray, matrix: np.ndarray) -> DataFrame:
+    """``df`` with (_c, _s), the best cell of each ``_v`` so far, bettered by one block."""
+    bc = df.sparkSession.sparkContext.broadcast((names, matrix))
+    v, c, s = (df.columns.index(x) for x in ("_v", "_c", "_s"))
+
+    def per_task(batches):
+        names, mat = bc.value
+        for batch in batches:
+            vecs = batch.column(v)
+            known = np.flatnonzero(vecs.is_valid().to_numpy(zero_copy_only=False))
+            cells = batch.column(c).fill_null(-1).to_numpy(zero_copy_only=False).copy()
+            best = batch.column(s).fill_null(-np.inf).to_numpy(zero_copy_only=False).copy()
+            for at in range(0, len(known), BATCH_ROWS):
+                rows = known[at:at + BATCH_ROWS]
+                sc = vecs.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(
+                    len(rows), -1) @ mat.T
+                top = sc.argmax(axis=1)
+                score, cell = sc[np.arange(len(top)), top], names[top]
+                wins = (score > best[rows]) | ((score == best[rows]) & (cell < cells[rows]))
+                best[rows] = np.where(wins, score, best[rows])
+                cells[rows] = np.where(wins, cell, cells[rows])
+            columns = list(batch.columns)
+            columns[c] = pa.array(cells, pa.int64(), mask=cells < 0)
+            columns[s] = pa.array(best, pa.float64(), mask=np.isneginf(best))
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return df.mapInArrow(per_task, df.schema)
+
+
 def nearest_centroid(vecs: DataFrame, cents: DataFrame, cluster: str = "cluster",
-                     max_k: int = DEFAULT_MAX_QUERIES, vec_col: str = "vec",
-                     out: str | None = None) -> DataFrame:
+                     vec_col: str = "vec", out: str | None = None,
+                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Assign each vector to the centroid with the highest cosine (ties: lower id).
 
-    All centroids travel as one broadcast row (their number is checked), and
-    the arg-max is a per-row ``aggregate`` - no shuffle of the vectors.
+    One matrix product per Arrow batch and block of centroids; the vectors are
+    not shuffled.
     """
-    cn = cents.select(F.col(cluster).alias("_c"), l2_normalize("centroid").alias("_v"))
-    cents_arr = packed(cn, ["_c", "_v"], max_k, "centroids")
-    # Score every centroid once, then fold to the arg-max (ties: lower id).
-    scored = F.transform("_cents", lambda x: F.struct(x["_c"].cast("long").alias("c"),
-                                                      dot(vec_col, x["_v"]).alias("s")))
-    best = F.aggregate(
-        "_sc", F.struct(F.lit(None).cast("long").alias("c"),
-                        F.lit(None).cast("double").alias("s")),
-        lambda acc, x: F.when(acc["s"].isNull() | (x["s"] > acc["s"])
-                              | ((x["s"] == acc["s"]) & (x["c"] < acc["c"])), x)
-        .otherwise(acc))
-    return (vecs.withColumn("_cents", cents_arr).withColumn("_sc", scored)
-            .withColumn(out or cluster, best["c"]).drop("_cents", "_sc"))
+    out = out or cluster
+    rest = [c for c in vecs.columns if c != out]
+    df = vecs.select(*rest, l2_normalize(vec_col).alias("_v"),
+                     F.lit(None).cast("long").alias("_c"), F.lit(None).cast("double").alias("_s"))
+    number = 0
+    for ids, matrix in _blocks(cents, cluster, "centroid", block_bytes):
+        if number:
+            df = _written(df, "assign")
+        number += 1
+        order = np.argsort(np.array(ids), kind="stable")
+        df = _assign_block(df, np.array(ids, np.int64)[order], matrix[order])
+    return df.select(*rest, F.col("_c").alias(out))
 
 
 # --- approximate search (IVF) -------------------------------------------------
@@ -223,48 +258,36 @@ def build_ivf(vecs: DataFrame, nlist: int, seed: int = 42, max_iter: int = 10) -
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    feats = vecs.withColumn("features", array_to_vector(l2_normalize("vec")))
     # Coarse cells only steer the probe, so random initialisation (no k-means||
     # passes) is enough; probing every cell stays exact whatever the cells.
+    feats = vecs.select(array_to_vector(l2_normalize("vec")).alias("features")).persist(
+        StorageLevel.MEMORY_AND_DISK)
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter, initMode="random",
                    featuresCol="features").fit(feats)
-    cents = model.clusterCenters()
+    feats.unpersist()
     spark = vecs.sparkSession
-    cells = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(cents)],
-                                  "cell long, centroid array<double>")
-    assigned = nearest_centroid(vecs, cells, "cell", max_k=nlist)
-    return {"vectors": assigned, "cells": cells}
+    cells = spark.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
+        "cell long, centroid array<double>").withColumn("centroid", l2_normalize("centroid"))
+    unit = normalize(vecs)
+    return {"vectors": nearest_centroid(unit, cells, "cell"), "cells": cells}
 
 
 def topk_ann(index: dict, queries: DataFrame, k: int, nprobe: int = 4,
              qid: str = "qid") -> DataFrame:
-    """O-67: probe the ``nprobe`` nearest cells of each query, then exact re-rank
-    inside them. The probe is an equi-join on cell id (no product over all
-    vectors). With ``nprobe`` = all cells the result equals ``topk_exact``."""
-    cells = packed(index["cells"], ["cell", "centroid"], DEFAULT_MAX_QUERIES, "cells")
-    # Per query: score every cell, keep the nprobe best (ties: lower cell id).
-    ranked = F.array_sort(F.transform("_cells", lambda c: F.struct(
-        (-dot("qvec", c["centroid"])).alias("neg"), c["cell"].alias("cell"))))
-    probe = queries.select(qid, "qvec", cells.alias("_cells")).select(
-        qid, "qvec", F.explode(F.transform(F.slice(ranked, 1, nprobe),
-                                           lambda c: c["cell"])).alias("cell"))
+    """O-67: probe the ``nprobe`` nearest cells of each query (by the rule that dealt the
+    vectors: highest cosine, ties to the lower cell), then exact re-rank inside them. The
+    probe is an equi-join on cell id (no product over all vectors). With ``nprobe`` = all
+    cells the result equals ``topk_exact``."""
+    cells = index["cells"].select(F.col("cell").alias("verse_id"), F.col("centroid").alias("vec"))
+    near = topk_exact(cells, queries, nprobe, qid).select(qid, F.col("verse_id").alias("cell"))
+    probe = queries.select(qid, l2_normalize("qvec").alias("qvec")).join(near, qid)
     s = (index["vectors"].select("verse_id", "vec", "cell").join(probe, "cell")
-         .select(qid, "verse_id", F.round(dot("vec", "qvec"), 6).alias("score")))
+         .select(qid, "verse_id", F.round(dot(l2_normalize("vec"), "qvec"), 6).alias("score")))
     return top_n_per_key(s, [qid], [F.desc("score"), F.asc("verse_id")], k) \
         .select(qid, "rank", "verse_id", "score")
 
 
-def topk_auto(vecs: DataFrame, queries: DataFrame, k: int, n_vectors: int | None = None,
-              nlist: int | None = None, nprobe: int = 4, qid: str = "qid") -> DataFrame:
-    """O-68: exact below EXACT_BELOW vectors, IVF above (count from run metadata
-    when given, else one count job)."""
-    n = n_vectors if n_vectors is not None else vecs.count()
-    if n < EXACT_BELOW:
-        return topk_exact(vecs, queries, k, qid)
-    idx = build_ivf(vecs, nlist or max(16, int(n ** 0.5)))
-    return topk_ann(idx, queries, k, nprobe, qid)
-
-
 def recall_at_k(approx: DataFrame, exact: DataFrame, qid: str = "qid") -> DataFrame:
     """O-81: share of exact hits that the approximate search also returned."""
     hit = exact.join(approx.select(qid, "verse_id"), [qid, "verse_id"], "left_semi")
@@ -274,13 +297,20 @@ def recall_at_k(approx: DataFrame, exact: DataFrame, qid: str = "qid") -> DataFr
             .withColumn("recall", F.col("n_hit") / F.col("n_exact")))
 
 
-def save_index(index: dict, path: str, strategy: str = "text_only") -> None:
-    """O-69: persist normalised vectors with their cell, partitioned by strategy/cell."""
-    (index["vectors"].withColumn("strategy", F.lit(strategy))
-     .withColumn("vec", l2_normalize("vec").cast("array<float>"))
-     .write.mode("overwrite").partitionBy("strategy", "cell").parquet(f"{path}/vectors"))
+def save_index(index: dict, path: str, strategy: str = "text_only",
+               model_name: str = "") -> None:
+    """O-69: persist normalised vectors with their cell, and the model, dimension and
+    count. Files are clustered by cell, so a probe skips the others by their statistics;
+    the number of files follows the data, not the cells."""
+    v = normalize(index["vectors"]).withColumn("vec", F.col("vec").cast("array<float>")) \
+        .withColumn("strategy", F.lit(strategy))
+    v.repartitionByRange("cell", "verse_id").sortWithinPartitions("cell").write.mode(
+        "overwrite").partitionBy("strategy").parquet(f"{path}/vectors")
     index["cells"].withColumn("strategy", F.lit(strategy)) \
         .write.mode("overwrite").partitionBy("strategy").parquet(f"{path}/cells")
+    v.agg(F.lit(strategy).alias("strategy"), F.lit(model_name).alias("model_name"),
+          F.max(F.size("vec")).alias("dimension"), F.count(F.lit(1)).alias("n_vectors")) \
+        .write.mode("overwrite").partitionBy("strategy").parquet(f"{path}/meta")
 
 
 def load_index(spark, path: str, strategy: str = "text_only") -> dict | None:
@@ -292,6 +322,6 @@ def load_index(spark, path: str, strategy: str = "text_only") -> dict | None:
         spark.read.parquet(f"{path}/vectors/strategy={strategy}").schema  # noqa: B018
     except AnalysisException:
         return None
-    v = spark.read.parquet(f"{path}/vectors").filter(F.col("strategy") == strategy)
-    c = spark.read.parquet(f"{path}/cells").filter(F.col("strategy") == strategy)
-    return {"vectors": v.drop("strategy"), "cells": c.drop("strategy")}
+    v, c, m = (spark.read.parquet(f"{path}/{part}").filter(F.col("strategy") == strategy)
+               .drop("strategy") for part in ("vectors", "cells", "meta"))
+    return {"vectors": v, "cells": c, "meta": m}

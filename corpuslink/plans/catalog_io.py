@@ -18,7 +18,7 @@ from corpuslink.plans.registry import register
 from corpuslink.plans.sql import UNITS, with_
 from corpuslink.session import scratch_path
 from corpuslink.sources.payloads import read_payloads, write_payloads
-from corpuslink.streaming.ingest import read_table, stream_ingest
+from corpuslink.streaming.ingest import compact, read_table, stream_ingest
 
 TEXT_COLS = ("verse_id", "book_number", "chapter", "verse", "strategy", "text")
 
@@ -136,7 +136,8 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) =
 """)
 def q_stream_ingest(spark, sf_dir):
     """O-91: events landed in four time slices, ingested by a file stream with
-    first-wins upsert micro-batches; equals the batch first-wins result."""
+    first-wins policy, the first batch folded into a snapshot; equals the batch
+    first-wins result."""
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     ev = S.table(spark, sf_dir, "events").withColumn("_us", epoch_us())
     lo, hi = ev.agg(F.min("_us")).scalar(), ev.agg(F.max("_us")).scalar()
@@ -146,10 +147,11 @@ def q_stream_ingest(spark, sf_dir):
         sliced.filter(F.col("_slice") == i).select(*EVENT_SCHEMA.fieldNames()) \
             .write.mode("overwrite").json(f"{base}/landing/slice={i}")
     q = stream_ingest(spark, f"{base}/landing/*", f"{base}/table", f"{base}/checkpoint",
-                      EVENT_SCHEMA, ["user_id", "event_type"], ["event_id"], "ignore",
-                      max_files=8)
+                      EVENT_SCHEMA, max_files=8)
     q.awaitTermination()
-    return read_table(spark, f"{base}/table", EVENT_SCHEMA)
+    key = (["user_id", "event_type"], ["event_id"], "ignore")
+    compact(spark, f"{base}/table", EVENT_SCHEMA, *key, upto=0)
+    return read_table(spark, f"{base}/table", EVENT_SCHEMA, *key)
 
 
 # ------------------------------------------------------------- sinks etc. ---

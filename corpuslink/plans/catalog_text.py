@@ -1,19 +1,24 @@
 """Parsing, link import and rendering queries (O-03, O-20..O-34, O-82..O-95).
 
 Stand-ins:
-* parse input: the conversation turns whose text starts with A-Z, written
-  as ``{turn+1}{text}`` lines; ten conversations per book ``'Book {conv_id div 10}'``
-  with the book name as a title line. Parsing must give the turns back.
+* parse input: all conversation turns, written as ``{turn+1}{text}`` lines; ten
+  conversations per book ``'Book {conv_id div 10}'`` with the book name as a title line.
+  Parsing must give back the turns with an opening capital; the others follow the
+  policies (see ``CONV_SQL``).
 * link dumps: one statement per line item, formatted from lineitem, orders and
-  part: from (priority, customer, order) to (brand, size, part .. part + q%4 - 1)
-  with votes ``q - 10`` (negative votes fail to parse, D7). Sources resolve
-  against orders before 1998, targets against part.
+  part: from (priority, customer + line number div 6, order) to (brand, size,
+  part .. part + q%4 - 1) with votes ``q - 10`` (negative votes fail to parse, D7;
+  every fiftieth supplier's are no 64-bit number). They are landed as files and read
+  back. Sources resolve against orders (line numbers from 6 on find none), targets
+  against part.
 * chapters to render: conversations (no links) and customers' orders with
   their top-10 part links.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpuslink.functions.text import fmt_decimal, fmt_int, preview, safe_name, squash_ws, wiki_link
@@ -23,25 +28,42 @@ from corpuslink.operators import render as R
 from corpuslink.plans import standins as S
 from corpuslink.plans.registry import register
 from corpuslink.plans.sql import EDGES, UNITS, with_
-from corpuslink.sources.linkdump import parse_link_lines, reject_sample
+from corpuslink.session import scratch_path
+from corpuslink.sources.linkdump import read_link_dump, reject_sample, write_link_dump
 
 BOOK_SIZE = 10
 
 # ---------------------------------------------------------------- parsing ---
 
+# A turn without an opening capital has no pattern of its own: under the loose policy its
+# line joins the text before it (or nothing, at a book's start); under the line policy it is
+# lost, since a unit's text ends with its line.
 CONV_SQL = f"""
 WITH conv AS (
   SELECT 'Book ' || CAST(conv_id // {BOOK_SIZE} AS VARCHAR) AS book, conv_id, turn,
          CAST(turn + 1 AS INTEGER) AS num, text
-  FROM conversations WHERE regexp_matches(text, '^[A-Z]'))
+  FROM conversations),
+grouped AS (
+  SELECT *, sum(CASE WHEN regexp_matches(text, '^[A-Z]') THEN 1 ELSE 0 END)
+              OVER (PARTITION BY book ORDER BY conv_id, turn) AS g FROM conv),
+loose AS (
+  SELECT book, g, min(conv_id) AS conv_id, first(num ORDER BY conv_id, turn) AS num,
+         string_agg(CASE WHEN regexp_matches(text, '^[A-Z]') THEN text
+                         ELSE CAST(num AS VARCHAR) || text END, chr(10) ORDER BY conv_id, turn)
+           AS text
+  FROM grouped WHERE g > 0 GROUP BY book, g),
+firsts AS (
+  SELECT book, conv_id, turn, num,
+         trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')) AS text
+  FROM conv WHERE regexp_matches(text, '^[A-Z"'']'))
 """
 
 
-def conv_books(spark, sf_dir):
-    c = S.table(spark, sf_dir, "conversations").filter(F.col("text").rlike("^[A-Z]"))
-    c = c.withColumn("book", F.concat(F.lit("Book "),
+def conv_books(spark, sf_dir, sep=10, title="Book "):
+    c = S.table(spark, sf_dir, "conversations")
+    c = c.withColumn("book", F.concat(F.lit(title),
                                       F.floor(F.col("conv_id") / BOOK_SIZE).cast("string")))
-    body = F.expr("listagg(concat(cast(turn + 1 as string), text), char(10)) "
+    body = F.expr(f"listagg(concat(cast(turn + 1 as string), text), char({sep})) "
                   "WITHIN GROUP (ORDER BY conv_id, turn)")
     return c.groupBy("book").agg(body.alias("_body"),
                                  F.countDistinct("conv_id").cast("int").alias("expected")) \
@@ -51,10 +73,10 @@ def conv_books(spark, sf_dir):
 @register("parse_loose", oracle=CONV_SQL + f"""
 , seq AS (
   SELECT book, num, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text,
-         CASE WHEN num <= 2 AND lag(num, 1, 0) OVER (PARTITION BY book ORDER BY conv_id, turn) > 10
-              THEN 1 ELSE 0 END AS f, conv_id, turn
-  FROM conv)
-SELECT book, CAST(1 + sum(f) OVER (PARTITION BY book ORDER BY conv_id, turn
+         CASE WHEN num <= 2 AND lag(num, 1, 0) OVER (PARTITION BY book ORDER BY g) > 10
+              THEN 1 ELSE 0 END AS f, g
+  FROM loose)
+SELECT book, CAST(1 + sum(f) OVER (PARTITION BY book ORDER BY g
                                    ROWS UNBOUNDED PRECEDING) AS INTEGER) AS chapter,
        num AS verse, text
 FROM seq WHERE text <> ''
@@ -66,11 +88,7 @@ def q_parse_loose(spark, sf_dir):
 
 
 @register("parse_line", oracle=CONV_SQL + f"""
-, firsts AS (
-  SELECT book, conv_id, turn, num,
-         trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')) AS text
-  FROM conv),
-kept AS (SELECT * FROM firsts WHERE length(text) >= 3),
+, kept AS (SELECT * FROM firsts WHERE length(text) >= 3),
 exp AS (SELECT book, CAST(count(DISTINCT conv_id) AS INTEGER) AS expected FROM conv GROUP BY book),
 seq AS (
   SELECT k.*, e.expected,
@@ -89,6 +107,40 @@ def q_parse_line(spark, sf_dir):
         .select("book", "chapter", "verse", "text")
 
 
+@register("parse_fallback", oracle=f"""
+WITH conv AS (
+  SELECT 'Flat ' || CAST(conv_id // {BOOK_SIZE} AS VARCHAR) AS book, conv_id, turn,
+         CAST(turn + 1 AS INTEGER) AS num, text FROM conversations),
+grouped AS (
+  SELECT *, sum(CASE WHEN regexp_matches(text, '^[A-Z]') THEN 1 ELSE 0 END)
+              OVER (PARTITION BY book ORDER BY conv_id, turn) AS g FROM conv),
+loose AS (
+  SELECT book, g, first(num ORDER BY conv_id, turn) AS num, trim(regexp_replace(
+           string_agg(CASE WHEN regexp_matches(text, '^[A-Z]') THEN text
+                           ELSE CAST(num AS VARCHAR) || text END, ' ' ORDER BY conv_id, turn),
+           '\\s+', ' ', 'g')) AS text
+  FROM grouped WHERE g > 0 GROUP BY book, g),
+exp AS (SELECT book, CAST(count(DISTINCT conv_id) AS INTEGER) AS expected FROM conv GROUP BY book),
+seq AS (
+  SELECT k.*, e.expected, CASE WHEN num = 1 AND lag(num, 1, 0) OVER (PARTITION BY k.book
+                                 ORDER BY g) > 3 THEN 1 ELSE 0 END AS f
+  FROM loose k JOIN exp e USING (book) WHERE length(text) >= 3)
+SELECT book, CAST(least(1 + sum(f) OVER (PARTITION BY book ORDER BY g
+                                         ROWS UNBOUNDED PRECEDING), expected) AS INTEGER) AS chapter,
+       num AS verse, text
+FROM seq WHERE num > 0
+""")
+def q_parse_fallback(spark, sf_dir):
+    """O-24: books whose units all stand in one line, where the line pattern finds nothing
+    and the loose one takes over."""
+    books = conv_books(spark, sf_dir, sep=32, title="Flat ")
+    # a word before the first number, so that not even the first unit starts a line
+    books = books.withColumn("text", F.concat(
+        "book", F.lit("\nso "), F.expr("substring(text, length(book) + 2)")))
+    return P.parse_book_text(books, "v2", expected="expected") \
+        .select("book", "chapter", "verse", "text")
+
+
 @register("title_strip", oracle=CONV_SQL + """
 , books AS (
   SELECT book, book || chr(10) || string_agg(CAST(num AS VARCHAR) || text, chr(10)
@@ -108,11 +160,7 @@ def q_title_strip(spark, sf_dir):
 
 
 @register("verse_gaps_parsed", oracle=CONV_SQL + f"""
-, firsts AS (
-  SELECT book, conv_id, turn, num,
-         trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')) AS text
-  FROM conv),
-kept AS (SELECT * FROM firsts WHERE length(text) >= 3),
+, kept AS (SELECT * FROM firsts WHERE length(text) >= 3),
 exp AS (SELECT book, CAST(count(DISTINCT conv_id) AS INTEGER) AS expected FROM conv GROUP BY book),
 seq AS (
   SELECT k.*, e.expected,
@@ -139,11 +187,7 @@ def q_verse_gaps_parsed(spark, sf_dir):
 
 
 @register("load_report", oracle=CONV_SQL + f"""
-, firsts AS (
-  SELECT book, conv_id, turn, num,
-         trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')) AS text
-  FROM conv),
-kept AS (SELECT * FROM firsts WHERE length(text) >= 3),
+, kept AS (SELECT * FROM firsts WHERE length(text) >= 3),
 exp AS (SELECT book, CAST(count(DISTINCT conv_id) AS INTEGER) AS expected FROM conv GROUP BY book),
 seq AS (
   SELECT k.*, e.expected,
@@ -184,7 +228,7 @@ SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM documen
 """)
 def q_squash_ws(spark, sf_dir):
     """O-25: whitespace normalisation of whole documents."""
-    d = S.table(spark, sf_dir, "documents", spread_scan=True)
+    d = S.table(spark, sf_dir, "documents")
     return d.select("doc_id", squash_ws("text").alias("text"))
 
 
@@ -194,18 +238,23 @@ STMT_SQL = """
 WITH stmts AS (
   SELECT 'cross_references_' || l.l_returnflag || '.sql' AS file,
          l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity,
-         o.o_orderpriority AS from_book, o.o_custkey AS from_chapter, o.o_orderkey AS from_verse,
+         o.o_orderpriority AS from_book,
+         o.o_custkey + CAST(l.l_linenumber // 6 AS BIGINT) AS from_chapter,
+         o.o_orderkey AS from_verse,
          p.p_brand AS to_book, CAST(p.p_size AS BIGINT) AS to_chapter,
          p.p_partkey AS to_verse_start,
          p.p_partkey + CAST(floor(l.l_quantity) AS BIGINT) % 4 - 1 AS to_verse_end,
-         CAST(floor(l.l_quantity) AS BIGINT) - 10 AS votes
+         CASE WHEN l.l_suppkey % 50 = 0 THEN 0 ELSE CAST(floor(l.l_quantity) AS BIGINT) - 10 END
+           AS votes,
+         CASE WHEN l.l_suppkey % 50 = 0 THEN '99999999999999999999'
+              ELSE CAST(CAST(floor(l.l_quantity) AS BIGINT) - 10 AS VARCHAR) END AS votes_text
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
                   JOIN part p ON p.p_partkey = l.l_partkey),
 parsed AS (SELECT *, votes >= 0 AND to_verse_end >= 0 AS matched FROM stmts),
 ok AS (SELECT * FROM parsed WHERE matched),
 expd AS (SELECT ok.*, unnest(range(to_verse_start, to_verse_end + 1)) AS to_verse FROM ok),
 fu AS (SELECT o_orderkey AS from_id, o_orderpriority AS b, o_custkey AS c, o_orderkey AS v
-       FROM orders WHERE year(o_orderdate) < 1998),
+       FROM orders),
 tu AS (SELECT p_partkey AS to_id, p_brand AS b, CAST(p_size AS BIGINT) AS c, p_partkey AS v
        FROM part),
 res AS (
@@ -222,33 +271,55 @@ LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantit
 
 
 def link_lines(spark, sf_dir):
-    """Statement lines (file, line order columns, value) formatted from the tables."""
-    li = S.table(spark, sf_dir, "lineitem", spread_scan=True)
+    """Statement lines (file, line order columns, value) formatted from the tables. The
+    row's keys follow the statement as an SQL comment."""
+    li = S.table(spark, sf_dir, "lineitem")
     o = S.table(spark, sf_dir, "orders")
     p = S.table(spark, sf_dir, "part")
     q = F.floor("l_quantity").cast("long")
+    votes = F.when(F.col("l_suppkey") % 50 == 0, F.lit("99999999999999999999")).otherwise(
+        (q - 10).cast("string"))
     value = F.format_string(
-        "INSERT INTO cross_references VALUES ('%s', %d, %d, '%s', %d, %d, %d, %d);",
-        "o_orderpriority", "o_custkey", "o_orderkey", "p_brand", F.col("p_size").cast("long"),
-        "p_partkey", F.col("p_partkey") + q % 4 - 1, q - 10)
+        "INSERT INTO cross_references VALUES ('%s', %d, %d, '%s', %d, %d, %d, %s);"
+        " -- %d %d %d %d",
+        "o_orderpriority", F.col("o_custkey") + F.floor(F.col("l_linenumber") / 6).cast("long"),
+        "o_orderkey", "p_brand", F.col("p_size").cast("long"),
+        "p_partkey", F.col("p_partkey") + q % 4 - 1, votes,
+        F.col("l_orderkey").cast("long"), F.col("l_linenumber").cast("long"),
+        F.col("l_partkey").cast("long"), F.col("l_suppkey").cast("long"))
     return (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
             .select(F.concat(F.lit("cross_references_"), "l_returnflag", F.lit(".sql"))
                     .alias("file"), *LINE_ORDER, value.alias("value")))
 
 
+def link_dump(spark, sf_dir):
+    """The statements landed as dump files and read back: (file, line_no, value, …)."""
+    path = scratch_path(spark, f"dump-{uuid.uuid4().hex}")
+    write_link_dump(link_lines(spark, sf_dir), path, LINE_ORDER)
+    return read_link_dump(spark, path)
+
+
+def _keyed(df):
+    """The row's keys, from the comment behind its statement."""
+    keys = F.split(F.substring_index("value", " -- ", -1), " ")
+    types = ("long", "int", "long", "long")
+    return df.withColumns({c: keys[i].cast(t) for i, (c, t) in enumerate(zip(KEYS, types))})
+
+
+KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 def _ends(spark, sf_dir):
-    # Resolvable sources: orders placed before 1998 (one filtered scan).
-    fu = S.table(spark, sf_dir, "orders").filter(F.year("o_orderdate") < 1998).select(
-        F.col("o_orderkey").alias("unit_id"), F.col("o_orderpriority").alias("book"),
-        F.col("o_custkey").alias("chapter"), F.col("o_orderkey").alias("verse"))
+    fu = S.order_units(spark, sf_dir)
     tu = S.part_units(spark, sf_dir).withColumn("chapter", F.col("chapter").cast("long"))
     return fu, tu
 
 
-def _import(spark, sf_dir):
-    parsed = parse_link_lines(link_lines(spark, sf_dir))
+def _import(spark, sf_dir, extra=()):
+    parsed = link_dump(spark, sf_dir)
     fu, tu = _ends(spark, sf_dir)
-    return L.import_links(parsed, fu, tu, order=("file", *LINE_ORDER, "to_verse"))
+    return L.import_links(_keyed(parsed) if extra else parsed, fu, tu,
+                          order=("file", "line_no", "to_verse", *extra))
 
 
 @register("dump_parse", oracle=STMT_SQL + """
@@ -260,12 +331,12 @@ SELECT file, l_orderkey, l_linenumber, l_partkey, l_suppkey, matched,
        CASE WHEN matched THEN to_chapter END AS to_chapter,
        CASE WHEN matched THEN to_verse_start END AS to_verse_start,
        CASE WHEN matched THEN to_verse_end END AS to_verse_end,
-       CASE WHEN matched THEN votes END AS votes
+       CASE WHEN matched THEN try_cast(votes_text AS BIGINT) END AS votes
 FROM parsed
 """)
 def q_dump_parse(spark, sf_dir):
     """O-03: statements parsed back into their eight fields."""
-    return parse_link_lines(link_lines(spark, sf_dir)).drop("value", "l_quantity")
+    return _keyed(link_dump(spark, sf_dir)).drop("value", "line_no")
 
 
 @register("range_expand", oracle=STMT_SQL + """
@@ -273,7 +344,7 @@ SELECT file, l_orderkey, l_linenumber, l_partkey, l_suppkey, to_verse FROM expd
 """)
 def q_range_expand(spark, sf_dir):
     """O-30: one row per target verse of each range (empty when end < start)."""
-    parsed = parse_link_lines(link_lines(spark, sf_dir)).filter("matched")
+    parsed = _keyed(link_dump(spark, sf_dir)).filter("matched")
     return L.expand_ranges(parsed, "to_verse_start", "to_verse_end").select(
         "file", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "to_verse")
 
@@ -283,7 +354,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, to_verse, from_id, to_id
 """)
 def q_resolve_refs(spark, sf_dir):
     """O-31: both ends resolved by joins (NULL when unknown)."""
-    return _import(spark, sf_dir)["resolved"].select(
+    return _import(spark, sf_dir, KEYS)["resolved"].select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "to_verse", "from_id", "to_id")
 
 
@@ -314,17 +385,18 @@ def q_import_report(spark, sf_dir):
 
 
 @register("reject_sample", oracle=STMT_SQL + """
-SELECT file, printf('INSERT INTO cross_references VALUES (''%s'', %d, %d, ''%s'', %d, %d, %d, %d);',
+SELECT file, printf('INSERT INTO cross_references VALUES (''%s'', %d, %d, ''%s'', %d, %d, %d, %s);'
+                    || ' -- %d %d %d %d',
                     from_book, from_chapter, from_verse, to_book, to_chapter, to_verse_start,
-                    to_verse_end, votes) AS value
+                    to_verse_end, votes_text, l_orderkey, l_linenumber, l_partkey, l_suppkey)
+         AS value
 FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY l_orderkey, l_linenumber,
                                    l_partkey, l_suppkey, l_quantity) AS r FROM parsed)
 WHERE r <= 3 AND NOT matched
 """)
 def q_reject_sample(spark, sf_dir):
     """O-34: failed statements among the first three of each file."""
-    parsed = parse_link_lines(link_lines(spark, sf_dir))
-    return reject_sample(parsed, [F.col(c) for c in LINE_ORDER], 3)
+    return reject_sample(link_dump(spark, sf_dir), [F.col("line_no")], 3)
 
 
 # -------------------------------------------------------------- rendering ---
@@ -469,18 +541,18 @@ def q_render_book_index(spark, sf_dir):
 , b AS (SELECT DISTINCT source AS book_name, CAST(substr(source, 4) AS INTEGER) + 1 AS book_number,
                CASE WHEN CAST(substr(source, 4) AS INTEGER) < 10 THEN 'Old' ELSE 'New' END
                  AS testament FROM documents)
-SELECT CAST(0 AS BIGINT) AS seq,
+SELECT 0 AS section, CAST(0 AS BIGINT) AS seq,
        '# {R.CORPUS_TITLE}' || chr(10) || chr(10) || '{R.CORPUS_SUBTITLE}' || chr(10) || chr(10) ||
        '---' || chr(10) || chr(10) || '## Old Testament' || chr(10) || chr(10) AS block
 UNION ALL
-SELECT CAST(2000000 AS BIGINT), chr(10) || '## New Testament' || chr(10) || chr(10)
+SELECT 2, CAST(0 AS BIGINT), chr(10) || '## New Testament' || chr(10) || chr(10)
 UNION ALL
-SELECT CAST(CASE WHEN testament = 'Old' THEN 1000000 ELSE 3000000 END + book_number AS BIGINT),
+SELECT CASE WHEN testament = 'Old' THEN 1 ELSE 3 END, CAST(book_number AS BIGINT),
        CAST(book_number AS VARCHAR) || '. [[' || translate(book_name, ' /:', '__') || '/README|' ||
        book_name || ']]' || chr(10)
 FROM b
 UNION ALL
-SELECT CAST(4000000 AS BIGINT),
+SELECT 4, CAST(0 AS BIGINT),
        chr(10) || '---' || chr(10) || chr(10) || '## Statistics' || chr(10) || chr(10) ||
        '- **Total Books:** ' || CAST((SELECT count(*) FROM b) AS VARCHAR) || chr(10) ||
        '- **Total Verses:** ' || format('{{:,}}', (SELECT count(*) FROM units)) || chr(10) ||

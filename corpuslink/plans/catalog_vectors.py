@@ -1,6 +1,7 @@
 """Vector queries over ``embeddings`` (O-42, O-43, O-64..O-81).
 
-Query vectors come from the data: the normalised mean vector of each label
+The stored vectors are scaled copies of the embeddings (times a factor from the id),
+so every score here is a cosine only if the operators normalise. Query vectors come from the data: the normalised mean vector of each label
 (label 3 for the single-query demos). They are one-row (or one-per-label)
 aggregates, so their broadcast has a proven or checked bound.
 """
@@ -23,7 +24,8 @@ QUESTION = "What lies near the centre of book3?"
 
 Q1 = f"""
 q AS (SELECT qv FROM centn WHERE qid = {QUERY_LABEL}),
-scored AS (SELECT v.*, round(list_dot_product(v.vec, q.qv), 6) AS score FROM vecs v, q)
+scored AS (SELECT v.*, list_dot_product(v.unit, q.qv) AS raw,
+                  round(list_dot_product(v.unit, q.qv), 6) AS score FROM vecs v, q)
 """
 
 
@@ -41,7 +43,7 @@ def _label_queries(vecs):
 
 
 @register("vec_topk", oracle=with_(VECTORS, Q1) + """
-SELECT verse_id, reference, score FROM scored WHERE score >= 0.0
+SELECT verse_id, reference, score FROM scored WHERE raw >= 0.0
 ORDER BY score DESC, verse_id LIMIT 10
 """)
 def q_vec_topk(spark, sf_dir):
@@ -52,37 +54,37 @@ def q_vec_topk(spark, sf_dir):
 
 @register("vec_topk_batch", oracle=with_(VECTORS) + """
 SELECT qid, CAST(rank AS INTEGER) AS rank, verse_id, score FROM (
-  SELECT c.qid, v.verse_id, round(list_dot_product(v.vec, c.qv), 6) AS score,
+  SELECT c.qid, v.verse_id, round(list_dot_product(v.unit, c.qv), 6) AS score,
          row_number() OVER (PARTITION BY c.qid
-                            ORDER BY round(list_dot_product(v.vec, c.qv), 6) DESC, v.verse_id)
+                            ORDER BY round(list_dot_product(v.unit, c.qv), 6) DESC, v.verse_id)
            AS rank
   FROM vecs v, centn c)
 WHERE rank <= 5
 """)
 def q_vec_topk_batch(spark, sf_dir):
-    """O-65: top-5 for a checked-size set of queries (one per label)."""
+    """O-65: top-5 for a set of queries (one per label)."""
     v = _vecs(spark, sf_dir)
     return V.topk_exact(v, _label_queries(v), 5)
 
 
 @register("vec_topk_batch_blas", oracle=with_(VECTORS) + """
 SELECT qid, CAST(rank AS INTEGER) AS rank, verse_id, score FROM (
-  SELECT c.qid, v.verse_id, round(list_dot_product(v.vec, c.qv), 6) AS score,
+  SELECT c.qid, v.verse_id, round(list_dot_product(v.unit, c.qv), 6) AS score,
          row_number() OVER (PARTITION BY c.qid
-                            ORDER BY round(list_dot_product(v.vec, c.qv), 6) DESC, v.verse_id)
+                            ORDER BY round(list_dot_product(v.unit, c.qv), 6) DESC, v.verse_id)
            AS rank
   FROM vecs v, centn c)
 WHERE rank <= 5
 """)
 def q_vec_topk_batch_blas(spark, sf_dir):
-    """O-65 with the per-task matrix-multiply engine (running top-k per task)."""
+    """O-65 with the queries walked in several small blocks: the same answer."""
     v = _vecs(spark, sf_dir)
-    return V.topk_exact(v, _label_queries(v), 5, engine="blas")
+    return V.topk_exact(v, _label_queries(v), 5, block_bytes=1500)
 
 
 @register("vec_filtered", oracle=with_(VECTORS, Q1) + """
 SELECT verse_id, reference, score FROM scored
-WHERE testament = 'Old' AND book_name IN ('book1', 'book3') AND score >= 0.0
+WHERE testament = 'Old' AND book_name IN ('book1', 'book3') AND raw >= 0.0
 ORDER BY score DESC, verse_id LIMIT 10
 """)
 def q_vec_filtered(spark, sf_dir):
@@ -95,7 +97,7 @@ def q_vec_filtered(spark, sf_dir):
 @register("vec_overfetch", oracle=with_(VECTORS, Q1) + """
 SELECT verse_id, reference, score FROM (
   SELECT * FROM scored ORDER BY score DESC, verse_id LIMIT 100)
-WHERE testament = 'New' AND score >= 0.0
+WHERE testament = 'New' AND raw >= 0.0
 ORDER BY score DESC, verse_id LIMIT 10
 """)
 def q_vec_overfetch(spark, sf_dir):
@@ -106,7 +108,7 @@ def q_vec_overfetch(spark, sf_dir):
 
 
 @register("vec_min_score", oracle=with_(VECTORS, Q1) + """
-SELECT verse_id, score FROM scored WHERE score >= 0.2
+SELECT verse_id, score FROM scored WHERE raw >= 0.2
 ORDER BY score DESC, verse_id LIMIT 100
 """)
 def q_vec_min_score(spark, sf_dir):
@@ -118,7 +120,7 @@ def q_vec_min_score(spark, sf_dir):
 @register("vec_similar", oracle=with_(VECTORS) + f"""
 , me AS (SELECT list_transform(vec, lambda x: x / sqrt(list_sum(list_transform(vec, lambda y: y * y))))
            AS qv FROM vecs WHERE verse_id = {SIMILAR_TO})
-SELECT v.verse_id, round(list_dot_product(v.vec, me.qv), 6) AS score
+SELECT v.verse_id, round(list_dot_product(v.unit, me.qv), 6) AS score
 FROM vecs v, me WHERE v.verse_id <> {SIMILAR_TO}
 ORDER BY score DESC, v.verse_id LIMIT 10
 """)
@@ -153,7 +155,7 @@ def _hits(spark, sf_dir, k):
 
 
 LINKED = f"""
-hits AS (SELECT verse_id, reference, text, score FROM scored WHERE score >= 0.0
+hits AS (SELECT verse_id, reference, text, score FROM scored WHERE raw >= 0.0
          ORDER BY score DESC, verse_id LIMIT 5),
 hl AS (
   SELECT h.verse_id, h.reference, p.p_brand || ' ' || CAST(p.p_size AS VARCHAR) || ':' ||
@@ -217,7 +219,7 @@ assign AS (
   SELECT verse_id, qid AS cluster FROM (
     SELECT v.verse_id, c.qid,
            row_number() OVER (PARTITION BY v.verse_id
-                              ORDER BY list_dot_product(v.vec, c.qv) DESC, c.qid) AS r
+                              ORDER BY list_dot_product(v.unit, c.qv) DESC, c.qid) AS r
     FROM vecs v, centn c) WHERE r = 1),
 members AS (SELECT v.*, a.cluster FROM vecs v JOIN assign a USING (verse_id)),
 reps AS (
@@ -307,9 +309,9 @@ def q_kmeans_sizes(spark, sf_dir):
 
 @register("vec_ann_allcells", oracle=with_(VECTORS) + """
 SELECT qid, CAST(rank AS INTEGER) AS rank, verse_id, score FROM (
-  SELECT c.qid, v.verse_id, round(list_dot_product(v.vec, c.qv), 6) AS score,
+  SELECT c.qid, v.verse_id, round(list_dot_product(v.unit, c.qv), 6) AS score,
          row_number() OVER (PARTITION BY c.qid
-                            ORDER BY round(list_dot_product(v.vec, c.qv), 6) DESC, v.verse_id)
+                            ORDER BY round(list_dot_product(v.unit, c.qv), 6) DESC, v.verse_id)
            AS rank
   FROM vecs v, centn c)
 WHERE rank <= 5
@@ -327,21 +329,6 @@ def q_cluster_units(spark, sf_dir):
     return T.cluster_units(_vecs(spark, sf_dir).select("verse_id", "vec"), k=50)
 
 
-@register("vec_topk_auto", oracle=with_(VECTORS) + """
-SELECT qid, CAST(rank AS INTEGER) AS rank, verse_id, score FROM (
-  SELECT c.qid, v.verse_id, round(list_dot_product(v.vec, c.qv), 6) AS score,
-         row_number() OVER (PARTITION BY c.qid
-                            ORDER BY round(list_dot_product(v.vec, c.qv), 6) DESC, v.verse_id)
-           AS rank
-  FROM vecs v, centn c)
-WHERE rank <= 5
-""")
-def q_vec_topk_auto(spark, sf_dir):
-    """O-68: method chosen by size - below 10,000 vectors the search is exact."""
-    v = _vecs(spark, sf_dir)
-    return V.topk_auto(v, _label_queries(v), 5)
-
-
 @register("ann_recall")
 def q_ann_recall(spark, sf_dir):
     """O-81: recall@10 of IVF (8 cells, 3 probed) against exact; rows-only."""

@@ -9,7 +9,7 @@ doc_lines AS (
   SELECT doc_id, source, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos
   FROM (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents)),
 units AS (
-  SELECT CAST(doc_id * 100000 + pos AS BIGINT) AS verse_id,
+  SELECT CAST(doc_id * 4294967296 + pos AS BIGINT) AS verse_id,
          source AS book_name,
          CASE WHEN CAST(substr(source, 4) AS INTEGER) < 10 THEN 'Old' ELSE 'New' END AS testament,
          CAST(substr(source, 4) AS INTEGER) + 1 AS book_number,
@@ -41,14 +41,16 @@ to_units AS (
 
 VECTORS = """
 vecs AS (
+  SELECT *, list_transform(vec, lambda x: x / sqrt(list_sum(list_transform(vec,
+            lambda y: y * y)))) AS unit FROM (
   SELECT e.vec_id AS verse_id, 'book' || CAST(e.label AS VARCHAR) AS book_name,
          CASE WHEN e.label < 5 THEN 'Old' ELSE 'New' END AS testament,
          e.label + 1 AS book_number, e.label AS chapter, e.vec_id AS verse,
          'book' || CAST(e.label AS VARCHAR) || ' ' || CAST(e.label AS VARCHAR) || ':'
            || CAST(e.vec_id AS VARCHAR) AS reference,
          coalesce(d.text, '') AS text,
-         CAST(e.embedding AS DOUBLE[]) AS vec
-  FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id),
+         list_transform(CAST(e.embedding AS DOUBLE[]), lambda x: x * (1 + e.vec_id % 7)) AS vec
+  FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id)),
 cent AS (
   SELECT chapter AS qid, list(m ORDER BY i) AS c FROM (
     SELECT chapter, i, avg(x) AS m FROM (

@@ -7,15 +7,14 @@
   ``int(l_quantity)``, arrival order ``(l_linenumber, l_suppkey, l_quantity)``.
 * link ends = ``orders`` (book = priority, chapter = customer, verse = order key)
   and ``part`` (book = brand, chapter = size, verse = part key).
-* vector = ``embeddings`` row: book = ``'book' || label``, label < 5 = 'Old'.
+* vector = ``embeddings`` row times ``1 + vec_id % 7``: book = ``'book' || label``,
+  label < 5 = 'Old'.
 
 Every builder reads whole tables; Catalyst prunes the columns each query uses.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,31 +22,16 @@ from corpuslink.operators.links import dedupe_edges
 from corpuslink.operators.query import units_view
 
 # Fixed stand-in constants (shared with the SQL oracles).
-LINE_ID_STRIDE = 100000          # verse_id = doc_id * stride + line number
+# verse_id = doc_id * stride + line number; a line number is an array place, so below 2^31
+LINE_ID_STRIDE = 1 << 32
 OLD_BELOW = 10                   # source number below this -> 'Old'
 OLD_LABEL_BELOW = 5              # vector label below this -> 'Old'
 LINK_ARRIVAL = ("l_linenumber", "l_suppkey", "l_quantity")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    Used only before CPU-heavy narrow work (text splitting, statement
-    formatting and parsing): a file with one row group is read by one task and
-    that work would stay there. On a large input the scan already has many
-    splits and this is a no-op (the check plans the scan; no job runs).
-    ``CORPUSLINK_SPREAD=0`` turns it off.
-    """
-    if os.environ.get("CORPUSLINK_SPREAD", "1") == "0":
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:
-    """A test table. ``spread_scan`` for scans followed by CPU-heavy narrow work."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if spread_scan else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _source_no():
@@ -56,7 +40,7 @@ def _source_no():
 
 def doc_verses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """verses(verse_id, book_id, chapter, verse, text) from document lines."""
-    d = table(spark, sf_dir, "documents", spread_scan=True).select(
+    d = table(spark, sf_dir, "documents").select(
         "doc_id", "source", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     return d.filter(F.col("line") != "").select(
         (F.col("doc_id") * LINE_ID_STRIDE + F.col("pos") + 1).cast("long").alias("verse_id"),
@@ -81,7 +65,7 @@ def doc_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", spread_scan=True)
+    li = table(spark, sf_dir, "lineitem")
     return li.select(F.col("l_orderkey").alias("from_id"), F.col("l_partkey").alias("to_id"),
                      F.floor("l_quantity").cast("int").alias("votes"), *LINK_ARRIVAL)
 
@@ -124,4 +108,5 @@ def vector_units(spark: SparkSession, sf_dir: str, with_text: bool = False) -> D
         F.concat(book, F.lit(" "), F.col("label").cast("string"), F.lit(":"),
                  F.col("vec_id").cast("string")).alias("reference"),
         F.coalesce("text", F.lit("")).alias("text"),
-        F.col("embedding").alias("vec"))
+        F.transform("embedding", lambda x: x.cast("double") * (1 + F.col("vec_id") % 7))
+        .alias("vec"))

@@ -14,8 +14,7 @@ from corpuslink.operators.query import top_n_per_key
 
 # Fixed value: the statement pattern (8 groups: from book, chapter, verse; to
 # book, chapter, first verse, last verse; votes). Names cannot contain "'".
-LINK_PATTERN = (r"VALUES\s*\('([^']+)',\s*(\d+),\s*(\d+),\s*'([^']+)',\s*(\d+),\s*(\d+),"
-                r"\s*(\d+),\s*(\d+)\)")
+LINK_PATTERN = r"VALUES\s*\('([^']+)',\s*(\d+),\s*(\d+),\s*'([^']+)',\s*(\d+),\s*(\d+),\s*(\d+),\s*(\d+)\)"  # noqa: E501
 MARKER = "VALUES"
 FIELDS = ("from_book", "from_chapter", "from_verse", "to_book", "to_chapter",
           "to_verse_start", "to_verse_end", "votes")
@@ -36,10 +35,11 @@ def parse_link_lines(lines: DataFrame, text: str = "value") -> DataFrame:
     groups = _SEP.join(f"${i}" for i in range(1, len(FIELDS) + 1))
     parts = F.split(F.regexp_replace(F.col(text), r"(?s)^.*?" + LINK_PATTERN + r".*$", groups),
                     _SEP)
-    out = st.withColumn("matched", F.col(text).rlike(LINK_PATTERN)).withColumn("_p", parts)
+    # A line that does not match stays one part (it holds no U+0001 that counts).
+    out = st.withColumn("_p", parts).withColumn("matched", F.size("_p") == len(FIELDS))
     cols = []
     for i, name in enumerate(FIELDS):
-        raw = F.col("_p")[i]
+        raw = F.get("_p", F.lit(i))
         if name in ("from_book", "to_book"):
             cols.append(F.when(F.col("matched"), raw).alias(name))
         else:
@@ -55,17 +55,26 @@ def parse_link_lines(lines: DataFrame, text: str = "value") -> DataFrame:
 def read_link_dump(spark: SparkSession, path: str) -> DataFrame:
     """Read ``cross_references_*.sql``-style files as (file, line_no, value, …).
 
-    ``spark.read.text`` has no line numbers; (file, block start, row id within
-    the split) is a total order that follows the file. Never ``wholetext``.
+    ``spark.read.text`` has no line numbers; (part, block start, row id within the split)
+    is a total order that follows the file. A dump may also be a folder ``file=NAME`` of
+    part files, whose names give their order. Never ``wholetext``.
     """
-    raw = spark.read.text(path).select(
-        "value", F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"))
-    return parse_link_lines(raw.select("file", F.struct("_block", "_row").alias("line_no"),
+    raw = spark.read.text(path)
+    name = F.col("file") if "file" in raw.columns else F.col("_metadata.file_name")
+    raw = raw.select("value", name.alias("file"), F.col("_metadata.file_name").alias("_part"),
+                     F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_row"))
+    return parse_link_lines(raw.select("file", F.struct("_part", "_block", "_row").alias("line_no"),
                                        "value"))
 
 
+def write_link_dump(lines: DataFrame, path: str, order) -> None:
+    """Land statement lines (file, value) as folders ``file=NAME`` of text files that
+    follow ``order``."""
+    (lines.repartitionByRange("file", *order).sortWithinPartitions("file", *order)
+     .select("file", "value").write.mode("overwrite").partitionBy("file").text(path))
+
+
 def reject_sample(parsed: DataFrame, order, n: int = 3, text: str = "value") -> DataFrame:
     """O-34: statements that failed to parse among the first ``n`` of their file."""
     first = top_n_per_key(parsed, ["file"], order, n, "_r")

@@ -1,90 +1,98 @@
 """O-91: incremental ingest of landed files into a keyed table.
 
-``readStream`` over the landing folder -> ``foreachBatch`` applies the
-duplicate policy of the batch path (first wins = insert-or-ignore, last wins
-= insert-or-replace) to the keyed target table.
-
-The target is partitioned by a hash bucket of the key, and a micro-batch
-rewrites only the buckets it touches (dynamic partition overwrite). The cost
-of a batch is therefore the batch plus its buckets, not the whole table.
-
-Failures: the merge is idempotent (applying a batch to its own result changes
-nothing), so a retried batch - even after a partial write of some buckets -
-converges to the same table. The new bucket contents are checkpointed into the
-shared checkpoint folder before the overwrite, so the write never reads the
-files it replaces. Source offsets live in the stream checkpoint.
+``readStream`` over the landing folder -> ``foreachBatch`` writes each
+micro-batch to its own folder ``batches/batch=<id>``, replacing what an earlier
+attempt of the same batch left. Nothing else is touched, so a batch costs its own
+rows, and a crash at any point loses none: the stream replays an uncommitted batch.
+
+``read_table`` resolves the duplicate policy on reading (first wins = insert-or-ignore,
+last wins = insert-or-replace; batches by id, rows of a batch by ``order``).
+``compact`` folds the resolved table into a new snapshot folder and then adds a pointer
+row naming it and the last batch it holds. A crash before the pointer leaves the old
+state valid; one after it, the new. Folded batches are then no longer read.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuslink.operators.upsert import insert_ignore, upsert
-from corpuslink.session import checkpoint_dir
+from corpuslink.operators.upsert import first_per_key, last_per_key
 
-BUCKET = "_bucket"
-DEFAULT_BUCKETS = 64
+BATCH = "batch"
+SEQ = "_seq"
+POINTER = "version long, snapshot string, folded long"
 
 
-def _current(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame | None:
-    """The target table with its bucket column, or None before the first batch."""
-    from pyspark.errors import AnalysisException
-    full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+def _read(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """The rows under ``path``, none before anything was written there."""
+    reader = spark.read.schema(schema)
     try:
-        df = spark.read.schema(full).parquet(target)
-        df.inputFiles()  # fails on a missing folder
-        return df
+        return reader.json(path) if fmt == "json" else reader.parquet(path)
     except AnalysisException:
-        return None
+        return spark.createDataFrame([], schema)
 
 
-def bucket_of(keys: Sequence[str], buckets: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+def _pointer(spark: SparkSession, target: str) -> tuple[int, str | None, int]:
+    """(version, snapshot folder, last folded batch) of the newest pointer row."""
+    rows = _read(spark, f"{target}/pointers", POINTER, "json")
+    top = rows.orderBy(F.desc("version")).limit(1).collect()
+    return (top[0].version, top[0].snapshot, top[0].folded) if top else (0, None, -1)
 
 
-def read_table(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """The current table (without the bucket column), or an empty one."""
-    df = _current(spark, target, schema)
-    if df is None:
-        return spark.createDataFrame([], schema)
-    return df.select(*schema.fieldNames())
-
-
-def apply_batch(batch: DataFrame, target: str, keys: Sequence[str], order: Sequence[str],
-                policy: str, schema: T.StructType, buckets: int = DEFAULT_BUCKETS) -> None:
-    """Merge one micro-batch into the touched buckets of ``target``."""
-    spark = batch.sparkSession
-    checkpoint_dir(spark)
-    rows = batch.select(*schema.fieldNames()).withColumn(BUCKET, bucket_of(keys, buckets))
-    touched = rows.select(BUCKET).distinct()
-    full_schema = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-    existing = _current(spark, target, schema)
-    if existing is not None:
-        # Partition pruning via the semi join keeps untouched buckets unread.
-        current = existing.join(F.broadcast(touched), BUCKET, "left_semi")  # <= buckets rows
-    else:
-        current = spark.createDataFrame([], full_schema)
-    cols = [*schema.fieldNames(), BUCKET]
-    if policy == "ignore":
-        new = insert_ignore(current.select(*cols), rows.select(*cols), keys, order)[0]
-    elif policy == "replace":
-        new = upsert(current.select(*cols), rows.select(*cols), keys, order)
-    else:
+def apply_batch(batch: DataFrame, batch_id: int, target: str, schema: T.StructType) -> None:
+    """Write one micro-batch; the same batch again replaces itself."""
+    batch.select(*schema.fieldNames()).write.mode("overwrite").parquet(
+        f"{target}/batches/{BATCH}={batch_id}")
+
+
+def _rows(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    _, snapshot, folded = _pointer(spark, target)
+    names = schema.fieldNames()
+    full = T.StructType(schema.fields + [T.StructField(BATCH, T.LongType())])
+    rows = _read(spark, f"{target}/batches", full).filter(F.col(BATCH) > folded).select(
+        *names, F.col(BATCH).alias(SEQ))
+    if snapshot is not None:
+        base = spark.read.schema(schema).parquet(f"{target}/snapshots/{snapshot}")
+        rows = base.select(*names, F.lit(-1).cast("long").alias(SEQ)).unionByName(rows)
+    return rows
+
+
+def read_table(spark: SparkSession, target: str, schema: T.StructType, keys: Sequence[str],
+               order: Sequence[str], policy: str = "ignore") -> DataFrame:
+    """The current table, one row per key (empty before the first batch)."""
+    pick = {"ignore": first_per_key, "replace": last_per_key}.get(policy)
+    if pick is None:
         raise ValueError(policy)
-    # Cut the lineage to the files about to be replaced (reliable checkpoint).
-    new = new.checkpoint(eager=True)
-    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(target))
+    return pick(_rows(spark, target, schema), keys, [SEQ, *order]).select(*schema.fieldNames())
+
+
+def compact(spark: SparkSession, target: str, schema: T.StructType, keys: Sequence[str],
+            order: Sequence[str], policy: str = "ignore", upto: int | None = None) -> None:
+    """Fold all batches (up to a batch id that the stream has committed) into a snapshot."""
+    version, _, folded = _pointer(spark, target)
+    rows = _rows(spark, target, schema)
+    if upto is not None:
+        rows = rows.filter(F.col(SEQ) <= upto)
+    last = rows.agg(F.max(SEQ)).first()[0]
+    if last is None or last <= folded:
+        return
+    pick = first_per_key if policy == "ignore" else last_per_key
+    name = uuid.uuid4().hex
+    pick(rows, keys, [SEQ, *order]).select(*schema.fieldNames()).write.parquet(
+        f"{target}/snapshots/{name}")
+    spark.createDataFrame([(version + 1, name, last)], POINTER).coalesce(1).write.json(
+        f"{target}/pointers", mode="append")
 
 
 def stream_ingest(spark: SparkSession, landing: str, target: str, checkpoint: str,
-                  schema: T.StructType, keys: Sequence[str], order: Sequence[str],
-                  policy: str = "ignore", fmt: str = "json", max_files: int | None = None,
-                  available_now: bool = True, buckets: int = DEFAULT_BUCKETS):
+                  schema: T.StructType, fmt: str = "json", max_files: int | None = None,
+                  available_now: bool = True):
     """Start the ingest query; with ``available_now`` it processes what has
     landed and stops (``query.awaitTermination()``)."""
     reader = spark.readStream.schema(schema).format(fmt)
@@ -92,8 +100,7 @@ def stream_ingest(spark: SparkSession, landing: str, target: str, checkpoint: st
         reader = reader.option("maxFilesPerTrigger", max_files)
     src = reader.load(landing)
     w = (src.writeStream
-         .foreachBatch(lambda df, _bid: apply_batch(df, target, keys, order, policy, schema,
-                                                    buckets))
+         .foreachBatch(lambda df, batch_id: apply_batch(df, batch_id, target, schema))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
