@@ -25,8 +25,8 @@ HEADLINE = [
     "unit_view", "text_search_all", "distinct_counts", "chapter_gaps", "verse_gaps",
     "insert_ignore", "upsert_last", "dense_ids", "parse_line", "render_linked",
     "render_book_index", "vec_topk_batch", "vec_topk_batch_blas", "vec_filtered", "answer",
-    "themes",
-    "vec_ann_allcells",
+    "themes", "vec_ann_allcells", "vec_topk", "text_query_search", "hash_encode",
+    "kmeans_sizes", "ann_recall", "document_sink", "stream_ingest", "index_roundtrip",
 ]
 
 

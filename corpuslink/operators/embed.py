@@ -1,14 +1,16 @@
 """Embedding texts and encoders (O-08, O-61..O-63, O-66, O-92).
 
 No model ships offline, so the default encoder is deterministic feature
-hashing written as native expressions (tokens -> xxhash64 -> slot and sign):
-a stand-in for a real sentence encoder, not a semantic model. A real model
-plugs in through ``encode(..., encoder=factory)``: an iterator pandas UDF
-that loads the model once per Python worker and encodes Arrow batches.
+hashing (tokens -> md5 -> slot and sign): a stand-in for a real sentence
+encoder, not a semantic model. It and a real model plug in the same way,
+``encode(..., encoder=factory)``: an iterator pandas UDF that loads the model
+once per Python worker and encodes Arrow batches, re-cut to ``batch`` texts.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -17,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuslink.functions.vectors import l2_normalize
 from corpuslink.operators.query import UNIT_ORDER, top_n_per_key
 
 # The three text strategies of the reference.
@@ -47,54 +48,76 @@ def sample_texts(texts: DataFrame, n: int = 5) -> DataFrame:
     return top_n_per_key(texts, ["strategy"], order, n)
 
 
-def hash_encode(texts: DataFrame, dim: int = DEFAULT_DIM, text_col: str = "text",
-                out: str = "vec") -> DataFrame:
-    """O-62 default encoder: signed feature hashing of lower-cased word tokens,
-    L2-normalised, as ``array<float>``. Row-local: no shuffle, no Python.
-
-    Each token becomes one code ``2 * slot + (sign > 0)``; slot ``i`` then
-    holds (#codes 2i+1) - (#codes 2i), counted with ``array_remove`` so the
-    per-token loop runs natively and the lambda runs once per slot.
-    """
-    toks = F.filter(F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}]+"), lambda t: t != "")
-    codes = F.transform(toks, lambda t: F.pmod(F.xxhash64(t), F.lit(dim)) * 2 + F.when(
-        F.pmod(F.xxhash64(F.concat(t, F.lit("#"))), F.lit(2)) == 0, F.lit(1)).otherwise(F.lit(0)))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: (
-        F.size(F.array_remove("_codes", (i * 2).cast("long")))
-        - F.size(F.array_remove("_codes", (i * 2 + 1).cast("long")))).cast("double"))
-    return (texts.withColumn("_codes", codes)
-            .withColumn(out, l2_normalize(dense).cast("array<float>")).drop("_codes"))
-
-
-def pandas_encoder(factory: Callable[[], Callable], dim: int):
+def hashing_model(dim: int = DEFAULT_DIM, remember: int = 500_000):
+    """O-62 default encoder: signed feature hashing of lower-cased runs of letters and
+    digits. A token's slot is the number of its md5's first 8 hexadecimal digits modulo
+    ``dim``, its sign plus where the ninth is even. Tokens are hashed once a worker (up
+    to a bound that changes the speed only); a batch is one weighted count."""
+    token = re.compile(r"[^\W_]+")
+
+    def factory():
+        known: dict[str, int] = {}
+
+        def code(t: str) -> int:
+            h = hashlib.md5(t.encode()).hexdigest()
+            return 2 * (int(h[:8], 16) % dim) + (int(h[8], 16) % 2 == 0)
+
+        def run(texts):
+            if len(known) > remember:
+                known.clear()
+            sizes, codes = [], []
+            for text in texts:
+                found = token.findall(text.lower())
+                for t in set(found) - known.keys():
+                    known[t] = code(t)
+                codes += map(known.__getitem__, found)
+                sizes.append(len(found))
+            codes = np.array(codes, np.int64)
+            at = np.repeat(np.arange(len(texts)), sizes) * dim + codes // 2
+            return np.bincount(at, np.where(codes % 2 == 1, 1.0, -1.0),
+                               len(texts) * dim).reshape(len(texts), dim)
+        return run
+    return factory
+
+
+def pandas_encoder(factory: Callable[[], Callable], dim: int, batch: int = DEFAULT_BATCH):
     """O-92: wrap a model factory as an iterator pandas UDF returning array<float>.
 
     ``factory()`` runs once per Python worker (model load); the returned
-    callable maps a list of strings to an (n, dim) array.
+    callable maps a list of at most ``batch`` strings to an (n, dim) array.
     """
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = factory()
         for s in batches:
-            arr = np.asarray(model(s.fillna("").tolist()), dtype=np.float32).reshape(len(s), dim)
-            yield pd.Series(list(arr))
+            texts = s.fillna("").tolist()
+            out: list = []
+            for k in range(0, len(texts), batch):
+                part = texts[k:k + batch]
+                arr = np.asarray(model(part), dtype=np.float64).reshape(len(part), dim)
+                norm = np.sqrt((arr * arr).sum(axis=1, keepdims=True))
+                out += list((arr / np.where(norm == 0, 1.0, norm)).astype(np.float32))
+            yield pd.Series(out)
     return _encode
 
 
 def encode(texts: DataFrame, encoder: Callable | None = None, dim: int = DEFAULT_DIM,
-           batch: int = DEFAULT_BATCH, text_col: str = "text") -> DataFrame:
-    """O-62/O-63: vectors for (verse_id, strategy, text) rows, long format.
+           batch: int | None = None, text_col: str = "text") -> DataFrame:
+    """O-62/O-63: normalised vectors for (verse_id, strategy, text) rows, long format.
 
-    ``encoder=None`` uses ``hash_encode``; otherwise ``encoder`` is a model
-    factory for ``pandas_encoder`` and ``batch`` sets the Arrow batch size.
+    ``encoder`` is a model factory (default: ``hashing_model``); it is handed at most
+    ``batch`` texts at a time, whatever the session's Arrow batches are.
     """
     if encoder is None:
-        return hash_encode(texts, dim, text_col)
-    texts.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
-    udf = pandas_encoder(encoder, dim)
-    # The UDF result gets its own column: Python UDFs cannot sit inside lambdas.
-    return (texts.withColumn("_raw", udf(F.col(text_col)))
-            .withColumn("vec", l2_normalize("_raw").cast("array<float>")).drop("_raw"))
+        encoder, batch = hashing_model(dim), batch or 512
+    udf = pandas_encoder(encoder, dim, batch or DEFAULT_BATCH)
+    return texts.withColumn("vec", udf(F.col(text_col)))
+
+
+def hash_encode(texts: DataFrame, dim: int = DEFAULT_DIM, text_col: str = "text",
+                out: str = "vec") -> DataFrame:
+    """``encode`` with the default encoder, into a column of any name."""
+    return texts.withColumn(out, pandas_encoder(hashing_model(dim), dim, 512)(F.col(text_col)))
 
 
 def embedding_run(vecs: DataFrame, model_name: str) -> DataFrame:
@@ -113,11 +136,10 @@ def letter_profile_model():
     the letters a-z (26 dims). Stands in for a sentence model."""
 
     def run(texts):
-        out = np.zeros((len(texts), 26), dtype=np.float32)
-        for i, t in enumerate(texts):
-            b = np.frombuffer(t.lower().encode("ascii", "ignore"), dtype=np.uint8)
-            b = b[(b >= 97) & (b <= 122)] - 97
-            if b.size:
-                out[i] = np.bincount(b, minlength=26)[:26] / b.size
-        return out
+        raw = [t.lower().encode("ascii", "ignore") for t in texts]
+        b = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.int64) - 97
+        doc = np.repeat(np.arange(len(raw)), [len(r) for r in raw])
+        keep = (b >= 0) & (b < 26)
+        out = np.bincount(doc[keep] * 26 + b[keep], minlength=26 * len(raw)).reshape(-1, 26)
+        return out / np.maximum(out.sum(axis=1, keepdims=True), 1)
     return run

@@ -57,9 +57,10 @@ def _like_escape(needle: str) -> str:
 
 def search_text(units: DataFrame, needle: str, n: int | None = None,
                 order: Sequence[str] = UNIT_ORDER) -> DataFrame:
-    """O-39: case-insensitive substring search (D15: Unicode folding), explicit order (D3)."""
-    out = units.filter(F.col("text").ilike(f"%{_like_escape(needle)}%")).orderBy(*order)
-    return out.limit(n) if n is not None else out
+    """O-39: case-insensitive substring search (D15: Unicode folding): the first ``n`` in
+    an explicit order (D3), or all, unordered (a sink orders them if it must)."""
+    out = units.filter(F.col("text").ilike(f"%{_like_escape(needle)}%"))
+    return out.orderBy(*order).limit(n) if n is not None else out
 
 
 def chapters_of(units: DataFrame) -> DataFrame:
@@ -123,8 +124,3 @@ def verses_per_chapter(units: DataFrame, min_count: int | None = None,
     if max_count is not None:
         out = out.filter(F.col("n_units") <= max_count)
     return out
-
-
-def canonical_sort(df: DataFrame, cols: Sequence[str] = UNIT_ORDER) -> DataFrame:
-    """O-54: canonical order, applied only at sinks."""
-    return df.orderBy(*cols)

@@ -7,6 +7,7 @@ cost. Everything after the fit is DataFrame expressions.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,13 +30,16 @@ def cluster(vecs: DataFrame, k: int = 10, seed: int = 42, n_init: int = 10,
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    feats = vecs.withColumn("features", array_to_vector("vec"))
+    # Normalised, as the index is; read and converted once for all fits.
+    feats = vecs.withColumn("features", array_to_vector(l2_normalize("vec")))
+    train = feats.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     best = None
     for i in range(n_init):
         m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features",
-                   predictionCol="cluster").fit(feats)
+                   predictionCol="cluster").fit(train)
         if best is None or m.summary.trainingCost < best.summary.trainingCost:
             best = m
+    train.unpersist()
     assigned = best.transform(feats).drop("features").withColumn("cluster",
                                                                  F.col("cluster").cast("long"))
     spark = vecs.sparkSession
@@ -85,3 +89,17 @@ def themes(profile: DataFrame, labels: DataFrame) -> DataFrame:
     t = profile.join(labels, "cluster", "left").withColumnRenamed("cluster", "theme_id")
     w = Window.orderBy(F.desc("num_verses"), F.asc("theme_id"))
     return t.withColumn("theme_rank", F.row_number().over(w))
+
+
+def discover(vecs: DataFrame, k: int = 10, n: int = 5, seed: int = 42, n_init: int = 10
+             ) -> DataFrame:
+    """O-75..O-79 end to end: vectors (verse_id, book_name, testament, reference, vec) to
+    ranked themes with their labels and the references of their ``n`` representatives."""
+    found = cluster(vecs, k=k, seed=seed, n_init=n_init)
+    assigned = found["assigned"].persist(StorageLevel.MEMORY_AND_DISK)
+    reps = representatives(assigned, found["centroids"], n)
+    listed = reps.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct(
+        "rank", "reference"))).alias("_l")).select(
+        F.col("cluster").alias("theme_id"),
+        F.transform("_l", lambda s: s["reference"]).alias("representatives"))
+    return themes(cluster_profile(assigned), theme_label(reps)).join(listed, "theme_id", "left")

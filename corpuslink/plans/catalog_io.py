@@ -73,19 +73,83 @@ def q_run_metadata(spark, sf_dir):
                     F.array_join("strategies", ",").alias("strategies"))
 
 
-@register("hash_encode")
-def q_hash_encode(spark, sf_dir):
-    """O-62/O-63: feature-hashing vectors for all three strategies (rows only)."""
-    texts = E.embedding_texts(S.doc_units(spark, sf_dir))
-    return E.encode(texts, dim=64).select("verse_id", "strategy", "vec")
+# A vector as text: its entries in millionths, so that both engines print the same.
+HASHED = """
+tok AS (SELECT id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS t FROM src),
+code AS (SELECT id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % {dim} AS slot,
+                CASE WHEN CAST('0x' || substr(md5(t), 9, 1) AS INTEGER) % 2 = 0 THEN 1 ELSE -1 END
+                  AS sign FROM tok),
+slots AS (SELECT id, slot, sum(sign) AS v FROM code GROUP BY id, slot),
+norms AS (SELECT id, sqrt(sum(v * v)) AS n FROM slots GROUP BY id),
+dense AS (
+  SELECT s.id, list(CASE WHEN n.n > 0 THEN coalesce(x.v, 0) / n.n ELSE 0 END ORDER BY d.slot)
+           AS vec
+  FROM src s CROSS JOIN (SELECT unnest(range({dim})) AS slot) d
+  LEFT JOIN norms n ON n.id = s.id LEFT JOIN slots x ON x.id = s.id AND x.slot = d.slot
+  GROUP BY s.id)
+"""
 
 
-@register("pandas_encode")
+def millionths(vec: str = "vec"):
+    return F.array_join(F.transform(vec, lambda x: F.round(x.cast("double") * 1e6).cast("long")
+                                    .cast("string")), ",").alias(vec)
+
+
+@register("hash_encode", oracle=with_(UNITS, """
+src AS (
+  SELECT verse_id || '/text_only' AS id, verse_id, 'text_only' AS strategy, text FROM units
+  UNION ALL SELECT verse_id || '/book_context', verse_id, 'book_context',
+                   reference || ' - ' || text FROM units
+  UNION ALL SELECT verse_id || '/full_context', verse_id, 'full_context',
+                   '[' || testament || ' Testament] ' || reference || ' - ' || text FROM units)
+""", HASHED.format(dim=64)) + """
+SELECT verse_id, strategy, array_to_string(list_transform(vec, lambda x: CAST(round(
+         CAST(CAST(x AS FLOAT) AS DOUBLE) * 1000000) AS BIGINT)), ',') AS vec
+FROM dense JOIN src USING (id)
+""")
+def q_hash_encode(spark, sf_dir):
+    """O-62/O-63: feature-hashing vectors for all three strategies."""
+    texts = E.embedding_texts(S.doc_units(spark, sf_dir))
+    return E.encode(texts, dim=64).select("verse_id", "strategy", millionths())
+
+
+@register("pandas_encode", oracle=with_(UNITS) + """
+, low AS (SELECT verse_id, lower(text) AS t FROM units),
+f AS (SELECT verse_id, list_transform(range(97, 123), lambda c:
+        length(t) - length(replace(t, chr(CAST(c AS INTEGER)), ''))) AS v FROM low)
+SELECT verse_id, 'text_only' AS strategy, array_to_string(list_transform(v, lambda x:
+         CASE WHEN list_sum(v) = 0 THEN 0 ELSE CAST(round(CAST(CAST(x / sqrt(list_sum(
+           list_transform(v, lambda y: y * y))) AS FLOAT) AS DOUBLE) * 1000000) AS BIGINT) END),
+         ',') AS vec
+FROM f
+""")
 def q_pandas_encode(spark, sf_dir):
-    """O-92: a pluggable model through an iterator pandas UDF (rows only)."""
+    """O-92: a pluggable model (letter frequencies) through an iterator pandas UDF."""
     texts = E.embedding_texts(S.doc_units(spark, sf_dir), ["text_only"])
     return E.encode(texts, encoder=E.letter_profile_model, dim=26, batch=256) \
-        .select("verse_id", "strategy", "vec")
+        .select("verse_id", "strategy", millionths())
+
+
+@register("text_query_search", oracle=with_("""
+src AS (SELECT 'd' || doc_id AS id, doc_id, CAST(NULL AS BIGINT) AS item_id, text FROM documents
+        UNION ALL SELECT 'q' || item_id, NULL, item_id, text FROM benchmark)
+""", HASHED.format(dim=64)) + """
+, v AS (SELECT * FROM dense JOIN src USING (id))
+SELECT qid, CAST(rank AS INTEGER) AS rank, verse_id, score FROM (
+  SELECT q.item_id AS qid, d.doc_id AS verse_id,
+         round(list_dot_product(CAST(d.vec AS DOUBLE[]), CAST(q.vec AS DOUBLE[])), 3) AS score,
+         row_number() OVER (PARTITION BY q.item_id ORDER BY round(list_dot_product(
+           CAST(d.vec AS DOUBLE[]), CAST(q.vec AS DOUBLE[])), 6) DESC, d.doc_id) AS rank
+  FROM v d, v q WHERE d.doc_id IS NOT NULL AND q.item_id IS NOT NULL)
+WHERE rank <= 3
+""")
+def q_text_query_search(spark, sf_dir):
+    """Text queries (the benchmark's questions) against all documents, both through the
+    same encoder; scores compare at 3 places."""
+    from corpuslink.operators.qa import search_text_queries
+    units = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("verse_id"), "text")
+    asked = S.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), "text")
+    return search_text_queries(units, asked, 3, dim=64).withColumn("score", F.round("score", 3))
 
 
 def _land_payloads(spark, sf_dir):
@@ -156,6 +220,23 @@ def q_stream_ingest(spark, sf_dir):
 
 # ------------------------------------------------------------- sinks etc. ---
 
+@register("book_table", oracle="""
+SELECT CAST(row_number() OVER (ORDER BY n_nationkey) AS INTEGER) AS book_id,
+       CAST(n_nationkey AS INTEGER) AS book_number, n_name AS book_name, r_name AS testament,
+       CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE CAST(n_nationkey AS INTEGER) END
+         AS expected_chapters
+FROM nation JOIN region ON r_regionkey = n_regionkey
+""")
+def q_book_table(spark, sf_dir):
+    """O-04: the book dimension from literal rows (here the nations, a fixed 25)."""
+    from corpuslink.sources.books import books_df
+    n = S.table(spark, sf_dir, "nation").join(S.table(spark, sf_dir, "region"),
+                                              F.col("r_regionkey") == F.col("n_regionkey"))
+    rows = [(r.n_nationkey, r.n_name, r.r_name, r.n_nationkey if r.n_nationkey % 4 else None)
+            for r in n.orderBy("n_nationkey").collect()]
+    return books_df(spark, rows)
+
+
 @register("table_roundtrip", oracle=with_(UNITS) + """
 SELECT verse_id, book_name, testament, book_number, chapter, verse, text, reference FROM units
 """)
@@ -207,16 +288,73 @@ SELECT 'Book ' || CAST(conv_id // 10 AS VARCHAR) AS book_name, conv_id AS chapte
 FROM conversations GROUP BY conv_id
 """)
 def q_document_sink(spark, sf_dir):
-    """O-09 + O-83: patch documents written one file per chapter from ordered
-    blocks, read back whole (each file is one bounded document)."""
+    """O-09 + O-83: patch documents written as a tree, one file per chapter, and read
+    back; a chapter in more than one file would come back as more than one row."""
     from corpuslink.operators import render as R
     from corpuslink.plans.catalog_text import conv_units
-    from corpuslink.sources.sinks import read_documents, write_documents
+    from corpuslink.sources.sinks import read_tree, write_tree
     path = scratch_path(spark, f"docs-{uuid.uuid4().hex}")
-    write_documents(R.render_chapters(conv_units(spark, sf_dir), None, "patch"), path,
-                    style="patch")
-    docs = read_documents(spark, path)
-    return docs.select("book_name", F.col("chapter").cast("long").alias("chapter"), "content")
+    units = conv_units(spark, sf_dir)
+    write_tree(R.render_chapters(units, None, "patch"), path, style="patch",
+               book_index=R.book_index(units))
+    docs = read_tree(spark, path).filter(F.col("document").startswith("Chapter_"))
+    return docs.select(F.col("folder").alias("book_name"), F.regexp_extract(
+        "document", r"^Chapter_(\d+)\.md$", 1).cast("long").alias("chapter"), "content")
+
+
+@register("document_tree", oracle="""
+WITH ch AS (SELECT DISTINCT 'Book ' || CAST(conv_id // 10 AS VARCHAR) AS b, conv_id FROM conversations)
+SELECT b AS folder, 'README.md' AS document, 1 AS n_files, count(*) AS n_links FROM ch GROUP BY b
+UNION ALL SELECT '', 'README.md', 1, count(DISTINCT b) FROM ch
+UNION ALL SELECT b, 'Chapter_' || CAST(conv_id AS VARCHAR) || '.md', 1, 0 FROM ch
+""")
+def q_document_tree(spark, sf_dir):
+    """O-09, O-84, O-85: the whole tree - chapters, a README per book and one of the corpus -
+    with the links each index holds."""
+    from corpuslink.operators import render as R
+    from corpuslink.plans.catalog_text import conv_units
+    from corpuslink.sources.sinks import read_tree, write_tree
+    path = scratch_path(spark, f"tree-{uuid.uuid4().hex}")
+    units = conv_units(spark, sf_dir)
+    books = units.select("book_name", "testament", "book_number").distinct()
+    one = units.agg(F.count(F.lit(1)).alias("n"))
+    write_tree(R.render_chapters(units, None, "patch"), path, style="patch",
+               book_index=R.book_index(units),
+               corpus_index=R.corpus_index(books, one, one.select(F.lit(0).cast("long").alias("n"))))
+    docs = read_tree(spark, path)
+    return docs.select("folder", "document", "n_files", F.when(
+        F.col("document") == "README.md", F.regexp_count("content", F.lit(r"\[\["))).otherwise(0)
+        .cast("long").alias("n_links"))
+
+
+@register("backfill_render", oracle="""
+WITH conv AS (SELECT conv_id, turn, text, conv_id % 3 = 0 AS late FROM conversations WHERE text <> '')
+SELECT 'Book ' || CAST(conv_id // 10 AS VARCHAR) AS folder,
+       'Chapter_' || CAST(conv_id AS VARCHAR) || '.md' AS document, count(*) AS n_headings
+FROM conv WHERE late GROUP BY conv_id
+""")
+def q_backfill_render(spark, sf_dir):
+    """O-58, O-02, O-60, O-83 end to end: chapters missing from the table (every third) are
+    found as gaps, their payload files read and loaded, and only they rendered again."""
+    from corpuslink.operators import quality as Q
+    from corpuslink.operators import render as R
+    from corpuslink.sources.sinks import read_tree, write_tree
+    base = scratch_path(spark, f"repair-{uuid.uuid4().hex}")
+    payloads = read_payloads(spark, _land_payloads(spark, sf_dir), "backfill").select(
+        F.col("book_number"), F.col("chapter"), F.col("verse").cast("long").alias("verse"), "text")
+    known = payloads.filter(F.col("chapter") % 3 != 0)
+    wanted = S.table(spark, sf_dir, "conversations").select(
+        (F.floor(F.col("conv_id") / 10) + 1).cast("int").alias("book_number"),
+        F.col("conv_id").cast("int").alias("chapter")).distinct().join(
+        known.select("book_number", "chapter"), ["book_number", "chapter"], "left_anti")
+    table = Q.backfill(known, payloads, wanted, ["book_number", "chapter", "verse"], ["text"])
+    again = table.join(wanted, ["book_number", "chapter"], "left_semi").select(
+        F.concat(F.lit("Book "), (F.col("book_number") - 1).cast("string")).alias("book_name"),
+        F.lit("Old").alias("testament"), "book_number", "chapter", "verse",
+        F.col("chapter").cast("long").alias("verse_id"), "text")
+    write_tree(R.render_chapters(again, None, "patch"), base, style="patch")
+    return read_tree(spark, base).select("folder", "document", F.regexp_count(
+        "content", F.lit("## Verse ")).cast("long").alias("n_headings"))
 
 
 @register("backfill", oracle="""
@@ -281,4 +419,4 @@ def q_index_roundtrip(spark, sf_dir):
                                        l2_normalize("centroid").alias("qvec"))
     r = V.topk_ann(loaded, q, 3, nprobe=4)
     # Re-rank at the stored precision (float vectors).
-    return r.withColumn("score", F.round("score", 4)).select("qid", "rank", "verse_id", "score")
+    return r.withColumn("score", F.round("score", 3)).select("qid", "rank", "verse_id", "score")

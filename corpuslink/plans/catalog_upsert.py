@@ -57,7 +57,7 @@ def q_insert_ignore(spark, sf_dir):
     return U.insert_ignore(target, batch, KEYS, ORDER)[0]
 
 
-@register("insert_ignore_new", oracle=SPLIT_SQL + """,
+@register("insert_ignore_new", oracle=SPLIT_SQL.replace("* 500 // 1000", "* 50 // 1000") + """,
 bat AS (SELECT user_id, event_type, event_id, value FROM ev WHERE NOT old
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1)
 SELECT * FROM bat b WHERE NOT EXISTS (
@@ -65,10 +65,27 @@ SELECT * FROM bat b WHERE NOT EXISTS (
 """)
 def q_insert_ignore_new(spark, sf_dir):
     """O-10: the rows the batch actually inserted (the reference's rowcount)."""
-    target, batch = _split(spark, sf_dir)
+    target, batch = _split(spark, sf_dir, per_mille=50)
     return U.insert_ignore(target, batch, KEYS, ORDER)[1].select(*COLS)
 
 
+@register("insert_strict_ties", oracle="""
+WITH e AS (SELECT user_id, event_type, event_id // 50 AS slot, event_id, value FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+                ORDER BY slot, user_id, event_type, event_id, value) AS n FROM e)
+SELECT user_id, event_type, event_id, CASE WHEN n = 1 THEN 'kept' ELSE 'reject' END AS origin
+FROM r
+""")
+def q_insert_strict_ties(spark, sf_dir):
+    """O-12 where the order ties (fifty events share a slot): every row is kept or rejected."""
+    ev = S.table(spark, sf_dir, "events").select("user_id", "event_type", F.floor(
+        F.col("event_id") / 50).alias("slot"), "event_id", "value")
+    kept, rejects = U.insert_strict(ev, KEYS, ["slot"])
+    cols = ["user_id", "event_type", "event_id"]
+    return kept.select(*cols, F.lit("kept").alias("origin")).union(
+        rejects.select(*cols, F.lit("reject").alias("origin")))
+
+
 @register("insert_ignore_early", oracle="""
 WITH c AS (SELECT min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) * 50 // 1000 AS cut
            FROM events),

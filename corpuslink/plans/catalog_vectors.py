@@ -299,12 +299,41 @@ def q_themes(spark, sf_dir):
     return T.themes(T.cluster_profile(a), T.theme_label(reps))
 
 
-@register("kmeans_sizes")
+@register("kmeans_sizes", oracle="""
+SELECT count(*) AS n_vectors, 10 AS n_clusters, CAST(0 AS BIGINT) AS n_elsewhere FROM embeddings
+""")
 def q_kmeans_sizes(spark, sf_dir):
-    """O-75/O-80: Spark ML k-means (k=10, seed 42, 10 restarts); rows-only check."""
-    v = _vecs(spark, sf_dir)
-    return T.cluster_sizes(T.cluster(v.select("verse_id", "vec"), k=10, seed=42,
-                                     n_init=10)["assigned"])
+    """O-75: k-means (k=10, seed 42, 10 restarts). No engine repeats the random fit, so
+    its properties are compared: sizes sum to the vectors, no cluster is empty, and every
+    vector is with its nearest centre."""
+    v = _vecs(spark, sf_dir).select("verse_id", "vec")
+    fit = T.cluster(v, k=10, seed=42, n_init=10)
+    sizes = T.cluster_sizes(fit["assigned"]).agg(
+        F.sum("num_verses").alias("n_vectors"), F.count(F.lit(1)).cast("int").alias("n_clusters"))
+    all_ = fit["centroids"].agg(F.collect_list(F.struct("cluster", "centroid"))).scalar()  # k rows
+    near = fit["assigned"].select("cluster", l2_normalize("vec").alias("u"), all_.alias("_c")) \
+        .select("cluster", F.inline(F.transform("_c", lambda c: F.struct(
+            c["cluster"].alias("other"), F.aggregate(F.zip_with(
+                "u", c["centroid"], lambda x, y: (x - y) * (x - y)), F.lit(0.0),
+                lambda a, x: a + x).alias("d")))), F.monotonically_increasing_id().alias("row")) \
+        .groupBy("row", "cluster").agg(F.min("d").alias("least"), F.max(F.when(
+            F.col("other") == F.col("cluster"), F.col("d"))).alias("own"))
+    elsewhere = near.agg(F.count_if(F.col("own") > F.col("least") + 1e-9)).scalar()
+    return sizes.withColumn("n_elsewhere", elsewhere)
+
+
+@register("themes_discovered", oracle="""
+SELECT count(*) AS n_verses, 10 AS n_themes, CAST(55 AS BIGINT) AS ranks,
+       count(*) FILTER (WHERE label < 5) AS n_old, true AS labelled
+FROM embeddings
+""")
+def q_themes_discovered(spark, sf_dir):
+    """O-75..O-79 end to end from the fit; its sums compare (ranks 1..10 sum to 55)."""
+    t = T.discover(_vecs(spark, sf_dir), k=10, n=5, n_init=2)
+    return t.agg(F.sum("num_verses").alias("n_verses"), F.count(F.lit(1)).cast("int").alias(
+        "n_themes"), F.sum("theme_rank").alias("ranks"), F.sum("n_old").alias("n_old"),
+        F.bool_and(F.col("description").startswith("Theme from ")
+                   & F.size("representatives").between(1, 5)).alias("labelled"))
 
 
 @register("vec_ann_allcells", oracle=with_(VECTORS) + """
@@ -323,16 +352,27 @@ def q_vec_ann_allcells(spark, sf_dir):
     return V.topk_ann(idx, _label_queries(v), 5, nprobe=8)
 
 
-@register("cluster_units")
+@register("cluster_units", oracle="""
+SELECT vec_id AS verse_id, true AS in_range FROM embeddings
+""")
 def q_cluster_units(spark, sf_dir):
-    """O-80: every vector with its k-means cluster (k=50); rows-only."""
-    return T.cluster_units(_vecs(spark, sf_dir).select("verse_id", "vec"), k=50)
+    """O-80: every vector with its k-means cluster (k=50), once, in 0..49."""
+    c = T.cluster_units(_vecs(spark, sf_dir).select("verse_id", "vec"), k=50)
+    return c.select("verse_id", F.col("cluster").between(0, 49).alias("in_range"))
 
 
-@register("ann_recall")
+@register("ann_recall", oracle="""
+SELECT 10 * count(DISTINCT label) AS n_exact, 1.0 AS recall_all, true AS recall_3_enough
+FROM embeddings
+""")
 def q_ann_recall(spark, sf_dir):
-    """O-81: recall@10 of IVF (8 cells, 3 probed) against exact; rows-only."""
+    """O-81: recall@10 of IVF with 8 cells against exact search: all probed, and at least
+    0.5 with three probed."""
     v = _vecs(spark, sf_dir)
     q = _label_queries(v)
     idx = V.build_ivf(v.select("verse_id", "vec"), nlist=8)
-    return V.recall_at_k(V.topk_ann(idx, q, 10, nprobe=3), V.topk_exact(v, q, 10))
+    exact = V.topk_exact(v, q, 10)
+    some = V.recall_at_k(V.topk_ann(idx, q, 10, nprobe=3), exact)
+    every = V.recall_at_k(V.topk_ann(idx, q, 10, nprobe=8), exact)
+    return every.select("n_exact", F.col("recall").alias("recall_all"),
+                        (some.select("recall").scalar() >= 0.5).alias("recall_3_enough"))

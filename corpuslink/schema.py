@@ -10,38 +10,8 @@ BOOKS = T.StructType([
     T.StructField("expected_chapters", T.IntegerType(), True),
 ])
 
-VERSES = T.StructType([
-    T.StructField("verse_id", T.LongType(), False),
-    T.StructField("book_id", T.IntegerType(), False),
-    T.StructField("chapter", T.IntegerType(), False),
-    T.StructField("verse", T.IntegerType(), False),
-    T.StructField("text", T.StringType(), False),
-])
-
-LINKS = T.StructType([
-    T.StructField("xref_id", T.LongType(), True),
-    T.StructField("from_verse_id", T.LongType(), False),
-    T.StructField("to_verse_id", T.LongType(), False),
-    T.StructField("votes", T.IntegerType(), False),
-])
-
 # One element of a chapter payload file: a JSON list of these objects.
 PAYLOAD_ITEM = T.StructType([
     T.StructField("verse", T.LongType(), True),
     T.StructField("text", T.StringType(), True),
 ])
-
-EMBEDDINGS = T.StructType([
-    T.StructField("verse_id", T.LongType(), False),
-    T.StructField("strategy", T.StringType(), False),
-    T.StructField("vec", T.ArrayType(T.FloatType()), False),
-])
-
-EMBEDDING_RUNS = T.StructType([
-    T.StructField("model_name", T.StringType(), False),
-    T.StructField("embedding_dim", T.IntegerType(), True),
-    T.StructField("num_verses", T.LongType(), False),
-    T.StructField("strategies", T.ArrayType(T.StringType()), True),
-])
-
-TESTAMENTS = ("Old", "New")

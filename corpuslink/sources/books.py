@@ -27,7 +27,3 @@ def load_verses(verses: DataFrame, books: DataFrame, sort: bool = False) -> Data
     ``sort`` (at a sink)."""
     v = units_view(verses, books)
     return v.orderBy("book_number", "chapter", "verse") if sort else v
-
-
-def book_numbers(books: DataFrame) -> DataFrame:
-    return books.select("book_id", "book_number", F.col("book_name"))

@@ -56,9 +56,18 @@ def read_payloads(spark: SparkSession, path: str, policy: str = "fetch") -> Data
                            .alias("book_number"),
                            F.regexp_extract(name, NAME_PATTERN, 2).try_cast("int")
                            .alias("chapter"), "value")
+    # a file whose name says no chapter holds no rows; ``unnamed_payloads`` lists it
+    files = files.filter(F.col("book_number").isNotNull() & F.col("chapter").isNotNull())
     return parse_payloads(files, policy)
 
 
+def unnamed_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """The files in ``path`` whose name is not ``{book_number}_{chapter}.json``."""
+    name = F.col("_metadata.file_name")
+    return spark.read.format("binaryFile").load(path).select(name.alias("file")).filter(
+        ~F.regexp_like("file", F.lit(NAME_PATTERN))).distinct()
+
+
 def write_payloads(units: DataFrame, path: str) -> None:
     """Land (book_number, chapter, verse, text) rows as one JSON list per chapter,
     in ``book_number=N/chapter=M`` folders (a chapter is one bounded group)."""

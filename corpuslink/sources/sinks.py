@@ -25,32 +25,67 @@ def save_embeddings(vecs: DataFrame, path: str, model_name: str) -> None:
     embedding_run(vecs, model_name).write.mode("overwrite").parquet(f"{path}/metadata")
 
 
-def read_documents(spark, path: str, keys=("book_name", "chapter")) -> DataFrame:
-    """Read documents written by ``write_documents`` back as (keys, content):
-    the part files of a document concatenated in name order. For bounded
-    documents (checks and small corpora)."""
-    raw = spark.read.text(path, wholetext=True).withColumn("_f", F.col("_metadata.file_name"))
-    return raw.groupBy(*keys).agg(
-        F.expr("listagg(value, '') WITHIN GROUP (ORDER BY _f)").alias("content"))
+def _body(style: str):
+    """A block as the writer's line: without its last line feed, which the writer adds."""
+    body = F.expr("left(block, length(block) - 1)")
+    if style == "patch":
+        # The patch style joins blocks with '\n'; carry it on every later block.
+        body = F.when(F.col("seq") == 0, body).otherwise(F.concat(F.lit("\n"), body))
+    return body
 
 
 def write_documents(blocks: DataFrame, path: str, keys=("book_name", "chapter"),
                     style: str = "vault") -> None:
-    """O-09: one text file per document from ordered blocks.
+    """O-09: documents as folders of part files, from ordered blocks.
 
     Blocks are range-partitioned on (document, seq) and sorted inside each
     task, then written as text lines: a document's folder holds one or more
     part files whose name order is the block order, so a huge document is
     split across writers instead of landing in one task, and no document is
-    ever built as a single value. Every block ends with '\\n', which the
-    writer's line separator restores. The target tree is replaced.
+    ever built as a single value. The target tree is replaced.
     """
     keys = list(keys)
-    body = F.expr("left(block, length(block) - 1)")
-    if style == "patch":
-        # The patch style joins blocks with '\\n'; carry it on every later block.
-        body = F.when(F.col("seq") == 0, body).otherwise(F.concat(F.lit("\n"), body))
-    (blocks.withColumn("block", body).repartitionByRange(*keys, "seq")
+    (blocks.withColumn("block", _body(style)).repartitionByRange(*keys, "seq")
      .sortWithinPartitions(*keys, "seq")
      .select(*keys, "block").write.mode("overwrite").partitionBy(*keys)
      .option("lineSep", "\n").text(path))
+
+
+def write_tree(chapters: DataFrame, path: str, style: str = "vault",
+               book_index: DataFrame | None = None, corpus_index: DataFrame | None = None
+               ) -> None:
+    """O-09, O-84, O-85: the document tree, one text file per document.
+
+    Document ``Chapter_n.md`` or ``README.md`` of a book's folder is written as
+    ``folder=<Book>/document=<name>/part-*``: the file systems' writers choose part names,
+    so the document's name is its folder's. A document is streamed block by block into its
+    one file; documents spread over the tasks. The corpus index lies in folder ``''``
+    (Spark's default partition), which ``read_tree`` gives back as such.
+    """
+    parts = [chapters.select(F.col("book_name").alias("folder"), F.concat(
+        F.lit("Chapter_"), F.col("chapter").cast("string"), F.lit(".md")).alias("document"),
+        F.lit(0).alias("section"), "seq", _body(style).alias("block"))]
+    if book_index is not None:
+        parts.append(book_index.select(F.col("book_name").alias("folder"), F.lit("README.md").alias(
+            "document"), F.lit(0).alias("section"), "seq", _body("vault").alias("block")))
+    if corpus_index is not None:
+        parts.append(corpus_index.select(F.lit(None).cast("string").alias("folder"), F.lit(
+            "README.md").alias("document"), "section", "seq", _body("vault").alias("block")))
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.union(p)
+    (whole.repartition("folder", "document")
+     .sortWithinPartitions("folder", "document", "section", "seq")
+     .select("folder", "document", "block").write.mode("overwrite")
+     .partitionBy("folder", "document").option("lineSep", "\n").text(path))
+
+
+def read_tree(spark, path: str) -> DataFrame:
+    """(folder, document, content, n_files) of a written tree (for checks: documents are
+    read whole)."""
+    raw = spark.read.text(path, wholetext=True).withColumn("_f", F.col("_metadata.file_name"))
+    return raw.select(F.coalesce(F.col("folder").cast("string"), F.lit("")).alias("folder"),
+                      F.col("document").cast("string").alias("document"), "value", "_f").groupBy(
+        "folder", "document").agg(
+        F.expr("listagg(value, '') WITHIN GROUP (ORDER BY _f)").alias("content"),
+        F.count(F.lit(1)).cast("int").alias("n_files"))

@@ -9,7 +9,10 @@ from tests.conftest import SF_SMALL
 RUNS_JOBS = {"payload_ingest", "payload_backfill", "stream_ingest", "table_roundtrip",
              "embedding_sink", "document_sink", "index_roundtrip", "kmeans_sizes",
              "vec_ann_allcells", "ann_recall", "canonical_order", "dense_ids",
-             "cluster_units"}
+             "cluster_units", "themes_discovered", "document_tree", "backfill_render",
+             "book_table", "text_query_search", "dump_parse", "range_expand", "resolve_refs",
+             "edge_import", "import_report", "reject_sample", "vec_topk_batch_blas",
+             "centroid_assign", "representatives", "cluster_profile", "theme_label", "themes"}
 NAMES = sorted(n for n in load_all() if n not in RUNS_JOBS)
 
 
@@ -25,7 +28,7 @@ def test_no_products(spark, name):
 
 
 @pytest.mark.parametrize("name", ["top_links_all", "links_nested", "vec_topk_batch",
-                                  "representatives", "render_linked"])
+                                  "render_linked"])
 def test_topk_is_limited_before_the_shuffle(spark, name):
     plan = physical(load_all()[name][0](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan, name
