@@ -41,34 +41,28 @@ def strip_title(df: DataFrame, text: str = "text", book: str = "book",
     raise ValueError(policy)
 
 
-def _matches(col, pattern: str):
-    nums = F.regexp_extract_all(col, F.lit(pattern), 1)
-    texts = F.regexp_extract_all(col, F.lit(pattern), 2)
-    return nums, texts
-
-
 def split_units(df: DataFrame, text: str = "text", policy: str = "loose") -> DataFrame:
     """O-22 / O-23 / O-24: one row per match ``(…, pos, num, raw)``.
 
     ``'line_then_loose'`` uses the line pattern and falls back to the loose one
-    for books where it finds nothing; books with no match yield no rows.
+    for books where it finds nothing; books with no match yield no rows. Each pattern
+    walks a text once; number and text are cut from its whole matches.
     """
+    keep = [c for c in df.columns if c != text]
+    found = lambda pattern: F.regexp_extract_all(F.col(text), F.lit(pattern), 0)
     if policy == "loose":
-        nums, texts = _matches(F.col(text), LOOSE_PATTERN)
+        rows = df.select(*keep, found(LOOSE_PATTERN).alias("_all"))
     elif policy == "line":
-        nums, texts = _matches(F.col(text), LINE_PATTERN)
+        rows = df.select(*keep, found(LINE_PATTERN).alias("_all"))
     elif policy == "line_then_loose":
-        n2, t2 = _matches(F.col(text), LINE_PATTERN)
-        n1, t1 = _matches(F.col(text), LOOSE_PATTERN)
-        none = F.size(n2) == 0
-        nums, texts = F.when(none, n1).otherwise(n2), F.when(none, t1).otherwise(t2)
+        lines = df.select(*keep, text, found(LINE_PATTERN).alias("_lines"))
+        rows = lines.select(*keep, F.when(F.size("_lines") == 0, found(LOOSE_PATTERN))
+                            .otherwise(F.col("_lines")).alias("_all"))
     else:
         raise ValueError(policy)
-    keep = [c for c in df.columns if c != text]
-    z = F.arrays_zip(nums.alias("num"), texts.alias("raw"))
-    return (df.select(*keep, F.posexplode(z).alias("pos", "_m"))
-            .select(*keep, "pos", F.col("_m")["num"].try_cast("long").alias("num"),
-                    F.col("_m")["raw"].alias("raw")))
+    return (rows.select(*keep, F.posexplode("_all").alias("pos", "_m"))
+            .select(*keep, "pos", F.regexp_extract("_m", r"^\n?(\d+)", 1).try_cast("long")
+                    .alias("num"), F.regexp_replace("_m", r"^\n?\d+", "").alias("raw")))
 
 
 def segment(matches: DataFrame, book: str = "book", policy: str = "reset2",
