@@ -10,7 +10,7 @@ a leak when it covers ``MIN_WORDS`` words, or ``SHARE`` of the item if that is l
 slots agree: ``exact`` when all values are equal, ``reworded`` (re-parameterised) when
 they are consistent.
 
-* number: a run of digits; unit: one of ``UNITS`` right after a number; name: a
+* number: a run of digits that no letter precedes; unit: one of ``UNITS`` right after a number; name: a
   capitalised word that does not begin a text, a line or a sentence.
 * Windows of placeholders alone, or with fewer than ``MIN_PLAIN`` other words, say nothing
   and are not joined. Items of fewer than ``WINDOW`` words have no window; they cannot be
@@ -54,7 +54,7 @@ def marked(text: Column) -> Column:
     t = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{PLACEHOLDERS}]", " ")
     # a capitalised word after a letter, digit or comma and one space
     t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}[\p{L}]*)", NAME + "$1")
-    t = F.regexp_replace(t, r"(\p{N}+)", f" {NUMBER}$1 ")
+    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])(\p{N}+)", f" {NUMBER}$1 ")
     units = "|".join(sorted(UNITS, key=lambda u: -len(u)))
     return F.regexp_replace(t, rf"(?<=\p{{N}} )(\s?)({units})(?![\p{{L}}\p{{N}}])", f" {UNIT}$2")
 
