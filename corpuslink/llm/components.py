@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from corpuslink.llm.scratch import written
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-    return tuple(row)
+def _flat(edges: DataFrame) -> bool:
+    """Does every edge lead to the top of its tree?"""
+    tops = edges.select(F.col("b").alias("a")).distinct()
+    return edges.join(tops, "a", "left_semi").isEmpty()
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -31,17 +32,12 @@ def _small(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b); the component is its least
-    node. Each round is written, so no plan grows and a lost executor costs one round;
+    node. Edges become trees of height one; each round is written, so no plan grows and a lost executor costs one round;
     the rounds grow with the logarithm of the longest path."""
-    now = written(edges.where("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = _state(now)
-    while state[0]:
+    now = written(_small(edges.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()), "edges")
+    while not _flat(now):
         now = written(_small(_large(now)), "edges")
-        new = _state(now)
-        if new == state:
-            break
-        state = new
     tops = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         tops.select("node", F.col("node").alias("component")))

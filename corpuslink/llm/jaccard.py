@@ -13,9 +13,9 @@ A document's set is its distinct word shingles (``shingles``). With a similarity
   in both its sets: such sparse sets also take part in the scheme dealt anew with another
   salt, up to ``SALTS`` times, and then with every single element. So no pair is lost.
 * Sets that are equal (64-bit hash of the set) make one class before any comparison.
-* Candidates: the members of a signature meet its first member (a star, linear in the
-  members). A histogram of the sets turns most away (its distance never exceeds the sets'
-  difference), an exact intersection decides. Where members of a signature are then
+* Candidates: the members of a signature meet its hub, the member that meets most sets (a
+  star, linear in the members). Histograms of the sets turn most away (their distance
+  never exceeds the sets' difference), an exact intersection decides. Where members of a signature are then
   still in different classes, all such pairs are compared by their histograms in blocks
   of ``BLOCK`` members, and the close ones again exactly. Classes grow by links alone.
 
@@ -30,19 +30,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpuslink.llm.components import components
 from corpuslink.llm.scratch import written
 from corpuslink.llm.shingles import mix, shingle_sets
-from corpuslink.llm.tokens import slices
+from corpuslink.llm.tokens import release, slices
 
 P, Q = 4, 5                     # similarity 0.8
 SALTS = 8
 BLOCK = 2048
 BUCKETS = 128
+FINE = 512                       # buckets of the second histogram
 SLICE_BYTES = 4 << 20
 MAX_BROADCAST_NODES = 1_000_000   # 8 MB of ids
 
@@ -102,6 +103,12 @@ def _sets(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list,
         yield at, rows, np.split(values, ends[:-1]), hashes
 
 
+def _hist(elements: np.ndarray, buckets: int) -> bytes:
+    """How many elements fall into each bucket, up to 255."""
+    found = np.bincount((elements % np.uint64(buckets)).astype(np.int64), minlength=buckets)
+    return np.minimum(found, 255).astype(np.uint8).tobytes()
+
+
 def set_table(docs: DataFrame) -> DataFrame:
     """(doc_id, _hash, n, h, hist) of (doc_id, _hash, text): set size, set hash (null: empty
     set) and a histogram of the elements."""
@@ -109,13 +116,12 @@ def set_table(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for at, rows, sets, hashes in _sets(batch, 2):
                 size = np.array([len(s) for s in sets])
-                hist = [np.minimum(np.bincount((s % np.uint64(BUCKETS)).astype(np.int64),
-                                               minlength=BUCKETS), 255).astype(np.uint8).tobytes()
-                        for s in sets]
+                hist = [_hist(s, BUCKETS) for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(at, rows), batch.column(1).slice(at, rows),
                     pa.array(size, pa.int64()), pa.array(hashes.view(np.int64), mask=size == 0),
                     pa.array(hist, pa.binary())], names=["doc_id", "_hash", "n", "h", "hist"])
+        release()
 
     return docs.mapInArrow(run, "doc_id long, _hash long, n long, h long, hist binary")
 
@@ -141,19 +147,26 @@ def signature_rows(docs: DataFrame) -> DataFrame:
                         pa.array(np.concatenate(found).view(np.int64)),
                         pa.array(np.repeat(np.array(owner, np.int64), [len(f) for f in found]))],
                         names=["sig", "h"])
+        release()
 
     return docs.select("text").mapInArrow(run, "sig long, h long")
 
 
 def shared_signatures(rows: DataFrame) -> DataFrame:
-    """(sig, h, first, place) of the signatures that two or more different sets have."""
+    """(sig, h, place, m) of the signatures that m >= 2 different sets have; places count
+    from 1."""
     once = rows.repartition("sig").dropDuplicates(["sig", "h"])
-    order = Window.partitionBy("sig").orderBy("h")
-    return once.select(
-        "sig", "h", F.first("h").over(order).alias("first"),
-        F.row_number().over(order).alias("place"),
-        F.lead("h").over(order).alias("_next")).where(
-        (F.col("place") > 1) | F.col("_next").isNotNull()).drop("_next")
+    own = Window.partitionBy("sig")
+    return once.select("sig", "h", F.row_number().over(own.orderBy("h")).alias("place"),
+                       F.count(F.lit(1)).over(own).alias("m")).where("m > 1")
+
+
+def with_hubs(members: DataFrame) -> DataFrame:
+    """(sig, h, place, m, hub): the member of each signature that meets most sets over all
+    its signatures. In a group of near copies that is the one most like the others."""
+    weight = members.groupBy("h").agg(F.sum("m").alias("w"))
+    top = F.max(F.struct("w", "h")).over(Window.partitionBy("sig"))
+    return members.join(weight, "h").select("sig", "h", "place", "m", top["h"].alias("hub"))
 
 
 def _near(a: np.ndarray, b: np.ndarray, na, nb) -> np.ndarray:
@@ -163,14 +176,14 @@ def _near(a: np.ndarray, b: np.ndarray, na, nb) -> np.ndarray:
                                                        <= Q * np.minimum(na, nb))
 
 
-def near_pairs(pairs: DataFrame, hists: DataFrame) -> DataFrame:
+def near_pairs(pairs: DataFrame, hists: DataFrame, buckets: int) -> DataFrame:
     """The pairs (a, b) of set hashes whose histograms do not rule a link out."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(
-                -1, BUCKETS) for c in (2, 3))
+                -1, buckets) for c in (2, 3))
             keep = pa.array(_near(one, two, batch.column(4).to_numpy(), batch.column(5).to_numpy()))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in (0, 1)],
                                              names=["a", "b"])
@@ -196,26 +209,32 @@ def linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
                 own = batch.column(0).slice(at, rows).to_numpy()
                 keep = np.flatnonzero(own == hashes.view(np.int64))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(own[keep]), pa.array([sets[i].view(np.int64) for i in keep],
-                                                  pa.list_(pa.int64()))], names=["h", "elements"])
-
-    sets = written(texts.mapInArrow(run, "h long, elements array<long>").dropDuplicates(["h"]),
-                   "sets")
-    side = lambda x: sets.select(F.col("h").alias(x), F.col("elements").alias(f"e{x}"))
+                    pa.array(own[keep]), pa.array([len(sets[i]) for i in keep], pa.int64()),
+                    pa.array([_hist(sets[i], FINE) for i in keep], pa.binary()),
+                    pa.array([sets[i].view(np.int64) for i in keep], pa.list_(pa.int64()))],
+                    names=["h", "n", "hist", "elements"])
+
+    sets = written(texts.mapInArrow(run, "h long, n long, hist binary, elements array<long>")
+                   .dropDuplicates(["h"]), "sets")
+    pairs = written(near_pairs(pairs, sets.select("h", "n", "hist"), FINE), "pairs")
+    # A pair travels with the elements of a alone; b, the hub, has few different values.
+    hubs = pairs.select(F.col("b").alias("h")).distinct()
+    hubs = F.broadcast(hubs) if hubs.count() <= MAX_BROADCAST_NODES else hubs
+    side = lambda df, x: df.select(F.col("h").alias(x), F.col("elements").alias(f"e{x}"))
     both = F.size(F.array_intersect("ea", "eb"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").withColumn("_both", both).where(
+    return pairs.join(side(sets, "a"), "a").join(
+        side(sets.join(hubs, "h", "left_semi"), "b"), "b").withColumn("_both", both).where(
         Q * F.col("_both") >= P * (F.size("ea") + F.size("eb") - F.col("_both"))).select("a", "b")
 
 
 def block_pairs(members: DataFrame, hists: DataFrame) -> DataFrame:
     """Pairs within a signature whose members are in different classes and near by their
-    histograms, from (sig, h, first, place, c). A signature's members are compared block by
-    block; pairs with the first member were compared before."""
-    rows = members.where(F.col("h") != F.col("first")).join(hists, "h").withColumn(
+    histograms, from (sig, h, place, m, c). A signature's members are compared block by
+    block."""
+    rows = members.join(hists, "h").withColumn(
         "_block", F.floor((F.col("place") - 1) / BLOCK).cast("int"))
-    blocks = rows.groupBy("sig").agg(F.max("_block").alias("_last"))
-    each = F.explode(F.sequence(F.lit(0), F.col("_last")))
-    rows = rows.join(blocks, "sig").select("*", each.alias("_other")).select(
+    each = F.explode(F.sequence(F.lit(0), F.floor((F.col("m") - 1) / BLOCK).cast("int")))
+    rows = rows.select("*", each.alias("_other")).select(
         "sig", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"),
         "h", "c", "n", "hist", (F.col("_block") == F.least("_block", "_other")).alias("_one"),
         (F.col("_block") == F.greatest("_block", "_other")).alias("_two"))
@@ -264,19 +283,21 @@ def link_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         F.first("hist").alias("hist")), "classes")
     hists = classes.select("h", "n", "hist")
     members = written(shared_signatures(signature_rows(docs)), "members")
+    members = written(with_hubs(members), "hubs")
 
-    star = members.where("h <> first").select(
-        F.col("first").alias("a"), F.col("h").alias("b")).distinct()
-    links = written(linked(written(near_pairs(star, hists), "pairs"), docs, classes), "links")
+    star = members.where("h <> hub").select(F.col("h").alias("a"), F.col("hub").alias("b")).distinct()
+    star = written(near_pairs(star, hists, BUCKETS), "star")
+    links = written(linked(star, docs, classes), "links")
     joined = components(links)
 
-    own: Column = F.coalesce("component", "h").alias("c")
-    seen = members.join(joined, members["h"] == joined["node"], "left").select(
-        "sig", "h", "first", "place", own)
-    open_ = seen.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("lo"),
-                                    F.max("c").alias("hi")).where("m > 2 and lo <> hi")
-    rest = seen.join(open_.select("sig"), "sig", "left_semi")
-    pairs = written(block_pairs(rest, hists), "pairs")
+    # signatures whose members are still in different classes; the star has met its pairs
+    own = Window.partitionBy("sig")
+    rest = members.where("m > 2").join(joined, members["h"] == joined["node"], "left").select(
+        "sig", "h", "place", "m", "hub", F.coalesce("component", "h").alias("c")).withColumns(
+        {"_lo": F.min("c").over(own), "_hi": F.max("c").over(own)}).where(
+        "_lo <> _hi and h <> hub").drop("_lo", "_hi", "hub")
+    met = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = written(block_pairs(rest, hists).join(met, ["a", "b"], "left_anti"), "pairs")
     links = links.union(linked(pairs, docs, classes))
     joined = written(components(links), "components")
 

@@ -20,7 +20,7 @@ _LOWER[65:91] += 32
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A fixed scrambling of 64-bit integers (one to one)."""
-    x = np.asarray(x, np.uint64)
+    x = np.atleast_1d(np.asarray(x, np.uint64))          # scalars would warn of overflow
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))

@@ -10,6 +10,7 @@ to a bound; the bound changes the speed only.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 #: Where the tokenizer files lie (a folder); unset: the installed public package.
 TOKENIZER_DIR_ENV = "LLM_TOKENIZER_DIR"
 MAX_PIECES = 1_500_000
-ROOM_FOR_ALL = 800_000         # beyond this, only pieces seen twice at once are remembered
+ROOM_FOR_ALL = 500_000         # beyond this, only pieces seen twice at once are remembered
 MAX_PIECE_CHARS = 64
 SEPARATOR = "\x02"
 #: White space other than the space and the line feed (fixed by Unicode).
@@ -218,6 +219,16 @@ def encoder(path: str, dtype: str = "<u4") -> PieceEncoder:
     return _ENCODERS[key]
 
 
+def release() -> None:
+    """At a task's end, give freed memory back to the system: a Python worker stays for
+    later tasks, of other operators, too."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):                    # not every C library has it
+        pass
+
+
 def forget() -> None:
     """Give the memory of remembered pieces back (a worker's later tasks may not encode)."""
     for e in _ENCODERS.values():
