@@ -322,3 +322,28 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     return marked.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("__llm_id"))
                        & (F.col("__llm_own") == F.col("__llm_hash")), "left_semi"
                        ).dropDuplicates([id_col, "__llm_own"]).drop("__llm_own")
+
+
+ORACLE_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+                               ELSE array_to_string(w[i + 1 : i + 5], ' ') END AS shingle
+  FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN e ON e.a = r.other)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(other) AS component_id
+FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""

@@ -87,7 +87,7 @@ QUERIES = {
     "op4_decontam": (op4_decontam, None),
     "op5_langid": (op5_langid, None),
     "op6_licenses": (op6_licenses, licenses.ORACLE_SQL),
-    "op7_jaccard": (op7_jaccard, None),
+    "op7_jaccard": (op7_jaccard, jaccard.ORACLE_SQL),
     "op8_toxicity": (op8_toxicity, None),
     "op9_linededup": (op9_linededup, linededup.ORACLE_SQL),
     "op10_huffman": (op10_huffman, None),
