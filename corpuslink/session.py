@@ -23,11 +23,13 @@ BASE_CONF = {
 
 
 def get_spark(master: str | None = None, app: str = "corpuslink",
-              shuffle_partitions: int | None = None,
+              shuffle_partitions: int | None = None, checkpoint: str | None = None,
               extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's base settings.
 
     ``master`` is only set for local runs; on a cluster the launcher decides.
+    ``checkpoint`` names the shared folder for written intermediate tables, unless
+    ``spark.checkpoint.dir`` is set already.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -35,6 +37,8 @@ def get_spark(master: str | None = None, app: str = "corpuslink",
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if checkpoint:
+        conf["spark.checkpoint.dir"] = checkpoint
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
