@@ -154,6 +154,7 @@ def token_table(docs: DataFrame, id_col: str, text_col: str, tokenizer: str,
                     pa.Array.from_buffers(pa.binary(), rows, [
                         None, pa.py_buffer(ends.astype("<i4").tobytes()),
                         pa.py_buffer(ids.tobytes())])], names=["doc_id", "ids"])
+        TK.release()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary")

@@ -154,6 +154,7 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 pa.Array.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(ids.tobytes())]),
             ], schema=schema)
             sequence += len(cuts) - 1
+        TK.release()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).alias("text")).mapInArrow(pack, PIECES)
