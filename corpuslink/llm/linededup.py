@@ -244,8 +244,9 @@ def drop_lines(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str,
     """``docs`` without the lines at the given places; with ``counts`` also n_lines and
     n_dropped (in place of columns of these names)."""
     gone = drops.groupBy("_doc", "_text_hash").agg(F.collect_set("_pos").alias("_drop"))
-    # all columns travel as one struct, so that no name can clash
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+    # all other columns travel as one struct, so that no name can clash
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*others or [F.lit(0).alias("none")]).alias("_row"),
                        F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash"),
                        F.col(text_col).alias("_text"))
     joined = rows.join(gone, (F.col("_id") == F.col("_doc")) & (F.col("_hash")
