@@ -68,8 +68,9 @@ def hashing_model(dim: int = DEFAULT_DIM, remember: int = 500_000):
             sizes, codes = [], []
             for text in texts:
                 found = token.findall(text.lower())
-                for t in set(found) - known.keys():
-                    known[t] = code(t)
+                for t in found:
+                    if t not in known:
+                        known[t] = code(t)
                 codes += map(known.__getitem__, found)
                 sizes.append(len(found))
             codes = np.array(codes, np.int64)
