@@ -1,20 +1,29 @@
 """Quality rules whose cutoffs are chosen on labelled documents with a risk guarantee.
 
 Each rule is a number per document, higher for worse text. A *level* is a share of good
-documents that each rule may cut: at level v, rule r rejects values above the (1 - v)
-quantile of the good documents of the stratum in one half of the labelled documents. The
-other half is the holdout: with k of its n good documents rejected by any rule,
+documents that a rule may cut on average: at level v the ``len(RULES)`` rules share
+v * len(RULES) by weight, and a rule of weight w rejects values above the
+(1 - v * len(RULES) * w) quantile (shares rounded down to a grid; below its first the rule
+is off) of the stratum's good documents in one half of the labelled documents. A rule
+weighs by the bad documents of that half that are credited to it (plus one): each that
+exceeds a cutoff of the mildest share is credited to the rule that catches the most of
+them. The other half is the holdout: with k of its n good documents rejected by any rule,
 P(X <= k) for X binomial in n and ``risk`` (summed exactly) is the p-value of "this level
 rejects more than ``risk`` of the good documents". Levels are tested from the mildest on
 and testing stops at the first that is not below ``delta`` over the number of strata
-(fixed sequence within a stratum, Bonferroni over the strata). With probability
-1 - ``delta`` no stratum loses more than ``risk`` of its good documents to the rules.
+(fixed sequence within a stratum, Bonferroni over the strata).
+
+Strata with so few good holdouts that one rejected among them already fails the test are
+pooled into one shared stratum with its own cutoffs and test; n alone decides, so the test
+stays exact. With probability 1 - ``delta`` no stratum, the shared one counting as one,
+loses more than ``risk`` of its good documents to the rules; within the shared stratum
+nothing is promised of a single member.
 
 Everything is DataFrame expressions; one row per stratum is all that leaves the corpus.
 
 Nulls, empties: a null or empty text has 0 words and fails the base rules. A null stratum
-is a stratum of its own. A stratum without cutoffs (too few labels) loses nothing to the
-rules. Repeated labels of an id count once (good if any says so); a label that is null,
+is a stratum of its own. A stratum without cutoffs (no good holdout of its own, or too few
+even in the shared stratum) loses nothing to the rules. Repeated labels of an id count once (good if any says so); a label that is null,
 or has no document, teaches nothing. Repeated rows are judged alike. Extra columns pass
 through ``keep_good``; ``judge`` does not read them.
 """
@@ -131,23 +140,70 @@ def _above(cutoffs: str, level: int | Column) -> Column:
                                              else F.lit(level)), F.lit(False)) for r in RULES])
 
 
+def rule_weights(bad: DataFrame, quantiles: DataFrame) -> DataFrame:
+    """(_g, weights in the order of RULES): each bad document that exceeds a first quantile
+    of its group counts for the rule that catches the most of them, each rule once more. The
+    documents are counted by the set of rules they exceed, at most 2 ** len(RULES) a group."""
+    caught = F.array(*[F.coalesce(F.col("rules")[r] > F.col("quantiles")[r][0], F.lit(False))
+                       for r in RULES])
+    sets = bad.join(quantiles.withColumnRenamed("group", "_g"), F.col("group") == F.col("_g")
+                    ).groupBy("_g", caught.alias("caught")).agg(F.count(F.lit(1)).alias("n"))
+    sets = sets.groupBy("_g").agg(F.collect_list(F.struct("caught", "n")).alias("sets"), F.array(*[
+        F.sum(F.when(F.col("caught")[i], F.col("n")).otherwise(0)) for i in range(len(RULES))
+    ]).alias("totals"))
+
+    def first(s: Column) -> Column:
+        own = F.zip_with(s["caught"], F.col("totals"), lambda c, n: F.when(c, n).otherwise(0))
+        return F.when(F.array_max(own) > 0, F.array_position(own, F.array_max(own)) - 1)
+
+    sets = written(sets.select("_g", F.explode("sets").alias("s"), "totals").select(
+        "_g", first(F.col("s")).alias("rule"), F.col("s")["n"].alias("n")), "credits")
+    credits = sets.groupBy("_g").agg(F.coalesce(F.sum(F.when(
+        F.col("rule").isNotNull(), F.col("n"))), F.lit(0)).alias("all"), *[
+        F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("n"))), F.lit(0)).alias(r)
+        for i, r in enumerate(RULES)])
+    return credits.select("_g", F.array(*[
+        (F.col(r) + 1) / (F.col("all") + len(RULES)) for r in RULES]).alias("weights"))
+
+
 def choose_cutoffs(rows: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
                    label_col: str = "quality", levels: tuple[float, ...] = LEVELS,
                    risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """(stratum, cutoffs, level, tests): for each stratum the rules' cutoffs at all levels,
     the number of levels that hold (0: none) and each level's (k, n, p)."""
-    good = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
-        F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_good")).where("_good = 1")
-    known = written(rows.join(good, F.col("doc_id") == F.col("_id"), "left_semi").where(
-        ~F.col("base_failed")).select("doc_id", "stratum", "rules"), "labelled")
+    given = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(
+        F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_good"))
+    known = written(rows.join(given, F.col("doc_id") == F.col("_id")).where(
+        ~F.col("base_failed")).select("doc_id", "stratum", "rules", "_good"), "labelled")
     half = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("half")), F.lit(2))
-    shares = F.array(*[F.lit(1 - v) for v in levels])
-    cutoffs = known.where(half == 0).groupBy("stratum").agg(F.struct(*[
-        F.percentile_approx(F.col("rules")[r], shares, ACCURACY).alias(r) for r in RULES
-    ]).alias("cutoffs"))
-    tested = known.where(half == 1).join(
-        cutoffs.select(F.col("stratum").alias("_s"), "cutoffs"),
-        F.col("stratum").eqNullSafe(F.col("_s"))).groupBy("stratum").agg(
+    sizes = known.where((half == 1) & (F.col("_good") == 1)).groupBy("stratum").agg(
+        F.count(F.lit(1)).alias("n"))
+    small = binomial_tail(F.lit(1), F.col("n"), risk) > F.lit(delta) / sizes.agg(
+        F.count(F.lit(1))).scalar()
+    groups = written(sizes.select(F.col("stratum").alias("_s"), small.alias("shared")).select(
+        "_s", F.struct("shared", F.when(~F.col("shared"), F.col("_s")).alias("stratum")).alias(
+            "group")), "strata")
+    known = known.join(groups, F.col("stratum").eqNullSafe(F.col("_s")))
+    grid = sorted({v * m for v in levels for m in (1, 2, 4, 8)})
+    quantiles = written(known.where((half == 0) & (F.col("_good") == 1)).groupBy("group").agg(
+        F.struct(*[F.percentile_approx(F.col("rules")[r], F.array(*[
+            F.lit(max(1 - v, 0.0)) for v in grid]), ACCURACY).alias(r) for r in RULES
+        ]).alias("quantiles")), "quantiles")
+    weights = written(rule_weights(known.where((half == 0) & (F.col("_good") == 0)), quantiles),
+                      "weights")
+
+    def at_levels(i: int, r: str) -> Column:
+        share = F.lit(len(RULES) * (1 + 1e-9)) * F.coalesce(
+            F.get("weights", F.lit(i)), F.lit(1 / len(RULES)))
+        return F.transform(F.array(*[F.lit(v) for v in levels]), lambda v: F.get(
+            F.col("quantiles")[r], F.size(F.filter(F.array(*[F.lit(g) for g in grid]),
+                                                   lambda g: g <= v * share)) - 1))
+
+    cutoffs = written(quantiles.join(weights, F.col("group") == F.col("_g"), "left").select(
+        F.col("group").alias("_g"), F.struct(*[
+            at_levels(i, r).alias(r) for i, r in enumerate(RULES)]).alias("cutoffs")), "cutoffs")
+    tested = known.where((half == 1) & (F.col("_good") == 1)).join(
+        cutoffs, F.col("group") == F.col("_g")).groupBy("group").agg(
         F.count(F.lit(1)).alias("n"), *[
             F.sum(_above("cutoffs", i).cast("long")).alias(f"k{i}") for i in range(len(levels))])
     strata = tested.agg(F.count(F.lit(1))).scalar()
@@ -157,10 +213,11 @@ def choose_cutoffs(rows: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
                        lambda a, t: F.struct(
                            (a["level"] + (a["on"] & (t["p"] <= F.col("limit"))).cast("int"))
                            .alias("level"), (a["on"] & (t["p"] <= F.col("limit"))).alias("on")))
-    return tested.select("stratum", tests.alias("tests"), (F.lit(delta) / strata).alias("limit")
-                         ).withColumn("level", held["level"]).join(
-        cutoffs.select(F.col("stratum").alias("_s"), "cutoffs"),
-        F.col("stratum").eqNullSafe(F.col("_s"))).select("stratum", "cutoffs", "level", "tests")
+    held = tested.select("group", tests.alias("tests"), (F.lit(delta) / strata).alias("limit")
+                         ).withColumn("level", held["level"])
+    return held.join(cutoffs, F.col("group") == F.col("_g")).drop("_g").join(
+        groups.select(F.col("_s").alias("stratum"), F.col("group").alias("_g")),
+        F.col("group") == F.col("_g")).select("stratum", "cutoffs", "level", "tests")
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

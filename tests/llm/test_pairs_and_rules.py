@@ -207,6 +207,31 @@ def test_cutoffs_keep_the_risk_and_find_bad_text(spark):
             assert t.p <= 0.05 / len(chosen)
 
 
+def test_small_strata_share_cutoffs(spark):
+    """Three languages too small to pass alone, next to a large one; bad text is full of
+    marks, which one of the eight rules sees."""
+    rng = random.Random(2)
+    rows, labels = [], []
+    for i in range(3600):
+        lang = "en" if i % 2 else ("de", "fr", "es")[i // 2 % 3]
+        bad = i // 6 % 10 == 0
+        w = words(rng, 60, 3000).split(" ")
+        rows.append((i, " ".join(x + "#" if bad else x for x in w), lang))
+        if i % 5 < 3:
+            labels.append((i, int(not bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    given = spark.createDataFrame(labels, "doc_id long, quality long")
+    chosen = {r.stratum: r for r in quality.choose_cutoffs(
+        quality.features(docs, "doc_id", "text", "lang"), given).collect()}
+    assert all(chosen[x].level > 0 for x in ("en", "de", "fr", "es"))
+    assert chosen["de"].tests == chosen["fr"].tests == chosen["es"].tests != chosen["en"].tests
+    assert all(t.p <= 0.05 / 2 for r in chosen.values() for t in r.tests[:r.level])
+    kept = {r.doc_id: r.kept for r in quality.judge(docs, given).collect()}
+    assert not any(kept[i] for i in range(3600) if i // 6 % 10 == 0)
+    good = [kept[i] for i in range(3600) if i // 6 % 10]
+    assert sum(good) >= 0.98 * len(good)
+
+
 def test_leaks(spark, none):
     rng = random.Random(5)
     items = [(k, words(rng, 30, 5000) + ".") for k in range(6)]
