@@ -5,7 +5,8 @@
   heavy as the smaller class (or ``prior`` words). A word counts once a document, so that
   a text repeating one word teaches it once. Words whose weight exceeds ``min_z`` standard
   errors are kept, at most ``max_words`` of them; all other words share one pooled weight,
-  made negative.
+  made negative. The bar is low, so that passages of many rarer words add up to a height;
+  words below it are mostly chance (README).
 * Passages: a linear scan (all maximal scoring segments) over the words of the whole
   text. Between two kept words the pooled weight just adds up.
 * Calibration: with p the other documents' word frequencies, lambda solves
@@ -168,7 +169,7 @@ def _curve(x: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> tuple[float, f
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", max_train: int = 40_000, prior: float | None = None,
-          min_z: float = 4.0, max_words: int = 50_000, alpha: float = 0.01) -> Model:
+          min_z: float = 2.5, max_words: int = 50_000, alpha: float = 0.01) -> Model:
     """Learn from the rows of ``labels`` (id, 0/1) that ``docs`` has."""
     spark = docs.sparkSession
     sample = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(

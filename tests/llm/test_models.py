@@ -133,6 +133,34 @@ def test_passages_are_found(spark):
             assert any(p.first_word <= 30 and p.last_word >= 33 for p in r.passages)
 
 
+def test_passages_of_rare_words_are_found(spark):
+    """Toxic passages of 6 of 40 words: each word is in few training documents."""
+    rng = random.Random(4)
+    plain, vile = [f"w{k}" for k in range(300)], [f"vile{k}" for k in range(40)]
+    rows = []
+    for i in range(600):
+        text = [rng.choice(plain) for _ in range(60)]
+        if i % 6 == 0:
+            text[30:30] = rng.sample(vile, 6)
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(
+        [(i, int(i % 6 == 0)) for i in range(300)], "doc_id long, toxic int"))
+    late = [r for r in toxicity.score(docs, model).collect() if r.doc_id >= 300]
+    assert sum(r.score >= 0.5 for r in late if r.doc_id % 6 == 0) >= 45      # of 50
+    assert sum(r.score >= 0.5 for r in late if r.doc_id % 6) <= 7            # of 250
+
+
+def test_held_out_toxicity_by_language(spark):
+    path = SF_SMALL.replace("sf0.001", "sf0.1")
+    rows = queries.op8_toxicity(spark, path).where("held_out").join(
+        queries.table(spark, path, "labels").where("toxic = 1"), "doc_id").join(
+        queries.table(spark, path, "documents").select("doc_id", "lang"), "doc_id").collect()
+    for lang in ("de", "en", "es", "fr"):
+        caught = [r.predicted for r in rows if r.lang == lang]
+        assert caught and sum(caught) / len(caught) > 0.5, lang
+
+
 def test_held_out_toxicity(spark):
     path = SF_SMALL.replace("sf0.001", "sf0.1")
     got = queries.op8_toxicity(spark, path)
