@@ -195,16 +195,29 @@ def shard_rows(repeated: DataFrame, n_shards: int) -> DataFrame:
         "_shard").sortWithinPartitions("_shard").mapInArrow(build, schema)
 
 
-def repeated_lines(lines: DataFrame, shards: DataFrame, n_shards: int, n_salts: int) -> DataFrame:
+def shard_salts(repeated: DataFrame, n_shards: int, n_lines: int, parts: int) -> DataFrame:
+    """(_salted, n_salts): each shard's salts, an even share of ``parts``, or as many as the
+    postings of its repeated keys are worth among all lines; together at most
+    2 parts + 2 n_shards while the postings are lines of this run."""
+    own = F.ceil(F.col("n") * parts / F.lit(float(max(n_lines, 1))))
+    return repeated.groupBy(_shard(n_shards).alias("_salted")).agg(
+        F.sum("n_docs").alias("n")).select("_salted", F.greatest(
+            F.lit(max(1, parts // n_shards)), F.least(own, F.lit(parts))).cast("int").alias(
+                "n_salts"))
+
+
+def repeated_lines(lines: DataFrame, shards: DataFrame, n_shards: int, salts: DataFrame
+                   ) -> DataFrame:
     """(_doc, _text_hash, _pos) of the lines to drop: their key is repeated and their
     document is not the last one holding it."""
-    line = lines.select(
-        _shard(n_shards).alias("_shard"),
-        F.pmod(F.xxhash64("_doc"), F.lit(n_salts)).cast("int").alias("_salt"),
+    # a shard without salts has no repeated key: its lines drop out here
+    line = lines.join(F.broadcast(salts), _shard(n_shards) == F.col("_salted")).select(
+        F.col("_salted").alias("_shard"),
+        F.pmod(F.xxhash64("_doc"), F.col("n_salts")).cast("int").alias("_salt"),
         F.lit(1).alias("_kind"), "_key", "_doc", "_text_hash", "_pos",
         F.lit(None).cast("binary").alias("filter"), F.lit(None).cast("binary").alias("last_docs"))
-    row = shards.select(
-        "_shard", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))).alias("_salt"),
+    row = shards.join(F.broadcast(salts), F.col("_shard") == F.col("_salted")).select(
+        "_shard", F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)).alias("_salt"),
         F.lit(0).alias("_kind"), F.col("keys").alias("_key"), F.lit(0).cast("long").alias("_doc"),
         F.lit(0).cast("long").alias("_text_hash"), F.lit(0).alias("_pos"), "filter", "last_docs")
     met = row.union(line).repartition("_shard", "_salt").sortWithinPartitions(
@@ -292,8 +305,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     repeated = written(refs.where(F.col("n_docs") >= min_docs), "references")
     n_shards = max(1, -(-repeated.count() // SHARD_KEYS * 5 // 4))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    drops = repeated_lines(lines, shard_rows(repeated, n_shards), n_shards,
-                           max(1, parts // n_shards))
+    salts = written(shard_salts(repeated, n_shards, lines.count(), parts), "salts")
+    drops = repeated_lines(lines, shard_rows(repeated, n_shards), n_shards, salts)
     return drop_lines(docs, drops, id_col, text_col, counts)
 
 

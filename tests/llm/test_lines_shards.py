@@ -51,6 +51,25 @@ def test_many_shards_and_salts(docs, rows, monkeypatch):
     assert result(L.dedup_lines(docs)) == brute_lines(rows)
 
 
+def test_a_hot_line_is_spread_whatever_the_shards(spark, monkeypatch):
+    """One line in all documents, with more shards than partitions."""
+    monkeypatch.setattr(L, "SHARD_KEYS", 1)
+    drops, real = [], L.drop_lines
+    monkeypatch.setattr(L, "drop_lines", lambda d, x, *a: drops.append(x) or real(d, x, *a))
+    hot = "the same line stands in every one of these documents"
+    rows = [(i, f"{hot}\nanother line that stands in some documents {i % 100}\nown line {i} "
+                "which stands in this document only") for i in range(400)]
+    out = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sum(hot in r.text for r in out.collect()) == 1
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in drops[0].where("_pos = 0").groupBy(
+            F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 399 and len(sizes) > 1
+
+
 def test_deleting_undoes_inserting(spark, docs, rows):
     state = L.LineState(spark)
     old, new = docs.where("doc_id < 40"), docs.where("doc_id >= 40")
