@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslink.llm import (
-    decontam, huffman, jaccard, langid, licenses, linededup, packing, quality, resharding,
-    toxicity,
+    decontam, huffman, jaccard, langid, licenses, linededup, merkle, packing, quality,
+    resharding, toxicity,
 )
 
 
@@ -80,6 +80,11 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.digests(huffman.round_trip(table(spark, sf_dir, "documents")))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaf, proof and roots of every document, a third of them tampered with."""
+    return merkle.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": (op1_quality, None),
     "op2_resharding": (op2_resharding, None),
@@ -91,4 +96,5 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_linededup": (op9_linededup, linededup.ORACLE_SQL),
     "op10_huffman": (op10_huffman, None),
+    "op13_merkle": (op13_merkle, merkle.ORACLE_SQL),
 }
