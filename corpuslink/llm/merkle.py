@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import written
+from .sqltext import crc32_sql
 
 FAN = 8
 DEPTH = 3                       # levels nested in one row: blocks of FAN ** DEPTH leaves
@@ -194,15 +195,6 @@ def digests(docs: DataFrame) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-#: crc32 of a decimal number as DuckDB SQL: bytes are xor-ed in, 256 stands for one shift.
-def crc32_sql(number: str) -> str:
-    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
-        string_split(CAST({number} AS VARCHAR), ''),
-        lambda c: [ascii(c)::BIGINT, 256, 256, 256, 256, 256, 256, 256, 256]))),
-        lambda c, e: CASE WHEN e < 256 THEN xor(c, e) WHEN c & 1 = 1
-            THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END), 4294967295::BIGINT)"""
-
-
 def _field_sql(column: str) -> str:
     value = f"CAST({column} AS VARCHAR)"
     return f"coalesce(strlen({value}) || ':' || {value}, '-')"

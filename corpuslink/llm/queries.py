@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslink.llm import (
     decontam, huffman, jaccard, langid, licenses, linededup, merkle, packing, quality,
-    resharding, toxicity,
+    resharding, runs, toxicity,
 )
 
 
@@ -80,6 +80,11 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.digests(huffman.round_trip(table(spark, sf_dir, "documents")))
 
 
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, a tenth of them made periodic from some word on."""
+    return runs.digests(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The leaf, proof and roots of every document, a third of them tampered with."""
     return merkle.digests(table(spark, sf_dir, "documents"))
@@ -96,5 +101,6 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_linededup": (op9_linededup, linededup.ORACLE_SQL),
     "op10_huffman": (op10_huffman, None),
+    "op12_runs": (op12_runs, runs.ORACLE_SQL),
     "op13_merkle": (op13_merkle, merkle.ORACLE_SQL),
 }
