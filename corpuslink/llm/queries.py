@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslink.llm import (
     decontam, huffman, jaccard, langid, licenses, linededup, merkle, packing, quality,
-    resharding, runs, toxicity,
+    resharding, runs, toxicity, warc,
 )
 
 
@@ -80,6 +80,11 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.digests(huffman.round_trip(table(spark, sf_dir, "documents")))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    return warc.digests(table(spark, sf_dir, "pages"))
+
+
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The periodic runs of every document, a tenth of them made periodic from some word on."""
     return runs.digests(table(spark, sf_dir, "documents"))
@@ -101,6 +106,7 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_linededup": (op9_linededup, linededup.ORACLE_SQL),
     "op10_huffman": (op10_huffman, None),
+    "op11_warc": (op11_warc, warc.ORACLE_SQL),
     "op12_runs": (op12_runs, runs.ORACLE_SQL),
     "op13_merkle": (op13_merkle, merkle.ORACLE_SQL),
 }
