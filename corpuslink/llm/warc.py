@@ -129,7 +129,7 @@ def with_first(rows: DataFrame, min_bytes: int) -> tuple[DataFrame, int]:
 
 
 def write_archive(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url",
-                  payload_col: str = "html", min_bytes: int = 0, gz: bool = False,
+                  payload_col: str = "html", min_bytes: int = 0, gz: bool = True,
                   file_bytes: int = FILE_BYTES, date: str | None = None) -> None:
     """Write a record per row below ``path``; payloads under ``min_bytes`` are never revisits."""
     date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
