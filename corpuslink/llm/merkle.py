@@ -40,6 +40,7 @@ from .sqltext import crc32_sql
 FAN = 8
 DEPTH = 3                       # levels nested in one row: blocks of FAN ** DEPTH leaves
 BLOCK = FAN ** DEPTH
+PLAIN = "uncompressed"           # digests do not compress; codecs hold memory outside the heap
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -67,7 +68,7 @@ def _ranked(leaves: DataFrame, name: str) -> DataFrame:
     parts = int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = written(leaves.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                   .withColumn("_pid", F.spark_partition_id())
-                  .withColumn("_mid", F.monotonically_increasing_id()), name)
+                  .withColumn("_mid", F.monotonically_increasing_id()), name, PLAIN)
     pieces = cut.groupBy("g", "_pid").agg(F.min("_mid").alias("_first"),
                                           F.count(F.lit(1)).alias("_n"))
     whole = Window.partitionBy("g")
@@ -98,11 +99,11 @@ def _nested(nodes: DataFrame, payload: Sequence[str]) -> DataFrame:
 
 def _tree(leaves: DataFrame, payload: Sequence[str], name: str) -> tuple[DataFrame, list[DataFrame]]:
     """(g, node) of every group's top, and the written blocks of every stage, lowest first."""
-    stages = [written(_nested(_ranked(leaves, f"{name}-ranks"), payload), f"{name}-blocks")]
+    stages = [written(_nested(_ranked(leaves, f"{name}-ranks"), payload), f"{name}-blocks", PLAIN)]
     while (stages[-1].agg(F.max("block")).first()[0] or 0) > 0:
         above = stages[-1].select("g", F.col("block").alias("idx"), F.greatest(
             F.col("levels") - DEPTH, F.lit(0)).alias("levels"), "node")
-        stages.append(written(_nested(above, ()), f"{name}-blocks"))
+        stages.append(written(_nested(above, ()), f"{name}-blocks", PLAIN))
     return stages[-1].select("g", "node"), stages
 
 
