@@ -11,8 +11,8 @@ Method, for a slice of texts at a time:
 1. The words of all texts become numbers that no two texts share. Prefix doubling sorts the
    suffixes (only those still tied are sorted again), and the class numbers of every length
    2^k, kept on the way, give the common prefix of neighbours in that order exactly.
-2. Neighbours with fewer than ``min_words - 1`` words in common belong to no run, since l is
-   at least that. What lies between such cuts is walked bottom-up as a tree of LCP intervals.
+2. Neighbours with fewer words in common than any run's l (five, for runs of six words or more)
+   belong to no run. What lies between such cuts is walked bottom-up as a tree of LCP intervals.
 3. An interval keeps the positions of its suffixes in order, each with the class of the word to
    its left. When a child joins, smaller into larger, each of its positions meets its two
    neighbours there; pairs of unlike left classes at most l / 3 apart are reported. Neighbours are
@@ -165,7 +165,8 @@ def text_runs(texts: Sequence[Sequence[bytes]], min_words: int = 6) -> list[list
     out: list[list[tuple]] = [[] for _ in texts]
     if not len(ids):
         return out
-    least = max(1, min_words - 1)
+    # what a run's start and one period later must have in common, over all periods
+    least = min(max(min_words - q, 3 * q) for q in range(1, max(2, min_words)))
     order, levels = suffix_order(ids)
     left = np.concatenate([[-1], ids[:-1]])
     left[base[:-1][sizes > 0]] = -1

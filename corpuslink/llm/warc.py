@@ -177,6 +177,9 @@ def parse_record(data: bytes, at: int) -> tuple[int, dict]:
             raise Damaged("head line without colon")
         fields.setdefault(name.strip().lower().decode("latin-1"),
                           value.strip().decode("utf-8", "replace"))
+    for name in ("warc-type", "warc-record-id", "warc-date"):
+        if not fields.get(name):
+            raise Damaged(f"no {name}")
     length = fields.get("content-length", "")
     if not re.fullmatch("[0-9]+", length):
         raise Damaged("no content length")

@@ -24,9 +24,9 @@ def test_query_equals_its_sql(spark, name):
     assert got == _rows([c[0] for c in cur.description], cur.fetchall())
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
 
@@ -77,6 +77,8 @@ def test_pipeline_on_empty_documents(spark, none, tmp_path):
         f"{sf}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(
         f"{sf}/benchmark.parquet")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(
+        f"{sf}/pages.parquet")
     assert corpus_pipeline.run(spark, sf).count() == 0
     for name, (fn, _) in queries.QUERIES.items():
         assert fn(spark, sf).count() == 0, name
