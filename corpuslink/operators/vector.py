@@ -5,13 +5,11 @@ position. Scores are cosine (D2): stored vectors and queries are normalised on
 entry, whatever their length; vectors of unequal size raise an error (D1).
 
 Scale notes:
-* the scan of the vectors is the only big input and is never shuffled before
-  the top-k cut: a task multiplies its Arrow batches by a block of queries and
-  keeps a running top-k, so it emits at most k rows a query;
-* a query set of any size is walked in blocks of ``BLOCK_BYTES``; more than
-  one block means more than one pass, never another answer;
-* the approximate path (IVF) finds each query's ``nprobe`` nearest cells and
-  joins vectors on the cell id, so a query scores only those cells.
+* the vectors are scanned once and never shuffled before the top-k cut: a task
+  multiplies chunks of them by the blocks of queries, read from a shared table
+  (``operators.grid``), so both sides are distributed and may have any size;
+* the approximate paths find each query's nearest cells (IVF, here) or probe
+  buckets of hyperplane signatures (``operators.lsh``) and score only what lies there.
 
 The caller names exact or approximate search; nothing switches by size.
 """
@@ -21,20 +19,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.functions.vectors import dot, l2_normalize
+from corpuslink.operators import grid
 from corpuslink.operators.query import filter_units, top_n_per_key
 from corpuslink.session import scratch_path
 
 OVERFETCH = 10               # O-70: the reference fetches 10 * k before filtering
-BLOCK_BYTES = 32 << 20       # of a block of queries or cells shipped to the tasks
-BATCH_ROWS = 1024            # vectors multiplied at once
+BLOCK_BYTES = grid.BLOCK_BYTES
 
 
 def normalize(vecs: DataFrame, col: str = "vec", out: str | None = None) -> DataFrame:
@@ -103,88 +98,38 @@ def find_similar(vecs: DataFrame, key_filter, k: int = 10) -> DataFrame:
             .orderBy(F.desc("score"), F.asc("verse_id")).limit(k))
 
 
-def _blocks(rows: DataFrame, id_col: str, vec_col: str, block_bytes: int):
-    """(ids, normalised matrix) of all rows, a block at a time: the driver never holds
-    more than one."""
-    ids, vecs, size = [], [], 0
-    for i, v in rows.select(id_col, l2_normalize(vec_col)).toLocalIterator():
-        if v is None:
-            continue
-        ids.append(i)
-        vecs.append(np.array(v, np.float64))
-        size += vecs[-1].nbytes
-        if size >= block_bytes:
-            yield ids, np.stack(vecs)
-            ids, vecs, size = [], [], 0
-    if ids:
-        yield ids, np.stack(vecs)
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _block_topk(vecs: DataFrame, ids: list, matrix: np.ndarray, k: int, qid: str,
-                schema: str) -> DataFrame:
-    """Each task's k best vectors of every query of one block."""
-    bc = vecs.sparkSession.sparkContext.broadcast((np.array(ids, dtype=object), matrix))
-
-    def per_task(batches):
-        names, mat = bc.value
-        held = pd.DataFrame({"q": np.zeros(0, np.int64), "verse_id": [], "score": []})
-        floor = np.full(len(names), -np.inf)            # each query's k-th best so far
-        for pdf in batches:
-            for at in range(0, len(pdf), BATCH_ROWS):
-                part = pdf.iloc[at:at + BATCH_ROWS]
-                sc = np.round(np.stack(part["vec"].to_numpy()) @ mat.T, 6)
-                if len(sc) > k:
-                    cut = np.maximum(floor, np.partition(sc, len(sc) - k, axis=0)[len(sc) - k])
-                else:
-                    cut = floor
-                row, q = np.nonzero(sc >= cut)
-                new = pd.DataFrame({"q": q, "verse_id": part["verse_id"].to_numpy()[row],
-                                    "score": sc[row, q]})
-                held = (pd.concat([held, new], ignore_index=True) if len(held) else new)
-                held = held.sort_values(["q", "score", "verse_id"],
-                                        ascending=[True, False, True]).groupby("q").head(k)
-                full = held.groupby("q")["score"].agg(["size", "min"])
-                full = full[full["size"] >= k]
-                floor[full.index.to_numpy(int)] = full["min"].to_numpy()
-        if len(held):
-            held[qid] = names[held["q"].to_numpy(int)]
-            yield held[[qid, "verse_id", "score"]]
-
-    return vecs.mapInPandas(per_task, schema)
-
-
 def topk_exact(vecs: DataFrame, queries: DataFrame, k: int, qid: str = "qid",
                block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """O-65 for many queries ``queries(qid, qvec)``: the k best vectors of each.
 
-    Result: (qid, rank, verse_id, score). The queries are walked in blocks; with
-    one block the vectors are scanned once and nothing is written.
+    Result: (qid, rank, verse_id, score). The vectors are scanned once; the tasks read the
+    queries in blocks from a shared table (``operators.grid``).
     """
-    schema = (f"`{qid}` {queries.schema[qid].dataType.simpleString()}, "
-              f"verse_id {vecs.schema['verse_id'].dataType.simpleString()}, score double")
-    unit = vecs.where(F.col("vec").isNotNull()).select("verse_id", l2_normalize("vec").alias("vec"))
-    parts: list[DataFrame] = []
-    for ids, matrix in _blocks(queries, qid, "qvec", block_bytes):
-        if parts:
-            parts[-1] = _written(parts[-1], "topk")     # one pass each; plans stay small
-        parts.append(_block_topk(unit, ids, matrix, k, qid, schema))
-    if not parts:
-        s = vecs.sparkSession.createDataFrame([], schema)
-    else:
-        s = parts[0]
-        for p in parts[1:]:
-            s = s.union(p)
+    unit = vecs.where(F.col("vec").isNotNull()).select(
+        F.lit(0).alias("key"), "verse_id", l2_normalize("vec").alias("vec"))
+    asked = queries.select(F.lit(0).alias("key"), F.col(qid).alias("id"),
+                           l2_normalize("qvec").alias("vec"))
+    return _topk_by_key(unit, asked, k, qid, block_bytes)
+
+
+def _topk_by_key(unit: DataFrame, asked: DataFrame, k: int, qid: str, block_bytes: int
+                 ) -> DataFrame:
+    """The k best of ``unit(key, verse_id, vec)`` for each of ``asked(key, id, vec)``."""
+    schema = (f"`{qid}` {asked.schema['id'].dataType.simpleString()}, "
+              f"verse_id {unit.schema['verse_id'].dataType.simpleString()}, score double")
+    blocks = grid.write_blocks(asked.where(F.col("vec").isNotNull()), block_bytes)
+    s = grid.topk_against(unit, blocks, k, qid, schema)
     return top_n_per_key(s, [qid], [F.desc("score"), F.asc("verse_id")], k) \
         .select(qid, "rank", "verse_id", "score")
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def centroids(vecs: DataFrame, group: str, vec_col: str = "vec") -> DataFrame:
     """Mean vector per group: ``(group, centroid array<double>)``.
 
@@ -199,62 +144,29 @@ def centroids(vecs: DataFrame, group: str, vec_col: str = "vec") -> DataFrame:
             .select(group, F.transform("_s", lambda s: s["_m"]).alias("centroid")))
 
 
-def _assign_block(df: DataFrame, names: np.ndarray, matrix: np.ndarray) -> DataFrame:
-    """``df`` with (_c, _s), the best cell of each ``_v`` so far, bettered by one block."""
-    bc = df.sparkSession.sparkContext.broadcast((names, matrix))
-    v, c, s = (df.columns.index(x) for x in ("_v", "_c", "_s"))
-
-    def per_task(batches):
-        names, mat = bc.value
-        for batch in batches:
-            vecs = batch.column(v)
-            known = np.flatnonzero(vecs.is_valid().to_numpy(zero_copy_only=False))
-            cells = batch.column(c).fill_null(-1).to_numpy(zero_copy_only=False).copy()
-            best = batch.column(s).fill_null(-np.inf).to_numpy(zero_copy_only=False).copy()
-            for at in range(0, len(known), BATCH_ROWS):
-                rows = known[at:at + BATCH_ROWS]
-                sc = vecs.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(
-                    len(rows), -1) @ mat.T
-                top = sc.argmax(axis=1)
-                score, cell = sc[np.arange(len(top)), top], names[top]
-                wins = (score > best[rows]) | ((score == best[rows]) & (cell < cells[rows]))
-                best[rows] = np.where(wins, score, best[rows])
-                cells[rows] = np.where(wins, cell, cells[rows])
-            columns = list(batch.columns)
-            columns[c] = pa.array(cells, pa.int64(), mask=cells < 0)
-            columns[s] = pa.array(best, pa.float64(), mask=np.isneginf(best))
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    return df.mapInArrow(per_task, df.schema)
-
-
 def nearest_centroid(vecs: DataFrame, cents: DataFrame, cluster: str = "cluster",
                      vec_col: str = "vec", out: str | None = None,
                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Assign each vector to the centroid with the highest cosine (ties: lower id).
 
-    One matrix product per Arrow batch and block of centroids; the vectors are
-    not shuffled.
+    One pass of matrix products against the centroids' blocks; the vectors are not
+    shuffled.
     """
     out = out or cluster
     rest = [c for c in vecs.columns if c != out]
-    df = vecs.select(*rest, l2_normalize(vec_col).alias("_v"),
-                     F.lit(None).cast("long").alias("_c"), F.lit(None).cast("double").alias("_s"))
-    number = 0
-    for ids, matrix in _blocks(cents, cluster, "centroid", block_bytes):
-        if number:
-            df = _written(df, "assign")
-        number += 1
-        order = np.argsort(np.array(ids), kind="stable")
-        df = _assign_block(df, np.array(ids, np.int64)[order], matrix[order])
-    return df.select(*rest, F.col("_c").alias(out))
+    blocks = grid.write_blocks(cents.where(F.col("centroid").isNotNull()).select(
+        F.lit(0).alias("key"), F.col(cluster).cast("long").alias("id"),
+        l2_normalize("centroid").alias("vec")), block_bytes)
+    df = vecs.select(*rest, l2_normalize(vec_col).alias("_v"))
+    return grid.nearest(df, blocks, "_v", "_c").select(*rest, F.col("_c").alias(out))
 
 
 # --- approximate search (IVF) -------------------------------------------------
 
-def build_ivf(vecs: DataFrame, nlist: int, seed: int = 42, max_iter: int = 10) -> dict:
+def build_ivf(vecs: DataFrame, nlist: int, seed: int = 42, max_iter: int = 10,
+              target_recall: float | None = 0.9, recall_k: int = 10, sample: int = 256) -> dict:
     """O-67/O-69: train ``nlist`` cells with Spark ML k-means over normalised
-    vectors and attach the cell id. Returns {'vectors', 'cells'}."""
+    vectors and attach the cell id. Returns {'vectors', 'cells', 'nprobe'}."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
@@ -268,24 +180,72 @@ def build_ivf(vecs: DataFrame, nlist: int, seed: int = 42, max_iter: int = 10) -
     spark = vecs.sparkSession
     cells = spark.createDataFrame(
         [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-        "cell long, centroid array<double>").withColumn("centroid", l2_normalize("centroid"))
-    unit = normalize(vecs)
-    return {"vectors": nearest_centroid(unit, cells, "cell"), "cells": cells}
+        "cell long, centroid array<double>")
+    return ivf_from_cells(vecs, cells, target_recall, recall_k, sample)
 
 
-def topk_ann(index: dict, queries: DataFrame, k: int, nprobe: int = 4,
-             qid: str = "qid") -> DataFrame:
-    """O-67: probe the ``nprobe`` nearest cells of each query (by the rule that dealt the
-    vectors: highest cosine, ties to the lower cell), then exact re-rank inside them. The
-    probe is an equi-join on cell id (no product over all vectors). With ``nprobe`` = all
-    cells the result equals ``topk_exact``."""
+def ivf_from_cells(vecs: DataFrame, cells: DataFrame, target_recall: float | None = 0.9,
+                   recall_k: int = 10, sample: int | None = 256) -> dict:
+    """O-67 over given ``cells(cell, centroid)``: the index as ``build_ivf`` returns it.
+
+    ``nprobe``, how many cells a search probes unless told otherwise, is the least number that
+    finds ``target_recall`` of the ``recall_k`` nearest vectors of ``sample`` of the vectors
+    themselves, those with the smallest hash of their id (``None``: of all of them). Without a
+    target every search names its own.
+    """
+    cells = cells.select("cell", l2_normalize("centroid").alias("centroid"))
+    dealt = _written(nearest_centroid(normalize(vecs), cells, "cell"), "ivf")
+    if target_recall is None:
+        return {"vectors": dealt, "cells": cells}
+    asked = dealt.where(F.col("vec").isNotNull()).select(
+        F.col("verse_id").alias("qid"), F.col("vec").alias("qvec"))
+    if sample is not None:
+        asked = asked.orderBy(F.xxhash64("qid"), "qid").limit(sample)
+    index = {"vectors": dealt, "cells": cells}
+    index["nprobe"] = cells_needed(index, _written(asked, "probes"), recall_k, target_recall)
+    return index
+
+
+def cells_needed(index: dict, queries: DataFrame, k: int, target_recall: float,
+                 qid: str = "qid") -> int:
+    """The least number of cells to probe so that ``target_recall`` of all exact hits of
+    ``queries`` lie in them: a quantile of the hits' cells in the order of the query's probes."""
+    n = index["cells"].count()
+    hits = topk_exact(index["vectors"], queries, k, qid).join(
+        index["vectors"].select("verse_id", "cell"), "verse_id")
+    order = _probed_cells(index, queries, n, qid)
+    at = hits.join(order, [qid, "cell"]).groupBy("rank_of_cell").count().orderBy("rank_of_cell")
+    counts = [(r.rank_of_cell, r["count"]) for r in at.collect()]       # a row a cell at most
+    total, seen = sum(c for _, c in counts), 0
+    for rank, c in counts:
+        seen += c
+        if seen >= target_recall * total:
+            return rank
+    return max(1, n)
+
+
+def _probed_cells(index: dict, queries: DataFrame, nprobe: int, qid: str) -> DataFrame:
+    """(qid, cell, rank_of_cell): each query's nearest cells, by the rule that dealt the vectors."""
     cells = index["cells"].select(F.col("cell").alias("verse_id"), F.col("centroid").alias("vec"))
-    near = topk_exact(cells, queries, nprobe, qid).select(qid, F.col("verse_id").alias("cell"))
-    probe = queries.select(qid, l2_normalize("qvec").alias("qvec")).join(near, qid)
-    s = (index["vectors"].select("verse_id", "vec", "cell").join(probe, "cell")
-         .select(qid, "verse_id", F.round(dot(l2_normalize("vec"), "qvec"), 6).alias("score")))
-    return top_n_per_key(s, [qid], [F.desc("score"), F.asc("verse_id")], k) \
-        .select(qid, "rank", "verse_id", "score")
+    return topk_exact(cells, queries, nprobe, qid).select(
+        qid, F.col("verse_id").alias("cell"), F.col("rank").alias("rank_of_cell"))
+
+
+def topk_ann(index: dict, queries: DataFrame, k: int, nprobe: int | None = None,
+             qid: str = "qid") -> DataFrame:
+    """O-67: probe the ``nprobe`` nearest cells of each query (highest cosine, ties to the lower
+    cell; default: as many as the index found necessary), then exact re-rank inside them.
+
+    The probes lie in a shared table sorted by cell, and a chunk of vectors multiplies each of
+    its cells with that cell's probes (``operators.grid``): no row for a (vector, query)
+    pair, and a hot cell is spread over the chunks that hold it. With ``nprobe`` = all cells
+    the result equals ``topk_exact``."""
+    near = _probed_cells(index, queries, nprobe or index["nprobe"], qid)
+    probe = queries.select(qid, l2_normalize("qvec").alias("vec")).join(near, qid).select(
+        F.col("cell").alias("key"), F.col(qid).alias("id"), "vec")
+    unit = index["vectors"].where(F.col("cell").isNotNull()).select(
+        F.col("cell").alias("key"), "verse_id", l2_normalize("vec").alias("vec"))
+    return _topk_by_key(unit, probe, k, qid, BLOCK_BYTES)
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame, qid: str = "qid") -> DataFrame:

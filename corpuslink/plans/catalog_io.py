@@ -410,7 +410,7 @@ def q_index_roundtrip(spark, sf_dir):
     e = S.table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("verse_id"), F.col("embedding").alias("vec"), "label")
     path = scratch_path(spark, f"index-{uuid.uuid4().hex}")
-    idx = V.build_ivf(e.select("verse_id", "vec"), nlist=4)
+    idx = V.build_ivf(e.select("verse_id", "vec"), nlist=4, target_recall=None)
     V.save_index(idx, path, "text_only")
     if V.load_index(spark, path, "full_context") is not None:  # never saved
         raise AssertionError("a missing strategy must be skipped")

@@ -485,3 +485,111 @@ def test_answer_without_hits(spark):
     r = answer("q", two).first()
     assert r.answer == '1. A 1:1: "x" (relevance: 0.50)\n\n2. A 1:2: "y" (relevance: 0.25)'
     assert r.num_verses == 2 and abs(r.confidence - 0.375) < 1e-12
+
+
+# ------------------------------------------------------- approximate search --
+
+def _numpy_topk(vecs, qs, k, allowed=None):
+    import numpy as np
+    u = vecs / np.linalg.norm(vecs, axis=1)[:, None]
+    w = qs / np.linalg.norm(qs, axis=1)[:, None]
+    cos = np.round(w @ u.T, 6)
+    out = set()
+    for j in range(len(qs)):
+        rows = [i for i in np.lexsort((np.arange(len(vecs)), -cos[j]))
+                if allowed is None or i in allowed[j]]
+        out |= {(j, int(i)) for i in rows[:k]}
+    return out
+
+
+def test_grid_of_blocks_and_chunks(spark, monkeypatch):
+    """Blocks and chunks of a few rows, keys that meet some blocks only: the same answer."""
+    import numpy as np
+    from corpuslink.operators import grid
+    rng = np.random.default_rng(11)
+    vecs, qs = rng.normal(size=(400, 6)), rng.normal(size=(150, 6))
+    df = spark.createDataFrame([(i, i % 7, v.tolist()) for i, v in enumerate(vecs)],
+                               "verse_id long, key int, vec array<double>").repartition(4)
+    asked = spark.createDataFrame([(j, j % 9, v.tolist()) for j, v in enumerate(qs)],
+                                  "id long, key int, vec array<double>")
+    monkeypatch.setattr(grid, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(grid, "TILE_VECTORS", 16)
+    from corpuslink.functions.vectors import l2_normalize
+    got = V._topk_by_key(df.withColumn("vec", l2_normalize("vec")),
+                         asked.withColumn("vec", l2_normalize("vec")), 3, "qid", 480).collect()
+    allowed = [{i for i in range(400) if i % 7 == j % 9} for j in range(150)]
+    assert {(r.qid, r.verse_id) for r in got} == _numpy_topk(vecs, qs, 3, allowed)
+    bad = spark.createDataFrame([(1, 0, [1.0])], "verse_id long, key int, vec array<double>")
+    import pytest
+    with pytest.raises(Exception, match="unequal size"):
+        V._topk_by_key(df.union(bad), asked, 3, "qid", 480).collect()
+
+
+def test_many_queries_against_many_vectors(spark):
+    """100,000 queries in several blocks, no pass through the driver, equal to numpy."""
+    import numpy as np
+    n, m = 40, 100_000
+    q = spark.range(m).selectExpr("id AS qid", "array(cos(id), sin(id * 0.7), id % 13 - 6.0D) AS qvec")
+    v = spark.range(n).selectExpr("id AS verse_id", "array(cos(id * 3), sin(id), id % 5 - 2.0D) AS vec")
+    got = V.topk_exact(v, q, 1, block_bytes=1 << 20)
+    i, j = np.arange(m), np.arange(n)
+    qs = np.stack([np.cos(i), np.sin(i * 0.7), i % 13 - 6.0], 1)
+    vs = np.stack([np.cos(j * 3), np.sin(j), j % 5 - 2.0], 1)
+    best = np.round((qs / np.linalg.norm(qs, axis=1)[:, None])
+                    @ (vs / np.linalg.norm(vs, axis=1)[:, None]).T, 6).max(axis=1)
+    rows = got.orderBy("qid").toPandas()
+    assert len(rows) == m and np.abs(rows["score"].to_numpy() - best).max() < 2e-6
+
+
+def test_lsh_candidates_and_copies(spark, monkeypatch):
+    import numpy as np
+    from corpuslink.operators import lsh
+    rng = np.random.default_rng(2)
+    vecs = rng.normal(size=(300, 10))
+    vecs[100:260] = vecs[7]                                     # one vector holds half of all rows
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)] + [(900, None)],
+                               "verse_id long, vec array<double>")
+    q = spark.createDataFrame([(f"q{i}", vecs[i].tolist()) for i in (3, 7, 50, 120)] + [("z", None)],
+                              "qid string, qvec array<double>")
+    index = lsh.build_lsh(df, bits=6, tables=5)
+    assert index["vectors"].count() == 140 and index["signatures"].count() == 140 * 5
+    found = {(r.qid, r.verse_id) for r in lsh.candidates(index, q, probes=4).collect()}
+    reps = [i for i in range(300) if not 100 <= i < 260]
+    unit = vecs / np.linalg.norm(vecs, axis=1)[:, None]
+    far = (unit @ lsh.planes(10, 30).T).reshape(300, 5, 6)
+    want = set()
+    for name, i in (("q3", 3), ("q7", 7), ("q50", 50), ("q120", 120)):
+        for t in range(5):
+            ranked = sorted((round(sum(far[i, t, b] ** 2 for b in range(6) if m >> b & 1), 9), m)
+                            for m in range(64) if m.bit_count() <= lsh.MAX_FLIPS)[:4]
+            masks = {m for _, m in ranked}
+            mine = sum(1 << b for b in range(6) if far[i, t, b] > 0)
+            want |= {(name, r) for r in reps
+                     if sum(1 << b for b in range(6) if far[r, t, b] > 0) ^ mine in masks}
+    assert found == want
+    got = [tuple(r) for r in lsh.topk_lsh(index, q, 5, probes=4).orderBy("qid", "rank").collect()]
+    assert [g[2] for g in got if g[0] == "q7"] == [7, 100, 101, 102, 103]
+    assert [g[2] for g in got if g[0] == "q120"] == [7, 100, 101, 102, 103]
+    assert all(g[3] == 1.0 for g in got if g[0] in ("q7", "q120"))
+    # all buckets probed: exact
+    every = lsh.topk_lsh(index, q, 5, probes=64).collect()
+    monkeypatch.setattr(lsh, "BLOCK_QUERIES", 1)               # a block a query
+    assert sorted(map(tuple, lsh.topk_lsh(index, q, 5, probes=64).collect())) == sorted(map(tuple, every))
+    assert not lsh.topk_lsh(index, q.limit(0), 5).collect()
+
+
+def test_ivf_probes_as_many_cells_as_needed(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    vecs = rng.normal(size=(300, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)],
+                               "verse_id long, vec array<double>")
+    cells = spark.createDataFrame([(c, vecs[c * 30].tolist()) for c in range(10)],
+                                  "cell long, centroid array<double>")
+    index = V.ivf_from_cells(df, cells, 0.8, 5, sample=None)
+    q = df.selectExpr("verse_id AS qid", "vec AS qvec")
+    exact = V.topk_exact(df, q, 5)
+    assert 1 < index["nprobe"] < 10
+    assert V.recall_at_k(V.topk_ann(index, q, 5), exact).first().recall >= 0.8
+    assert V.recall_at_k(V.topk_ann(index, q, 5, index["nprobe"] - 1), exact).first().recall < 0.8
+    assert V.recall_at_k(V.topk_ann(index, q, 5, 10), exact).first().recall == 1.0
