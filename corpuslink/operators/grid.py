@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from corpuslink.session import scratch_path
 
 BLOCK_BYTES = 32 << 20       # of a block of queries
+BLOCK_DIM = 1024
 CHUNK_BYTES = 64 << 20       # of the vectors a task holds at once
 TILE_QUERIES, TILE_VECTORS = 1024, 4096
 
@@ -33,28 +34,33 @@ TILE_QUERIES, TILE_VECTORS = 1024, 4096
 _last: dict[str, tuple] = {}
 
 
-def write_blocks(rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[tuple]:
+def write_blocks(rows: DataFrame, block_bytes: int = BLOCK_BYTES, keyed: bool = False
+                 ) -> list[tuple]:
     """Write ``rows(key, id, vec)`` as block files; (file, least key, greatest key) of each.
 
-    ``vec`` is an array of doubles without nulls. Files are in the order of (key, id).
+    ``vec`` is an array of doubles without nulls. A file has the rows that make ``block_bytes``
+    at ``BLOCK_DIM`` numbers each. ``keyed`` rows are sorted by key over all files; without keys
+    (None for both bounds) every block meets every vector and one job writes them.
     """
     spark = rows.sparkSession
-    n, dim = rows.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
-    if not n:
-        return []
-    per_file = max(1, block_bytes // (8 * max(1, dim)))
     path = scratch_path(spark, f"blocks-{uuid.uuid4().hex}")
-    rows.repartitionByRange(-(-n // per_file), "key", "id").sortWithinPartitions(
-        "key", "id").write.option("maxRecordsPerFile", per_file).parquet(path)
-    found = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(
-        F.min("key").alias("lo"), F.max("key").alias("hi"), F.min(F.struct("key", "id")).alias("at"))
-    return [(r.f, r.lo, r.hi) for r in found.orderBy("at").collect()]
+    rows = rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id") if keyed \
+        else rows.hint("rebalance")
+    rows.write.option("maxRecordsPerFile", max(1, block_bytes // (8 * BLOCK_DIM))).parquet(path)
+    files = spark.read.schema(rows.schema).parquet(path)
+    if not keyed:
+        return [(f, None, None) for f in sorted(files.inputFiles())]
+    found = files.groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.min("key").alias("lo"), F.max("key").alias("hi"))
+    return [(r.f, r.lo, r.hi) for r in found.orderBy("lo", "hi", "f").collect()]
 
 
 def matrix_of(column: pa.Array) -> np.ndarray:
     """A list column without nulls as a matrix; vectors of unequal size raise (D1)."""
+    if not len(column):
+        return np.zeros((0, 0))
     sizes = pc.list_value_length(column)
-    if len(column) and pc.min(sizes).as_py() != pc.max(sizes).as_py():
+    if pc.min(sizes).as_py() != pc.max(sizes).as_py():
         raise ValueError("vectors of unequal size")
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(
         len(column), -1)
@@ -147,7 +153,7 @@ def topk_against(vectors: DataFrame, blocks: list[tuple], k: int, qid: str, sche
             mine, starts = np.unique(keys[by], return_index=True)
             rows_of = dict(zip(mine.tolist(), np.split(by, starts[1:])))
             for file, lo, hi in blocks:
-                if hi < mine[0] or lo > mine[-1]:
+                if lo is not None and (hi < mine[0] or lo > mine[-1]):
                     continue
                 theirs, names, queries = read_block(file)
                 at = np.searchsorted(theirs, mine, side="left")
@@ -176,16 +182,20 @@ def nearest(vectors: DataFrame, blocks: list[tuple], vec_col: str, out: str) ->
             known = np.flatnonzero(vecs.is_valid().to_numpy(zero_copy_only=False))
             matrix = matrix_of(vecs.take(pa.array(known)))
             best, name = np.full(len(known), -np.inf), np.full(len(known), -1, np.int64)
-            for file, _, _ in blocks:                   # ascending ids: an equal score comes late
+            for file, _, _ in blocks:
                 _, ids, cells = read_block(file)
                 ids = ids.to_numpy(zero_copy_only=False)
+                if not len(ids):
+                    continue
+                by = np.argsort(ids, kind="stable")
+                ids, cells = ids[by], cells[by]
                 for at in range(0, len(known), TILE_VECTORS):
                     score = products(matrix[at:at + TILE_VECTORS], cells)
                     top = score.argmax(axis=1)
-                    score = score[np.arange(len(top)), top]
-                    wins = score > best[at:at + TILE_VECTORS]
-                    best[at:at + TILE_VECTORS][wins] = score[wins]
-                    name[at:at + TILE_VECTORS][wins] = ids[top[wins]]
+                    score, top = score[np.arange(len(top)), top], ids[top]
+                    so_far, names = best[at:at + TILE_VECTORS], name[at:at + TILE_VECTORS]
+                    wins = (score > so_far) | ((score == so_far) & (top < names))
+                    so_far[wins], names[wins] = score[wins], top[wins]
             cell = np.full(table.num_rows, -1, np.int64)
             cell[known] = name
             cells_out = pa.array(cell, pa.int64(), mask=cell < 0)

@@ -144,7 +144,7 @@ def topk_lsh(index: dict, queries: DataFrame, k: int, probes: int = PROBES, qid:
         F.col(qid).alias("id"), l2_normalize("qvec").alias("vec"))
     blocks = -(-asked.count() // BLOCK_QUERIES) or 1
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    files = grid.write_blocks(asked.withColumn("key", block))
+    files = grid.write_blocks(asked.withColumn("key", block), keyed=True)
     pairs = (candidates(index, queries, probes, qid) if found is None else found).select(
         F.col(qid).alias("id"), "verse_id").withColumn("key", block)
     lists = pairs.groupBy("key", "verse_id").agg(F.collect_list("id").alias("ids"))

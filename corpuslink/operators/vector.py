@@ -109,15 +109,15 @@ def topk_exact(vecs: DataFrame, queries: DataFrame, k: int, qid: str = "qid",
         F.lit(0).alias("key"), "verse_id", l2_normalize("vec").alias("vec"))
     asked = queries.select(F.lit(0).alias("key"), F.col(qid).alias("id"),
                            l2_normalize("qvec").alias("vec"))
-    return _topk_by_key(unit, asked, k, qid, block_bytes)
+    return _topk_by_key(unit, asked, k, qid, block_bytes, keyed=False)
 
 
-def _topk_by_key(unit: DataFrame, asked: DataFrame, k: int, qid: str, block_bytes: int
-                 ) -> DataFrame:
+def _topk_by_key(unit: DataFrame, asked: DataFrame, k: int, qid: str, block_bytes: int,
+                 keyed: bool = True) -> DataFrame:
     """The k best of ``unit(key, verse_id, vec)`` for each of ``asked(key, id, vec)``."""
     schema = (f"`{qid}` {asked.schema['id'].dataType.simpleString()}, "
               f"verse_id {unit.schema['verse_id'].dataType.simpleString()}, score double")
-    blocks = grid.write_blocks(asked.where(F.col("vec").isNotNull()), block_bytes)
+    blocks = grid.write_blocks(asked.where(F.col("vec").isNotNull()), block_bytes, keyed)
     s = grid.topk_against(unit, blocks, k, qid, schema)
     return top_n_per_key(s, [qid], [F.desc("score"), F.asc("verse_id")], k) \
         .select(qid, "rank", "verse_id", "score")

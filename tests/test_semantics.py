@@ -531,7 +531,7 @@ def test_many_queries_against_many_vectors(spark):
     n, m = 40, 100_000
     q = spark.range(m).selectExpr("id AS qid", "array(cos(id), sin(id * 0.7), id % 13 - 6.0D) AS qvec")
     v = spark.range(n).selectExpr("id AS verse_id", "array(cos(id * 3), sin(id), id % 5 - 2.0D) AS vec")
-    got = V.topk_exact(v, q, 1, block_bytes=1 << 20)
+    got = V.topk_exact(v, q, 1, block_bytes=16 << 20)
     i, j = np.arange(m), np.arange(n)
     qs = np.stack([np.cos(i), np.sin(i * 0.7), i % 13 - 6.0], 1)
     vs = np.stack([np.cos(j * 3), np.sin(j), j % 5 - 2.0], 1)
