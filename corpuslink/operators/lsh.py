@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from corpuslink.functions.vectors import l2_normalize
 from corpuslink.operators import grid
 from corpuslink.operators.query import top_n_per_key
+from corpuslink.session import written
 
 BITS, TABLES, PROBES, MAX_FLIPS = 12, 24, 96, 4
 BLOCK_QUERIES = 1 << 16
@@ -111,16 +112,15 @@ def _coded(df: DataFrame, id_col: str, fn, tables: int, each: int, more: str = "
 def build_lsh(vecs: DataFrame, bits: int = BITS, tables: int = TABLES) -> dict:
     """The index of ``vecs(verse_id, vec)``: 'vectors' (one id for all that are equal),
     'members' (those ids and all others of the same vector), 'signatures'."""
-    from corpuslink.operators.vector import _written
     unit = vecs.where(F.col("vec").isNotNull()).select(
         "verse_id", l2_normalize("vec").alias("vec"))
-    vectors = _written(unit.groupBy("vec").agg(F.min("verse_id").alias("rep")).select(
+    vectors = written(unit.groupBy("vec").agg(F.min("verse_id").alias("rep")).select(
         F.col("rep").alias("verse_id"), "vec"), "lsh-vectors")
-    members = _written(unit.join(vectors.select(F.col("verse_id").alias("rep"), F.col(
+    members = written(unit.join(vectors.select(F.col("verse_id").alias("rep"), F.col(
         "vec").alias("same")), F.col("vec") == F.col("same")).select("rep", "verse_id"), "lsh-members")
     signatures = _coded(vectors, "verse_id", lambda m: codes_of(m, bits, tables)[0], tables, 1)
     return {"vectors": vectors, "members": members, "bits": bits, "tables": tables,
-            "signatures": _written(signatures, "lsh-signatures")}
+            "signatures": written(signatures, "lsh-signatures")}
 
 
 def candidates(index: dict, queries: DataFrame, probes: int = PROBES, qid: str = "qid"
@@ -193,8 +193,8 @@ def search_report(index: dict, vecs: DataFrame, queries: DataFrame, k: int = 10,
                   probes: int = PROBES, qid: str = "qid") -> DataFrame:
     """O-81 for LSH, one row: recall against exact search, and the share of (query, vector)
     pairs that were scored."""
-    from corpuslink.operators.vector import _written, recall_at_k, topk_exact
-    found = _written(candidates(index, queries, probes, qid), "lsh-candidates")
+    from corpuslink.operators.vector import recall_at_k, topk_exact
+    found = written(candidates(index, queries, probes, qid), "lsh-candidates")
     hits = topk_lsh(index, queries, k, probes, qid, found)
     n_q = queries.where(F.col("qvec").isNotNull()).agg(F.count(F.lit(1))).scalar()
     n_v = index["vectors"].agg(F.count(F.lit(1))).scalar()

@@ -16,7 +16,6 @@ The caller names exact or approximate search; nothing switches by size.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from corpuslink.functions.vectors import dot, l2_normalize
 from corpuslink.operators import grid
 from corpuslink.operators.query import filter_units, top_n_per_key
-from corpuslink.session import scratch_path
+from corpuslink.session import written
 
 OVERFETCH = 10               # O-70: the reference fetches 10 * k before filtering
 BLOCK_BYTES = grid.BLOCK_BYTES
@@ -123,13 +122,6 @@ def _topk_by_key(unit: DataFrame, asked: DataFrame, k: int, qid: str, block_byte
         .select(qid, "rank", "verse_id", "score")
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def centroids(vecs: DataFrame, group: str, vec_col: str = "vec") -> DataFrame:
     """Mean vector per group: ``(group, centroid array<double>)``.
 
@@ -194,7 +186,7 @@ def ivf_from_cells(vecs: DataFrame, cells: DataFrame, target_recall: float | Non
     target every search names its own.
     """
     cells = cells.select("cell", l2_normalize("centroid").alias("centroid"))
-    dealt = _written(nearest_centroid(normalize(vecs), cells, "cell"), "ivf")
+    dealt = written(nearest_centroid(normalize(vecs), cells, "cell"), "ivf")
     if target_recall is None:
         return {"vectors": dealt, "cells": cells}
     asked = dealt.where(F.col("vec").isNotNull()).select(
@@ -202,7 +194,7 @@ def ivf_from_cells(vecs: DataFrame, cells: DataFrame, target_recall: float | Non
     if sample is not None:
         asked = asked.orderBy(F.xxhash64("qid"), "qid").limit(sample)
     index = {"vectors": dealt, "cells": cells}
-    index["nprobe"] = cells_needed(index, _written(asked, "probes"), recall_k, target_recall)
+    index["nprobe"] = cells_needed(index, written(asked, "probes"), recall_k, target_recall)
     return index
 
 

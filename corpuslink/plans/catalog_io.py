@@ -357,6 +357,67 @@ def q_backfill_render(spark, sf_dir):
         "content", F.lit("## Verse ")).cast("long").alias("n_headings"))
 
 
+@register("patch_tree", oracle="""
+WITH conv AS (
+  SELECT 'Book ' || CAST(conv_id // 10 AS VARCHAR) AS b, conv_id // 10 AS n, conv_id, turn, text,
+         conv_id % 3 = 0 AND conv_id // 10 % 2 = 0 AS late FROM conversations WHERE text <> ''),
+ch AS (SELECT DISTINCT b, n, conv_id, late FROM conv)
+SELECT b AS folder, 'Chapter_' || CAST(conv_id AS VARCHAR) || '.md' AS document,
+       CASE WHEN late THEN '# ' || b || ' Chapter ' || CAST(conv_id AS VARCHAR) || chr(10) ||
+         chr(10) || '**' || CAST(count(*) AS VARCHAR) || ' verses**' || chr(10) || chr(10) ||
+         '---' || chr(10) || chr(10)
+       ELSE '# ' || b || ' ' || CAST(conv_id AS VARCHAR) || chr(10) || chr(10) ||
+         '*Old Testament, Book ' || CAST(n + 1 AS VARCHAR) || '*' || chr(10) || chr(10) || '---' ||
+         chr(10) || chr(10) END ||
+       left(string_agg('## Verse ' || CAST(turn + 1 AS VARCHAR) || chr(10) || chr(10) || '> ' ||
+         text || chr(10) || chr(10) || '---' || chr(10) || chr(10), '' ORDER BY turn),
+         CASE WHEN late THEN -1 ELSE 1000000000 END) AS content,
+       late AS rewritten
+FROM conv GROUP BY b, n, conv_id, late
+UNION ALL
+SELECT b, 'README.md', '# ' || b || chr(10) || chr(10) || '**Testament:** Old' || chr(10) ||
+       '**Book Number:** ' || CAST(n + 1 AS VARCHAR) || chr(10) || '**Chapters:** ' ||
+       CAST(count(*) AS VARCHAR) || chr(10) || chr(10) || '## Chapters' || chr(10) || chr(10) ||
+       string_agg('- [[' || replace(b, ' ', '_') || '/Chapter_' || CAST(conv_id AS VARCHAR) ||
+                  '|Chapter ' || CAST(conv_id AS VARCHAR) || ']]' || chr(10), '' ORDER BY conv_id),
+       bool_or(late)
+FROM ch GROUP BY b, n
+""")
+def q_patch_tree(spark, sf_dir):
+    """O-58, O-02, O-60, O-83 in place: a finished tree lacks every third chapter of every
+    other book; the gaps are found, loaded from their payload files and rendered into that tree
+    with the indexes of their books. All documents afterwards, and whether their file is
+    another than before (by its name and time of change)."""
+    from corpuslink.operators import quality as Q
+    from corpuslink.operators import render as R
+    from corpuslink.sources.sinks import read_tree, repair_tree, tree_files, write_tree
+    base = scratch_path(spark, f"patch-{uuid.uuid4().hex}")
+    payloads = read_payloads(spark, _land_payloads(spark, sf_dir), "backfill").select(
+        "book_number", "chapter", F.col("verse").cast("long").alias("verse"), "text")
+    known = payloads.where("chapter % 3 <> 0 OR book_number % 2 = 0")
+
+    def units(rows):
+        return rows.select(
+            F.concat(F.lit("Book "), (F.col("book_number") - 1).cast("string")).alias("book_name"),
+            F.lit("Old").alias("testament"), "book_number", "chapter", "verse",
+            F.col("chapter").cast("long").alias("verse_id"), "text")
+
+    write_tree(R.render_chapters(units(known), None, "vault"), f"{base}/tree",
+               book_index=R.book_index(units(known)))
+    tree_files(spark, f"{base}/tree").write.parquet(f"{base}/before")
+    wanted = payloads.select("book_number", "chapter").distinct().join(
+        known.select("book_number", "chapter"), ["book_number", "chapter"], "left_anti")
+    table = Q.backfill(known, payloads, wanted, ["book_number", "chapter", "verse"], ["text"])
+    repair_tree(units(table), wanted.select(F.concat(F.lit("Book "), (
+        F.col("book_number") - 1).cast("string")).alias("book_name"), "chapter"), f"{base}/tree")
+    keys = ["folder", "document", "file", "modified"]
+    same = tree_files(spark, f"{base}/tree").join(
+        spark.read.parquet(f"{base}/before"), keys, "left_semi").select(
+        "folder", "document", F.lit(False).alias("rewritten"))
+    return read_tree(spark, f"{base}/tree").join(same, ["folder", "document"], "left").select(
+        "folder", "document", "content", F.coalesce("rewritten", F.lit(True)).alias("rewritten"))
+
+
 @register("backfill", oracle="""
 WITH c AS (SELECT min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) * 500 // 1000 AS cut
            FROM events),

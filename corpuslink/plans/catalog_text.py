@@ -141,6 +141,47 @@ def q_parse_fallback(spark, sf_dir):
         .select("book", "chapter", "verse", "text")
 
 
+def one_book(spark, sf_dir):
+    """All conversations as one book, far larger than a chunk."""
+    body = F.expr("listagg(concat(cast(turn + 1 as string), text), char(10)) "
+                  "WITHIN GROUP (ORDER BY conv_id, turn)")
+    return S.table(spark, sf_dir, "conversations").agg(
+        body.alias("_body"), F.countDistinct("conv_id").cast("int").alias("expected")).select(
+        F.lit("All").alias("book"), F.concat(F.lit("All\n"), "_body").alias("text"), "expected")
+
+
+ONE_BOOK_SQL = CONV_SQL.replace(f"'Book ' || CAST(conv_id // {BOOK_SIZE} AS VARCHAR)", "'All'")
+CHUNK = 4_000
+
+
+@register("parse_chunked", oracle=ONE_BOOK_SQL + """
+, seq AS (
+  SELECT 'v1' AS policy, book, g AS k, num, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text,
+         CASE WHEN num <= 2 AND lag(num, 1, 0) OVER (PARTITION BY book ORDER BY g) > 10
+              THEN 1 ELSE 0 END AS f FROM loose),
+seq2 AS (
+  SELECT 'v2' AS policy, book, conv_id, turn, num, text,
+         CASE WHEN num = 1 AND lag(num, 1, 0) OVER (PARTITION BY book ORDER BY conv_id, turn) > 3
+              THEN 1 ELSE 0 END AS f FROM firsts WHERE length(text) >= 3),
+n AS (SELECT count(DISTINCT conv_id) AS expected FROM conv)
+SELECT policy, book, k - 1 AS pos, CAST(1 + sum(f) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING)
+         AS INTEGER) AS chapter, num AS verse, text
+FROM seq WHERE text <> ''
+UNION ALL
+SELECT policy, book, NULL, CAST(least(1 + sum(f) OVER (ORDER BY conv_id, turn ROWS UNBOUNDED
+         PRECEDING), expected) AS INTEGER), num, text
+FROM seq2, n WHERE num > 0
+""")
+def q_parse_chunked(spark, sf_dir):
+    """O-20..O-28 on one huge book, parsed in chunks by many tasks under both policies."""
+    book = one_book(spark, sf_dir)
+    cols = ["book", "pos", "chapter", "verse", "text"]
+    v1 = P.parse_book_text(book, "v1", chunk_chars=CHUNK).select(F.lit("v1").alias("policy"), *cols)
+    v2 = P.parse_book_text(book, "v2", expected="expected", chunk_chars=CHUNK).withColumn(
+        "pos", F.lit(None).cast("long")).select(F.lit("v2").alias("policy"), *cols)
+    return v1.union(v2)
+
+
 @register("title_strip", oracle=CONV_SQL + """
 , books AS (
   SELECT book, book || chr(10) || string_agg(CAST(num AS VARCHAR) || text, chr(10)

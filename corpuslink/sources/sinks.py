@@ -51,17 +51,9 @@ def write_documents(blocks: DataFrame, path: str, keys=("book_name", "chapter"),
      .option("lineSep", "\n").text(path))
 
 
-def write_tree(chapters: DataFrame, path: str, style: str = "vault",
-               book_index: DataFrame | None = None, corpus_index: DataFrame | None = None
-               ) -> None:
-    """O-09, O-84, O-85: the document tree, one text file per document.
-
-    Document ``Chapter_n.md`` or ``README.md`` of a book's folder is written as
-    ``folder=<Book>/document=<name>/part-*``: the file systems' writers choose part names,
-    so the document's name is its folder's. A document is streamed block by block into its
-    one file; documents spread over the tasks. The corpus index lies in folder ``''``
-    (Spark's default partition), which ``read_tree`` gives back as such.
-    """
+def _documents(chapters: DataFrame, style: str, book_index: DataFrame | None = None,
+               corpus_index: DataFrame | None = None) -> DataFrame:
+    """(folder, document, section, seq, block) of chapters and indexes."""
     parts = [chapters.select(F.col("book_name").alias("folder"), F.concat(
         F.lit("Chapter_"), F.col("chapter").cast("string"), F.lit(".md")).alias("document"),
         F.lit(0).alias("section"), "seq", _body(style).alias("block"))]
@@ -74,12 +66,63 @@ def write_tree(chapters: DataFrame, path: str, style: str = "vault",
     whole = parts[0]
     for p in parts[1:]:
         whole = whole.union(p)
-    (whole.repartition("folder", "document")
+    return whole
+
+
+def _written_tree(documents: DataFrame, path: str, overwrite: str) -> None:
+    (documents.repartition("folder", "document")
      .sortWithinPartitions("folder", "document", "section", "seq")
      .select("folder", "document", "block").write.mode("overwrite")
+     .option("partitionOverwriteMode", overwrite)
      .partitionBy("folder", "document").option("lineSep", "\n").text(path))
 
 
+def write_tree(chapters: DataFrame, path: str, style: str = "vault",
+               book_index: DataFrame | None = None, corpus_index: DataFrame | None = None
+               ) -> None:
+    """O-09, O-84, O-85: the document tree, one text file per document; what was there goes.
+
+    Document ``Chapter_n.md`` or ``README.md`` of a book's folder is written as
+    ``folder=<Book>/document=<name>/part-*``: the file systems' writers choose part names,
+    so the document's name is its folder's. A document is streamed block by block into its
+    one file; documents spread over the tasks. The corpus index lies in folder ``''``
+    (Spark's default partition), which ``read_tree`` gives back as such.
+    """
+    _written_tree(_documents(chapters, style, book_index, corpus_index), path, "static")
+
+
+def patch_tree(chapters: DataFrame, path: str, style: str = "patch",
+               book_index: DataFrame | None = None) -> None:
+    """O-60, O-83: replace or add the given documents in a tree that ``write_tree`` made.
+
+    Dynamic partition overwrite: a document is a partition, so only the folders of the given
+    documents are replaced, each when all tasks are done; no other file is read, copied or
+    touched. Running it again gives the same tree, so a patch that a lost driver stopped
+    between two documents is completed by repeating it.
+    """
+    _written_tree(_documents(chapters, style, book_index), path, "dynamic")
+
+
+def repair_tree(units: DataFrame, wanted: DataFrame, path: str, links: DataFrame | None = None,
+                style: str = "patch") -> None:
+    """O-60: render the ``wanted`` (book_name, chapter) again from ``units`` and the index of
+    their books, into the tree at ``path``. A wanted chapter without units changes nothing;
+    books of other chapters keep their files."""
+    from corpuslink.operators.render import book_index, render_chapters
+    wanted = wanted.select("book_name", "chapter").distinct()
+    chapters = units.join(wanted, ["book_name", "chapter"], "left_semi")
+    books = units.join(chapters.select("book_name").distinct(), "book_name", "left_semi")
+    patch_tree(render_chapters(chapters, links, style), path, style, book_index(books))
+
+
+def tree_files(spark, path: str) -> DataFrame:
+    """(folder, document, file, modified) of every file of a tree, contents unread."""
+    return spark.read.format("binaryFile").load(path).select(
+        F.coalesce(F.col("folder").cast("string"), F.lit("")).alias("folder"),
+        F.col("document").cast("string").alias("document"), F.col("path").alias("file"),
+        F.col("modificationTime").alias("modified"))
+
+
 def read_tree(spark, path: str) -> DataFrame:
     """(folder, document, content, n_files) of a written tree (for checks: documents are
     read whole)."""

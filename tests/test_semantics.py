@@ -140,6 +140,31 @@ def test_parse_by_hand(spark, policy):
         PARSED[policy])
 
 
+@pytest.mark.parametrize("policy", ["v1", "v2"])
+def test_parse_in_chunks_equals_whole(spark, policy):
+    """Cuts of every size, texts that tempt each edge: the same rows as in one piece."""
+    import random
+    rng = random.Random(17)
+    bits = ["1", "2", "3", "12", "0", "A", "Bc", "b", " ", "\n", "\n\n", "\n1A", "\n2Bx", "4Dxyz",
+            "11Kab", '"q', "'", "Title", "\nTitle \n ", "\nTITLE3C", "99999999999999999999Z", "é", "1\n"]
+    rows = [(f"T{i}x", 3, ("Title\n" + "".join(rng.choice(bits) for _ in range(120))).replace(
+        "Title", f"T{i}x")) for i in range(24)]
+    rows += [("Nothing", 3, "none here"), ("Empty", 3, ""), ("Null", 3, None),
+             (None, 2, "1A b2C d1E")] + [(b, 3, t) for b, t in BOOK_TEXTS]
+    books = spark.createDataFrame(rows, "book string, expected int, text string")
+    more = {"expected": "expected"} if policy == "v2" else {}
+    cols = ["book", "pos", "chapter", "verse", "text", "expected"]
+
+    def parsed(**how):
+        df = P.parse_book_text(books, policy, **more, **how)
+        return sorted((tuple(r) for r in df.select(*(c for c in cols if policy == "v1" or c != "pos"))
+                       .collect()), key=str)
+    want = parsed()
+    assert len(want) > 200
+    for size in (1, 7, 40):
+        assert parsed(chunk_chars=size) == want
+
+
 def test_fallback_split(spark):
     """No number starts a line, so the loose pattern takes over."""
     books = spark.createDataFrame([("Flat", "Flat\nso 1Alpha one 2Beta two 3C", 1)],
@@ -487,6 +512,36 @@ def test_answer_without_hits(spark):
     assert r.num_verses == 2 and abs(r.confidence - 0.375) < 1e-12
 
 
+def test_patch_leaves_all_other_files(spark, tmp_dir):
+    from corpuslink.operators import render as R
+    from corpuslink.sources.sinks import read_tree, repair_tree, tree_files, write_tree
+    rows = [(b, "Old", n, c, v, 100 * n + 10 * c + v, f"{b} text {c}:{v}")
+            for n, b in ((1, "Ab c"), (2, "D/e: f")) for c in (1, 2, 3) for v in (1, 2)]
+    units = spark.createDataFrame(rows, "book_name string, testament string, book_number int, "
+                                  "chapter int, verse int, verse_id long, text string")
+    early = units.where("not (book_name = 'D/e: f' and chapter = 2)")
+    write_tree(R.render_chapters(early), tmp_dir + "/t", book_index=R.book_index(early))
+    files = lambda: {(r.folder, r.document): (r.file, r.modified)
+                     for r in tree_files(spark, tmp_dir + "/t").collect()}
+    before = files()
+    wanted = spark.createDataFrame([("D/e: f", 2), ("D/e: f", 2), ("D/e: f", 9), ("No such", 1)],
+                                   "book_name string, chapter int")
+    links = spark.createDataFrame(
+        [(221, [("Ab c", 1, 2, 7)])],
+        "verse_id long, links array<struct<book:string,chapter:int,verse:int,votes:int>>")
+    for _ in range(2):                                          # the second changes no content
+        repair_tree(units, wanted, tmp_dir + "/t", links)
+        after = files()
+        changed = {("D/e: f", "Chapter_2.md"), ("D/e: f", "README.md")}
+        assert {k for k in after if after[k] != before.get(k)} == changed
+        tree = {(r.folder, r.document): r.content for r in read_tree(spark, tmp_dir + "/t").collect()}
+        assert len(tree) == 8 and tree["D/e: f", "README.md"].count("[[") == 3
+        assert tree["D/e: f", "Chapter_2.md"] == (
+            "# D/e: f Chapter 2\n\n**2 verses**\n\n---\n\n## Verse 1\n\n> D/e: f text 2:1\n\n"
+            "**Cross-references:**\n- [[Ab_c/Chapter_1#Verse 2|Ab c 1:2]] (votes: 7)\n\n---\n\n"
+            "## Verse 2\n\n> D/e: f text 2:2\n\n---\n")
+
+
 # ------------------------------------------------------- approximate search --
 
 def _numpy_topk(vecs, qs, k, allowed=None):
