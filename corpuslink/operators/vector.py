@@ -247,33 +247,3 @@ def recall_at_k(approx: DataFrame, exact: DataFrame, qid: str = "qid") -> DataFr
     return (exact.agg(F.count(F.lit(1)).alias("n_exact"))
             .select("n_exact", n_hit.alias("n_hit"))
             .withColumn("recall", F.col("n_hit") / F.col("n_exact")))
-
-
-def save_index(index: dict, path: str, strategy: str = "text_only",
-               model_name: str = "") -> None:
-    """O-69: persist normalised vectors with their cell, and the model, dimension and
-    count. Files are clustered by cell, so a probe skips the others by their statistics;
-    the number of files follows the data, not the cells."""
-    v = normalize(index["vectors"]).withColumn("vec", F.col("vec").cast("array<float>")) \
-        .withColumn("strategy", F.lit(strategy))
-    v.repartitionByRange("cell", "verse_id").sortWithinPartitions("cell").write.mode(
-        "overwrite").partitionBy("strategy").parquet(f"{path}/vectors")
-    index["cells"].withColumn("strategy", F.lit(strategy)) \
-        .write.mode("overwrite").partitionBy("strategy").parquet(f"{path}/cells")
-    v.agg(F.lit(strategy).alias("strategy"), F.lit(model_name).alias("model_name"),
-          F.max(F.size("vec")).alias("dimension"), F.count(F.lit(1)).alias("n_vectors")) \
-        .write.mode("overwrite").partitionBy("strategy").parquet(f"{path}/meta")
-
-
-def load_index(spark, path: str, strategy: str = "text_only") -> dict | None:
-    """O-69: load one strategy's index; a missing strategy returns None (the
-    reference skips it and goes on)."""
-    from pyspark.errors import AnalysisException
-    try:
-        # Reading the strategy's own partition folder fails when it was never saved.
-        spark.read.parquet(f"{path}/vectors/strategy={strategy}").schema  # noqa: B018
-    except AnalysisException:
-        return None
-    v, c, m = (spark.read.parquet(f"{path}/{part}").filter(F.col("strategy") == strategy)
-               .drop("strategy") for part in ("vectors", "cells", "meta"))
-    return {"vectors": v, "cells": c, "meta": m}

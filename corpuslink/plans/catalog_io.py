@@ -463,21 +463,77 @@ SELECT qid, CAST(rank AS INTEGER) AS rank, verse_id, score FROM (
 WHERE rank <= 3
 """)
 def q_index_roundtrip(spark, sf_dir):
-    """O-69 + O-68: build the IVF index, persist it (normalised float vectors,
-    partitioned by strategy and cell), load it and search all cells; the
-    stored vectors are float, so scores compare at 4 places."""
+    """O-69: build the IVF index, persist it (normalised float vectors clustered by cell),
+    load it and search all cells; the stored vectors are float, so scores compare at 4
+    places."""
+    from corpuslink.operators import index_store as I
     from corpuslink.operators import vector as V
     from corpuslink.functions.vectors import l2_normalize
     e = S.table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("verse_id"), F.col("embedding").alias("vec"), "label")
     path = scratch_path(spark, f"index-{uuid.uuid4().hex}")
     idx = V.build_ivf(e.select("verse_id", "vec"), nlist=4, target_recall=None)
-    V.save_index(idx, path, "text_only")
-    if V.load_index(spark, path, "full_context") is not None:  # never saved
+    I.save_index(idx, path, "text_only")
+    if I.load_index(spark, path, "full_context") is not None:  # never saved
         raise AssertionError("a missing strategy must be skipped")
-    loaded = V.load_index(spark, path, "text_only")
+    loaded = I.load_index(spark, path, "text_only")
     q = V.centroids(e, "label").select(F.col("label").alias("qid"),
                                        l2_normalize("centroid").alias("qvec"))
     r = V.topk_ann(loaded, q, 3, nprobe=4)
     # Re-rank at the stored precision (float vectors).
     return r.withColumn("score", F.round("score", 4)).select("qid", "rank", "verse_id", "score")
+
+
+@register("index_updates", oracle="""
+WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
+cent AS (
+  SELECT label AS qid, list(m ORDER BY i) AS c FROM (
+    SELECT label, i, avg(x) AS m FROM (
+      SELECT label, unnest(vec) AS x, unnest(range(1, len(vec) + 1)) AS i FROM v)
+    GROUP BY label, i) GROUP BY label),
+centn AS (SELECT qid, list_transform(c, lambda x: x / n) AS qv FROM (
+  SELECT qid, c, sqrt(list_sum(list_transform(c, lambda y: y * y))) AS n FROM cent)),
+live AS (SELECT vec_id, CASE WHEN vec_id % 10 = 4 THEN -1 ELSE 1 END AS s, vec FROM v
+         WHERE vec_id % 10 <> 7 OR vec_id % 3 = 1),
+vn AS (SELECT vec_id, list_transform(vec, lambda x: s * x / n) AS vec FROM (
+  SELECT *, sqrt(list_sum(list_transform(vec, lambda y: y * y))) AS n FROM live))
+SELECT stage, qid, CAST(rank AS INTEGER) AS rank, verse_id, score
+FROM (SELECT unnest(['changed', 'folded']) AS stage), (
+  SELECT c.qid, vn.vec_id AS verse_id, round(list_dot_product(vn.vec, c.qv), 4) AS score,
+         row_number() OVER (PARTITION BY c.qid
+                            ORDER BY round(list_dot_product(vn.vec, c.qv), 4) DESC, vn.vec_id)
+           AS rank
+  FROM vn, centn c)
+WHERE rank <= 3
+""")
+def q_index_updates(spark, sf_dir):
+    """O-69 over time: two thirds of the vectors saved, the rest appended, every tenth deleted,
+    some of those appended again, another tenth replaced by their opposites; searched in all
+    cells before and after folding."""
+    from corpuslink.operators import index_store as I
+    from corpuslink.operators import vector as V
+    from corpuslink.functions.vectors import l2_normalize
+    e = S.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("verse_id"), F.col("embedding").cast("array<double>").alias("vec"),
+        "label")
+    vecs = e.select("verse_id", "vec")
+    cells = V.centroids(V.normalize(e), "label").select(
+        F.col("label").cast("long").alias("cell"), "centroid")
+    path = scratch_path(spark, f"index-{uuid.uuid4().hex}")
+    I.save_index(V.ivf_from_cells(vecs.where("verse_id % 3 <> 0"), cells, None), path)
+    I.append_vectors(spark, path, vecs.where("verse_id % 3 = 0"))
+    I.delete_vectors(spark, path, vecs.where("verse_id % 10 = 7"))
+    I.append_vectors(spark, path, vecs.where("verse_id % 10 = 7 AND verse_id % 3 = 1"))
+    I.append_vectors(spark, path, vecs.where("verse_id % 10 = 4").withColumn(
+        "vec", F.transform("vec", lambda x: -x)))
+    q = V.centroids(e, "label").select(F.col("label").alias("qid"),
+                                       l2_normalize("centroid").alias("qvec"))
+    n = cells.count()
+
+    def found(stage):
+        top = V.topk_ann(I.load_index(spark, path), q, 3, nprobe=n)
+        return top.select(F.lit(stage).alias("stage"), "qid", "rank", "verse_id",
+                          F.round("score", 4).alias("score"))
+    before = found("changed")
+    I.fold_index(spark, path)
+    return before.union(found("folded"))

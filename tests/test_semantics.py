@@ -648,3 +648,52 @@ def test_ivf_probes_as_many_cells_as_needed(spark):
     assert V.recall_at_k(V.topk_ann(index, q, 5), exact).first().recall >= 0.8
     assert V.recall_at_k(V.topk_ann(index, q, 5, index["nprobe"] - 1), exact).first().recall < 0.8
     assert V.recall_at_k(V.topk_ann(index, q, 5, 10), exact).first().recall == 1.0
+
+
+def test_index_changes_and_a_stop_between_writes(spark, tmp_dir, monkeypatch):
+    from corpuslink.operators import index_store as I
+    vecs = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(10)],
+                                 "verse_id long, vec array<double>")
+    cells = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])],
+                                  "cell long, centroid array<double>")
+    q = spark.createDataFrame([(0, [0.0, 1.0])], "qid int, qvec array<double>")
+    assert I.load_index(spark, tmp_dir) is None
+    I.save_index(V.ivf_from_cells(vecs.where("verse_id < 6"), cells, None), tmp_dir, model_name="m")
+
+    def found(k=3):
+        index = I.load_index(spark, tmp_dir)
+        return [r.verse_id for r in V.topk_ann(index, q, k, 2).orderBy("rank").collect()]
+    assert found() == [5, 4, 3]
+    I.append_vectors(spark, tmp_dir, vecs.where("verse_id >= 6"))
+    assert found() == [9, 8, 7]
+    I.delete_vectors(spark, tmp_dir, vecs.where("verse_id in (9, 3, 77)"))
+    assert found() == [8, 7, 6]
+    old = I.load_index(spark, tmp_dir)
+    commit = I._commit
+
+    def stopped(*a):
+        raise KeyboardInterrupt
+    for change in (lambda: I.append_vectors(spark, tmp_dir, vecs.where("verse_id = 9")),
+                   lambda: I.delete_vectors(spark, tmp_dir, vecs),
+                   lambda: I.fold_index(spark, tmp_dir),
+                   lambda: I.save_index(V.ivf_from_cells(vecs, cells, None), tmp_dir)):
+        monkeypatch.setattr(I, "_commit", stopped)
+        with pytest.raises(KeyboardInterrupt):
+            change()
+        monkeypatch.setattr(I, "_commit", commit)
+        assert found() == [8, 7, 6]
+    I.append_vectors(spark, tmp_dir, vecs.where("verse_id = 9").selectExpr(
+        "verse_id", "array(1.0D, 0.5D) AS vec"))
+    I.append_vectors(spark, tmp_dir, vecs.where("verse_id = 0").selectExpr(
+        "verse_id", "array(0.0D, 2.0D) AS vec"))
+    assert found(9) == [0, 8, 7, 6, 5, 4, 2, 1, 9]
+    I.fold_index(spark, tmp_dir)
+    assert found(9) == [0, 8, 7, 6, 5, 4, 2, 1, 9]
+    meta = I.load_index(spark, tmp_dir)["meta"].first()
+    assert (meta.n_vectors, meta.dimension, meta.model_name) == (9, 2, "m")
+    assert [r.verse_id for r in V.topk_ann(old, q, 3, 2).orderBy("rank").collect()] == [8, 7, 6]
+    with pytest.raises(ValueError, match="size"):
+        I.append_vectors(spark, tmp_dir, vecs.selectExpr("verse_id", "array(1.0D) AS vec"))
+    I._commit(spark, tmp_dir + "/text_only", (meta.version, "x", [], "m", 2, None))
+    with pytest.raises(ValueError, match="two writers"):
+        I.load_index(spark, tmp_dir)
