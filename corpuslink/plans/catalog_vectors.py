@@ -459,3 +459,38 @@ def q_lsh_recall(spark, sf_dir):
     over all, and the share of pairs that were scored."""
     v = _raw_vectors(spark, sf_dir).select("verse_id", "vec")
     return L.search_report(L.build_lsh(v), v, _twentieth(v), 10)
+
+
+@register("learned_encode", oracle="""
+SELECT count(*) AS n_queries, true AS learned_finds_more, true AS unit_length
+FROM documents WHERE doc_id % 20 = 0
+""")
+def q_learned_encode(spark, sf_dir):
+    """O-62, O-92: an encoder fitted on all documents against feature hashing of the same size:
+    from the later half of its words, every twentieth document is sought among all. The fit is
+    random, so what must hold is compared: vectors of length one, and no fewer documents found
+    first than by hashing."""
+    from corpuslink.operators import embed as E
+    from corpuslink.operators import learned
+    docs = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("verse_id"), "text")
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    halves = docs.where(F.col("verse_id") % 20 == 0).select(
+        F.col("verse_id").alias("qid"), "text", F.coalesce(F.array_join(F.slice(
+            words, F.floor(F.size(words) / 2).cast("int") + 1, F.size(words) + 1), " "),
+            F.lit("")).alias("half"))
+
+    def first(encoder, dim):
+        vecs = E.encode(docs, encoder, dim)
+        asked = E.encode(halves.select("qid", F.col("half").alias("text")), encoder, dim)
+        top = V.topk_exact(vecs, asked.select("qid", F.col("vec").alias("qvec")), 1)
+        # an exact copy of the document is as good as itself
+        hit = top.join(docs, "verse_id").join(halves.select("qid", F.col("text").alias("own")), "qid") \
+            .agg(F.count_if(F.col("text") == F.col("own")))
+        return vecs, hit
+
+    vecs, found = first(learned.svd_model(spark, learned.fit(docs)), 128)
+    _, hashed = first(None, 128)
+    norms = vecs.agg(F.bool_and((F.abs(l2_norm("vec") - 1) < 1e-5) | (l2_norm("vec") == 0)))
+    return halves.agg(F.count(F.lit(1)).alias("n_queries")).select(
+        "n_queries", (found.scalar() >= hashed.scalar()).alias("learned_finds_more"),
+        norms.scalar().alias("unit_length"))

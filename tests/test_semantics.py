@@ -697,3 +697,37 @@ def test_index_changes_and_a_stop_between_writes(spark, tmp_dir, monkeypatch):
     I._commit(spark, tmp_dir + "/text_only", (meta.version, "x", [], "m", 2, None))
     with pytest.raises(ValueError, match="two writers"):
         I.load_index(spark, tmp_dir)
+
+
+def test_learned_encoder(spark, monkeypatch):
+    """The fit's directions are those of numpy's SVD; the factory plugs into ``encode``."""
+    import numpy as np
+    from corpuslink.operators import embed, learned
+    rng = np.random.default_rng(3)
+    topics = [["rain", "cloud", "storm", "wind"], ["bread", "flour", "oven", "salt"],
+              ["ship", "sail", "harbour", "rope"]]
+    texts = [" ".join(rng.choice(topics[i % 3], 12)) + f" extra{i % 7} own{i}" for i in range(60)]
+    texts += [None, "", "  ?!", "Rain, RAIN. rain"]
+    df = spark.createDataFrame(list(enumerate(texts)), "verse_id long, text string").repartition(3)
+    monkeypatch.setattr(learned, "TILE_WORDS", 37)
+    monkeypatch.setattr(learned, "TEXT_BYTES", 300)
+    model = learned.fit(df, dim=16, topics=4)
+    assert set(model["words"]) == {*sum(topics, []), *(f"extra{i}" for i in range(7))}
+    assert model["words"]["rain"] < model["words"]["extra6"]
+    sizes, found, weights = learned.weighted_rows([t or "" for t in texts], model["words"], model["idf"])
+    rows = np.zeros((len(texts), len(model["idf"])))
+    rows[np.repeat(np.arange(len(texts)), sizes), found] = weights
+    assert np.allclose(np.linalg.norm(rows, axis=1), [1] * 60 + [0, 0, 0, 1])
+    _, s, vt = np.linalg.svd(rows, full_matrices=False)
+    assert np.allclose(model["energy"][:3], s[:3] ** 2) and model["energy"][3] > 0.97 * s[3] ** 2
+    assert np.allclose(np.abs(np.sum(model["topics"][:, :3] * vt[:3].T, axis=0)), 1, atol=1e-3)
+    vecs = {r.verse_id: np.array(r.vec) for r in embed.encode(
+        df, learned.svd_model(spark, model), 16, batch=5).collect()}
+    assert all(abs(np.linalg.norm(vecs[i]) - 1) < 1e-5 for i in (*range(60), 63))
+    assert not any(vecs[i].any() for i in (60, 61, 62))
+    same = np.mean([vecs[i] @ vecs[i + 3] for i in range(0, 54)])
+    other = np.mean([vecs[i] @ vecs[i + 1] for i in range(0, 54)])
+    weather, bread = (sum(vecs[i][:3] for i in range(k, 60, 3)) for k in (0, 1))
+    assert same > other + 0.3 and vecs[63][:3] @ weather > vecs[63][:3] @ bread
+    none = learned.fit(df.limit(0), dim=8)
+    assert not embed.encode(df.limit(1), learned.svd_model(spark, none), 8).first().vec[0] > 1
