@@ -218,6 +218,53 @@ def q_stream_ingest(spark, sf_dir):
     return read_table(spark, f"{base}/table", EVENT_SCHEMA, *key)
 
 
+@register("quarantine", oracle="""
+WITH f AS (SELECT CAST(conv_id // 10 + 1 AS INTEGER) AS book_number, CAST(conv_id AS INTEGER) AS chapter,
+                  count(*) FILTER (WHERE trim(text) <> '') AS n,
+                  CASE WHEN conv_id % 7 = 2 THEN 'not a list' WHEN conv_id % 5 = 1 THEN 'broken JSON'
+                       WHEN conv_id % 11 = 3 OR count(*) FILTER (WHERE trim(text) <> '') = 0
+                       THEN 'no usable verse' END AS reason
+           FROM conversations GROUP BY conv_id)
+SELECT how, book_number, chapter, CASE WHEN reason IS NULL THEN n ELSE 0 END AS n_rows, reason
+FROM f, (SELECT unnest(['batch', 'stream']) AS how)
+UNION ALL SELECT how, NULL, NULL, 0, 'no chapter in the name'
+FROM (SELECT unnest(['batch', 'stream']) AS how)
+""")
+def q_quarantine(spark, sf_dir):
+    """O-01, O-91: every conversation landed as a payload file, some cut off, some no list, some
+    empty, one misnamed; read as a batch and as a stream, each file is in the rows or, with the
+    reason, in the quarantine."""
+    from corpuslink.sources.payloads import PLACE_PATTERN, quarantined_payloads
+    from corpuslink.streaming.ingest import PAYLOAD_ROWS, read_quarantine, stream_payloads
+    base = scratch_path(spark, f"quarantine-{uuid.uuid4().hex}")
+    c = S.table(spark, sf_dir, "conversations")
+    files = c.groupBy("conv_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct(
+        (F.col("turn") + 1).alias("verse"), "text")))).alias("good"))
+    value = F.when(F.col("conv_id") % 7 == 2, F.concat(F.lit('{"verses": '), "good", F.lit("}"))) \
+        .when(F.col("conv_id") % 5 == 1, F.expr("left(good, length(good) - 3)")) \
+        .when(F.col("conv_id") % 11 == 3, F.lit("[]")).otherwise(F.col("good"))
+    files.select((F.floor(F.col("conv_id") / 10) + 1).cast("int").alias("book_number"),
+                 F.col("conv_id").cast("int").alias("chapter"), value.alias("value")) \
+        .write.partitionBy("book_number", "chapter").text(f"{base}/landing/chapters")
+    spark.createDataFrame([("[]",)], "value string").coalesce(1).write.text(f"{base}/landing/other")
+    landing = f"{base}/landing"
+
+    def report(how, rows, bad):
+        got = rows.groupBy("book_number", "chapter").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+            "reason", F.lit(None).cast("string"))
+        lost = bad.select(*[F.regexp_extract("file", PLACE_PATTERN, i).try_cast("int").alias(n)
+                            for i, n in ((1, "book_number"), (2, "chapter"))],
+                          F.lit(0).cast("long").alias("n_rows"), "reason")
+        return got.union(lost).select(F.lit(how).alias("how"), "*")
+
+    stream_payloads(spark, landing, f"{base}/table", f"{base}/checkpoint", max_files=40) \
+        .awaitTermination()
+    streamed = read_table(spark, f"{base}/table", PAYLOAD_ROWS,
+                          ["book_number", "chapter", "verse"], ["text"])
+    return report("batch", read_payloads(spark, landing), quarantined_payloads(spark, landing)).union(
+        report("stream", streamed, read_quarantine(spark, f"{base}/table")))
+
+
 # ------------------------------------------------------------- sinks etc. ---
 
 @register("book_table", oracle="""

@@ -2,8 +2,9 @@
 
 Re-aimed from HTTP fetches to landed files. Book number and chapter come from
 partition folders ``book_number=N/chapter=M`` or, for flat files, from a
-``{book_number}_{chapter}.json`` name. A file that is not a JSON list, or not
-valid JSON, is skipped; the other files continue.
+``{book_number}_{chapter}.json`` name. A file that is not a JSON list, not valid JSON
+or without a usable verse gives no rows and is quarantined with the reason; the other
+files continue, and every landed file is in the rows or in the quarantine.
 """
 
 from __future__ import annotations
@@ -16,49 +17,100 @@ from corpuslink.functions.text import ustrip
 from corpuslink.schema import PAYLOAD_ITEM
 
 NAME_PATTERN = r"(\d+)_(\d+)\.json$"
+PLACE_PATTERN = r"book_number=(\d+)/chapter=(\d+)/[^/]*$"
 
+# Why a file holds no rows.
+UNNAMED, NOT_A_LIST, BROKEN, NO_OBJECTS, NO_VERSES, EMPTY = (
+    "no chapter in the name", "not a list", "broken JSON", "items that are no objects",
+    "no usable verse", "empty file")
+
+
+def _verses(items, policy: str):
+    """The rows of a payload's list under a policy, as an array."""
+    known = F.filter(items, lambda v: v.isNotNull())
+    if policy == "fetch":
+        clean = F.transform(known, lambda v: F.struct(
+            F.coalesce(v["verse"], F.lit(0)).alias("verse"),
+            ustrip(F.coalesce(v["text"], F.lit(""))).alias("text")))
+        return F.filter(clean, lambda v: (v["verse"] != 0) & (v["text"] != ""))
+    if policy == "backfill":
+        clean = F.transform(known, lambda v: F.struct(
+            v["verse"].alias("verse"), F.coalesce(v["text"], F.lit("")).alias("text")))
+        return F.filter(clean, lambda v: v["verse"].isNotNull() & (v["text"] != ""))
+    raise ValueError(policy)
 
-def parse_payloads(files: DataFrame, policy: str = "fetch") -> DataFrame:
-    """``files(book_number, chapter, value)`` - one row per file - to verse rows.
+
+def checked_payloads(files: DataFrame, policy: str = "fetch") -> DataFrame:
+    """``files(book_number, chapter, value, ..)`` with ``verses``, the rows each file holds, and
+    ``reason``, why it holds none (null for a good file): every file is the one or the other.
 
     ``'fetch'`` (O-01): missing verse -> 0, missing text -> '', keep verse <> 0
     and non-blank stripped text (stored stripped). ``'backfill'`` (O-02): text
     kept as is, only '' dropped, a missing verse stays NULL and is rejected.
     """
-    is_list = F.regexp_like(F.col("value"), F.lit(r"(?s)^\s*\["))
     items = F.from_json(F.col("value"), T.ArrayType(PAYLOAD_ITEM))
-    rows = (files.filter(is_list)
-            .select("book_number", "chapter", F.explode(items).alias("_v"))
-            .filter(F.col("_v").isNotNull())
-            .select("book_number", "chapter", F.col("_v.verse").alias("verse"),
-                    F.col("_v.text").alias("text")))
-    if policy == "fetch":
-        rows = rows.select("book_number", "chapter",
-                           F.coalesce("verse", F.lit(0)).alias("verse"),
-                           ustrip(F.coalesce("text", F.lit(""))).alias("text"))
-        return rows.filter((F.col("verse") != 0) & (F.col("text") != ""))
-    if policy == "backfill":
-        rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
-        return rows.filter(F.col("verse").isNotNull() & (F.col("text") != ""))
-    raise ValueError(policy)
+    is_list = F.coalesce(F.regexp_like(F.col("value"), F.lit(r"(?s)^\s*\[")), F.lit(False))
+    named = F.col("book_number").isNotNull() & F.col("chapter").isNotNull()
+    out = files.withColumn("_items", F.when(named & is_list, items))
+    out = out.withColumn("verses", _verses(F.col("_items"), policy))
+    return out.withColumn("reason", F.when(~named, UNNAMED).when(~is_list, NOT_A_LIST).when(
+        F.col("_items").isNull(), F.when(F.from_json("value", "array<string>").isNull(), BROKEN)
+        .otherwise(NO_OBJECTS)).when(F.size("verses") == 0, NO_VERSES)).drop(
+        "value", "_items")
+
+
+def payload_rows(checked: DataFrame, *more: str) -> DataFrame:
+    """The verse rows of the good files."""
+    return checked.where(F.col("reason").isNull()).select(
+        "book_number", "chapter", *more, F.inline("verses")).select(
+        "book_number", "chapter", "verse", "text", *more)
+
+
+def parse_payloads(files: DataFrame, policy: str = "fetch") -> DataFrame:
+    """``files(book_number, chapter, value)`` - one row per file - to verse rows."""
+    return payload_rows(checked_payloads(files.select("book_number", "chapter", "value"), policy))
+
+
+def named_files(raw: DataFrame) -> DataFrame:
+    """(file, book_number, chapter, value) of whole files read as text, by folders or by name."""
+    path = F.col("_metadata.file_path")
+    place = lambda group: F.coalesce(
+        F.regexp_extract(path, PLACE_PATTERN, group).try_cast("int"),
+        F.regexp_extract(path, NAME_PATTERN, group).try_cast("int"))
+    return raw.select(path.alias("file"), place(1).alias("book_number"),
+                      place(2).alias("chapter"), "value")
+
+
+def _landed(spark: SparkSession, path: str) -> DataFrame:
+    # folders below are looked through, and their names are not taken for partitions
+    return named_files(spark.read.option("recursiveFileLookup", True).text(path, wholetext=True))
+
+
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, reason) of the files of no bytes below ``path``. Spark's sources, streams included,
+    pass over them, so the file system is asked; only their names come to the driver."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(path)
+    system = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in system.globStatus(top) or []:
+        files = system.listFiles(status.getPath(), True)
+        while files.hasNext():
+            f = files.next()
+            if f.getLen() == 0 and not f.getPath().getName().startswith(("_", ".")):
+                found.append((f.getPath().toString(), EMPTY))
+    return spark.createDataFrame(found, "file string, reason string")
 
 
 def read_payloads(spark: SparkSession, path: str, policy: str = "fetch") -> DataFrame:
     """Read landed payload files (each file is one bounded chapter)."""
-    raw = spark.read.text(path, wholetext=True)
-    cols = raw.columns
-    if "book_number" in cols and "chapter" in cols:
-        files = raw.select(F.col("book_number").cast("int"), F.col("chapter").cast("int"),
-                           "value")
-    else:
-        name = F.col("_metadata.file_name")
-        files = raw.select(F.regexp_extract(name, NAME_PATTERN, 1).try_cast("int")
-                           .alias("book_number"),
-                           F.regexp_extract(name, NAME_PATTERN, 2).try_cast("int")
-                           .alias("chapter"), "value")
-    # a file whose name says no chapter holds no rows; ``unnamed_payloads`` lists it
-    files = files.filter(F.col("book_number").isNotNull() & F.col("chapter").isNotNull())
-    return parse_payloads(files, policy)
+    return payload_rows(checked_payloads(_landed(spark, path), policy))
+
+
+def quarantined_payloads(spark: SparkSession, path: str, policy: str = "fetch") -> DataFrame:
+    """(file, reason) of the landed files of which ``read_payloads`` returns nothing."""
+    return checked_payloads(_landed(spark, path), policy).where(F.col("reason").isNotNull()).select(
+        "file", "reason").union(empty_files(spark, path))
 
 
 def unnamed_payloads(spark: SparkSession, path: str) -> DataFrame:

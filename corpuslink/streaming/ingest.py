@@ -10,6 +10,10 @@ last wins = insert-or-replace; batches by id, rows of a batch by ``order``).
 ``compact`` folds the resolved table into a new snapshot folder and then adds a pointer
 row naming it and the last batch it holds. A crash before the pointer leaves the old
 state valid; one after it, the new. Folded batches are then no longer read.
+
+What cannot be ingested is kept beside it: ``quarantine/batch=<id>`` holds the file and the
+reason of every broken record or payload file, and the record's text, replaced like the
+batch itself when it is replayed. Rows and quarantine together are what landed.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslink.operators.upsert import first_per_key, last_per_key
+from corpuslink.sources.payloads import checked_payloads, named_files, payload_rows
 
 BATCH = "batch"
 SEQ = "_seq"
@@ -51,6 +56,21 @@ def apply_batch(batch: DataFrame, batch_id: int, target: str, schema: T.StructTy
         f"{target}/batches/{BATCH}={batch_id}")
 
 
+QUARANTINE = "file string, reason string, record string"
+BROKEN_RECORD, NO_KEY = "broken record", "no key"
+CORRUPT = "_corrupt_record"
+
+
+def apply_quarantine(bad: DataFrame, batch_id: int, target: str) -> None:
+    bad.select("file", "reason", "record").write.mode("overwrite").parquet(
+        f"{target}/quarantine/{BATCH}={batch_id}")
+
+
+def read_quarantine(spark: SparkSession, target: str) -> DataFrame:
+    """(file, reason, record, batch) of everything that was not ingested."""
+    return _read(spark, f"{target}/quarantine", f"{QUARANTINE}, {BATCH} long")
+
+
 def _rows(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     _, snapshot, folded = _pointer(spark, target)
     names = schema.fieldNames()
@@ -90,17 +110,67 @@ def compact(spark: SparkSession, target: str, schema: T.StructType, keys: Sequen
         f"{target}/pointers", mode="append")
 
 
+def _started(frame: DataFrame, each_batch, checkpoint: str, available_now: bool):
+    w = frame.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
+
+
 def stream_ingest(spark: SparkSession, landing: str, target: str, checkpoint: str,
                   schema: T.StructType, fmt: str = "json", max_files: int | None = None,
-                  available_now: bool = True):
+                  available_now: bool = True, keys: Sequence[str] = ()):
     """Start the ingest query; with ``available_now`` it processes what has
-    landed and stops (``query.awaitTermination()``)."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    landed and stops (``query.awaitTermination()``).
+
+    Records that are not JSON of the schema, and those without a value in one of ``keys``, go to
+    the quarantine.
+    """
+    full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]) \
+        if fmt == "json" else schema
+    reader = spark.readStream.schema(full).format(fmt)
+    if fmt == "json":
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    src = reader.load(landing)
-    w = (src.writeStream
-         .foreachBatch(lambda df, batch_id: apply_batch(df, batch_id, target, schema))
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+    src = reader.load(landing).select("*", F.col("_metadata.file_path").alias("_file"))
+    corrupt = F.col(CORRUPT) if fmt == "json" else F.lit(None).cast("string")
+    keyless = F.lit(False)
+    for key in keys:
+        keyless = keyless | F.col(key).isNull()
+    reason = F.when(corrupt.isNotNull(), BROKEN_RECORD).when(keyless, NO_KEY)
+
+    def each_batch(df: DataFrame, batch_id: int) -> None:
+        marked = df.withColumn("reason", reason).persist()
+        apply_quarantine(marked.where(F.col("reason").isNotNull()).select(
+            F.col("_file").alias("file"), "reason", F.coalesce(corrupt, F.to_json(F.struct(
+                *schema.fieldNames()))).alias("record")), batch_id, target)
+        apply_batch(marked.where(F.col("reason").isNull()), batch_id, target, schema)
+        marked.unpersist()
+
+    return _started(src, each_batch, checkpoint, available_now)
+
+
+PAYLOAD_ROWS = T.StructType([
+    T.StructField("book_number", T.IntegerType()), T.StructField("chapter", T.IntegerType()),
+    T.StructField("verse", T.LongType()), T.StructField("text", T.StringType())])
+
+
+def stream_payloads(spark: SparkSession, landing: str, target: str, checkpoint: str,
+                    policy: str = "fetch", max_files: int | None = None,
+                    available_now: bool = True):
+    """O-91 for chapter payload files (O-01, O-02): their verses into the table
+    (``read_table(..., PAYLOAD_ROWS, ["book_number", "chapter", "verse"], ["text"])``), files
+    that give none into the quarantine, both by batch. Files of no bytes a stream does not
+    see; ``payloads.empty_files`` lists them."""
+    reader = spark.readStream.format("text").option("wholetext", True).option(
+        "recursiveFileLookup", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+
+    def each_batch(df: DataFrame, batch_id: int) -> None:
+        checked = checked_payloads(df.withColumn("record", F.col("value")), policy).persist()
+        apply_quarantine(checked.where(F.col("reason").isNotNull()), batch_id, target)
+        apply_batch(payload_rows(checked), batch_id, target, PAYLOAD_ROWS)
+        checked.unpersist()
+
+    return _started(named_files(reader.load(landing)), each_batch, checkpoint, available_now)

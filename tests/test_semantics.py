@@ -37,6 +37,16 @@ def test_payload_edges(spark, tmp_dir):
     rows = sorted(tuple(r) for r in read_payloads(spark, tmp_dir, "fetch").collect())
     assert rows == [(1, 1, 1, "Alpha"), (1, 1, 4, "Beta"), (1, 1, 4, "Beta again")]
     back = sorted(tuple(r) for r in read_payloads(spark, tmp_dir, "backfill").collect())
+    from corpuslink.sources.payloads import quarantined_payloads
+    for name, body in (("x.json", "[]"), ("2_1.json", ""), ("2_2.json", '[{"verse": 0}, "s"]'),
+                       ("2_3.json", '[{"verse": 0}]')):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(body)
+    lost = {os.path.basename(r.file): r.reason
+            for r in quarantined_payloads(spark, tmp_dir).collect()}
+    assert lost == {"1_2.json": "not a list", "1_3.json": "broken JSON", "2_1.json": "empty file",
+                    "2_2.json": "items that are no objects",
+                    "2_3.json": "no usable verse", "x.json": "no chapter in the name"}
     # backfill: text unstripped, only '' dropped, a missing verse is rejected
     assert (1, 1, 3, "   ") in back and (1, 1, 0, "zero") in back
     assert all(r[2] is not None for r in back)
@@ -731,3 +741,32 @@ def test_learned_encoder(spark, monkeypatch):
     assert same > other + 0.3 and vecs[63][:3] @ weather > vecs[63][:3] @ bread
     none = learned.fit(df.limit(0), dim=8)
     assert not embed.encode(df.limit(1), learned.svd_model(spark, none), 8).first().vec[0] > 1
+
+
+def test_stream_quarantine_and_replay(spark, tmp_dir):
+    """Rows and quarantine of a stream are what landed, also after a batch ran twice."""
+    from pyspark.sql import types as T
+    from corpuslink.streaming.ingest import apply_quarantine, read_quarantine, read_table, stream_ingest
+    os.makedirs(tmp_dir + "/in")
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    assert read_quarantine(spark, tmp_dir + "/t").count() == 0
+    for n, lines in enumerate((['{"k": 1, "v": "a"}', '{"k": 2, "v"', 'noise'],
+                               ['{"k": "x", "v": "b"}', '{"v": "no key"}', '{"k": 3, "v": "c"}'])):
+        with open(f"{tmp_dir}/in/{n}.json", "w") as f:
+            f.write("\n".join(lines) + "\n")
+        stream_ingest(spark, tmp_dir + "/in", tmp_dir + "/t", tmp_dir + "/c", schema,
+                      keys=["k"]).awaitTermination()
+    rows = read_table(spark, tmp_dir + "/t", schema, ["k"], ["v"])
+    assert sorted(map(tuple, rows.collect())) == [(1, "a"), (3, "c")]
+
+    def lost():
+        return sorted((r.batch, os.path.basename(r.file), r.reason, r.record)
+                      for r in read_quarantine(spark, tmp_dir + "/t").collect())
+    want = [(0, "0.json", "broken record", "noise"), (0, "0.json", "broken record", '{"k": 2, "v"'),
+            (1, "1.json", "broken record", '{"k": "x", "v": "b"}'),
+            (1, "1.json", "no key", '{"v":"no key"}')]
+    assert lost() == sorted(want)
+    again = read_quarantine(spark, tmp_dir + "/t").where("batch = 1").drop("batch").collect()
+    apply_quarantine(spark.createDataFrame(again, "file string, reason string, record string"),
+                     1, tmp_dir + "/t")
+    assert lost() == sorted(want)
