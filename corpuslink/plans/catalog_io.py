@@ -218,6 +218,40 @@ def q_stream_ingest(spark, sf_dir):
     return read_table(spark, f"{base}/table", EVENT_SCHEMA, *key)
 
 
+@register("ledger_ids", oracle="""
+WITH b AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+e AS (SELECT user_id, event_type, event_id, value,
+             (epoch_us(ts) - lo) * 4 // (hi - lo + 1) AS slice FROM events, b),
+f AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY user_id, event_type
+                                                 ORDER BY slice, event_id) = 1)
+SELECT user_id, event_type, event_id, value, row_number() OVER (ORDER BY slice, event_id) AS id
+FROM f
+""")
+def q_ledger_ids(spark, sf_dir):
+    """O-13, O-10 over batches: events in four time slices, inserted first-wins with dense ids;
+    one batch runs twice, another stops after its ids were reserved and runs again."""
+    from corpuslink.streaming.ingest import apply_batch_with_ids, reserve_ids
+    target = scratch_path(spark, f"ledger-{uuid.uuid4().hex}")
+    ev = S.table(spark, sf_dir, "events").withColumn("_us", epoch_us())
+    lo, hi = ev.agg(F.min("_us")).scalar(), ev.agg(F.max("_us")).scalar()
+    sliced = ev.withColumn("_slice", F.floor((F.col("_us") - lo) * CHUNKS / (hi - lo + 1)))
+    keys, order = ["user_id", "event_type"], ["event_id"]
+
+    def run(i):
+        apply_batch_with_ids(sliced.filter(F.col("_slice") == i), i, target, EVENT_SCHEMA, keys,
+                             order)
+    for i in range(CHUNKS):
+        run(i)
+        if i == 1:
+            run(0)                                   # an earlier batch again
+        if i == 2:                                   # the reservation is found, not made anew
+            n = spark.read.parquet(f"{target}/batches/batch={i}").count()
+            reserve_ids(spark, f"{target}/ledger", i, n)
+            run(i)
+    full = T.StructType([*EVENT_SCHEMA.fields, T.StructField("id", T.LongType())])
+    return read_table(spark, target, full, keys, order)
+
+
 @register("quarantine", oracle="""
 WITH f AS (SELECT CAST(conv_id // 10 + 1 AS INTEGER) AS book_number, CAST(conv_id AS INTEGER) AS chapter,
                   count(*) FILTER (WHERE trim(text) <> '') AS n,

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuslink.operators.upsert import first_per_key, last_per_key
+from corpuslink.operators.upsert import assign_ids, first_per_key, last_per_key
+from corpuslink.session import written
 from corpuslink.sources.payloads import checked_payloads, named_files, payload_rows
 
 BATCH = "batch"
@@ -110,6 +111,48 @@ def compact(spark: SparkSession, target: str, schema: T.StructType, keys: Sequen
         f"{target}/pointers", mode="append")
 
 
+LEDGER = "batch long, first long, n long"
+
+
+def reserve_ids(spark: SparkSession, ledger: str, batch_id: int, n: int) -> int:
+    """O-13: the first of ``n`` ids for a batch, after all that were ever given out.
+
+    The ledger has a row per batch (first id, count) and only grows, so ids of rows that are
+    deleted later are not given again. A batch that comes again finds its own row; one with
+    another number of rows is not the same batch and raises. One writer at a time.
+    """
+    mine = F.when(F.col("batch") == batch_id, F.struct("first", "n"))
+    found = _read(spark, ledger, LEDGER, "json").agg(
+        F.max(mine).alias("mine"), F.max(F.col("first") + F.col("n")).alias("next")).first()
+    if found.mine is not None:
+        if found.mine.n != n:
+            raise ValueError(f"batch {batch_id} had {found.mine.n} new rows, now {n}")
+        return found.mine.first
+    first = found.next or 1
+    spark.createDataFrame([(batch_id, first, n)], LEDGER).coalesce(1).write.json(
+        ledger, mode="append")
+    return first
+
+
+def apply_batch_with_ids(batch: DataFrame, batch_id: int, target: str, schema: T.StructType,
+                         keys: Sequence[str], order: Sequence[str], id_col: str = "id") -> None:
+    """First wins, with ids that stay: the rows of a micro-batch whose key no earlier batch has,
+    numbered densely by ``order`` (ties by key) after the ids of the batches before.
+
+    The ids are reserved before the rows are written, and both depend on earlier batches
+    only, so a batch that stops anywhere and runs again gives the same rows the same ids.
+    ``read_table`` with ``schema`` and ``id_col`` (long) reads the table.
+    """
+    spark = batch.sparkSession
+    full = T.StructType([*schema.fields, T.StructField(id_col, T.LongType())])
+    known = _rows(spark, target, full).where(F.col(SEQ) < batch_id).select(*keys)
+    new = written(first_per_key(batch.select(*schema.fieldNames()), keys, order).join(
+        known, list(keys), "left_anti"), "new-rows")
+    first = reserve_ids(spark, f"{target}/ledger", batch_id, new.count())
+    apply_batch(assign_ids(new, [*order, *[k for k in keys if k not in order]], id_col,
+                           start=first), batch_id, target, full)
+
+
 def _started(frame: DataFrame, each_batch, checkpoint: str, available_now: bool):
     w = frame.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

@@ -770,3 +770,38 @@ def test_stream_quarantine_and_replay(spark, tmp_dir):
     apply_quarantine(spark.createDataFrame(again, "file string, reason string, record string"),
                      1, tmp_dir + "/t")
     assert lost() == sorted(want)
+
+
+def test_ids_across_batches(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import types as T
+    from corpuslink.streaming import ingest as G
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    full = T.StructType([*schema.fields, T.StructField("id", T.LongType())])
+    batches = [[("b", 1), ("a", 2), ("b", 0)], [("a", 9)], [("d", 1), ("c", 1), ("a", 0)], [("e", 5)]]
+
+    def run(i, rows=None):
+        G.apply_batch_with_ids(spark.createDataFrame(rows or batches[i], schema), i, tmp_dir, schema,
+                               ["k"], ["v"])
+
+    def table():
+        return {r.k: (r.v, r.id) for r in G.read_table(spark, tmp_dir, full, ["k"], ["v"]).collect()}
+    run(0)
+    run(1)                                                     # nothing new: an empty range
+    apply = G.apply_batch
+    monkeypatch.setattr(G, "apply_batch", lambda *a: 1 / 0)     # stopped between ledger and rows
+    with pytest.raises(ZeroDivisionError):
+        run(2)
+    monkeypatch.setattr(G, "apply_batch", apply)
+    assert table() == {"b": (0, 1), "a": (2, 2)}
+    run(2)
+    run(3)
+    want = {"b": (0, 1), "a": (2, 2), "c": (1, 3), "d": (1, 4), "e": (5, 5)}
+    assert table() == want
+    for i in (3, 0, 2):
+        run(i)                                                 # replays, in any order
+    assert table() == want
+    G.compact(spark, tmp_dir, full, ["k"], ["v"])
+    run(4, [("a", 7), ("f", 1)])
+    assert table() == want | {"f": (1, 6)}
+    with pytest.raises(ValueError, match="batch 4"):
+        run(4, [("a", 7), ("f", 1), ("g", 1)])
