@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.operators import query as Q
+from corpuslink.operators import text_index as X
 from corpuslink.plans import standins as S
 from corpuslink.plans.registry import register
 from corpuslink.plans.sql import EDGES, UNITS, with_
+from corpuslink.session import scratch_path
 
 UNIT_COLS = ("verse_id", "book_name", "testament", "book_number", "chapter", "verse", "text",
              "reference")
@@ -72,6 +78,24 @@ def q_text_search_all(spark, sf_dir):
     return Q.search_text(S.doc_units(spark, sf_dir), NEEDLE).select("reference", "text")
 
 
+NEEDLES = (NEEDLE, NEEDLE[:2], NEEDLE.upper() + " ", "no such words in here", "100%")
+
+
+@register("text_search_indexed", oracle=with_(UNITS) + f"""
+SELECT n.needle, reference, text FROM units,
+       (SELECT unnest([{', '.join(repr(n) for n in NEEDLES)}]) AS needle) n
+WHERE contains(lower(text), lower(n.needle))
+""")
+def q_text_search_indexed(spark, sf_dir):
+    """O-39 through a trigram index over all units: needles of many hits, of none, of two
+    characters (a scan), with wildcards of LIKE."""
+    path = scratch_path(spark, f"text-index-{uuid.uuid4().hex}")
+    X.build_text_index(S.doc_units(spark, sf_dir), path, parts=16)
+    found = [X.search_index(spark, path, needle).select(
+        F.lit(needle).alias("needle"), "reference", "text") for needle in NEEDLES]
+    return reduce(DataFrame.union, found)
+
+
 @register("group_counts", oracle=with_(UNITS, EDGES) + """
 SELECT (SELECT count(DISTINCT source) FROM documents) AS n_books,
        (SELECT count(*) FROM units) AS n_units,

@@ -311,15 +311,7 @@ def q_kmeans_sizes(spark, sf_dir):
     fit = T.cluster(v, k=10, seed=42, n_init=10)
     sizes = T.cluster_sizes(fit["assigned"]).agg(
         F.sum("num_verses").alias("n_vectors"), F.count(F.lit(1)).cast("int").alias("n_clusters"))
-    all_ = fit["centroids"].agg(F.collect_list(F.struct("cluster", "centroid"))).scalar()  # k rows
-    near = fit["assigned"].select("cluster", l2_normalize("vec").alias("u"), all_.alias("_c")) \
-        .select("cluster", F.inline(F.transform("_c", lambda c: F.struct(
-            c["cluster"].alias("other"), F.aggregate(F.zip_with(
-                "u", c["centroid"], lambda x, y: (x - y) * (x - y)), F.lit(0.0),
-                lambda a, x: a + x).alias("d")))), F.monotonically_increasing_id().alias("row")) \
-        .groupBy("row", "cluster").agg(F.min("d").alias("least"), F.max(F.when(
-            F.col("other") == F.col("cluster"), F.col("d"))).alias("own"))
-    elsewhere = near.agg(F.count_if(F.col("own") > F.col("least") + 1e-9)).scalar()
+    elsewhere = _distances(fit).agg(F.count_if(F.col("own") > F.col("least") + 1e-9)).scalar()
     return sizes.withColumn("n_elsewhere", elsewhere)
 
 
@@ -354,12 +346,26 @@ def q_vec_ann_allcells(spark, sf_dir):
 
 
 @register("cluster_units", oracle="""
-SELECT vec_id AS verse_id, true AS in_range FROM embeddings
+SELECT vec_id AS verse_id, true AS in_range, true AS is_nearest FROM embeddings
 """)
 def q_cluster_units(spark, sf_dir):
-    """O-80: every vector with its k-means cluster (k=50), once, in 0..49."""
-    c = T.cluster_units(_vecs(spark, sf_dir).select("verse_id", "vec"), k=50)
-    return c.select("verse_id", F.col("cluster").between(0, 49).alias("in_range"))
+    """O-80: every vector with its k-means cluster (k=50), once, in 0..49, and no centre nearer
+    than its own (recomputed from the centres, apart from the assignment)."""
+    fit = T.cluster(_vecs(spark, sf_dir).select("verse_id", "vec"), k=50, n_init=1)
+    return _distances(fit).select("verse_id", F.col("cluster").between(0, 49).alias("in_range"),
+                                  (F.col("own") <= F.col("least") + 1e-9).alias("is_nearest"))
+
+
+def _distances(fit):
+    """(verse_id, cluster, own, least): squared distances from the own and the nearest centre."""
+    all_ = fit["centroids"].agg(F.collect_list(F.struct("cluster", "centroid"))).scalar()  # k rows
+    gaps = fit["assigned"].select("verse_id", "cluster", l2_normalize("vec").alias("u"),
+                                  all_.alias("_c")).withColumn("gaps", F.transform(
+        "_c", lambda c: F.struct(c["cluster"].alias("other"), F.aggregate(F.zip_with(
+            "u", c["centroid"], lambda x, y: (x - y) * (x - y)), F.lit(0.0),
+            lambda a, x: a + x).alias("d"))))
+    return gaps.select("verse_id", "cluster", F.array_min(F.transform("gaps", lambda g: g["d"])).alias(
+        "least"), F.filter("gaps", lambda g: g["other"] == F.col("cluster"))[0]["d"].alias("own"))
 
 
 # The raw vectors and their unit vectors; queries are the ids divisible by 20.

@@ -26,6 +26,6 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     # Importing the catalogue modules fills QUERIES.
     from corpuslink.plans import (  # noqa: F401
         catalog_io, catalog_links, catalog_quality, catalog_relational, catalog_text,
-        catalog_upsert, catalog_vectors,
+        catalog_sql, catalog_upsert, catalog_vectors,
     )
     return QUERIES

@@ -805,3 +805,71 @@ def test_ids_across_batches(spark, tmp_dir, monkeypatch):
     assert table() == want | {"f": (1, 6)}
     with pytest.raises(ValueError, match="batch 4"):
         run(4, [("a", 7), ("f", 1), ("g", 1)])
+
+
+def test_all_restarts_in_one_scan_an_iteration(spark):
+    """The cost is that of the best of ten separate fits, and that of its own assignment."""
+    import numpy as np
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+    from corpuslink.functions.vectors import l2_normalize
+    from corpuslink.operators import themes
+    rng = np.random.default_rng(6)
+    middle = rng.normal(size=(8, 12)) * 3
+    vecs = middle[rng.integers(8, size=600)] + rng.normal(size=(600, 12))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)] + [(600, None)],
+                               "verse_id long, vec array<double>").repartition(3).cache()
+    fit = themes.cluster(df, k=8, n_init=10)
+    feats = df.where("vec is not null").select(array_to_vector(l2_normalize("vec")).alias("f")).cache()
+    apart = min(KMeans(k=8, seed=42 + i, featuresCol="f").fit(feats).summary.trainingCost
+                for i in range(10))
+    assert fit["cost"] <= apart * 1.0001
+    cents = np.array([r.centroid for r in fit["centroids"].orderBy("cluster").collect()])
+    unit = vecs / np.linalg.norm(vecs, axis=1)[:, None]
+    gap = ((unit[:, None] - cents[None]) ** 2).sum(axis=2)
+    got = {r.verse_id: r.cluster for r in fit["assigned"].collect()}
+    assert got.pop(600) is None and [got[i] for i in range(600)] == gap.argmin(axis=1).tolist()
+    assert abs(gap.min(axis=1).sum() - fit["cost"]) < 1e-6
+    few = themes.cluster(df.where("verse_id < 2"), k=4, n_init=2)   # fewer vectors than centres
+    assert few["cost"] < 1e-12 and few["assigned"].count() == 2
+    assert themes.cluster(df.limit(0), k=3)["assigned"].count() == 0
+
+
+@pytest.mark.parametrize("policy", ["all", "first"])
+def test_text_index_equals_scan(spark, tmp_dir, policy):
+    from corpuslink.operators import query as Q
+    from corpuslink.operators import text_index as X
+    texts = ["Alpha beta", "alphabet", "ALP", "al", "", None, "É alpha Été", "100% sure_thing\\x",
+             "𝒳𝒴𝒵 maths", "a\nb\nc alpha", "aaaaaaa", "İstanbul"] * 3
+    units = spark.createDataFrame([(i, 1, 1, i, t) for i, t in enumerate(texts)],
+                                  "verse_id long, book_number int, chapter int, verse int, text string")
+    X.build_text_index(units, tmp_dir, parts=5)
+    n = None if policy == "all" else 2
+    for needle in ("alpha", "ALPHA", "al", "", "été", "0% s", "e_t", "g\\x", "𝒳𝒴𝒵", "a\nb\nc", "aaaa",
+                   "zzz", "alpz", "istanbul", "İst"):
+        got = X.search_index(spark, tmp_dir, needle, n).select("verse_id").collect()
+        assert sorted(got) == sorted(Q.search_text(units, needle, n).select("verse_id").collect()), needle
+    plan = X.search_index(spark, tmp_dir, "maths")._jdf.queryExecution().toString()
+    assert "part" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_sql_surface_under_other_names(spark):
+    from corpuslink.operators.sql_views import register_corpus
+    books = spark.createDataFrame([(1, 1, "Aba", "Old"), (2, 2, "Cedu", "New")],
+                                  "book_id int, book_number int, book_name string, testament string")
+    verses = spark.createDataFrame([(1, 1, 1, 1, "Love one Aba"), (2, 2, 3, 4, "x"), (3, 2, 3, 5, "y"),
+                                    (4, 2, 3, 6, "z")],
+                                   "verse_id long, book_id int, chapter int, verse int, text string")
+    links = spark.createDataFrame([(1, 2, 5), (1, 3, 9), (1, 4, 5), (2, 1, 1)],
+                                  "from_verse_id long, to_verse_id long, votes int")
+    used = register_corpus(spark, books, verses, links, {"verse_view": "v_named", "top_links": "best"})
+    assert used["link_view"] == "link_view"
+    rows = lambda q: [tuple(r) for r in spark.sql(q).collect()]
+    assert rows("SELECT book_name, chapter, verse, text FROM v_named WHERE book_name = 'Aba' AND "
+                "chapter = 1 AND verse = 1") == [("Aba", 1, 1, "Love one Aba")]
+    assert rows("SELECT to_book, to_chapter, to_verse, votes FROM link_view WHERE from_book = 'Aba' "
+                "ORDER BY votes DESC, to_verse LIMIT 2") == [("Cedu", 3, 5, 9), ("Cedu", 3, 4, 5)]
+    assert rows("SELECT to_verse, rank FROM best('Aba', 1, 1, 2) ORDER BY rank") == [(5, 1), (4, 2)]
+    assert len(rows("SELECT * FROM best('Aba', 1, 1)")) == 3 and not rows("SELECT * FROM best('No', 1, 1)")
+    with pytest.raises(ValueError, match="no such"):
+        register_corpus(spark, books, verses, links, {"verse": "x"})
