@@ -6,7 +6,6 @@ plus whatever canonical-order columns the caller keeps.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,14 +14,7 @@ from pyspark.sql import functions as F
 from corpuslink.functions.text import reference
 from corpuslink.operators.query import top_n_per_key
 from corpuslink.operators.upsert import first_per_key, with_default
-from corpuslink.session import scratch_path
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """One written copy in the shared folder, for plans that read it several times."""
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from corpuslink.session import written
 
 
 def link_order():
@@ -129,42 +121,49 @@ def import_links(parsed: DataFrame, from_units: DataFrame, to_units: DataFrame |
     (from_id, to_id, votes), ``report`` (per file: statements, inserted,
     skipped, unparsed - an unresolved source costs one skip per line, an
     unresolved target one per expanded verse, duplicates are credited to the
-    first) and ``resolved`` (the expanded rows of parsed statements).
+    first) and ``resolved`` (the expanded rows of parsed statements), besides the written
+    ``rows`` and the ``winners`` with their order. A statement is parsed once.
     """
     to_units = from_units if to_units is None else to_units
     f, t = _ends(from_units, "from"), _ends(to_units, "to")
-    # Lines that failed to parse carry no keys: they only count, and never meet a join.
-    good = with_default(parsed.filter("matched"), "votes", 0)
-    per_line = good.join(f, ["from_book", "from_chapter", "from_verse"], "left")
+    at = [c for c in order if c not in ("file", "to_verse")]
+    # What cannot match (lines that failed to parse, empty ranges) gets a key of its own instead
+    # of a null, so one chain of joins carries everything and no task gets all nulls.
+    nowhere = F.concat(F.lit("\u0001"), F.xxhash64("file", *at).cast("string"))
+    lines = with_default(parsed, "votes", 0).withColumn(
+        "from_book", F.coalesce("from_book", nowhere))
+    per_line = lines.join(f, ["from_book", "from_chapter", "from_verse"], "left")
     rng = F.when(F.col("to_verse_start") <= F.col("to_verse_end"),
                  F.sequence("to_verse_start", "to_verse_end"))
     expanded = per_line.select("*", F.posexplode_outer(rng).alias("_pos", "to_verse"))
-    target = expanded.filter(F.col("to_verse").isNotNull()).join(
+    target = expanded.withColumn("to_book", F.when(F.col("to_verse").isNull(), nowhere)
+                                 .otherwise(F.col("to_book"))).join(
         t, ["to_book", "to_chapter", "to_verse"], "left")
     # Everything below reads one written copy of the resolved rows.
-    kept = ["file", *[c for c in order if c not in ("file", "to_verse")], "to_verse", "votes",
-            "_pos", "from_id", "to_id"]
-    rows = _written(target.select(*kept).unionByName(
-        expanded.filter(F.col("to_verse").isNull())
-        .withColumn("to_id", F.lit(None).cast(t.schema["to_id"].dataType)).select(*kept)),
-        "resolved")
+    rows = written(target.select("file", *at, "to_verse", "votes", "_pos", "matched", F.when(
+        F.col("matched"), F.col("from_id")).alias("from_id"), F.when(
+        F.col("matched"), F.col("to_id")).alias("to_id")), "resolved")
 
     winners = first_per_key(
         rows.filter(F.col("from_id").isNotNull() & F.col("to_id").isNotNull())
         .select("from_id", "to_id", "votes", *order), ["from_id", "to_id"], order)
     edges = winners.select("from_id", "to_id", "votes")
+    resolved = rows.filter("matched").filter(F.col("to_verse").isNotNull()).drop("_pos", "matched")
+    return {"edges": edges, "report": _import_report(rows, winners), "resolved": resolved,
+            "rows": rows, "winners": winners}
+
 
+def _import_report(rows: DataFrame, winners: DataFrame) -> DataFrame:
+    """O-33: (file, lines_processed, imported, skipped, unparsed); every statement line has
+    one row without or with the first place of its range."""
     first_of_line = F.col("_pos").isNull() | (F.col("_pos") == 0)
-    stats = rows.groupBy("file").agg(
-        F.count_if(F.col("from_id").isNull() & first_of_line).alias("_skip_from"),
+    lines = rows.groupBy("file").agg(
+        F.count_if(first_of_line).alias("lines_processed"),
+        F.count_if(F.col("matched") & F.col("from_id").isNull() & first_of_line).alias("_skip_from"),
         F.count_if(F.col("from_id").isNotNull() & F.col("to_verse").isNotNull()
-                   & F.col("to_id").isNull()).alias("_skip_to"))
-    lines = parsed.groupBy("file").agg(F.count(F.lit(1)).alias("lines_processed"),
-                                       F.count_if(~F.col("matched")).alias("unparsed"))
+                   & F.col("to_id").isNull()).alias("_skip_to"),
+        F.count_if(~F.col("matched")).alias("unparsed"))
     imported = winners.groupBy("file").agg(F.count(F.lit(1)).alias("imported"))
-    report = (lines.join(stats, "file", "left").join(imported, "file", "left")
-              .na.fill(0, ["imported", "_skip_from", "_skip_to"])
-              .select("file", "lines_processed", "imported",
-                      (F.col("_skip_from") + F.col("_skip_to")).alias("skipped"), "unparsed"))
-    resolved = rows.filter(F.col("to_verse").isNotNull()).drop("_pos")
-    return {"edges": edges, "report": report, "resolved": resolved}
+    return (lines.join(imported, "file", "left").na.fill(0, ["imported"])
+            .select("file", "lines_processed", "imported",
+                    (F.col("_skip_from") + F.col("_skip_to")).alias("skipped"), "unparsed"))

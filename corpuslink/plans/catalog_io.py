@@ -309,13 +309,14 @@ SELECT CAST(row_number() OVER (ORDER BY n_nationkey) AS INTEGER) AS book_id,
 FROM nation JOIN region ON r_regionkey = n_regionkey
 """)
 def q_book_table(spark, sf_dir):
-    """O-04: the book dimension from literal rows (here the nations, a fixed 25)."""
-    from corpuslink.sources.books import books_df
+    """O-04: the book dimension from a table (here the nations)."""
+    from corpuslink.sources.books import books_from
     n = S.table(spark, sf_dir, "nation").join(S.table(spark, sf_dir, "region"),
                                               F.col("r_regionkey") == F.col("n_regionkey"))
-    rows = [(r.n_nationkey, r.n_name, r.r_name, r.n_nationkey if r.n_nationkey % 4 else None)
-            for r in n.orderBy("n_nationkey").collect()]
-    return books_df(spark, rows)
+    return books_from(n.select(
+        F.col("n_nationkey").alias("book_number"), F.col("n_name").alias("book_name"),
+        F.col("r_name").alias("testament"), F.when(F.col("n_nationkey") % 4 != 0, F.col(
+            "n_nationkey")).alias("expected_chapters")))
 
 
 @register("table_roundtrip", oracle=with_(UNITS) + """

@@ -425,6 +425,39 @@ def q_import_report(spark, sf_dir):
     return _import(spark, sf_dir)["report"]
 
 
+BY_BATCH = STMT_SQL + """
+, lines AS (SELECT file, count(*) AS lines_processed,
+                   count(*) FILTER (WHERE NOT matched) AS unparsed FROM parsed GROUP BY file),
+fm AS (SELECT file, count(*) AS n FROM ok WHERE NOT EXISTS (
+         SELECT 1 FROM fu WHERE fu.b = ok.from_book AND fu.c = ok.from_chapter
+                            AND fu.v = ok.from_verse) GROUP BY file),
+tm AS (SELECT file, count(*) AS n FROM res WHERE from_id IS NOT NULL AND to_id IS NULL
+       GROUP BY file),
+imp AS (SELECT file, count(*) AS n, sum(votes) AS v FROM winners GROUP BY file)
+SELECT l.file, l.lines_processed, coalesce(imp.n, 0) AS imported,
+       coalesce(fm.n, 0) + coalesce(tm.n, 0) AS skipped, l.unparsed,
+       coalesce(imp.n, 0) AS n_edges, CAST(coalesce(imp.v, 0) AS BIGINT) AS votes
+FROM lines l LEFT JOIN fm USING (file) LEFT JOIN tm USING (file) LEFT JOIN imp USING (file)
+"""
+
+
+@register("import_batches", oracle=BY_BATCH)
+def q_import_batches(spark, sf_dir):
+    """O-32, O-33 into a filled table: the dump files imported one after another, the second one
+    twice; the accounting and the edges each file added are those of one import."""
+    from corpuslink.streaming.links import import_batch, read_edges, read_report
+    target = scratch_path(spark, f"edges-{uuid.uuid4().hex}")
+    parsed = link_dump(spark, sf_dir)
+    fu, tu = _ends(spark, sf_dir)
+    names = [r.file for r in parsed.select("file").distinct().orderBy("file").collect()]  # 3 files
+    for i in (0, 1, 1, 2):
+        import_batch(parsed.where(F.col("file") == names[i]), i, target, fu, tu)
+    number = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(i), F.lit(n))])
+    added = read_edges(spark, target).groupBy(number[F.col("batch").cast("int")].alias("file")).agg(
+        F.count(F.lit(1)).alias("n_edges"), F.sum("votes").alias("votes"))
+    return read_report(spark, target).join(added, "file", "left").na.fill(0, ["n_edges", "votes"])
+
+
 @register("reject_sample", oracle=STMT_SQL + """
 SELECT file, printf('INSERT INTO cross_references VALUES (''%s'', %d, %d, ''%s'', %d, %d, %d, %s);'
                     || ' -- %d %d %d %d',

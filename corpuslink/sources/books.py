@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslink.operators.query import units_view
+from corpuslink.operators.upsert import assign_ids
 from corpuslink.schema import BOOKS
 
 
@@ -22,6 +23,13 @@ def books_df(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     return spark.createDataFrame(data, BOOKS)
 
 
+def books_from(rows: DataFrame, order: Sequence[str] = ("book_number",)) -> DataFrame:
+    """O-04 from a table: (book_number, book_name, testament, expected_chapters) rows with
+    book_id, their 1-based position in ``order``; nothing passes the driver."""
+    return assign_ids(rows, order, "book_id").select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in BOOKS.fields])
+
+
 def load_verses(verses: DataFrame, books: DataFrame, sort: bool = False) -> DataFrame:
     """O-05: verses joined to books with their reference; ordered only when
     ``sort`` (at a sink)."""

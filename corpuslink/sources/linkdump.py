@@ -60,12 +60,16 @@ def read_link_dump(spark: SparkSession, path: str) -> DataFrame:
     part files, whose names give their order. Never ``wholetext``.
     """
     raw = spark.read.text(path)
+    return parse_link_lines(numbered_lines(raw))
+
+
+def numbered_lines(raw: DataFrame) -> DataFrame:
+    """(file, line_no, value) of dump files read as text, by batch or stream."""
     name = F.col("file") if "file" in raw.columns else F.col("_metadata.file_name")
     raw = raw.select("value", name.alias("file"), F.col("_metadata.file_name").alias("_part"),
                      F.col("_metadata.file_block_start").alias("_block"),
                      F.monotonically_increasing_id().alias("_row"))
-    return parse_link_lines(raw.select("file", F.struct("_part", "_block", "_row").alias("line_no"),
-                                       "value"))
+    return raw.select("file", F.struct("_part", "_block", "_row").alias("line_no"), "value")
 
 
 def write_link_dump(lines: DataFrame, path: str, order) -> None:

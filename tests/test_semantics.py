@@ -873,3 +873,38 @@ def test_sql_surface_under_other_names(spark):
     assert len(rows("SELECT * FROM best('Aba', 1, 1)")) == 3 and not rows("SELECT * FROM best('No', 1, 1)")
     with pytest.raises(ValueError, match="no such"):
         register_corpus(spark, books, verses, links, {"verse": "x"})
+
+
+def test_links_by_stream_equal_one_import(spark, tmp_dir):
+    from corpuslink.streaming.links import import_batch, read_edges, read_report, stream_links
+    os.makedirs(tmp_dir + "/in")
+    units = spark.createDataFrame(UNITS, "unit_id long, book string, chapter long, verse long")
+    assert read_edges(spark, tmp_dir + "/t").count() == 0
+    for name in ("a.sql", "b.sql"):
+        with open(f"{tmp_dir}/in/{name}", "w") as f:
+            f.write("\n".join(v for n, _, v in LINES if n == name) + "\n")
+        stream_links(spark, tmp_dir + "/in", tmp_dir + "/t", tmp_dir + "/c", units).awaitTermination()
+    once = L.import_links(read_link_dump(spark, tmp_dir + "/in"), units)
+
+    def same():
+        got = read_edges(spark, tmp_dir + "/t")
+        assert sorted(map(tuple, got.select("from_id", "to_id", "votes").collect())) == sorted(
+            map(tuple, once["edges"].collect()))
+        cols = once["report"].columns
+        assert sorted(map(tuple, read_report(spark, tmp_dir + "/t").select(*cols).collect())) == sorted(
+            map(tuple, once["report"].collect()))
+    same()
+    parsed = read_link_dump(spark, tmp_dir + "/in")
+    import_batch(parsed.where("file = 'a.sql'"), 0, tmp_dir + "/t", units)          # again
+    same()
+
+
+def test_books_from_rows_and_from_a_table(spark):
+    from corpuslink.sources.books import books_df, books_from
+    rows = [(7, "B", "Old", 3), (2, "A", "New", None)]
+    table = spark.createDataFrame(rows, "book_number long, book_name string, testament string, "
+                                  "expected_chapters long")
+    assert [tuple(r) for r in books_from(table).orderBy("book_id").collect()] == [
+        (1, 2, "A", "New", None), (2, 7, "B", "Old", 3)]
+    assert [tuple(r) for r in books_df(spark, rows).orderBy("book_id").collect()] == [
+        (1, 7, "B", "Old", 3), (2, 2, "A", "New", None)]
