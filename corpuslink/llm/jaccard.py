@@ -110,20 +110,21 @@ def _hist(elements: np.ndarray, buckets: int) -> bytes:
 
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, _hash, n, h, hist) of (doc_id, _hash, text): set size, set hash (null: empty
-    set) and a histogram of the elements."""
+    """(doc_id, _hash, n, h, hist, fine) of (doc_id, _hash, text): set size, set hash (null: empty
+    set) and two histograms of the elements."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, rows, sets, hashes in _sets(batch, 2):
                 size = np.array([len(s) for s in sets])
-                hist = [_hist(s, BUCKETS) for s in sets]
+                hists = [pa.array([_hist(s, b) for s in sets], pa.binary()) for b in (BUCKETS, FINE)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(at, rows), batch.column(1).slice(at, rows),
                     pa.array(size, pa.int64()), pa.array(hashes.view(np.int64), mask=size == 0),
-                    pa.array(hist, pa.binary())], names=["doc_id", "_hash", "n", "h", "hist"])
+                    *hists], names=["doc_id", "_hash", "n", "h", "hist", "fine"])
         release()
 
-    return docs.mapInArrow(run, "doc_id long, _hash long, n long, h long, hist binary")
+    return docs.mapInArrow(
+        run, "doc_id long, _hash long, n long, h long, hist binary, fine binary")
 
 
 def signature_rows(docs: DataFrame) -> DataFrame:
@@ -229,21 +230,23 @@ def linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def block_pairs(members: DataFrame, hists: DataFrame) -> DataFrame:
     """Pairs within a signature whose members are in different classes and near by their
-    histograms, from (sig, h, place, m, c). A signature's members are compared block by
-    block."""
+    histograms, from (sig, h, place, m, c) and (h, n, fine). A signature's members are compared
+    block by block, by the fine histograms folded to ``BUCKETS`` first, then as they are."""
     rows = members.join(hists, "h").withColumn(
         "_block", F.floor((F.col("place") - 1) / BLOCK).cast("int"))
     each = F.explode(F.sequence(F.lit(0), F.floor((F.col("m") - 1) / BLOCK).cast("int")))
     rows = rows.select("*", each.alias("_other")).select(
         "sig", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"),
-        "h", "c", "n", "hist", (F.col("_block") == F.least("_block", "_other")).alias("_one"),
+        "h", "c", "n", "fine", (F.col("_block") == F.least("_block", "_other")).alias("_one"),
         (F.col("_block") == F.greatest("_block", "_other")).alias("_two"))
     key = ["sig", "_i", "_j"]
-    rows = rows.repartition(*key).sortWithinPartitions(*key)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, *key).sortWithinPartitions(*key)
 
     def compare(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         h, c, n = (np.array([r[k] for r in held], np.int64) for k in (3, 4, 5))
-        hist = np.frombuffer(b"".join(r[6] for r in held), np.uint8).reshape(-1, BUCKETS)
+        fine = np.frombuffer(b"".join(r[6] for r in held), np.uint8).reshape(-1, FINE)
+        hist = fine.reshape(-1, FINE // BUCKETS, BUCKETS).sum(1, dtype=np.int16)
         one, two = (np.array([r[k] for r in held]) for k in (7, 8))
         right = np.flatnonzero(two)
         for i in np.flatnonzero(one):
@@ -251,6 +254,7 @@ def block_pairs(members: DataFrame, hists: DataFrame) -> DataFrame:
             if held[0][1] == held[0][2]:
                 to = to[to > i]
             to = to[_near(hist[i], hist[to], n[i], n[to])]
+            to = to[_near(fine[i], fine[to], n[i], n[to])]
             if len(to):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.minimum(h[i], h[to])), pa.array(np.maximum(h[i], h[to]))],
@@ -280,7 +284,7 @@ def link_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     table = written(set_table(docs), "sets")
     classes = written(table.where(F.col("h").isNotNull()).groupBy("h").agg(
         F.min("doc_id").alias("first_id"), F.first("n").alias("n"),
-        F.first("hist").alias("hist")), "classes")
+        F.first("hist").alias("hist"), F.first("fine").alias("fine")), "classes")
     hists = classes.select("h", "n", "hist")
     members = written(shared_signatures(signature_rows(docs)), "members")
     members = written(with_hubs(members), "hubs")
@@ -297,7 +301,7 @@ def link_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         {"_lo": F.min("c").over(own), "_hi": F.max("c").over(own)}).where(
         "_lo <> _hi and h <> hub").drop("_lo", "_hi", "hub")
     met = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = written(block_pairs(rest, hists).join(met, ["a", "b"], "left_anti"), "pairs")
+    pairs = written(block_pairs(rest, classes.select("h", "n", "fine")).join(met, ["a", "b"], "left_anti"), "pairs")
     links = links.union(linked(pairs, docs, classes))
     joined = written(components(links), "components")
 
