@@ -10,8 +10,8 @@ ones. Blocks that stay whole in their shard are not rewritten.
 
 Nulls, empties, ties: a null text counts 1 byte and stays null. A null shard key belongs
 to old shard 0. Equal rows are ordered by id and then arbitrarily, since they are
-interchangeable. Extra columns pass through under their names. An empty table gives
-empty shards.
+interchangeable. Extra columns pass through under their names, those with one of the operator's
+own (``OWN``) with ``_own`` behind it. An empty table gives empty shards.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from corpuslink.llm.scratch import new_folder, written
 BLOCK_BYTES = 32 << 20
 MAX_BROADCAST_BLOCKS = 50_000                 # some 5 MB of block rows
 BLOCK = ("_rs_shard", "_rs_block")
+OWN = (*BLOCK, "_rs_new", "_rs_slot", "_rs_before", "_rs_to", "_rs_size", "_rs_mid", "_rs_base",
+       "_rs_row")
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]]
@@ -82,20 +84,25 @@ def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]]
 
 
 def text_bytes(text_col: str) -> Column:
-    return F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long") + 1
+    return F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("long") + 1
+
+
+def stored(name: str) -> str:
+    """The name under which a column is kept."""
+    return f"{name}_own" if name in OWN else name
 
 
 def write_blocks(docs: DataFrame, shard: Column, n_shards: int, path: str, *,
                  id_col: str = "doc_id", text_col: str = "text",
                  block_bytes: int = BLOCK_BYTES) -> None:
     """Store ``docs`` as old shards: folders ``_rs_shard=i/_rs_block=b``."""
-    sized = docs.withColumn("_rs_shard", F.coalesce(F.pmod(shard, F.lit(n_shards)), F.lit(0))
-                            .cast("int"))
+    sized = docs.select(*[F.col(f"`{c}`").alias(stored(c)) for c in docs.columns], F.coalesce(
+        F.pmod(shard, F.lit(n_shards)), F.lit(0)).cast("int").alias("_rs_shard"))
     bytes_of = {r[0]: r[1] for r in sized.groupBy("_rs_shard").agg(
         F.sum(text_bytes(text_col))).collect()}              # a row per old shard
     blocks = F.create_map(*[F.lit(x) for i in range(n_shards)
                             for x in (i, max(1, -(-bytes_of.get(i, 1) // block_bytes)))])
-    sized.withColumn("_rs_block", F.pmod(F.xxhash64(id_col, text_col),
+    sized.withColumn("_rs_block", F.pmod(F.xxhash64(f"`{id_col}`", f"`{text_col}`"),
                                          blocks[F.col("_rs_shard")]).cast("int")).repartition(
         "_rs_shard", "_rs_block").write.partitionBy("_rs_shard", "_rs_block").option(
         "compression", "zstd").parquet(path)
@@ -131,8 +138,8 @@ def reshard(spark: SparkSession, path: str, out_path: str, schema: StructType, n
     Rows of blocks that stay are read where they are; only blocks that move or are split
     are written again, under ``out_path``.
     """
-    names = [c for c in schema.names if not c.startswith("_rs_")]
-    fields = [schema[c] for c in names]
+    names = [stored(c) for c in schema.names]
+    fields = [StructField(stored(f.name), f.dataType) for f in schema.fields]
     whole = StructType([*fields, *(StructField(c, IntegerType()) for c in BLOCK)])
     old = spark.read.schema(whole).parquet(path)
     blocks = written(old.groupBy(*BLOCK).agg(F.sum(text_bytes(text_col)).alias("bytes")), "blocks")
@@ -159,13 +166,13 @@ def reshard(spark: SparkSession, path: str, out_path: str, schema: StructType, n
                         list(BLOCK))
 
     # documents of split blocks: a window of one block at a time
-    inside = Window.partitionBy(*BLOCK).orderBy(F.col("_rs_size").desc(), F.col(id_col))
+    inside = Window.partitionBy(*BLOCK).orderBy(F.col("_rs_size").desc(), F.col(f"`{id_col}`"))
     cut = rows_of(~one).withColumn("_rs_size", text_bytes(text_col)).withColumn(
         "_rs_mid", F.col("_rs_before") + F.sum("_rs_size").over(inside) - F.col("_rs_size") / 2)
     target = F.coalesce(F.get(F.filter("_rs_to", lambda t: (t["low"] <= F.col("_rs_mid"))
                                        & (F.col("_rs_mid") < t["high"])), F.lit(0)),
                         F.element_at("_rs_to", -1))["_rs_new"]
-    out = [*names, *BLOCK, "_rs_new"]
+    out = [*(f"`{c}`" for c in names), *BLOCK, "_rs_new"]
     cut.withColumn("_rs_new", target).select(*out).unionByName(
         rows_of(moves).withColumn("_rs_new", first).select(*out)
     ).write.option("compression", "zstd").parquet(out_path)
@@ -181,7 +188,7 @@ def with_slots(rows: DataFrame, id_col: str) -> DataFrame:
     sizes = rows.groupBy(*piece).agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("_rs_new").orderBy(*BLOCK)
     base = sizes.select(*piece, (F.sum("n").over(order) - F.col("n")).alias("_rs_base"))
-    number = F.row_number().over(Window.partitionBy(*piece).orderBy(id_col)) - 1
+    number = F.row_number().over(Window.partitionBy(*piece).orderBy(f"`{id_col}`")) - 1
     return rows.withColumn("_rs_row", number).join(base, piece).withColumn(
         "_rs_slot", F.col("_rs_base") + F.col("_rs_row")).drop("_rs_row", "_rs_base")
 

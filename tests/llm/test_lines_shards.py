@@ -187,6 +187,16 @@ def test_resharding_moves_the_fewest_bytes(spark, docs, rows, none):
     assert R.rebalance(none, F.crc32("source"), 4).count() == 0
 
 
+def test_resharding_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(i, "t" * i, i % 2, f"n{i}", i, -i) for i in range(40)],
+                                 "`id.x` long, text string, s int, _rs_note string, _rs_new int, "
+                                 "`a.b` int")
+    got = R.rebalance(docs, F.col("s"), 3, id_col="id.x").collect()
+    assert sorted((r["id.x"], r["_rs_note"], r["_rs_new_own"], r["a.b"]) for r in got) == [
+        (i, f"n{i}", i, -i) for i in range(40)]
+    assert {r["_rs_new"] for r in got} == {0, 1, 2}
+
+
 def test_capacities_prices_and_kept_files(spark):
     docs = spark.createDataFrame([(i, "t" * (i % 50), i % 3) for i in range(900)],
                                  "doc_id long, text string, s int")
