@@ -177,8 +177,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         F.xxhash64(F.col("_id").cast("string")), "_y").limit(max_train)
     sample = sample.groupBy("_id").agg(F.max("_y").alias("_y"))
     # the sample's bound (max_train rows of 12 bytes) is the bound of the broadcast
-    labelled = docs.join(F.broadcast(sample), F.col(id_col) == F.col("_id")).select(
-        F.col(text_col).alias("_text"), "_y")
+    texts = docs.select(F.col(f"`{id_col}`").alias("_doc"), F.col(f"`{text_col}`").alias("_text"))
+    labelled = texts.join(F.broadcast(sample), F.col("_doc") == F.col("_id")).select("_text", "_y")
     from corpuslink.llm.scratch import written
     counts = written(word_counts(labelled), "word-counts")
     n1, n0 = counts.agg(F.sum("y1"), F.sum("y0")).first()

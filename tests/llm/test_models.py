@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpuslink.llm import langid, queries, toxicity
 from tests.conftest import SF_SMALL
@@ -109,6 +110,8 @@ def test_odd_rows_and_empty_models(spark, docs, none, rows):
     model = toxicity.train(docs, labels)
     got = toxicity.score(docs, model).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    more = docs.withColumns({"_y": F.lit(9), "_id": F.lit("x"), "_text": F.lit(1), "a.b": F.lit(2)})
+    assert toxicity.train(more, labels).weights == model.weights
     nothing = toxicity.train(docs, labels.where("false"))
     assert max(r.score for r in toxicity.score(docs, nothing).collect()) < 1e-6
     assert toxicity.score(none, model).count() == 0
