@@ -123,17 +123,17 @@ def _topk_by_key(unit: DataFrame, asked: DataFrame, k: int, qid: str, block_byte
 
 
 def centroids(vecs: DataFrame, group: str, vec_col: str = "vec") -> DataFrame:
-    """Mean vector per group: ``(group, centroid array<double>)``.
+    """Mean vector per group: ``(group, centroid array<double>)``; null vectors do not count.
 
-    Exploded per dimension and averaged with a partial aggregate, so a group
-    holding a third of all rows is reduced map-side; each output list has the
-    vector's dimension.
+    Whole vectors are summed by a partial aggregate in the JVM, so a group holding a third of
+    all rows is one row a task before the shuffle.
     """
-    ex = vecs.select(group, F.posexplode(vec_col).alias("_i", "_x"))
-    means = ex.groupBy(group, "_i").agg(F.avg(F.col("_x").cast("double")).alias("_m"))
-    return (means.groupBy(group)
-            .agg(F.array_sort(F.collect_list(F.struct("_i", "_m"))).alias("_s"))
-            .select(group, F.transform("_s", lambda s: s["_m"]).alias("centroid")))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    known = vecs.where(F.col(vec_col).isNotNull()).select(group, array_to_vector(
+        F.col(vec_col).cast("array<double>")).alias("_v"))
+    return known.groupBy(group).agg(Summarizer.mean(F.col("_v")).alias("_m")).select(
+        group, vector_to_array("_m").alias("centroid"))
 
 
 def nearest_centroid(vecs: DataFrame, cents: DataFrame, cluster: str = "cluster",

@@ -67,9 +67,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables, below the shared one."""
+    return os.path.join(checkpoint_dir(spark), f"run-{spark.sparkContext.applicationId}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A place in this application's folder for a written table."""
+    return os.path.join(run_folder(spark), name)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. DataFrames of the library read them, so
+    call it when the results are written; the folders of applications that ended without it
+    (``run-<application id>``) may be deleted at any time."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -908,3 +908,13 @@ def test_books_from_rows_and_from_a_table(spark):
         (1, 2, "A", "New", None), (2, 7, "B", "Old", 3)]
     assert [tuple(r) for r in books_df(spark, rows).orderBy("book_id").collect()] == [
         (1, 7, "B", "Old", 3), (2, 2, "A", "New", None)]
+
+
+def test_scratch_of_a_run_goes_at_once(spark, tmp_dir, monkeypatch):
+    from corpuslink import session
+    monkeypatch.setattr(session, "checkpoint_dir", lambda spark: tmp_dir)
+    table = session.written(spark.range(3), "some")
+    assert table.count() == 3 and len(os.listdir(session.run_folder(spark))) == 1
+    session.drop_scratch(spark)
+    assert os.listdir(tmp_dir) == []
+    session.drop_scratch(spark)                                # nothing there: nothing to do
