@@ -27,6 +27,8 @@ HEADLINE = [
     "render_book_index", "vec_topk_batch", "vec_topk_batch_blas", "vec_filtered", "answer",
     "themes", "vec_ann_allcells", "vec_topk", "text_query_search", "hash_encode",
     "kmeans_sizes", "ann_recall", "document_sink", "stream_ingest", "index_roundtrip",
+    "lsh_recall", "index_updates", "parse_chunked", "import_batches", "text_search_indexed",
+    "sql_top_links", "ledger_ids",
 ]
 
 
