@@ -12,23 +12,11 @@ belongs to the query).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-NAMES = ("verses", "books", "links", "verse_view", "link_view", "top_links")
-
-VERSE_VIEW = """
-CREATE OR REPLACE TEMPORARY VIEW {verse_view} AS
-SELECT b.book_name, b.testament, v.chapter, v.verse, v.text, b.book_number, v.verse_id
-FROM {verses} v JOIN {books} b ON v.book_id = b.book_id
-"""
+from corpuslink.operators.query import units_view
 
-LINK_VIEW = """
-CREATE OR REPLACE TEMPORARY VIEW {link_view} AS
-SELECT f.book_name AS from_book, f.chapter AS from_chapter, f.verse AS from_verse,
-       t.book_name AS to_book, t.chapter AS to_chapter, t.verse AS to_verse, l.votes,
-       l.from_verse_id, l.to_verse_id
-FROM {links} l JOIN {verse_view} f ON l.from_verse_id = f.verse_id
-               JOIN {verse_view} t ON l.to_verse_id = t.verse_id
-"""
+NAMES = ("verses", "books", "links", "verse_view", "link_view", "top_links")
 
 # Ties go to the lower target id (D3); the window sees one verse's links.
 TOP_LINKS = """
@@ -44,6 +32,17 @@ WHERE rank <= k
 """
 
 
+def readable_links(links: DataFrame, units: DataFrame) -> DataFrame:
+    """Links with both ends as (book, chapter, verse), besides their ids."""
+    out = links
+    for side in ("from", "to"):
+        out = out.join(units.select(
+            F.col("verse_id").alias(f"{side}_verse_id"), F.col("book_name").alias(f"{side}_book"),
+            F.col("chapter").alias(f"{side}_chapter"), F.col("verse").alias(f"{side}_verse")),
+            f"{side}_verse_id")
+    return out
+
+
 def register_corpus(spark: SparkSession, books: DataFrame, verses: DataFrame, links: DataFrame,
                     names: dict[str, str] | None = None) -> dict[str, str]:
     """Register ``books(book_id, book_number, book_name, testament)``, ``verses(verse_id, book_id,
@@ -53,9 +52,9 @@ def register_corpus(spark: SparkSession, books: DataFrame, verses: DataFrame, li
     if unknown:
         raise ValueError(f"no such tables, views or functions: {sorted(unknown)}")
     used = {n: n for n in NAMES} | (names or {})
-    verses.createOrReplaceTempView(used["verses"])
-    books.createOrReplaceTempView(used["books"])
-    links.createOrReplaceTempView(used["links"])
-    for statement in (VERSE_VIEW, LINK_VIEW, TOP_LINKS):
-        spark.sql(statement.format(**used))
+    units = units_view(verses, books)
+    for name, table in (("verses", verses), ("books", books), ("links", links),
+                        ("verse_view", units), ("link_view", readable_links(links, units))):
+        table.createOrReplaceTempView(used[name])
+    spark.sql(TOP_LINKS.format(**used))
     return used
