@@ -17,6 +17,7 @@ from corpuslink.plans import standins as S
 from corpuslink.plans.registry import register
 from corpuslink.plans.sql import UNITS, with_
 from corpuslink.session import scratch_path
+from corpuslink.sources.files import write_files
 from corpuslink.sources.payloads import read_payloads, write_payloads
 from corpuslink.streaming.ingest import compact, read_table, stream_ingest
 
@@ -252,6 +253,9 @@ def q_ledger_ids(spark, sf_dir):
     return read_table(spark, target, full, keys, order)
 
 
+BATCH_FILES, BATCHES = 40, 25      # files of a batch at least, batches of a backlog at most
+
+
 @register("quarantine", oracle="""
 WITH f AS (SELECT CAST(conv_id // 10 + 1 AS INTEGER) AS book_number, CAST(conv_id AS INTEGER) AS chapter,
                   count(*) FILTER (WHERE trim(text) <> '') AS n,
@@ -277,9 +281,9 @@ def q_quarantine(spark, sf_dir):
     value = F.when(F.col("conv_id") % 7 == 2, F.concat(F.lit('{"verses": '), "good", F.lit("}"))) \
         .when(F.col("conv_id") % 5 == 1, F.expr("left(good, length(good) - 3)")) \
         .when(F.col("conv_id") % 11 == 3, F.lit("[]")).otherwise(F.col("good"))
-    files.select((F.floor(F.col("conv_id") / 10) + 1).cast("int").alias("book_number"),
-                 F.col("conv_id").cast("int").alias("chapter"), value.alias("value")) \
-        .write.partitionBy("book_number", "chapter").text(f"{base}/landing/chapters")
+    write_files(files.select((F.floor(F.col("conv_id") / 10) + 1).cast("int").alias("book_number"),
+                             F.col("conv_id").cast("int").alias("chapter"), value.alias("value")),
+                f"{base}/landing/chapters", ["book_number", "chapter"], "value")
     spark.createDataFrame([("[]",)], "value string").coalesce(1).write.text(f"{base}/landing/other")
     landing = f"{base}/landing"
 
@@ -291,7 +295,9 @@ def q_quarantine(spark, sf_dir):
                           F.lit(0).cast("long").alias("n_rows"), "reason")
         return got.union(lost).select(F.lit(how).alias("how"), "*")
 
-    stream_payloads(spark, landing, f"{base}/table", f"{base}/checkpoint", max_files=40) \
+    # A batch costs its fixed seconds whatever it holds, so batches grow with what has landed.
+    each = max(BATCH_FILES, -(-c.select("conv_id").distinct().count() // BATCHES))
+    stream_payloads(spark, landing, f"{base}/table", f"{base}/checkpoint", max_files=each) \
         .awaitTermination()
     streamed = read_table(spark, f"{base}/table", PAYLOAD_ROWS,
                           ["book_number", "chapter", "verse"], ["text"])

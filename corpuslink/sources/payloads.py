@@ -9,6 +9,8 @@ files continue, and every landed file is in the rows or in the quarantine.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,8 @@ from corpuslink.schema import PAYLOAD_ITEM
 NAME_PATTERN = r"(\d+)_(\d+)\.json$"
 PLACE_PATTERN = r"book_number=(\d+)/chapter=(\d+)/[^/]*$"
 
+LISTING_THREADS = 8
+
 # Why a file holds no rows.
 UNNAMED, NOT_A_LIST, BROKEN, NO_OBJECTS, NO_VERSES, EMPTY = (
     "no chapter in the name", "not a list", "broken JSON", "items that are no objects",
@@ -92,13 +96,23 @@ def empty_files(spark: SparkSession, path: str) -> DataFrame:
     hadoop = spark._jvm.org.apache.hadoop.fs
     top = hadoop.Path(path)
     system = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = []
-    for status in system.globStatus(top) or []:
-        files = system.listFiles(status.getPath(), True)
-        while files.hasNext():
-            f = files.next()
-            if f.getLen() == 0 and not f.getPath().getName().startswith(("_", ".")):
-                found.append((f.getPath().toString(), EMPTY))
+    # Plain listings: the located ones of ``listFiles`` ask for every file's owner and mode, on a
+    # local disk by a process of its own. A level of folders is listed by several threads.
+    def listed(folder):
+        folders, empty = [], []
+        for f in system.listStatus(folder):
+            if f.isDirectory():
+                folders.append(f.getPath())
+            elif f.getLen() == 0 and not f.getPath().getName().startswith(("_", ".")):
+                empty.append((f.getPath().toString(), EMPTY))
+        return folders, empty
+
+    found, level = [], [s.getPath() for s in system.globStatus(top) or []]
+    with ThreadPoolExecutor(LISTING_THREADS) as pool:
+        while level:
+            below = list(pool.map(listed, level))
+            level = [f for folders, _ in below for f in folders]
+            found += [row for _, empty in below for row in empty]
     return spark.createDataFrame(found, "file string, reason string")
 
 

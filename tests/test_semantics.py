@@ -918,3 +918,56 @@ def test_scratch_of_a_run_goes_at_once(spark, tmp_dir, monkeypatch):
     session.drop_scratch(spark)
     assert os.listdir(tmp_dir) == []
     session.drop_scratch(spark)                                # nothing there: nothing to do
+
+
+# ------------------------------------------------- many small files (r03) --
+
+def test_write_files_equals_sparks_partitioned_writer(spark, tmp_dir):
+    """Same folders and lines for odd values; the old tree goes, nothing of the staging stays."""
+    from corpuslink.sources.files import write_files
+    odd = ["a b", "x:y/z", "50%", "q'\"*?\\", "", None, "{[^]}", "#=", "é\t"]
+    rows = spark.createDataFrame([(k, n, i, f"{k}-{i}" if i else None) for k in odd for n in (1, None)
+                                  for i in range(3)], "k string, n int, i int, value string")
+    write_files(rows.limit(1), tmp_dir + "/w/ours", ["k", "n"], "value")
+    write_files(rows, tmp_dir + "/w/ours", ["k", "n"], "value", ["i", "value"])
+    rows.withColumn("k", F.nullif("k", F.lit(""))).repartition(1).sortWithinPartitions(
+        "k", "n", "i", "value").select("k", "n", "value").write.partitionBy("k", "n").text(tmp_dir + "/theirs")
+
+    def tree(top):
+        out = {}
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if not name.startswith((".", "_")):
+                    with open(os.path.join(folder, name), newline="") as f:
+                        out.setdefault(os.path.relpath(folder, top), []).append(f.read())
+        return out
+    assert tree(tmp_dir + "/w/ours") == tree(tmp_dir + "/theirs")
+    assert os.listdir(tmp_dir + "/w") == ["ours"]
+    hidden = [n for _, _, names in os.walk(tmp_dir + "/w") for n in names if n.startswith(".")]
+    assert not hidden                                    # no checksum file, no attempt's file
+
+
+def test_quarantine_batches_do_not_grow_with_the_files(spark, monkeypatch):
+    from corpuslink.plans import catalog_io
+    from corpuslink.streaming import ingest
+    sizes = []
+    start = ingest.stream_payloads
+    monkeypatch.setattr(ingest, "stream_payloads", lambda *a, max_files, **k: sizes.append(
+        max_files) or start(*a, max_files=max_files, **k))
+    monkeypatch.setattr(catalog_io, "BATCH_FILES", 1)
+    monkeypatch.setattr(catalog_io, "BATCHES", 3)
+    sf = "/root/testdata/sf0.001"
+    n = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id").distinct().count()
+    rows = catalog_io.q_quarantine(spark, sf).collect()
+    assert sizes == [-(-n // 3)] and len(rows) == 2 * (n + 1)
+
+
+def test_empty_files_of_folders_below(spark, tmp_dir):
+    from corpuslink.sources.payloads import EMPTY, empty_files
+    for name, body in (("a/b/1_1.json", ""), ("a/1_2.json", "[]"), ("1_3.json", ""), ("a/_x", ""),
+                       ("c d/e/f/.y", ""), ("c d/e/f/1 4.json", "")):
+        os.makedirs(os.path.dirname(os.path.join(tmp_dir, name)), exist_ok=True)
+        open(os.path.join(tmp_dir, name), "w").write(body)
+    got = {(r.file[r.file.index(tmp_dir) + len(tmp_dir) + 1:], r.reason)
+           for r in empty_files(spark, tmp_dir).collect()}
+    assert got == {(n, EMPTY) for n in ("a/b/1_1.json", "1_3.json", "c d/e/f/1 4.json")}
