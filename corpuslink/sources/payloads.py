@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from corpuslink.functions.text import ustrip
 from corpuslink.schema import PAYLOAD_ITEM
+from corpuslink.sources.files import write_files
 
 NAME_PATTERN = r"(\d+)_(\d+)\.json$"
 PLACE_PATTERN = r"book_number=(\d+)/chapter=(\d+)/[^/]*$"
@@ -140,4 +141,4 @@ def write_payloads(units: DataFrame, path: str) -> None:
     doc = (units.groupBy("book_number", "chapter")
            .agg(F.to_json(F.array_sort(F.collect_list(F.struct("verse", "text"))))
                 .alias("value")))
-    doc.write.mode("overwrite").partitionBy("book_number", "chapter").text(path)
+    write_files(doc, path, ["book_number", "chapter"], "value")

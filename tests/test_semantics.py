@@ -971,3 +971,19 @@ def test_empty_files_of_folders_below(spark, tmp_dir):
     got = {(r.file[r.file.index(tmp_dir) + len(tmp_dir) + 1:], r.reason)
            for r in empty_files(spark, tmp_dir).collect()}
     assert got == {(n, EMPTY) for n in ("a/b/1_1.json", "1_3.json", "c d/e/f/1 4.json")}
+
+
+@pytest.mark.parametrize("name", ["payload_ingest", "payload_backfill"])
+def test_payload_files_are_written_by_the_tasks(spark, tmp_dir, name):
+    """One file a chapter and no checksum file beside it (each cost a process of its own)."""
+    from corpuslink.sources.payloads import read_payloads, write_payloads
+    units = spark.createDataFrame([(b, c, v, f" t{v}") for b in range(3) for c in range(4)
+                                   for v in (2, 1)],
+                                  "book_number int, chapter int, verse long, text string")
+    write_payloads(units, tmp_dir + "/p")
+    names = [n for _, _, names in os.walk(tmp_dir + "/p") for n in names]
+    assert len(names) == 12 and not any(n.endswith(".crc") for n in names)
+    policy = "fetch" if name == "payload_ingest" else "backfill"
+    got = sorted(map(tuple, read_payloads(spark, tmp_dir + "/p", policy).collect()))
+    assert got == [(b, c, v, f"t{v}" if policy == "fetch" else f" t{v}") for b in range(3)
+                   for c in range(4) for v in (1, 2)]
