@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.operators.embed import embedding_run
+from corpuslink.sources.files import write_files
 
 
 def save_tables(tables: dict[str, DataFrame], path: str) -> None:
@@ -69,14 +70,6 @@ def _documents(chapters: DataFrame, style: str, book_index: DataFrame | None = N
     return whole
 
 
-def _written_tree(documents: DataFrame, path: str, overwrite: str) -> None:
-    (documents.repartition("folder", "document")
-     .sortWithinPartitions("folder", "document", "section", "seq")
-     .select("folder", "document", "block").write.mode("overwrite")
-     .option("partitionOverwriteMode", overwrite)
-     .partitionBy("folder", "document").option("lineSep", "\n").text(path))
-
-
 def write_tree(chapters: DataFrame, path: str, style: str = "vault",
                book_index: DataFrame | None = None, corpus_index: DataFrame | None = None
                ) -> None:
@@ -88,7 +81,8 @@ def write_tree(chapters: DataFrame, path: str, style: str = "vault",
     one file; documents spread over the tasks. The corpus index lies in folder ``''``
     (Spark's default partition), which ``read_tree`` gives back as such.
     """
-    _written_tree(_documents(chapters, style, book_index, corpus_index), path, "static")
+    write_files(_documents(chapters, style, book_index, corpus_index), path,
+                ["folder", "document"], "block", ["section", "seq"])
 
 
 def patch_tree(chapters: DataFrame, path: str, style: str = "patch",
@@ -100,7 +94,11 @@ def patch_tree(chapters: DataFrame, path: str, style: str = "patch",
     touched. Running it again gives the same tree, so a patch that a lost driver stopped
     between two documents is completed by repeating it.
     """
-    _written_tree(_documents(chapters, style, book_index), path, "dynamic")
+    (_documents(chapters, style, book_index).repartition("folder", "document")
+     .sortWithinPartitions("folder", "document", "section", "seq")
+     .select("folder", "document", "block").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("folder", "document").option("lineSep", "\n").text(path))
 
 
 def repair_tree(units: DataFrame, wanted: DataFrame, path: str, links: DataFrame | None = None,

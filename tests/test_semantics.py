@@ -987,3 +987,15 @@ def test_payload_files_are_written_by_the_tasks(spark, tmp_dir, name):
     got = sorted(map(tuple, read_payloads(spark, tmp_dir + "/p", policy).collect()))
     assert got == [(b, c, v, f"t{v}" if policy == "fetch" else f" t{v}") for b in range(3)
                    for c in range(4) for v in (1, 2)]
+
+
+def test_document_tree_is_written_by_the_tasks(spark, tmp_dir):
+    """document_sink: one file a document, its blocks in order, no checksum file beside it."""
+    from corpuslink.sources.sinks import read_tree, write_tree
+    blocks = spark.createDataFrame([("A", c, s, f"{c}/{s}\n") for c in (1, 2) for s in range(12)],
+                                   "book_name string, chapter long, seq long, block string")
+    write_tree(blocks.orderBy(F.desc("seq")), tmp_dir + "/t")
+    names = [n for _, _, names in os.walk(tmp_dir + "/t") for n in names]
+    assert len(names) == 2 and not any(n.endswith(".crc") for n in names)
+    assert {r.document: (r.content, r.n_files) for r in read_tree(spark, tmp_dir + "/t").collect()} == {
+        f"Chapter_{c}.md": ("".join(f"{c}/{s}\n" for s in range(12)), 1) for c in (1, 2)}
