@@ -16,7 +16,7 @@ from corpuslink.operators import embed as E
 from corpuslink.plans import standins as S
 from corpuslink.plans.registry import register
 from corpuslink.plans.sql import UNITS, with_
-from corpuslink.session import scratch_path
+from corpuslink.session import scratch_path, written
 from corpuslink.sources.files import write_files
 from corpuslink.sources.payloads import read_payloads, write_payloads
 from corpuslink.streaming.ingest import compact, read_table, stream_ingest
@@ -428,8 +428,10 @@ def q_backfill_render(spark, sf_dir):
     from corpuslink.operators import render as R
     from corpuslink.sources.sinks import read_tree, write_tree
     base = scratch_path(spark, f"repair-{uuid.uuid4().hex}")
-    payloads = read_payloads(spark, _land_payloads(spark, sf_dir), "backfill").select(
-        F.col("book_number"), F.col("chapter"), F.col("verse").cast("long").alias("verse"), "text")
+    # every file is opened once; the gaps, the load and the rendering read one table
+    payloads = written(read_payloads(spark, _land_payloads(spark, sf_dir), "backfill").select(
+        F.col("book_number"), F.col("chapter"), F.col("verse").cast("long").alias("verse"), "text"),
+        "payload-rows")
     known = payloads.filter(F.col("chapter") % 3 != 0)
     wanted = S.table(spark, sf_dir, "conversations").select(
         (F.floor(F.col("conv_id") / 10) + 1).cast("int").alias("book_number"),

@@ -999,3 +999,14 @@ def test_document_tree_is_written_by_the_tasks(spark, tmp_dir):
     assert len(names) == 2 and not any(n.endswith(".crc") for n in names)
     assert {r.document: (r.content, r.n_files) for r in read_tree(spark, tmp_dir + "/t").collect()} == {
         f"Chapter_{c}.md": ("".join(f"{c}/{s}\n" for s in range(12)), 1) for c in (1, 2)}
+
+
+def test_backfill_render_opens_each_payload_file_once(spark, monkeypatch):
+    from corpuslink.plans import catalog_io
+    from corpuslink.session import written
+    kept = []
+    monkeypatch.setattr(catalog_io, "written", lambda df, name: kept.append(df.inputFiles()) or
+                        written(df, name))
+    out = catalog_io.q_backfill_render(spark, "/root/testdata/sf0.001")
+    assert out.count() and len(kept) == 1                # the payloads, written once
+    assert not set(kept[0]) & set(out.inputFiles())
