@@ -17,6 +17,9 @@ from corpuslink.operators.upsert import first_per_key, with_default
 from corpuslink.session import written
 
 
+NOWHERE = 1 << 14
+
+
 def link_order():
     """D3: votes desc, then target id - a total order within a source."""
     return (F.desc("votes"), F.asc("to_id"))
@@ -128,8 +131,9 @@ def import_links(parsed: DataFrame, from_units: DataFrame, to_units: DataFrame |
     f, t = _ends(from_units, "from"), _ends(to_units, "to")
     at = [c for c in order if c not in ("file", "to_verse")]
     # What cannot match (lines that failed to parse, empty ranges) gets a key of its own instead
-    # of a null, so one chain of joins carries everything and no task gets all nulls.
-    nowhere = F.concat(F.lit("\u0001"), F.xxhash64("file", *at).cast("string"))
+    # of a null, so one chain of joins carries everything and no task gets all nulls. NOWHERE
+    # keys spread them well enough, and short ones make small shuffle files.
+    nowhere = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64("file", *at), F.lit(NOWHERE)).cast("string"))
     lines = with_default(parsed, "votes", 0).withColumn(
         "from_book", F.coalesce("from_book", nowhere))
     per_line = lines.join(f, ["from_book", "from_chapter", "from_verse"], "left")
@@ -142,7 +146,7 @@ def import_links(parsed: DataFrame, from_units: DataFrame, to_units: DataFrame |
     # Everything below reads one written copy of the resolved rows.
     rows = written(target.select("file", *at, "to_verse", "votes", "_pos", "matched", F.when(
         F.col("matched"), F.col("from_id")).alias("from_id"), F.when(
-        F.col("matched"), F.col("to_id")).alias("to_id")), "resolved")
+        F.col("matched"), F.col("to_id")).alias("to_id")), "resolved", "zstd")
 
     winners = first_per_key(
         rows.filter(F.col("from_id").isNotNull() & F.col("to_id").isNotNull())

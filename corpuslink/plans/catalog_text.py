@@ -311,32 +311,39 @@ winners AS (
 LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
 
 
-def link_lines(spark, sf_dir):
-    """Statement lines (file, line order columns, value) formatted from the tables. The
-    row's keys follow the statement as an SQL comment."""
-    li = S.table(spark, sf_dir, "lineitem")
-    o = S.table(spark, sf_dir, "orders")
-    p = S.table(spark, sf_dir, "part")
+STATEMENT_FIELDS = ("o_orderpriority", "o_custkey", "p_brand", "p_size")
+
+
+def statement():
+    """A statement line of a row's fields. The row's keys follow as an SQL comment."""
     q = F.floor("l_quantity").cast("long")
     votes = F.when(F.col("l_suppkey") % 50 == 0, F.lit("99999999999999999999")).otherwise(
         (q - 10).cast("string"))
-    value = F.format_string(
+    return F.format_string(
         "INSERT INTO cross_references VALUES ('%s', %d, %d, '%s', %d, %d, %d, %s);"
         " -- %d %d %d %d",
         "o_orderpriority", F.col("o_custkey") + F.floor(F.col("l_linenumber") / 6).cast("long"),
-        "o_orderkey", "p_brand", F.col("p_size").cast("long"),
-        "p_partkey", F.col("p_partkey") + q % 4 - 1, votes,
+        F.col("l_orderkey").cast("long"), "p_brand", F.col("p_size").cast("long"),
+        F.col("l_partkey").cast("long"), F.col("l_partkey") + q % 4 - 1, votes,
         F.col("l_orderkey").cast("long"), F.col("l_linenumber").cast("long"),
         F.col("l_partkey").cast("long"), F.col("l_suppkey").cast("long"))
-    return (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+
+
+def link_lines(spark, sf_dir):
+    """The fields of the statement lines (file, line order columns, what ``statement`` takes)."""
+    li = S.table(spark, sf_dir, "lineitem")
+    o = S.table(spark, sf_dir, "orders")
+    p = S.table(spark, sf_dir, "part")
+    # the orders last: rows sorted by order key make smaller shuffle files for the dump's order
+    return (li.join(p, li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.o_orderkey)
             .select(F.concat(F.lit("cross_references_"), "l_returnflag", F.lit(".sql"))
-                    .alias("file"), *LINE_ORDER, value.alias("value")))
+                    .alias("file"), *LINE_ORDER, *STATEMENT_FIELDS))
 
 
 def link_dump(spark, sf_dir):
     """The statements landed as dump files and read back: (file, line_no, value, …)."""
     path = scratch_path(spark, f"dump-{uuid.uuid4().hex}")
-    write_link_dump(link_lines(spark, sf_dir), path, LINE_ORDER)
+    write_link_dump(link_lines(spark, sf_dir), path, LINE_ORDER, statement())
     return read_link_dump(spark, path)
 
 

@@ -7,7 +7,7 @@ that does not match (negative votes, an apostrophe in a name, …) is kept with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslink.operators.query import top_n_per_key
@@ -72,11 +72,13 @@ def numbered_lines(raw: DataFrame) -> DataFrame:
     return raw.select("file", F.struct("_part", "_block", "_row").alias("line_no"), "value")
 
 
-def write_link_dump(lines: DataFrame, path: str, order) -> None:
-    """Land statement lines (file, value) as folders ``file=NAME`` of text files that
-    follow ``order``."""
+def write_link_dump(lines: DataFrame, path: str, order, value: Column | None = None) -> None:
+    """Land statement lines (file, value) as folders ``file=NAME`` of gzipped text files that
+    follow ``order``. A statement given as an expression, ``value``, is formatted behind the
+    shuffle, which then carries its fields only."""
     (lines.repartitionByRange("file", *order).sortWithinPartitions("file", *order)
-     .select("file", "value").write.mode("overwrite").partitionBy("file").text(path))
+     .select("file", "value" if value is None else value.alias("value")).write.mode("overwrite")
+     .option("compression", "gzip").partitionBy("file").text(path))
 
 
 def reject_sample(parsed: DataFrame, order, n: int = 3, text: str = "value") -> DataFrame:

@@ -1010,3 +1010,28 @@ def test_backfill_render_opens_each_payload_file_once(spark, monkeypatch):
     out = catalog_io.q_backfill_render(spark, "/root/testdata/sf0.001")
     assert out.count() and len(kept) == 1                # the payloads, written once
     assert not set(kept[0]) & set(out.inputFiles())
+
+
+def test_link_dump_formats_behind_the_shuffle(spark, tmp_dir):
+    """import_batches, resolve_refs, edge_import, import_report: the dump's shuffle carries fields,
+    not statements, and the files are gzipped; lines and their order are the same."""
+    from corpuslink.sources.linkdump import write_link_dump
+    src = spark.range(0, 200, 1, 4).select(F.format_string("f%d.sql", F.col("id") % 2).alias("file"),
+                                           (F.lit(1000) - F.col("id")).alias("n"))
+    line = F.format_string("INSERT INTO x VALUES ('Aba', 1, 1, 'Cedu', 3, 14, 16, %d);", "n")
+    write_link_dump(src, tmp_dir + "/d", ["n"], line)
+    names = [n for _, _, names in os.walk(tmp_dir + "/d") for n in names if n.startswith("part-")]
+    assert names and all(n.endswith(".gz") for n in names)
+    parsed = read_link_dump(spark, tmp_dir + "/d")
+    for file in ("f0.sql", "f1.sql"):
+        got = [r.votes for r in parsed.where(F.col("file") == file).orderBy("line_no").collect()]
+        assert got == sorted(got) and len(got) == 100
+
+
+def test_lines_without_a_place_spread_over_short_keys(spark, monkeypatch):
+    """Unparsed lines and empty ranges join on few keys of their own: same edges and report."""
+    from corpuslink.operators import links
+    wanted = {k: sorted(map(tuple, v.collect())) for k, v in _import(spark)[1].items()}
+    monkeypatch.setattr(links, "NOWHERE", 1)
+    got = {k: sorted(map(tuple, v.collect())) for k, v in _import(spark)[1].items()}
+    assert got == wanted
