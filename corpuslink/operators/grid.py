@@ -29,6 +29,8 @@ BLOCK_BYTES = 32 << 20       # of a block of queries
 BLOCK_DIM = 1024
 CHUNK_BYTES = 64 << 20       # of the vectors a task holds at once
 TILE_QUERIES, TILE_VECTORS = 1024, 4096
+ROUNDING = 2e-6              # scores this far apart keep their order at 6 places
+CROWD = 4                    # times k: so many pairs of a tile are sorted without a cut
 
 #: The last block a worker read: a single block is read once per worker, not once a chunk.
 _last: dict[str, tuple] = {}
@@ -66,16 +68,20 @@ def matrix_of(column: pa.Array) -> np.ndarray:
         len(column), -1)
 
 
+def read_columns(file: str, columns: list[str]) -> list[pa.Array]:
+    """These columns of a block file."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+    system, path = fs.FileSystem.from_uri(file)
+    table = pq.read_table(path, filesystem=system, columns=columns,
+                          partitioning=None).combine_chunks()
+    return [_one(table, name) for name in columns]
+
+
 def read_block(file: str) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(keys, ids, matrix) of a block file."""
     if file not in _last:
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-        system, path = fs.FileSystem.from_uri(file)
-        table = pq.read_table(path, filesystem=system, columns=["key", "id", "vec"],
-                              partitioning=None).combine_chunks()
-        keys, ids, vecs = (c.chunk(0) if c.num_chunks else pa.array([], c.type)
-                           for c in table.columns)
+        keys, ids, vecs = read_columns(file, ["key", "id", "vec"])
         _last.clear()
         _last[file] = (keys.to_numpy(zero_copy_only=False), ids, matrix_of(vecs))
     return _last[file]
@@ -98,22 +104,32 @@ def _first_k(q: np.ndarray, row: np.ndarray, score: np.ndarray, order: np.ndarra
     return q[keep], row[keep], score[keep]
 
 
-def best_pairs(queries: np.ndarray, vectors: np.ndarray, order: np.ndarray, k: int
-               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best_pairs(queries: np.ndarray, vectors: np.ndarray, order: np.ndarray, k: int,
+               allowed: Callable | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, vector, score) of the k best vectors of each query; scores at 6 places, ties by
-    ``order``. The products are made in tiles of a few million numbers."""
+    ``order``. The products are made in tiles of a few million numbers; only scores near a
+    query's k-th best so far are rounded and sorted. ``allowed(a, b)`` is a mask (queries,
+    vectors a to b) of the pairs that count; the queries are one tile then."""
     out = []
     for qa in range(0, len(queries), TILE_QUERIES):
         some = queries[qa:qa + TILE_QUERIES]
         floor = np.full(len(some), -np.inf)            # each query's k-th best so far
         held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         for va in range(0, len(vectors), TILE_VECTORS):
-            score = np.round(products(some, vectors[va:va + TILE_VECTORS]), 6)
-            width, cut = score.shape[1], floor
-            if width > k:
-                cut = np.maximum(floor, np.partition(score, width - k, axis=1)[:, width - k])
-            q, row = np.nonzero(score >= cut[:, None])
-            held = _first_k(*(np.concatenate(x) for x in zip(held, (q, row + va, score[q, row]))),
+            score = products(some, vectors[va:va + TILE_VECTORS])
+            width = score.shape[1]
+            if allowed is not None:
+                score[~allowed(va, va + width)] = -np.inf
+            near = score >= (floor - ROUNDING)[:, None]
+            if width > k and np.count_nonzero(near) > CROWD * k * len(some):
+                cut = np.partition(score, width - k, axis=1)[:, width - k]
+                near = score >= (np.maximum(floor, cut) - ROUNDING)[:, None]
+            q, row = np.nonzero(near)
+            found = np.round(score[q, row], 6)
+            if allowed is not None:
+                known = found > -np.inf
+                q, row, found = q[known], row[known], found[known]
+            held = _first_k(*(np.concatenate(x) for x in zip(held, (q, row + va, found))),
                             order, k)
             full = np.flatnonzero(np.bincount(held[0], minlength=len(some)) >= k)
             ends = np.searchsorted(held[0], full, side="right") - 1

@@ -3,18 +3,21 @@
 A table of signatures holds, for each of ``tables`` sets of ``bits`` hyperplanes, on which sides
 a vector lies. A query probes its own bucket of every table and those reached by flipping the
 sides it is least sure of: of all choices of at most ``MAX_FLIPS`` bits the ``probes`` with the
-smallest sum of squared distances to the flipped planes. Candidates are an equi-join of
-probes and signatures on (table, code), ids only; only candidates are scored.
+smallest sum of squared distances to the flipped planes. Candidates are the vectors of which some
+table's code is probed; only they can be found.
 
 The planes are a fixed rule, not a draw: sign vectors (rows of a Hadamard matrix with its columns
 signed by a hash), so they are orthogonal where the dimension is a power of two and every engine
 can rebuild them.
 
-Scale: equal vectors are one row of the signatures (their ids join again at the end, k of them at
-most), so a vector that a third of all rows share is one candidate, not a hot bucket. The
-candidates of a vector are gathered by block of queries, so a vector travels once a block
-whatever its number of candidates, and a task scores them as one gathered product against the
-block, read from the shared table. Nothing passes the driver but the blocks' names.
+Scale: equal vectors are one row of the index (their ids join again at the end, k of them at
+most), so a vector that a third of all rows share is one candidate, not a hot bucket. The number
+of candidates is a share of all pairs, so pairs are never rows: the queries lie with their probes in
+block files of a shared table, and a task holds a chunk of the vectors with their codes. For a tile
+of queries it has, per table and code, a bit per query that probes it; a vector's candidates are
+these bits, or-ed over the tables: a few words a table for a thousand queries. A tile is multiplied
+as a whole and what is no candidate masked out, which costs less than gathering pairs. A task sends
+k rows a query, and nothing passes the driver but the blocks' names.
 
 Zero vectors have every side equal to "not above" and score 0; null vectors are not indexed and
 null queries have no result. Ties go to the lower id.
@@ -23,7 +26,7 @@ null queries have no result. Ties go to the lower id.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -39,8 +42,7 @@ from corpuslink.operators.query import top_n_per_key
 from corpuslink.session import written
 
 BITS, TABLES, PROBES, MAX_FLIPS = 12, 24, 96, 4
-BLOCK_QUERIES = 1 << 16
-TILE_PAIRS = 1 << 16
+BLOCK_QUERIES = 1 << 12
 
 
 @lru_cache(maxsize=4)
@@ -89,99 +91,158 @@ def probe_codes(matrix: np.ndarray, bits: int, tables: int, probes: int) -> np.n
 
 def _list(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32)
-                                             * values.shape[1]), pa.array(values.ravel()))
+                                             * values.shape[1]),
+                                    pa.array(values.ravel().astype(np.int32)))
 
 
-def _coded(df: DataFrame, id_col: str, fn, tables: int, each: int, more: str = "") -> DataFrame:
-    """(id, tbl, code) rows of ``df(id, vec)``: ``fn(matrix)`` gives ``tables * each`` codes."""
-    schema = f"{id_col} {df.schema[id_col].dataType.simpleString()}, codes array<bigint>"
+def _coded(df: DataFrame, id_col: str, out: str, fn: Callable) -> DataFrame:
+    """``df(id, vec)`` with ``out``, the codes that ``fn(matrix)`` gives a vector, as one array."""
+    schema = (f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, vec array<double>, "
+              f"{out} array<int>")
 
     def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
         for at in range(0, table.num_rows, 4096):
             part = table.slice(at, 4096).combine_chunks()
-            matrix = grid.matrix_of(part.column("vec").chunk(0))
+            vecs = part.column("vec").chunk(0)
+            codes = fn(grid.matrix_of(vecs))
             yield pa.RecordBatch.from_arrays(
-                [part.column(id_col).chunk(0), _list(fn(matrix).reshape(len(matrix), -1))],
-                names=[id_col, "codes"])
+                [part.column(id_col).chunk(0), vecs, _list(codes.reshape(len(codes), -1))],
+                names=[id_col, "vec", out])
 
-    rows = grid.mapped(df.select(id_col, "vec"), run, schema)
-    return rows.select(id_col, F.posexplode("codes").alias("p", "code")).select(
-        id_col, F.floor(F.col("p") / each).cast("int").alias("tbl"), "code")
+    return grid.mapped(df.select(id_col, "vec"), run, schema)
 
 
 def build_lsh(vecs: DataFrame, bits: int = BITS, tables: int = TABLES) -> dict:
-    """The index of ``vecs(verse_id, vec)``: 'vectors' (one id for all that are equal),
-    'members' (those ids and all others of the same vector), 'signatures'."""
+    """The index of ``vecs(verse_id, vec)``: 'vectors' (one id for all that are equal, with its
+    code in each table), 'members' (those ids and all others of the same vector), 'signatures'
+    (the codes as rows)."""
     unit = vecs.where(F.col("vec").isNotNull()).select(
         "verse_id", l2_normalize("vec").alias("vec"))
-    vectors = written(unit.groupBy("vec").agg(F.min("verse_id").alias("rep")).select(
-        F.col("rep").alias("verse_id"), "vec"), "lsh-vectors")
+    single = unit.groupBy("vec").agg(F.min("verse_id").alias("verse_id"))
+    vectors = written(_coded(single, "verse_id", "codes",
+                             lambda m: codes_of(m, bits, tables)[0]), "lsh-vectors")
     members = written(unit.join(vectors.select(F.col("verse_id").alias("rep"), F.col(
         "vec").alias("same")), F.col("vec") == F.col("same")).select("rep", "verse_id"), "lsh-members")
-    signatures = _coded(vectors, "verse_id", lambda m: codes_of(m, bits, tables)[0], tables, 1)
+    signatures = vectors.select("verse_id", F.posexplode("codes").alias("tbl", "code"))
     return {"vectors": vectors, "members": members, "bits": bits, "tables": tables,
-            "signatures": written(signatures, "lsh-signatures")}
+            "signatures": signatures}
+
+
+@lru_cache(maxsize=1)
+def _asked(file: str, tables: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(ids, matrix, probes) of a block file; probes are (queries, tables, codes)."""
+    ids, vecs, probes = grid.read_columns(file, ["id", "vec", "probes"])
+    codes = probes.flatten().to_numpy(zero_copy_only=False)
+    return ids, grid.matrix_of(vecs), codes.reshape(len(ids), tables, -1) if len(ids) else codes
+
+
+def probers(probes: np.ndarray, seen: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """Per table, a row of bits for each code in ``seen``: which of the queries probe it."""
+    out = []
+    for t, (known, _) in enumerate(seen):
+        codes = probes[:, t]
+        at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+        q, p = np.nonzero(known[at] == codes)
+        bits = np.zeros((len(known), len(probes)), bool)
+        bits[at[q, p], q] = True
+        out.append(np.packbits(bits, axis=1))
+    return out
 
 
-def candidates(index: dict, queries: DataFrame, probes: int = PROBES, qid: str = "qid"
-               ) -> DataFrame:
-    """(qid, verse_id), once each: the vectors that share a probed bucket with a query."""
-    asked = queries.where(F.col("qvec").isNotNull()).select(
-        F.col(qid), l2_normalize("qvec").alias("vec"))
+def _against(index: dict, queries: DataFrame, probes: int, qid: str, schema: str,
+             emit: Callable) -> DataFrame:
+    """What ``emit(names, block, ids, matrix, order, allowed)`` yields for every chunk of the
+    vectors and tile of the queries; ``allowed(a, b)`` tells which of the vectors a to b are
+    candidates of the tile's queries, as a matrix (queries, vectors)."""
     bits, tables = index["bits"], index["tables"]
     count = min(probes, len(flips(bits)[0]))
-    probed = _coded(asked, qid, lambda m: probe_codes(m, bits, tables, count), tables, count)
-    return probed.join(index["signatures"], ["tbl", "code"]).select(qid, "verse_id").distinct()
+    asked = queries.where(F.col("qvec").isNotNull()).select(
+        F.col(qid).alias("id"), l2_normalize("qvec").alias("vec")).dropDuplicates()
+    coded = _coded(asked, "id", "probes", lambda m: probe_codes(m, bits, tables, count))
+    files = [f for f, _, _ in grid.write_blocks(coded, BLOCK_QUERIES * 8 * grid.BLOCK_DIM)]
+
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, matrix = grid._one(table, "verse_id"), grid.matrix_of(grid._one(table, "vec"))
+        codes = grid.matrix_of(grid._one(table, "codes")).astype(np.int64)
+        order = np.empty(len(ids), np.int64)
+        order[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+        seen = [np.unique(codes[:, t], return_inverse=True) for t in range(tables)]
+        for file in files:
+            names, block, probed = _asked(file, tables)
+            for qa in range(0, len(names), grid.TILE_QUERIES):
+                some = slice(qa, qa + grid.TILE_QUERIES)
+                rows = probers(probed[some], seen)
+                width = len(probed[some])
+
+                def allowed(a: int, b: int) -> np.ndarray:
+                    hit = rows[0][seen[0][1][a:b]]
+                    for bits_of, (_, place) in zip(rows[1:], seen[1:]):
+                        hit |= bits_of[place[a:b]]
+                    return np.ascontiguousarray(np.unpackbits(hit, axis=1, count=width).T).view(bool)
+
+                yield from emit(names.slice(qa, width), block[some], ids, matrix, order, allowed)
+
+    return grid.mapped(index["vectors"].where(F.col("verse_id").isNotNull()), run, schema)
+
+
+def _schema(index: dict, queries: DataFrame, qid: str) -> str:
+    return (f"`{qid}` {queries.schema[qid].dataType.simpleString()}, verse_id "
+            f"{index['vectors'].schema['verse_id'].dataType.simpleString()}")
+
+
+def candidates(index: dict, queries: DataFrame, probes: int = PROBES, qid: str = "qid"
+               ) -> DataFrame:
+    """(qid, verse_id): the vectors that share a probed bucket with a query. A share of all
+    pairs comes out; ``hits`` counts them without."""
+    def emit(names, block, ids, matrix, order, allowed):
+        for at in range(0, len(ids), grid.TILE_VECTORS):
+            q, row = np.nonzero(allowed(at, at + grid.TILE_VECTORS))
+            for k in range(0, len(q), 1 << 16):
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(q[k:k + (1 << 16)])),
+                     ids.take(pa.array(row[k:k + (1 << 16)] + at))], names=[qid, "verse_id"])
+
+    return _against(index, queries, probes, qid, _schema(index, queries, qid), emit)
+
+
+def hits(index: dict, queries: DataFrame, k: int, probes: int = PROBES, qid: str = "qid"
+         ) -> DataFrame:
+    """(qid, verse_id, score, scored): each task's k best candidates of every query; rows without
+    a verse_id tell how many candidates were scored."""
+    schema = _schema(index, queries, qid) + ", score double, scored bigint"
+
+    def emit(names, block, ids, matrix, order, allowed):
+        scored = 0
+
+        def counted(a: int, b: int) -> np.ndarray:
+            nonlocal scored
+            mask = allowed(a, b)
+            scored += int(np.count_nonzero(mask))
+            return mask
+
+        q, row, score = grid.best_pairs(block, matrix, order, k, counted)
+        n = len(q)
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([names.take(pa.array(q)), pa.nulls(1, names.type)]),
+             pa.concat_arrays([ids.take(pa.array(row)), pa.nulls(1, ids.type)]),
+             pa.array([*score, None], pa.float64()),
+             pa.array([*[None] * n, scored], pa.int64())],
+            names=[qid, "verse_id", "score", "scored"])
+
+    return _against(index, queries, probes, qid, schema, emit)
 
 
 def topk_lsh(index: dict, queries: DataFrame, k: int, probes: int = PROBES, qid: str = "qid",
              found: DataFrame | None = None) -> DataFrame:
     """O-67: (qid, rank, verse_id, score) of the k best candidates of every query.
 
-    ``found`` takes the result of ``candidates`` where it is at hand already.
+    ``found`` takes the result of ``hits`` where it is at hand already.
     """
-    asked = queries.where(F.col("qvec").isNotNull()).select(
-        F.col(qid).alias("id"), l2_normalize("qvec").alias("vec"))
-    blocks = -(-asked.count() // BLOCK_QUERIES) or 1
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    files = grid.write_blocks(asked.withColumn("key", block), keyed=True)
-    pairs = (candidates(index, queries, probes, qid) if found is None else found).select(
-        F.col(qid).alias("id"), "verse_id").withColumn("key", block)
-    lists = pairs.groupBy("key", "verse_id").agg(F.collect_list("id").alias("ids"))
-    rows = lists.join(index["vectors"], "verse_id").sortWithinPartitions("key")
-    schema = (f"`{qid}` {queries.schema[qid].dataType.simpleString()}, verse_id "
-              f"{index['vectors'].schema['verse_id'].dataType.simpleString()}, score double")
-
-    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        keys = grid._one(table, "key").to_numpy(zero_copy_only=False)
-        lists = grid._one(table, "ids")
-        sizes = np.diff(lists.offsets.to_numpy())
-        row = np.repeat(np.arange(len(keys)), sizes)                  # of each pair
-        names, ids = lists.flatten(), grid._one(table, "verse_id")
-        matrix = grid.matrix_of(grid._one(table, "vec"))
-        order = np.empty(len(ids), np.int64)
-        order[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
-        pair_keys = keys[row]
-        for file, lo, hi in files:
-            theirs, known, block = grid.read_block(file)
-            mine = np.flatnonzero((pair_keys >= lo) & (pair_keys <= hi))
-            if not len(mine):
-                continue
-            place = pc.index_in(names.take(pa.array(mine)), value_set=known)
-            here = place.is_valid().to_numpy(zero_copy_only=False)
-            mine, q = mine[here], place.drop_null().to_numpy()
-            score = np.empty(len(mine))
-            for at in range(0, len(mine), TILE_PAIRS):
-                a, b = q[at:at + TILE_PAIRS], row[mine[at:at + TILE_PAIRS]]
-                score[at:at + TILE_PAIRS] = np.einsum("ij,ij->i", block[a], matrix[b])
-            q, at, score = grid._first_k(q, row[mine], np.round(score, 6), order, k)
-            yield pa.RecordBatch.from_arrays(
-                [known.take(pa.array(q)), ids.take(pa.array(at)), pa.array(score)],
-                names=[qid, "verse_id", "score"])
-
     best = [F.desc("score"), F.asc("verse_id")]
-    top = top_n_per_key(grid.mapped(rows.select("key", "verse_id", "vec", "ids"), run, schema),
-                        [qid], best, k).drop("rank").withColumnRenamed("verse_id", "rep")
+    found = (hits(index, queries, k, probes, qid) if found is None else found).where(
+        F.col("verse_id").isNotNull())
+    top = top_n_per_key(found.select(qid, "verse_id", "score"), [qid], best, k).drop(
+        "rank").withColumnRenamed("verse_id", "rep")
     # copies of a vector: their k smallest ids can be among a query's best, no others
     copies = top_n_per_key(index["members"].join(top.select("rep").distinct(), "rep", "left_semi"),
                            ["rep"], [F.asc("verse_id")], k).drop("rank")
@@ -194,10 +255,11 @@ def search_report(index: dict, vecs: DataFrame, queries: DataFrame, k: int = 10,
     """O-81 for LSH, one row: recall against exact search, and the share of (query, vector)
     pairs that were scored."""
     from corpuslink.operators.vector import recall_at_k, topk_exact
-    found = written(candidates(index, queries, probes, qid), "lsh-candidates")
-    hits = topk_lsh(index, queries, k, probes, qid, found)
+    found = written(hits(index, queries, k, probes, qid), "lsh-hits")
     n_q = queries.where(F.col("qvec").isNotNull()).agg(F.count(F.lit(1))).scalar()
     n_v = index["vectors"].agg(F.count(F.lit(1))).scalar()
-    scored = found.agg(F.count(F.lit(1))).scalar()
-    return recall_at_k(hits, topk_exact(vecs, queries, k, qid), qid).withColumn(
+    scored = found.agg(F.coalesce(F.sum("scored"), F.lit(0))).scalar()
+    # all pairs are multiplied for the truth: the vectors are dealt out, whatever files they lie in
+    exact = topk_exact(vecs.repartition("verse_id"), queries, k, qid)
+    return recall_at_k(topk_lsh(index, queries, k, probes, qid, found), exact, qid).withColumn(
         "scored", scored / (n_q * n_v))

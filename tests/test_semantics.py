@@ -1035,3 +1035,25 @@ def test_lines_without_a_place_spread_over_short_keys(spark, monkeypatch):
     monkeypatch.setattr(links, "NOWHERE", 1)
     got = {k: sorted(map(tuple, v.collect())) for k, v in _import(spark)[1].items()}
     assert got == wanted
+
+
+def test_lsh_pairs_are_never_rows(spark, monkeypatch):
+    import numpy as np
+    from corpuslink.operators import lsh
+    vecs = np.random.default_rng(8).normal(size=(400, 6))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)],
+                               "verse_id long, vec array<double>").repartition(2)
+    q = df.where("verse_id % 10 = 0").selectExpr("verse_id AS qid", "vec AS qvec")
+    index = lsh.build_lsh(df, bits=4, tables=3)
+    rows, write = [], lsh.written
+
+    def counted(frame, *args):
+        out = write(frame, *args)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(lsh, "written", counted)
+    got = lsh.search_report(index, df, q, 3, probes=16).first()  # all buckets: 16,000 pairs
+    assert got.scored == 1.0 and got.recall == 1.0 and max(rows) < 4000
+    twice = lsh.search_report(index, df, q.union(q), 3, probes=16).first()
+    assert twice.scored == 0.5                                   # a repeated query counts once
