@@ -1057,3 +1057,35 @@ def test_lsh_pairs_are_never_rows(spark, monkeypatch):
     assert got.scored == 1.0 and got.recall == 1.0 and max(rows) < 4000
     twice = lsh.search_report(index, df, q.union(q), 3, probes=16).first()
     assert twice.scored == 0.5                                   # a repeated query counts once
+
+
+def test_text_index_posts_lists_of_units(spark, tmp_dir):
+    from corpuslink.operators import text_index as X
+    units = spark.createDataFrame([(i, 1, 1, i, f"alpha {i}") for i in range(600)],
+                                  "verse_id long, book_number int, chapter int, verse int, text string")
+    X.build_text_index(units, tmp_dir, parts=2)
+    posted = spark.read.parquet(f"{tmp_dir}/postings").where("tri = 'alp'")
+    assert posted.count() <= 600 / 4                             # not a row a unit
+    assert spark.read.parquet(f"{tmp_dir}/counts").where("tri = 'alp'").first().n == 600
+    assert spark.read.parquet(f"{tmp_dir}/units").select("part").distinct().count() == 2
+    assert X.search_index(spark, tmp_dir, "HA 59").count() == 11
+
+
+def test_trigrams_of_any_alphabet():
+    import pyarrow as pa
+    from corpuslink.operators.text_index import _postings
+    wide = "".join(map(chr, [*range(0x3000, 0xD800), *range(0x10000, 0x110000)]))
+    for first in ("abcabc", wide):                               # wide: numbers of 64 bits and more
+        texts = [first, "", "ab", "xabcab", "𝒳𝒴𝒵x", "a\nb", "aaaa", "abc", "b", "abc", "abcd"] * 2
+        table = pa.table({"part": pa.array([0] * 22, pa.int32()), "block": pa.array([4] * 12 + [5] * 10),
+                          "number": pa.array(range(22), pa.int16()), "low": texts})
+        got = {}
+        for batch in _postings(table):
+            for r in batch.to_pylist():
+                assert r["n"] == len(r["units"]) and (r["block"], r["tri"]) not in got
+                got[r["block"], r["tri"]] = r["units"]
+        want = {}
+        for i, text in enumerate(texts):
+            for tri in {text[k:k + 3] for k in range(len(text) - 2)}:
+                want.setdefault((4 if i < 12 else 5, tri), []).append(i)
+        assert got == want
