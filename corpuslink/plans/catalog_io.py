@@ -92,8 +92,12 @@ dense AS (
 
 
 def millionths(vec: str = "vec"):
-    return F.array_join(F.transform(vec, lambda x: F.round(x.cast("double") * 1e6).cast("long")
-                                    .cast("string")), ",").alias(vec)
+    """Halves go away from zero, as ``round`` has them; a float's millionths plus a half are exact.
+    Most entries are zero, and ``round`` would make a decimal of each."""
+    def text(x):
+        size = F.floor(F.abs(x.cast("double")) * 1e6 + 0.5)
+        return F.when(x == 0, "0").otherwise(F.when(x < 0, -size).otherwise(size).cast("string"))
+    return F.array_join(F.transform(vec, text), ",").alias(vec)
 
 
 @register("hash_encode", oracle=with_(UNITS, """

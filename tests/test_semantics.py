@@ -1089,3 +1089,19 @@ def test_trigrams_of_any_alphabet():
             for tri in {text[k:k + 3] for k in range(len(text) - 2)}:
                 want.setdefault((4 if i < 12 else 5, tri), []).append(i)
         assert got == want
+
+
+def test_millionths_make_no_decimals_and_vectors_no_objects(spark):
+    from corpuslink.operators import embed
+    from corpuslink.plans.catalog_io import millionths, q_hash_encode
+    vec = [1 / 128, -1 / 128, 0.5, 0.0, -0.0, 1e-9, -1e-9, -3 / 128, 0.123456789, None, 1.0]
+    df = spark.createDataFrame([(vec,), ([],), (None,)], "vec array<float>")
+    assert [r.vec for r in df.select(millionths()).collect()] == [
+        "7813,-7813,500000,0,0,0,0,-23438,123457,1000000", "", None]
+    texts = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "verse_id long, text string")
+    got = {r.verse_id: r.vec for r in embed.encode(texts, dim=8, batch=1).collect()}
+    assert got[2] == got[3] == [0.0] * 8 and abs(sum(x * x for x in got[1]) - 1) < 1e-6
+    same = embed.encode(texts, embed.hashing_model(8), 8)
+    assert {r.verse_id: r.vec for r in same.collect()} == got
+    plan = q_hash_encode(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "round(" not in plan and "ArrowEvalPython" in plan
