@@ -112,8 +112,21 @@ def expand_ranges(df: DataFrame, start: str, end: str, out: str = "to_verse") ->
     return df.withColumn(out, F.explode(seq))
 
 
+def resolve_lines(parsed: DataFrame, from_units: DataFrame, to_units: DataFrame,
+                  keep: Sequence[str]) -> DataFrame:
+    """O-30, O-31: (file, keep.., to_verse, votes, from_id, to_id) of every verse of a parsed
+    statement's range. Nothing is written, and what cannot give a row (unparsed lines, empty
+    ranges) meets no shuffle, as do the columns the caller drops."""
+    lines = with_default(parsed.filter("matched"), "votes", 0)
+    expanded = expand_ranges(lines.join(_ends(from_units, "from"), [
+        "from_book", "from_chapter", "from_verse"], "left"), "to_verse_start", "to_verse_end")
+    return expanded.join(_ends(to_units, "to"), ["to_book", "to_chapter", "to_verse"], "left") \
+        .select("file", *keep, "to_verse", "votes", "from_id", "to_id")
+
+
 def import_links(parsed: DataFrame, from_units: DataFrame, to_units: DataFrame | None = None,
-                 order: Sequence[str] = ("file", "line_no", "to_verse")) -> dict[str, DataFrame]:
+                 order: Sequence[str] = ("file", "line_no", "to_verse"),
+                 only_resolved: bool = False) -> dict[str, DataFrame]:
     """O-30..O-33 end to end: expand ranges, resolve, insert first-wins.
 
     ``parsed`` comes from ``sources.linkdump`` (one row per statement line, ``matched``
@@ -126,10 +139,13 @@ def import_links(parsed: DataFrame, from_units: DataFrame, to_units: DataFrame |
     unresolved target one per expanded verse, duplicates are credited to the
     first) and ``resolved`` (the expanded rows of parsed statements), besides the written
     ``rows`` and the ``winners`` with their order. A statement is parsed once.
+    With ``only_resolved`` nothing is inserted: ``resolved`` alone is returned, its rows unwritten.
     """
     to_units = from_units if to_units is None else to_units
-    f, t = _ends(from_units, "from"), _ends(to_units, "to")
     at = [c for c in order if c not in ("file", "to_verse")]
+    if only_resolved:
+        return {"resolved": resolve_lines(parsed, from_units, to_units, at)}
+    f, t = _ends(from_units, "from"), _ends(to_units, "to")
     # What cannot match (lines that failed to parse, empty ranges) gets a key of its own instead
     # of a null, so one chain of joins carries everything and no task gets all nulls. NOWHERE
     # keys spread them well enough, and short ones make small shuffle files.

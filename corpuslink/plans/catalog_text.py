@@ -363,11 +363,11 @@ def _ends(spark, sf_dir):
     return fu, tu
 
 
-def _import(spark, sf_dir, extra=()):
+def _import(spark, sf_dir, extra=(), **how):
     parsed = link_dump(spark, sf_dir)
     fu, tu = _ends(spark, sf_dir)
     return L.import_links(_keyed(parsed) if extra else parsed, fu, tu,
-                          order=("file", "line_no", "to_verse", *extra))
+                          order=("file", "line_no", "to_verse", *extra), **how)
 
 
 @register("dump_parse", oracle=STMT_SQL + """
@@ -402,7 +402,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, to_verse, from_id, to_id
 """)
 def q_resolve_refs(spark, sf_dir):
     """O-31: both ends resolved by joins (NULL when unknown)."""
-    return _import(spark, sf_dir, KEYS)["resolved"].select(
+    return _import(spark, sf_dir, KEYS, only_resolved=True)["resolved"].select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "to_verse", "from_id", "to_id")
 
 
