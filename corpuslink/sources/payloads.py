@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from corpuslink.functions.text import ustrip
 from corpuslink.schema import PAYLOAD_ITEM
-from corpuslink.sources.files import write_files
+from corpuslink.sources.files import list_files, read_files, write_files
 
 NAME_PATTERN = r"(\d+)_(\d+)\.json$"
 PLACE_PATTERN = r"book_number=(\d+)/chapter=(\d+)/[^/]*$"
@@ -76,9 +76,9 @@ def parse_payloads(files: DataFrame, policy: str = "fetch") -> DataFrame:
     return payload_rows(checked_payloads(files.select("book_number", "chapter", "value"), policy))
 
 
-def named_files(raw: DataFrame) -> DataFrame:
+def named_files(raw: DataFrame, path=None) -> DataFrame:
     """(file, book_number, chapter, value) of whole files read as text, by folders or by name."""
-    path = F.col("_metadata.file_path")
+    path = F.col("_metadata.file_path") if path is None else F.col(path)
     place = lambda group: F.coalesce(
         F.regexp_extract(path, PLACE_PATTERN, group).try_cast("int"),
         F.regexp_extract(path, NAME_PATTERN, group).try_cast("int"))
@@ -86,20 +86,34 @@ def named_files(raw: DataFrame) -> DataFrame:
                       place(2).alias("chapter"), "value")
 
 
-def _landed(spark: SparkSession, path: str) -> DataFrame:
+def listed_files(listed: DataFrame) -> DataFrame:
+    """``named_files`` of a listing."""
+    return named_files(read_files(listed), "file")
+
+
+def _landed(spark: SparkSession, path: str, listed: DataFrame | None) -> DataFrame:
     # folders below are looked through, and their names are not taken for partitions
+    if listed is not None:
+        return listed_files(listed)
     return named_files(spark.read.option("recursiveFileLookup", True).text(path, wholetext=True))
 
 
 def empty_files(spark: SparkSession, path: str) -> DataFrame:
     """(file, reason) of the files of no bytes below ``path``. Spark's sources, streams included,
-    pass over them, so the file system is asked; only their names come to the driver."""
+    pass over them."""
+    return _empty(spark, path, list_files(spark, path))
+
+
+def _empty(spark: SparkSession, path: str, listed: DataFrame | None) -> DataFrame:
+    if listed is not None:
+        return listed.where((F.col("size") == 0) & ~F.regexp_extract("place", "[^/]*$", 0).rlike(
+            "^[_.]")).select("file", F.lit(EMPTY).alias("reason"))
     hadoop = spark._jvm.org.apache.hadoop.fs
     top = hadoop.Path(path)
     system = top.getFileSystem(spark._jsc.hadoopConfiguration())
     # Plain listings: the located ones of ``listFiles`` ask for every file's owner and mode, on a
     # local disk by a process of its own. A level of folders is listed by several threads.
-    def listed(folder):
+    def below(folder):
         folders, empty = [], []
         for f in system.listStatus(folder):
             if f.isDirectory():
@@ -111,21 +125,22 @@ def empty_files(spark: SparkSession, path: str) -> DataFrame:
     found, level = [], [s.getPath() for s in system.globStatus(top) or []]
     with ThreadPoolExecutor(LISTING_THREADS) as pool:
         while level:
-            below = list(pool.map(listed, level))
-            level = [f for folders, _ in below for f in folders]
-            found += [row for _, empty in below for row in empty]
+            lists = list(pool.map(below, level))
+            level = [f for folders, _ in lists for f in folders]
+            found += [row for _, empty in lists for row in empty]
     return spark.createDataFrame(found, "file string, reason string")
 
 
 def read_payloads(spark: SparkSession, path: str, policy: str = "fetch") -> DataFrame:
     """Read landed payload files (each file is one bounded chapter)."""
-    return payload_rows(checked_payloads(_landed(spark, path), policy))
+    return payload_rows(checked_payloads(_landed(spark, path, list_files(spark, path)), policy))
 
 
 def quarantined_payloads(spark: SparkSession, path: str, policy: str = "fetch") -> DataFrame:
     """(file, reason) of the landed files of which ``read_payloads`` returns nothing."""
-    return checked_payloads(_landed(spark, path), policy).where(F.col("reason").isNotNull()).select(
-        "file", "reason").union(empty_files(spark, path))
+    listed = list_files(spark, path)
+    return checked_payloads(_landed(spark, path, listed), policy).where(
+        F.col("reason").isNotNull()).select("file", "reason").union(_empty(spark, path, listed))
 
 
 def unnamed_payloads(spark: SparkSession, path: str) -> DataFrame:

@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 
 from corpuslink.operators.upsert import assign_ids, first_per_key, last_per_key
 from corpuslink.session import written
-from corpuslink.sources.payloads import checked_payloads, named_files, payload_rows
+from corpuslink.sources.files import list_files, seen_files
+from corpuslink.sources.payloads import checked_payloads, listed_files, named_files, payload_rows
 
 BATCH = "batch"
 SEQ = "_seq"
@@ -198,22 +199,59 @@ PAYLOAD_ROWS = T.StructType([
     T.StructField("verse", T.LongType()), T.StructField("text", T.StringType())])
 
 
+NOTED_A_TASK = 20_000
+
+
+def note_landed(listed: DataFrame, notes: str, max_files: int | None = None) -> None:
+    """Add the files of a listing that ``notes`` has not: a Parquet file for each ``max_files`` of
+    them, oldest first (ties by name), so that a stream of the notes takes them as batches."""
+    known = _read(listed.sparkSession, notes, listed.schema).select("file")
+    new = written(seen_files(listed).join(known, "file", "left_anti").select(*listed.columns), "new")
+    n = new.count()
+    new = written(assign_ids(new, ["modified", "file"], "_n", -(-n // NOTED_A_TASK), 0), "noted") \
+        if n else new
+    each = max_files or max(n, 1)
+    for first in range(0, n, each):                       # one after another: the stream's order
+        new.where(F.col("_n").between(first, first + each - 1)).drop("_n").coalesce(1) \
+            .write.mode("append").parquet(notes)
+
+
 def stream_payloads(spark: SparkSession, landing: str, target: str, checkpoint: str,
                     policy: str = "fetch", max_files: int | None = None,
                     available_now: bool = True):
     """O-91 for chapter payload files (O-01, O-02): their verses into the table
     (``read_table(..., PAYLOAD_ROWS, ["book_number", "chapter", "verse"], ["text"])``), files
     that give none into the quarantine, both by batch. Files of no bytes a stream does not
-    see; ``payloads.empty_files`` lists them."""
-    reader = spark.readStream.format("text").option("wholetext", True).option(
-        "recursiveFileLookup", True)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    see; ``payloads.empty_files`` lists them.
+
+    Spark's file stream keeps the name of every file on the driver. With ``available_now`` the
+    tasks list what has landed, ``<checkpoint>/landed`` notes what is new, ``max_files`` in a
+    file, and the stream follows the notes. A checkpoint is of one kind: one made by Spark's file
+    stream goes on as such, and a stream that waits for files cannot follow notes.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    notes = hadoop.Path(f"{checkpoint}/landed")
+    system = notes.getFileSystem(spark._jsc.hadoopConfiguration())
+    noted = system.exists(notes)
+    if noted and not available_now:
+        raise ValueError(f"{checkpoint} is of a stream with available_now")
+    plain = not noted and system.exists(hadoop.Path(f"{checkpoint}/offsets"))
+    listed = list_files(spark, landing) if available_now and not plain else None
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
-        checked = checked_payloads(df.withColumn("record", F.col("value")), policy).persist()
+        files = df if listed is None else listed_files(df)
+        checked = checked_payloads(files.withColumn("record", F.col("value")), policy).persist()
         apply_quarantine(checked.where(F.col("reason").isNotNull()), batch_id, target)
         apply_batch(payload_rows(checked), batch_id, target, PAYLOAD_ROWS)
         checked.unpersist()
 
+    if listed is not None:
+        system.mkdirs(notes)
+        note_landed(listed, notes.toString(), max_files)
+        return _started(spark.readStream.schema(listed.schema).option("maxFilesPerTrigger", 1)
+                        .parquet(notes.toString()), each_batch, checkpoint, available_now)
+    reader = spark.readStream.format("text").option("wholetext", True).option(
+        "recursiveFileLookup", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return _started(named_files(reader.load(landing)), each_batch, checkpoint, available_now)

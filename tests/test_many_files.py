@@ -22,3 +22,67 @@ def test_link_ends_alone_are_not_written(spark, monkeypatch):
     alone = L.import_links(parse_link_lines(lines), units, only_resolved=True)["resolved"]
     assert alone.columns == whole.columns and sorted(map(str, alone.collect())) == wanted
     assert wanted and alone.where("to_id IS NULL").count()
+
+
+# ------------------------------------------------------------ many files ---
+
+def test_files_listed_by_tasks_are_those_spark_reads(spark, tmp_dir):
+    """quarantine: same files, names, bytes and reasons as Spark's reader, none listed by it."""
+    from corpuslink.sources.files import list_files, read_files
+    from corpuslink.sources.payloads import quarantined_payloads, read_payloads
+    top = tmp_dir + "/la nd"
+    for name, body in (("book_number=1/chapter=2/p.txt", b'[{"verse": 1, "text": "a"}]'),
+                       ("1_3.json", b"[\xff"), ("a b/e %20 日<>\"`|^;+&.json", b"{}"),
+                       ("_h.json", b"x"), (".k.json", b"x"), ("_a=b.json", b"x"), ("c._COPYING_", b"x"),
+                       ("_d/1_4.json", b"x"), ("_e=f/1_5.json", b"x"), ("g/1_6.json", b""),
+                       ("_d/1_7.json", b""), ("deep/er/and/1_8.json", b"\xef\xbb\xbf[]")):
+        os.makedirs(os.path.dirname(f"{top}/{name}"), exist_ok=True)
+        with open(f"{top}/{name}", "wb") as f:
+            f.write(body)
+    theirs = spark.read.option("recursiveFileLookup", True).text(top, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), F.hex("value"))
+    ours = read_files(list_files(spark, top)).select("file", F.hex("value"))
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
+    rows = read_payloads(spark, top)
+    assert [tuple(r) for r in rows.collect()] == [(1, 2, 1, "a")]
+    assert not any("/la" in f for f in rows.inputFiles())
+    lost = {os.path.basename(r.file): r.reason for r in quarantined_payloads(spark, top).collect()}
+    assert lost["1_6.json"] == lost["1_7.json"] == "empty file" and lost["1_3.json"] == "broken JSON"
+    assert len(lost) == 7
+    pattern = read_files(list_files(spark, tmp_dir + "/la*/1_*.json"))
+    assert [r.value for r in pattern.select(F.hex("value").alias("value")).collect()] == ["5BFF"]
+    os.makedirs(tmp_dir + "/none")
+    assert read_payloads(spark, tmp_dir + "/none").count() == 0
+
+
+def test_stream_of_noted_files_goes_on_oldest_first(spark, tmp_dir):
+    """quarantine: the stream's batches are the oldest files first, each file in one batch, also
+    over several runs, and the stream's own source holds notes, not files."""
+    from corpuslink.streaming import ingest as G
+    keys = ["book_number", "chapter", "verse"]
+
+    def land(n, text, at):
+        os.makedirs(tmp_dir + "/in", exist_ok=True)
+        with open(f"{tmp_dir}/in/{text}_1_{n}.json", "w") as f:
+            f.write('[{"verse": 1, "text": "%s"}]' % text)
+        os.utime(f.name, (at, at))
+
+    def run(**how):
+        G.stream_payloads(spark, tmp_dir + "/in", tmp_dir + "/t", tmp_dir + "/c", **how) \
+            .awaitTermination()
+        rows = G.read_table(spark, tmp_dir + "/t", G.PAYLOAD_ROWS, keys, ["text"])
+        return {r.chapter: r.text for r in rows.collect()}
+
+    for n in range(5):
+        land(n, "b", 2000 + n)
+        land(n, "a", 3000 + n)
+    assert run(max_files=2) == {n: "b" for n in range(5)}          # the older file wins
+    assert len(os.listdir(tmp_dir + "/t/batches")) == 5
+    land(9, "c", 1000)
+    land(0, "c", 1000)
+    assert run() == {**{n: "b" for n in range(5)}, 9: "c"}
+    assert len(os.listdir(tmp_dir + "/t/batches")) == 6
+    assert run(max_files=1) == {**{n: "b" for n in range(5)}, 9: "c"}
+    assert len(os.listdir(tmp_dir + "/t/batches")) == 6 and os.listdir(tmp_dir + "/c/landed")
+    with pytest.raises(ValueError, match="available_now"):
+        run(available_now=False)
