@@ -486,8 +486,10 @@ def q_patch_tree(spark, sf_dir):
     from corpuslink.operators import render as R
     from corpuslink.sources.sinks import read_tree, repair_tree, tree_files, write_tree
     base = scratch_path(spark, f"patch-{uuid.uuid4().hex}")
-    payloads = read_payloads(spark, _land_payloads(spark, sf_dir), "backfill").select(
-        "book_number", "chapter", F.col("verse").cast("long").alias("verse"), "text")
+    # every file is opened once, as in backfill_render
+    payloads = written(read_payloads(spark, _land_payloads(spark, sf_dir), "backfill").select(
+        "book_number", "chapter", F.col("verse").cast("long").alias("verse"), "text"),
+        "payload-rows")
     known = payloads.where("chapter % 3 <> 0 OR book_number % 2 = 0")
 
     def units(rows):

@@ -158,6 +158,40 @@ def read_files(listed: DataFrame, *keep: str) -> DataFrame:
         "value", F.col("value").cast("string"))
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move every file that ``write_files`` wrote under ``source`` into the folder of the same name
+    under ``target``, over the one there; what else that folder holds goes. Done by the tasks;
+    the same again completes what one left."""
+    from pyarrow import fs
+    listed = list_files(spark, source)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    top, into = (fs.FileSystem.from_uri(hadoop.Path(p).toUri().toASCIIString())[1].rstrip("/")
+                 for p in (source, target))
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+        moved = 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                files = fs.FileSystem.from_uri(row["uri"])[0]
+                place = into + row["place"][len(top):]
+                folder = place.rpartition("/")[0]
+                files.create_dir(folder, recursive=True)
+                try:
+                    files.move(row["place"], place)
+                except FileNotFoundError:            # an earlier attempt of this task moved it
+                    if files.get_file_info(place).type != fs.FileType.File:
+                        raise
+                for other in files.get_file_info(fs.FileSelector(folder)):
+                    if other.path != place and other.type == fs.FileType.File:
+                        files.delete_file(other.path)
+                moved += 1
+        yield pa.RecordBatch.from_arrays([pa.array([moved], pa.int64())], names=["moved"])
+
+    listed.select("uri", "place").repartition(reading_tasks(listed)).mapInArrow(
+        per_task, "moved long").write.format("noop").mode("overwrite").save()
+
+
 def folder_name(column: str, value: str | None) -> str:
     """``column=value`` as Spark's partitioned writers name it."""
     return f"{column}={value.translate(ESCAPED) if value else NO_VALUE}"

@@ -6,11 +6,14 @@ reference's delete-and-recreate of a database file and its per-book commits.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.operators.embed import embedding_run
-from corpuslink.sources.files import write_files
+from corpuslink.sources.files import NO_VALUE, list_files, move_files, read_files, seen_files, \
+    write_files
 
 
 def save_tables(tables: dict[str, DataFrame], path: str) -> None:
@@ -89,16 +92,21 @@ def patch_tree(chapters: DataFrame, path: str, style: str = "patch",
                book_index: DataFrame | None = None) -> None:
     """O-60, O-83: replace or add the given documents in a tree that ``write_tree`` made.
 
-    Dynamic partition overwrite: a document is a partition, so only the folders of the given
-    documents are replaced, each when all tasks are done; no other file is read, copied or
-    touched. Running it again gives the same tree, so a patch that a lost driver stopped
-    between two documents is completed by repeating it.
+    The tasks write the documents into a folder beside the tree and then, when all are done, move
+    each into its own folder there, over the old file; no other file is read, copied or touched,
+    and the driver holds no document's name. Running it again gives the same tree, so a patch that
+    stopped between two documents is completed by repeating it.
     """
-    (_documents(chapters, style, book_index).repartition("folder", "document")
-     .sortWithinPartitions("folder", "document", "section", "seq")
-     .select("folder", "document", "block").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("folder", "document").option("lineSep", "\n").text(path))
+    spark = chapters.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    tree = hadoop.Path(path)
+    system = tree.getFileSystem(spark._jsc.hadoopConfiguration())
+    tree = system.makeQualified(tree)
+    patch = hadoop.Path(tree.getParent(), f"_patch-{uuid.uuid4().hex}")
+    write_files(_documents(chapters, style, book_index), patch.toString(),
+                ["folder", "document"], "block", ["section", "seq"])
+    move_files(spark, patch.toString(), tree.toString())
+    system.delete(patch, True)
 
 
 def repair_tree(units: DataFrame, wanted: DataFrame, path: str, links: DataFrame | None = None,
@@ -113,8 +121,25 @@ def repair_tree(units: DataFrame, wanted: DataFrame, path: str, links: DataFrame
     patch_tree(render_chapters(chapters, links, style), path, style, book_index(books))
 
 
+DOCUMENT_PLACE = "/folder=([^/]*)/document=([^/]*)/([^/]*)$"
+
+
+def _named(listed: DataFrame) -> DataFrame:
+    """A tree's listing with folder and document, as their folders' names have them."""
+    def value(group):
+        raw = F.regexp_extract("place", DOCUMENT_PLACE, group)
+        # a plus sign stands for itself
+        return F.when(raw != NO_VALUE, F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))))
+    return seen_files(listed).where(F.regexp_like("place", F.lit(DOCUMENT_PLACE))).withColumns({
+        "folder": F.coalesce(value(1), F.lit("")), "document": value(2),
+        "_f": F.regexp_extract("place", DOCUMENT_PLACE, 3)})
+
+
 def tree_files(spark, path: str) -> DataFrame:
     """(folder, document, file, modified) of every file of a tree, contents unread."""
+    listed = list_files(spark, path)
+    if listed is not None:
+        return _named(listed).select("folder", "document", "file", "modified")
     return spark.read.format("binaryFile").load(path).select(
         F.coalesce(F.col("folder").cast("string"), F.lit("")).alias("folder"),
         F.col("document").cast("string").alias("document"), F.col("path").alias("file"),
@@ -124,9 +149,13 @@ def tree_files(spark, path: str) -> DataFrame:
 def read_tree(spark, path: str) -> DataFrame:
     """(folder, document, content, n_files) of a written tree (for checks: documents are
     read whole)."""
-    raw = spark.read.text(path, wholetext=True).withColumn("_f", F.col("_metadata.file_name"))
-    return raw.select(F.coalesce(F.col("folder").cast("string"), F.lit("")).alias("folder"),
-                      F.col("document").cast("string").alias("document"), "value", "_f").groupBy(
-        "folder", "document").agg(
+    listed = list_files(spark, path)
+    if listed is not None:
+        raw = read_files(_named(listed), "folder", "document", "_f")
+    else:
+        raw = spark.read.text(path, wholetext=True).select(F.coalesce(F.col("folder").cast(
+            "string"), F.lit("")).alias("folder"), F.col("document").cast("string").alias(
+            "document"), "value", F.col("_metadata.file_name").alias("_f"))
+    return raw.groupBy("folder", "document").agg(
         F.expr("listagg(value, '') WITHIN GROUP (ORDER BY _f)").alias("content"),
         F.count(F.lit(1)).cast("int").alias("n_files"))

@@ -86,3 +86,42 @@ def test_stream_of_noted_files_goes_on_oldest_first(spark, tmp_dir):
     assert len(os.listdir(tmp_dir + "/t/batches")) == 6 and os.listdir(tmp_dir + "/c/landed")
     with pytest.raises(ValueError, match="available_now"):
         run(available_now=False)
+
+
+def test_tree_is_listed_read_and_patched_by_tasks(spark, tmp_dir):
+    """patch_tree: names of any kind as Spark's partitions have them, no file listed by the driver,
+    a patch of the same documents by the tasks, over files of other names too."""
+    from corpuslink.sources.sinks import patch_tree, read_tree, tree_files, write_tree
+
+    def blocks(names, n, text):
+        return spark.createDataFrame([(b, c, s, f"{text} {s}\n") for b, c in names for s in range(n)],
+                                     "book_name string, chapter string, seq long, block string")
+    names = [("007", "1"), ("a+b %2B é", "2"), ("x=y/z", "3"), (None, "4"), ("A B", "5")]
+    top = tmp_dir + "/t"
+    write_tree(blocks(names, 3, "old"), top)
+    tree = read_tree(spark, top)
+    folders = {(b or "", f"Chapter_{c}.md") for b, c in names}
+    assert {(r.folder, r.document) for r in tree.collect()} == folders
+    assert not any("document=" in f for f in tree.inputFiles() + tree_files(spark, top).inputFiles())
+    place = f"{top}/folder=A B/document=Chapter_5.md"
+    os.rename(f"{place}/part-00000.txt", f"{place}/part-00007-x.c000.txt")
+    files = {r.folder: (r.file, r.modified) for r in tree_files(spark, top).collect()}
+    for _ in range(2):
+        patch_tree(blocks([names[1], names[4], ("New", "1")], 2, "new"), top, style="vault")
+        got = {r.folder: (r.content, r.n_files) for r in read_tree(spark, top).collect()}
+        now = {r.folder: (r.file, r.modified) for r in tree_files(spark, top).collect()}
+        old, new = ("".join(f"{w} {i}\n" for i in range(n)) for w, n in (("old", 3), ("new", 2)))
+        assert got == {"007": (old, 1), "x=y/z": (old, 1), "": (old, 1), "a+b %2B é": (new, 1),
+                       "A B": (new, 1), "New": (new, 1)}
+        assert {k for k in now if now[k] != files.get(k)} == {"a+b %2B é", "A B", "New"}
+    assert os.listdir(tmp_dir) == ["t"]
+    patch_tree(blocks(names, 1, "none").limit(0), top)
+    assert {r.folder: (r.file, r.modified) for r in tree_files(spark, top).collect()} == now
+
+
+def test_patch_tree_opens_each_payload_file_once(spark, monkeypatch):
+    from corpuslink.plans import catalog_io
+    from corpuslink.session import written
+    kept = []
+    monkeypatch.setattr(catalog_io, "written", lambda df, name: kept.append(name) or written(df, name))
+    assert catalog_io.q_patch_tree(spark, "/root/testdata/sf0.001").count() and kept == ["payload-rows"]
