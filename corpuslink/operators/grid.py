@@ -30,6 +30,8 @@ BLOCK_DIM = 1024
 CHUNK_BYTES = 64 << 20       # of the vectors a task holds at once
 TILE_QUERIES, TILE_VECTORS = 1024, 4096
 ROUNDING = 2e-6              # scores this far apart keep their order at 6 places
+SINGLE = 2.0 ** -23          # of a single-precision product, by length of the vectors
+PAIRS, PAIRS_SHARE = 8192, 64   # made again at once in double precision; above this share, all
 CROWD = 4                    # times k: so many pairs of a tile are sorted without a cut
 
 #: The last block a worker read: a single block is read once per worker, not once a chunk.
@@ -107,29 +109,54 @@ def _first_k(q: np.ndarray, row: np.ndarray, score: np.ndarray, order: np.ndarra
 def best_pairs(queries: np.ndarray, vectors: np.ndarray, order: np.ndarray, k: int,
                allowed: Callable | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, vector, score) of the k best vectors of each query; scores at 6 places, ties by
-    ``order``. The products are made in tiles of a few million numbers; only scores near a
-    query's k-th best so far are rounded and sorted. ``allowed(a, b)`` is a mask (queries,
+    ``order``. The products are made in tiles of a few million numbers, in single precision where
+    that can be told to be near enough; only those near a query's k-th best so far are made
+    again in double precision, rounded and sorted. ``allowed(a, b)`` is a mask (queries,
     vectors a to b) of the pairs that count; the queries are one tile then."""
     out = []
+    # the error of a product is at most its length's number of roundings, by Cauchy and Schwarz
+    size = [float(np.sqrt(np.einsum("ij,ij->i", m, m).max(initial=0))) for m in (queries, vectors)]
+    slack = (vectors.shape[1] + 4) * SINGLE * size[0] * size[1] + 1e-30
+    single = np.isfinite(slack) and slack < 1e-3 and max(size) < 1e15
+    if not single:
+        slack = 0.0
+    fast = vectors.astype(np.float32) if single else vectors
     for qa in range(0, len(queries), TILE_QUERIES):
         some = queries[qa:qa + TILE_QUERIES]
+        quick = some.astype(np.float32) if single else some
         floor = np.full(len(some), -np.inf)            # each query's k-th best so far
         held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         for va in range(0, len(vectors), TILE_VECTORS):
-            score = products(some, vectors[va:va + TILE_VECTORS])
+            score = products(quick, fast[va:va + TILE_VECTORS])
             width = score.shape[1]
             if allowed is not None:
                 score[~allowed(va, va + width)] = -np.inf
-            near = score >= (floor - ROUNDING)[:, None]
-            if width > k and np.count_nonzero(near) > CROWD * k * len(some):
-                cut = np.partition(score, width - k, axis=1)[:, width - k]
-                near = score >= (np.maximum(floor, cut) - ROUNDING)[:, None]
+            least = floor - (ROUNDING + 2 * slack)
+            # most queries have nothing near their best in a tile; NaN is near
+            hot = np.flatnonzero(~(score.max(axis=1) < least))
+            if not len(hot):
+                continue
+            if len(hot) < len(some):
+                score, least = score[hot], least[hot]
+            near = score >= least[:, None].astype(score.dtype)
+            if width > k and np.count_nonzero(near) > CROWD * k * len(hot):
+                cut = np.partition(score, width - k, axis=1)[:, width - k].astype(np.float64)
+                least = np.maximum(least, cut - (ROUNDING + 2 * slack))
+                near = score >= least[:, None].astype(score.dtype)
             q, row = np.nonzero(near)
-            found = np.round(score[q, row], 6)
             if allowed is not None:
-                known = found > -np.inf
-                q, row, found = q[known], row[known], found[known]
-            held = _first_k(*(np.concatenate(x) for x in zip(held, (q, row + va, found))),
+                known = score[q, row] > -np.inf
+                q, row = q[known], row[known]
+            if not single:
+                found = score[q, row]
+            elif len(q) > score.size // PAIRS_SHARE:
+                found = products(some[hot], vectors[va:va + width])[q, row]
+            q = hot[q]
+            if single and len(q) <= score.size // PAIRS_SHARE:
+                found = np.concatenate([np.zeros(0), *(
+                    np.einsum("ij,ij->i", some[q[at:at + PAIRS]], vectors[va + row[at:at + PAIRS]])
+                    for at in range(0, len(q), PAIRS))])
+            held = _first_k(*(np.concatenate(x) for x in zip(held, (q, row + va, np.round(found, 6)))),
                             order, k)
             full = np.flatnonzero(np.bincount(held[0], minlength=len(some)) >= k)
             ends = np.searchsorted(held[0], full, side="right") - 1

@@ -33,21 +33,45 @@ from corpuslink.session import written
 
 TOKEN = re.compile(r"[^\W_]+")
 VOCAB, RARE, OVERSAMPLE, ITERATIONS, SEED = 1 << 15, 1 << 13, 16, 3, 42
-TILE_WORDS = 1 << 16
+TILE_WORDS = 1 << 12         # so many rows of the basis stay in a core's cache
 TEXT_BYTES = 8 << 20
+REMEMBER = 500_000           # codes of other words that a task keeps, for speed only
+TASKS_A_CORE = 4             # of a pass, each of which sends a row per word
+BREAKS = {c: " " for c in range(128) if not TOKEN.fullmatch(chr(c))}
 
 
 def _texts(table: pa.Table) -> list[str]:
     return [t or "" for t in table.column(0).to_pylist()]
 
 
+def tokens(text: str) -> list[str]:
+    """The lower-cased words, as ``TOKEN`` finds them."""
+    low = text.lower()
+    return low.translate(BREAKS).split() if low.isascii() else TOKEN.findall(low)
+
+
+class Codes(dict):
+    """The rows of words: their own, or one of ``rare`` by hash, kept once it is known."""
+
+    def __init__(self, words: dict[str, int], rare: int):
+        super().__init__(words)
+        self.words, self.rare = words, rare
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > len(self.words) + REMEMBER:
+            self.clear()
+            self.update(self.words)
+        self[word] = code = len(self.words) + zlib.crc32(word.encode()) % self.rare
+        return code
+
+
 def document_frequencies(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, df): in how many texts each word stands; a task sends a row per word and chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in chunked(batches, TEXT_BYTES):
             seen: Counter[str] = Counter()
             for text in _texts(table):
-                seen.update(set(TOKEN.findall(text.lower())))
+                seen.update(set(tokens(text)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
                 names=["word", "df"])
@@ -59,18 +83,18 @@ def document_frequencies(texts: DataFrame, text_col: str = "text") -> DataFrame:
 def weighted_rows(texts: list[str], words: dict[str, int], idf: np.ndarray
                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sizes, words, weights) of the texts' rows, each row of length one."""
-    sizes, found, counts, rare = [], [], [], len(idf) - len(words)
+    codes = words if isinstance(words, Codes) else Codes(words, len(idf) - len(words))
+    found, lengths = [], []
     for text in texts:
-        tf = Counter(words[t] if t in words else len(words) + zlib.crc32(t.encode()) % rare
-                     for t in TOKEN.findall(text.lower()))
-        sizes.append(len(tf))
-        found += tf.keys()
-        counts += tf.values()
-    sizes, found = np.array(sizes, np.int64), np.array(found, np.int64)
-    weights = (1 + np.log(np.array(counts, np.float64))) * idf[found] if len(found) else np.zeros(0)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    norm = np.sqrt(np.bincount(row, weights * weights, len(sizes)))
-    return sizes, found, weights / np.where(norm == 0, 1, norm)[row]
+        some = tokens(text)
+        lengths.append(len(some))
+        found += map(codes.__getitem__, some)
+    at = np.repeat(np.arange(len(texts)), np.array(lengths, np.int64)) * len(idf) + np.array(found, np.int64)
+    at, counts = np.unique(at, return_counts=True)
+    row, found = np.divmod(at, len(idf))
+    weights = (1 + np.log(counts)) * idf[found]
+    norm = np.sqrt(np.bincount(row, weights * weights, len(texts)))
+    return np.bincount(row, minlength=len(texts)), found, weights / np.where(norm == 0, 1, norm)[row]
 
 
 def row_products(sizes: np.ndarray, found: np.ndarray, weights: np.ndarray,
@@ -80,7 +104,8 @@ def row_products(sizes: np.ndarray, found: np.ndarray, weights: np.ndarray,
     row = np.repeat(np.arange(len(sizes)), sizes)
     for at in range(0, len(found), TILE_WORDS):
         r = row[at:at + TILE_WORDS]
-        parts = basis[found[at:at + TILE_WORDS]] * weights[at:at + TILE_WORDS, None]
+        parts = basis[found[at:at + TILE_WORDS]]
+        parts *= weights[at:at + TILE_WORDS, None]
         starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
         out[r[starts]] += np.add.reduceat(parts, starts, axis=0)
     return out
@@ -107,7 +132,8 @@ def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
             for at in range(0, len(by), TILE_WORDS):
                 some = by[at:at + TILE_WORDS]
                 w = found[some]
-                parts = projected[row[some]] * weights[some, None]
+                parts = projected[row[some]]
+                parts *= weights[some, None]
                 starts = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
                 total[w[starts]] += np.add.reduceat(parts, starts, axis=0)
                 touched[w[starts]] = True
@@ -119,7 +145,8 @@ def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
                     pa.array(np.arange(len(part) + 1, dtype=np.int32) * part.shape[1]),
                     pa.array(part.ravel()))], names=["word", "part"])
 
-    sums = rows.mapInArrow(run, "word long, part array<double>").groupBy("word").agg(
+    spread = TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism
+    sums = rows.coalesce(spread).mapInArrow(run, "word long, part array<double>").groupBy("word").agg(
         vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part"))
     out = np.zeros(basis.shape)
     for word, part in sums.collect():                     # at most ``vocab`` rows
@@ -144,6 +171,7 @@ def fit(texts: DataFrame, dim: int = 128, topics: int | None = None, topic_weigh
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, idf = bc.value
+        words = Codes(words, len(idf) - len(words))
         for table in chunked(batches, TEXT_BYTES):
             sizes, found, weights = weighted_rows(_texts(table), words, idf)
             ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
@@ -178,11 +206,11 @@ def svd_model(spark, model: dict):
         m = bc.value
         # a direction that no text has stays out
         scale = np.where(m["energy"] > 1e-9, 1 / np.sqrt(np.maximum(m["energy"], 1e-9)), 0)
+        words, n = Codes(m["words"], len(m["idf"]) - len(m["words"])), len(scale)
+        basis = np.hstack([m["topics"] * scale, m["spread"]])
 
         def run(texts: list[str]) -> np.ndarray:
-            rows = weighted_rows(texts, m["words"], m["idf"])
-            topics = row_products(*rows, m["topics"]) * scale
-            return np.hstack([m["topic_weight"] * _unit(topics),
-                              _unit(row_products(*rows, m["spread"]))])
+            out = row_products(*weighted_rows(texts, words, m["idf"]), basis)
+            return np.hstack([m["topic_weight"] * _unit(out[:, :n]), _unit(out[:, n:])])
         return run
     return factory

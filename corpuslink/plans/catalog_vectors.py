@@ -18,6 +18,7 @@ from corpuslink.operators import vector as V
 from corpuslink.plans import standins as S
 from corpuslink.plans.registry import register
 from corpuslink.plans.sql import EDGES, VECTORS, with_
+from corpuslink.session import written
 
 QUERY_LABEL = 3
 SIMILAR_TO = 7
@@ -467,6 +468,9 @@ def q_lsh_recall(spark, sf_dir):
     return L.search_report(L.build_lsh(v), v, _twentieth(v), 10)
 
 
+ENCODED = 512                   # texts that learned_encode's models are handed at a time
+
+
 @register("learned_encode", oracle="""
 SELECT count(*) AS n_queries, true AS learned_finds_more, true AS unit_length
 FROM documents WHERE doc_id % 20 = 0
@@ -486,7 +490,8 @@ def q_learned_encode(spark, sf_dir):
             F.lit("")).alias("half"))
 
     def first(encoder, dim):
-        vecs = E.encode(docs, encoder, dim)
+        # encoded once, read by the search and the norms
+        vecs = written(E.encode(docs, encoder, dim, ENCODED).select("verse_id", "vec"), "encoded")
         asked = E.encode(halves.select("qid", F.col("half").alias("text")), encoder, dim)
         top = V.topk_exact(vecs, asked.select("qid", F.col("vec").alias("qvec")), 1)
         # an exact copy of the document is as good as itself

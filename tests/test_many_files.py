@@ -125,3 +125,62 @@ def test_patch_tree_opens_each_payload_file_once(spark, monkeypatch):
     kept = []
     monkeypatch.setattr(catalog_io, "written", lambda df, name: kept.append(name) or written(df, name))
     assert catalog_io.q_patch_tree(spark, "/root/testdata/sf0.001").count() and kept == ["payload-rows"]
+
+
+# ---------------------------------------------------- encoder and search ---
+
+def test_learned_encode_encodes_the_documents_once(spark, monkeypatch):
+    """learned_encode: one encoding of all documents a model, for the search and the norms."""
+    from corpuslink.plans import catalog_vectors
+    from corpuslink.session import written
+    kept = []
+    monkeypatch.setattr(catalog_vectors, "written", lambda df, name: kept.append(
+        (name, df.columns)) or written(df, name))
+    out = catalog_vectors.q_learned_encode(spark, "/root/testdata/sf0.001").first()
+    assert out.learned_finds_more and out.unit_length and out.n_queries > 0
+    assert kept == [("encoded", ["verse_id", "vec"])] * 2
+
+
+def test_words_by_table_are_those_of_the_pattern():
+    import numpy as np
+    from corpuslink.operators import learned
+    texts = ["".join(map(chr, range(128))), "It's 1,200 under_score A-B\x1cc\td", "Grüße, ÉTÉ_x 日本", "",
+             "K İx", "a" * 9]
+    assert [learned.tokens(t) for t in texts] == [learned.TOKEN.findall(t.lower()) for t in texts]
+    learned_words = {"a": 0, "b": 1}
+    idf = np.array([1.0, 2.0, 1.5, 1.5, 1.5])
+    sizes, found, weights = learned.weighted_rows(["b a a zz", "", "?"], learned_words, idf)
+    assert sizes.tolist() == [3, 0, 0] and found[:2].tolist() == [0, 1] and found[2] >= 2
+    raw = np.array([1 + np.log(2), 2.0, 1.5])
+    assert np.allclose(weights, raw / np.linalg.norm(raw))
+    assert [len(x) for x in learned.weighted_rows([], learned_words, idf)] == [0, 0, 0]
+
+
+def test_single_precision_tiles_give_the_double_ones_pairs(monkeypatch):
+    """learned_encode's search: the same pairs and scores as products in double precision, also
+    where thousands of scores lie within a single's rounding, and none by it where it overflows."""
+    import numpy as np
+    from corpuslink.operators import grid
+    rng = np.random.default_rng(5)
+    kinds = []
+    real = grid.products
+    monkeypatch.setattr(grid, "products", lambda q, v: kinds.append(q.dtype) or real(q, v))
+    monkeypatch.setattr(grid, "TILE_QUERIES", 16)
+    monkeypatch.setattr(grid, "TILE_VECTORS", 300)
+    base = rng.normal(size=24)
+    near = base + rng.normal(size=(900, 24)) * 1e-6
+    for vectors, scale in ((rng.normal(size=(2000, 24)), 1), (near, 1), (np.vstack([near[:1]] * 800), 1),
+                           (np.vstack([near, rng.normal(size=(900, 24))]), 1),
+                           (rng.normal(size=(900, 24)), 1e18)):
+        unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+        queries = np.vstack([unit[:30], rng.normal(size=(10, 24)) / 5, np.zeros((1, 24))]) * scale
+        order = rng.permutation(len(unit))
+        score = np.round(queries @ unit.T, 6)
+        for k in (1, 7):
+            kinds.clear()
+            q, row, found = grid.best_pairs(queries, unit, order, k)
+            for i in range(len(queries)):
+                best = np.lexsort((order, -score[i]))[:k]
+                assert row[q == i].tolist() == best.tolist()
+                assert np.allclose(found[q == i], score[i][best], rtol=1e-12, atol=0)
+            assert (np.dtype(np.float32) in kinds) == (scale == 1)
